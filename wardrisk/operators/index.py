@@ -59,6 +59,21 @@ def minmax(df: DataFrame, columns: dict[str, str], lo: float = 0.0, hi: float =
     return out if by is None else out.drop("_by", *[f"_{n}{i}" for i in range(len(columns)) for n in ("min", "max")])
 
 
+def _crime_rate(df: DataFrame, per: float) -> DataFrame:
+    total = F.col("kasus_kriminal_baseline") + F.col("total_kasus_berita_kriminal")
+    return rate(df.withColumn("total_kasus_kriminal", total), "total_kasus_kriminal", "jumlah_penduduk", per, "crime_rate")
+
+
+def _health_rates(df: DataFrame, case_per: float, facility_per: float) -> DataFrame:
+    total = F.col("kasus_wabah_baseline") + F.col("total_kasus_berita_wabah")
+    df = rate(df.withColumn("total_kasus_wabah", total), "total_kasus_wabah", "jumlah_penduduk", case_per, "incidence_rate")
+    return rate(df, "total_faskes", "jumlah_penduduk", facility_per, "hfr")
+
+
+def _composite(df: DataFrame, weights) -> DataFrame:
+    return df.withColumn("indeks_kesehatan", weighted([("norm_ir", weights[0], False), ("norm_hfr", weights[1], True)]))
+
+
 def crime_index(base: DataFrame, news_counts: DataFrame, key: str = KEY,
                 per: float = 100_000, by: str | None = None) -> DataFrame:
     """Cases plus news per inhabitant, scaled to 0..100.
@@ -70,10 +85,7 @@ def crime_index(base: DataFrame, news_counts: DataFrame, key: str = KEY,
     left = base.select(key, *extra, F.col("jumlah_kasus").alias("kasus_kriminal_baseline"), "jumlah_penduduk")
     joined = left_fill(left, [news_counts.select(key, "total_kasus_berita_kriminal")], key,
                        {"total_kasus_berita_kriminal": 0, "kasus_kriminal_baseline": 0})
-    total = F.col("kasus_kriminal_baseline") + F.col("total_kasus_berita_kriminal")
-    rated = rate(joined.withColumn("total_kasus_kriminal", total),
-                 "total_kasus_kriminal", "jumlah_penduduk", per, "crime_rate")
-    return minmax(rated, {"crime_rate": "indeks_kriminalitas"}, by=by)
+    return minmax(_crime_rate(joined, per), {"crime_rate": "indeks_kriminalitas"}, by=by)
 
 
 def health_index(base: DataFrame, disease: DataFrame, facilities: DataFrame,
@@ -91,13 +103,31 @@ def health_index(base: DataFrame, disease: DataFrame, facilities: DataFrame,
          news_counts.select(key, "total_kasus_berita_wabah"),
          facilities.select(key, "total_faskes")],
         key, {"kasus_wabah_baseline": 0, "total_kasus_berita_wabah": 0, "total_faskes": 0})
-    total = F.col("kasus_wabah_baseline") + F.col("total_kasus_berita_wabah")
-    rated = rate(joined.withColumn("total_kasus_wabah", total),
-                 "total_kasus_wabah", "jumlah_penduduk", case_per, "incidence_rate")
-    rated = rate(rated, "total_faskes", "jumlah_penduduk", facility_per, "hfr")
-    scaled = minmax(rated, {"incidence_rate": "norm_ir", "hfr": "norm_hfr"}, by=by)
-    index = weighted([("norm_ir", weights[0], False), ("norm_hfr", weights[1], True)])
-    return scaled.withColumn("indeks_kesehatan", index)
+    rated = _health_rates(joined, case_per, facility_per)
+    return _composite(minmax(rated, {"incidence_rate": "norm_ir", "hfr": "norm_hfr"}, by=by), weights)
+
+
+def dual_index(base: DataFrame, others=(), key: str = KEY, crime_per: float = 100_000,
+               case_per: float = 100_000, facility_per: float = 10_000, weights=(0.7, 0.3),
+               by: str | None = None) -> DataFrame:
+    """Both indices in one frame: the base is joined once, all bounds come from one aggregate.
+
+    ``base`` holds key, jumlah_kasus and jumlah_penduduk; together with ``others`` (frames
+    with one row per key) it has to bring kasus_wabah_baseline, total_faskes and the two
+    news counts.
+    """
+    joined = left_fill(base.withColumnRenamed("jumlah_kasus", "kasus_kriminal_baseline"), others, key, {
+        c: 0 for c in ("kasus_kriminal_baseline", "total_kasus_berita_kriminal", "kasus_wabah_baseline",
+                       "total_kasus_berita_wabah", "total_faskes")})
+    rated = _health_rates(_crime_rate(joined, crime_per), case_per, facility_per)
+    scaled = minmax(rated, {"crime_rate": "indeks_kriminalitas", "incidence_rate": "norm_ir", "hfr": "norm_hfr"}, by=by)
+    return _composite(scaled, weights)
+
+
+def risk_table(crime: DataFrame, health: DataFrame, key: str = KEY) -> DataFrame:
+    """Both saved index tables side by side, whichever of them has the district."""
+    return (crime.select(key, "total_kasus_kriminal", "crime_rate", "indeks_kriminalitas")
+            .join(health.select(key, "total_kasus_wabah", "incidence_rate", "hfr", "indeks_kesehatan"), key, "full"))
 
 
 def disease_per_key(disease: DataFrame, key: str = KEY) -> DataFrame:

@@ -17,15 +17,16 @@ def rank_desc(df: DataFrame, column: str, key: str, out: str = "rank", by: str |
               step: Column | None = None) -> DataFrame:
     """1-based position by descending value, ties by key, NULL values last.
 
-    With ``by`` the rank is per group.  Without it the rows are numbered within steps of
-    the value (``step``, growing with the value; by default 101 steps of an index from 0
-    to 100) and each step starts after the rows of the steps above.  So no task sorts the
-    whole table; only the row counts per step are gathered.
+    With ``by`` the rank is per group.  Otherwise the rows are numbered within steps of the
+    value and each step starts after the rows of the steps above, so no task sorts the whole
+    table.  ``step`` grows with the value; without it see :func:`rank_indices`.
     """
     order = [F.col(column).desc_nulls_last(), F.col(key).asc()]
     if by is not None:
         return df.withColumn(out, F.row_number().over(Window.partitionBy(by).orderBy(*order)).cast("long"))
-    stepped = df.withColumn("_step", value_step(column) if step is None else step)
+    if step is None:
+        return rank_indices(df, {column: out}, key)
+    stepped = df.withColumn("_step", step)
     above = Window.orderBy(F.col("_s").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     starts = (stepped.groupBy(F.col("_step").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
               .select("_s", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_before")))
@@ -34,6 +35,32 @@ def rank_desc(df: DataFrame, column: str, key: str, out: str = "rank", by: str |
     return joined.withColumn(out, F.col(out) + F.col("_before")).drop("_step", "_s", "_before")
 
 
+def _above(column: str):
+    return lambda r: (r.c == F.lit(column)) & (r.s > F.col("_s"))
+
+
+def rank_indices(df: DataFrame, columns: dict[str, str], key: str, lo: float = 0.0, hi: float = 100.0) -> DataFrame:
+    """Rank several index columns (``{column: output}``) that run from ``lo`` to ``hi``.
+
+    The rows per step of each column come from one aggregate with at most 102 rows per
+    column, handed to the plan as a scalar.
+    """
+    steps = {c: F.coalesce(value_step(c, lo, hi), F.lit(-1)) for c in columns}
+    listed = F.array(*[F.struct(F.lit(c).alias("c"), step.alias("s")) for c, step in steps.items()])
+    counts = df.select(F.inline(listed)).groupBy("c", "s").agg(F.count(F.lit(1)).alias("n"))
+    table = counts.agg(F.collect_list(F.struct("c", "s", "n"))).scalar()
+    out = df.withColumn("_steps", table)
+    for c, name in columns.items():
+        # A plain column, so that the window below has something to partition by.
+        stepped = out.withColumn("_s", steps[c])
+        before = F.aggregate(
+            F.filter("_steps", _above(c)),
+            F.lit(0).cast("long"), lambda total, r: total + r.n)
+        w = Window.partitionBy("_s").orderBy(F.col(c).desc_nulls_last(), F.col(key).asc())
+        out = stepped.withColumn(name, F.row_number().over(w) + before).drop("_s")
+    return out.drop("_steps")
+
+
 def top_n(df: DataFrame, column: str, n: int, key: str) -> DataFrame:
     return df.orderBy(F.col(column).desc_nulls_last(), key).limit(n)
 

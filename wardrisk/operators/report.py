@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from ..functions import band, fixed, fixed_text, normalize_key
 from .index import KEY
-from .rank import latest_per_key, rank_desc, worst_best
+from .rank import latest_per_key, rank_indices
 
 CRIME, HEALTH = "indeks_kriminalitas", "indeks_kesehatan"
 
 
-def dual_recap(crime: DataFrame, health: DataFrame, key: str = KEY) -> DataFrame:
-    """Both indices per district of the crime table; a missing health index counts as 0."""
-    joined = crime.select(key, CRIME).join(health.select(key, HEALTH), key, "left")
-    return joined.withColumn(HEALTH, F.coalesce(HEALTH, F.lit(0.0)))
+def dual_recap(risk: DataFrame, key: str = KEY) -> DataFrame:
+    """Both indices per district with a crime index; a missing health index counts as 0."""
+    return risk.filter(F.col("total_kasus_kriminal").isNotNull()).select(
+        key, CRIME, F.coalesce(HEALTH, F.lit(0.0)).alias(HEALTH))
 
 
 def lookup_by_name(df: DataFrame, table: DataFrame, name: str, key: str, columns) -> DataFrame:
@@ -25,31 +25,33 @@ def lookup_by_name(df: DataFrame, table: DataFrame, name: str, key: str, columns
     return joined.fillna(0, list(columns))
 
 
-def ranked_pair(crime: DataFrame, health: DataFrame, key: str = KEY) -> DataFrame:
-    """Crime and health rows per district (either may be missing) with both ranks."""
-    c = rank_desc(crime.select(key, "total_kasus_kriminal", "crime_rate", CRIME), CRIME, key, "crime_rank")
-    h = rank_desc(health.select(key, "total_kasus_wabah", "incidence_rate", "hfr", HEALTH), HEALTH, key, "health_rank")
-    return c.join(h, key, "full")
+def ranked(risk: DataFrame, key: str = KEY) -> DataFrame:
+    """Both indices with their ranks; a district without an index has rank 0 there."""
+    out = rank_indices(risk, {CRIME: "crime_rank", HEALTH: "health_rank"}, key)
+    return out.withColumns({
+        "crime_rank": F.when(F.col("total_kasus_kriminal").isNotNull(), F.col("crime_rank")).otherwise(F.lit(0)),
+        "health_rank": F.when(F.col("total_kasus_wabah").isNotNull(), F.col("health_rank")).otherwise(F.lit(0))})
 
 
-def profile(crime: DataFrame, health: DataFrame, dimension: DataFrame | None = None,
-            news: DataFrame | None = None, key: str = KEY, news_key: str = "kecamatan_terdeteksi",
-            title: str = "judul", ts: str = "tanggal_publikasi", news_id: str = "id_berita",
-            headlines: int = 3) -> DataFrame:
-    """District profile: indices, ranks, risk level, colour step, figures, latest headlines."""
-    out = ranked_pair(crime, health, key).withColumn("place_key", normalize_key(key))
-    zero = {c: 0 for c in ("total_kasus_kriminal", "crime_rate", CRIME, "crime_rank",
-                           "total_kasus_wabah", "hfr", HEALTH, "health_rank")}
-    out = out.fillna(zero).withColumns({
+def profile(risk: DataFrame, dimension: DataFrame | None = None, headlines: DataFrame | None = None,
+            key: str = KEY) -> DataFrame:
+    """District profile: indices, ranks, risk level, colour steps, figures, latest headlines.
+
+    ``risk`` is the output of :func:`~wardrisk.operators.index.dual_index` or ``risk_table``,
+    ``headlines`` that of :func:`headline_lists`.
+    """
+    out = ranked(risk, key).withColumn("place_key", normalize_key(key)).select(
+        "place_key", key, "total_kasus_kriminal", "crime_rate", CRIME, "crime_rank",
+        "total_kasus_wabah", "hfr", HEALTH, "health_rank")
+    out = out.fillna(0, ["total_kasus_kriminal", "crime_rate", CRIME, "total_kasus_wabah", "hfr", HEALTH]).withColumns({
         "risk_level": band(CRIME, fixed.RISK_LEVELS),
         "crime_step": band(CRIME, fixed.COLOUR_STEPS),
         "health_step": band(HEALTH, fixed.COLOUR_STEPS),
     })
     if dimension is not None:
         out = out.join(dimension, "place_key", "left")
-    if news is not None:
-        titles = headline_lists(news, news_key, title, ts, news_id, headlines)
-        out = out.join(titles, "place_key", "left").fillna({"headlines": ""})
+    if headlines is not None:
+        out = out.join(headlines, "place_key", "left").fillna({"headlines": ""})
     return out.drop("place_key")
 
 
@@ -61,16 +63,13 @@ def headline_lists(news: DataFrame, place: str, title: str, ts: str, news_id: st
     return latest.groupBy("place_key").agg(F.array_join(F.transform(listed, lambda s: s.t), "; ").alias("headlines"))
 
 
-def risk_report(crime: DataFrame, health: DataFrame, key: str = KEY) -> DataFrame:
+def risk_report(risk: DataFrame, key: str = KEY) -> DataFrame:
     """Index values as shown (one decimal), ranks, levels and advice per district."""
-    joined = ranked_pair(crime, health, key)
     shown = {"crime_shown": F.coalesce(F.round(CRIME, 1), F.lit(0.0)),
              "health_shown": F.coalesce(F.round(HEALTH, 1), F.lit(0.0))}
     priority = F.when(F.col("crime_shown") > F.col("health_shown"), fixed.PRIORITY_CRIME).otherwise(fixed.PRIORITY_HEALTH)
-    return joined.withColumns(shown).select(
-        key, "crime_shown", "health_shown",
-        F.coalesce("crime_rank", F.lit(0)).alias("crime_rank"),
-        F.coalesce("health_rank", F.lit(0)).alias("health_rank"),
+    return ranked(risk, key).withColumns(shown).select(
+        key, "crime_shown", "health_shown", "crime_rank", "health_rank",
         F.coalesce("total_kasus_kriminal", F.lit(0)).alias("total_kasus_kriminal"),
         F.coalesce("total_kasus_wabah", F.lit(0)).alias("total_kasus_wabah"),
         band("crime_shown", fixed.RISK_LEVELS).alias("risk_level"),
@@ -80,21 +79,38 @@ def risk_report(crime: DataFrame, health: DataFrame, key: str = KEY) -> DataFram
         F.concat(fixed_text(F.coalesce(F.col("hfr"), F.lit(0.0)) * 100, 2), F.lit("%")).alias("hfr_shown"))
 
 
-def city_summary(crime: DataFrame, health: DataFrame, change: DataFrame | None = None, key: str = KEY) -> DataFrame:
+def _worst(column: str, key: str) -> Column:
+    """Key of the highest value, the first key among ties."""
+    return F.min_by(key, F.when(F.col(column).isNotNull(), F.struct(-F.col(column), F.col(key))))
+
+
+def _best(column: str, key: str) -> Column:
+    """Key of the lowest value, the last key among ties."""
+    return F.max_by(key, F.when(F.col(column).isNotNull(), F.struct(-F.col(column), F.col(key))))
+
+
+def city_summary(risk: DataFrame, change: DataFrame | None = None, key: str = KEY) -> DataFrame:
     """One row: totals, mean indices, worst and best district, percent change if given."""
-    c = crime.agg(F.sum("total_kasus_kriminal").alias("total_crime"), F.avg(CRIME).alias("mean_crime_index"),
-                  F.count(F.lit(1)).alias("districts"))
-    h = health.agg(F.sum("total_kasus_wabah").alias("total_health"), F.avg(HEALTH).alias("mean_health_index"))
-    parts = [c, h,
-             worst_best(crime, CRIME, key).select(F.col("worst").alias("worst_crime"), F.col("best").alias("best_crime")),
-             worst_best(health, HEALTH, key).select(F.col("worst").alias("worst_health"))]
-    if change is not None:
-        parts.append(change)
-    return single_row(parts)
+    totals = risk.agg(
+        F.sum("total_kasus_kriminal").alias("total_crime"), F.avg(CRIME).alias("mean_crime_index"),
+        F.count("total_kasus_kriminal").alias("districts"),
+        F.sum("total_kasus_wabah").alias("total_health"), F.avg(HEALTH).alias("mean_health_index"),
+        _worst(CRIME, key).alias("worst_crime"), _best(CRIME, key).alias("best_crime"),
+        _worst(HEALTH, key).alias("worst_health"))
+    return totals if change is None else single_row([totals, change])
+
+
+def kpi_row(risk: DataFrame, news: DataFrame, key: str = KEY) -> DataFrame:
+    """District count, highest value and place of both indices, news count."""
+    totals = risk.agg(
+        F.count("total_kasus_kriminal").alias("districts"),
+        _worst(CRIME, key).alias("top_crime"), F.round(F.max(CRIME), 1).alias("top_crime_value"),
+        _worst(HEALTH, key).alias("top_health"), F.round(F.max(HEALTH), 1).alias("top_health_value"))
+    return single_row([totals, news.agg(F.count(F.lit(1)).alias("news_total"))])
 
 
 def single_row(frames) -> DataFrame:
-    """Put one-row frames side by side, each as scalar subqueries on the first."""
+    """Put one-row frames side by side, the later ones as scalar subqueries on the first."""
     first, *rest = frames
     out = first
     for frame in rest:
@@ -103,14 +119,6 @@ def single_row(frames) -> DataFrame:
     return out
 
 
-def kpi_row(crime: DataFrame, health: DataFrame, news: DataFrame, key: str = KEY) -> DataFrame:
-    """District count, highest value and place of both indices, news count."""
-    top_c = worst_best(crime, CRIME, key).select(F.col("worst").alias("top_crime"), F.round("worst_value", 1).alias("top_crime_value"))
-    top_h = worst_best(health, HEALTH, key).select(F.col("worst").alias("top_health"), F.round("worst_value", 1).alias("top_health_value"))
-    return single_row([crime.agg(F.count(F.lit(1)).alias("districts")), top_c, top_h,
-                       news.agg(F.count(F.lit(1)).alias("news_total"))])
-
-
 def news_summary(news: DataFrame, kind: str, place: str, ts: str, crime_label: str) -> DataFrame:
     """News count, crime news, all other news, distinct places, latest date."""
     return news.agg(
@@ -121,22 +129,20 @@ def news_summary(news: DataFrame, kind: str, place: str, ts: str, crime_label: s
         F.max(ts).alias("latest"))
 
 
-def compare(crime: DataFrame, health: DataFrame, a: str, b: str, key: str = KEY) -> DataFrame:
+def compare(risk: DataFrame, a: str, b: str, key: str = KEY) -> DataFrame:
     """Two districts side by side, one row per figure, with a mark for the better index.
 
     Both rows are picked in one pass.  The lower index is the better one and carries the
     downward mark; figures without a winner have no mark.
     """
-    joined = crime.select(key, CRIME, "total_kasus_kriminal", "crime_rate").join(
-        health.select(key, HEALTH, "total_kasus_wabah", "hfr"), key, "full")
     metrics = [CRIME, "total_kasus_kriminal", "crime_rate", HEALTH, "total_kasus_wabah", "hfr"]
     name = normalize_key(key)
 
     def pick(metric: str, who: str) -> Column:
-        value = F.max(F.when(name == normalize_key(F.lit(who)), F.col(metric)))
-        return F.coalesce(value, F.lit(0)).cast("double") if metric in (CRIME, HEALTH) else value.cast("double")
+        value = F.max(F.when(name == normalize_key(F.lit(who)), F.col(metric))).cast("double")
+        return F.coalesce(value, F.lit(0.0)) if metric in (CRIME, HEALTH) else value
 
-    picked = joined.filter(name.isin(*[_key_text(x) for x in (a, b)])).agg(
+    picked = risk.filter(name.isin(*[_key_text(x) for x in (a, b)])).agg(
         *[pick(m, who).alias(f"{m}_{side}") for m in metrics for side, who in (("a", a), ("b", b))])
     rows = F.array(*[F.struct(F.lit(m).alias("figure"), F.col(f"{m}_a").alias("value_a"), F.col(f"{m}_b").alias("value_b"),
                               F.lit(m in (CRIME, HEALTH)).alias("marked")) for m in metrics])
@@ -156,41 +162,41 @@ def _key_text(name: str) -> str:
     return key.strip(" ")
 
 
-def district_context(crime: DataFrame, health: DataFrame, news: DataFrame | None = None, key: str = KEY, **news_columns) -> DataFrame:
+def district_context(risk: DataFrame, headlines: DataFrame | None = None, key: str = KEY) -> DataFrame:
     """One text per district: crime line, health line and latest headlines, where present."""
-    table = profile(crime, health, None, news, key, **news_columns) if news is not None else profile(crime, health, key=key)
+    table = risk.withColumn("place_key", normalize_key(key))
     lines = [
-        F.when(F.col("crime_rank") > 0, F.concat(
+        F.when(F.col("total_kasus_kriminal").isNotNull(), F.concat(
             F.lit("Kriminalitas: indeks="), fixed_text(CRIME, 1), F.lit("/100, total_kasus="),
             F.col("total_kasus_kriminal").cast("string"), F.lit(", crime_rate="), fixed_text("crime_rate", 1))),
-        F.when(F.col("health_rank") > 0, F.concat(
+        F.when(F.col("total_kasus_wabah").isNotNull(), F.concat(
             F.lit("Kesehatan: indeks="), fixed_text(HEALTH, 1), F.lit("/100, total_wabah="),
             F.col("total_kasus_wabah").cast("string"), F.lit(", HFR="), fixed_text("hfr", 2))),
     ]
-    if news is not None:
-        lines.append(F.when(F.col("headlines") != "", F.concat(F.lit("Berita terkini: "), F.col("headlines"))))
+    if headlines is not None:
+        table = table.join(headlines, "place_key", "left")
+        lines.append(F.concat(F.lit("Berita terkini: "), F.col("headlines")))
     return table.select(key, F.concat_ws("\n", *lines).alias("context"))
 
 
-def city_context(crime: DataFrame, health: DataFrame, key: str = KEY, n: int = 3) -> DataFrame:
-    """One row with the top districts of both indices as text and both case totals."""
-    from .rank import top_n
+def city_context(risk: DataFrame, key: str = KEY, n: int = 3) -> DataFrame:
+    """One row with the top districts of both indices as text and both case totals.
 
-    def tops(df: DataFrame, column: str, out: str) -> DataFrame:
-        top = top_n(df.select(key, column), column, n, key)
+    The lists hold the ``n`` first ranks only, everything comes from one aggregate.
+    """
+    def tops(column: str, position: str) -> Column:
         label = F.concat(F.col(key), F.lit("("), fixed_text(column, 1), F.lit(")"))
-        listed = F.array_sort(F.collect_list(F.struct((-F.col(column)).alias("o"), F.col(key).alias("k"), label.alias("t"))))
-        return top.agg(F.array_join(F.transform(listed, lambda s: s.t), ", ").alias(out))
+        first = F.collect_list(F.when(F.col(position).between(1, n), F.struct(F.col(position).alias("p"), label.alias("t"))))
+        return F.array_join(F.transform(F.array_sort(first), lambda s: s.t), ", ")
 
-    return single_row([
-        tops(crime, CRIME, "top_crime"), tops(health, HEALTH, "top_health"),
-        crime.agg(F.count(F.lit(1)).alias("districts"), F.sum("total_kasus_kriminal").alias("total_crime")),
-        health.agg(F.sum("total_kasus_wabah").alias("total_health"))])
+    return ranked(risk, key).agg(
+        tops(CRIME, "crime_rank").alias("top_crime"), tops(HEALTH, "health_rank").alias("top_health"),
+        F.count("total_kasus_kriminal").alias("districts"), F.sum("total_kasus_kriminal").alias("total_crime"),
+        F.sum("total_kasus_wabah").alias("total_health"))
 
 
-def news_detail(news: DataFrame, crime: DataFrame, health: DataFrame, place: str, key: str = KEY) -> DataFrame:
+def news_detail(news: DataFrame, risk: DataFrame, place: str, key: str = KEY) -> DataFrame:
     """News with the indices and the crime rank of its district (rank 0 if unknown)."""
-    ranked = rank_desc(crime.select(key, CRIME), CRIME, key, "crime_rank")
-    side = ranked.join(health.select(key, HEALTH), key, "full").withColumn("_key", normalize_key(key)).drop(key)
+    side = rank_indices(risk, {CRIME: "crime_rank"}, key).select(normalize_key(key).alias("_key"), CRIME, HEALTH, "crime_rank")
     joined = news.withColumn("_key", normalize_key(place)).join(side, "_key", "left").drop("_key")
     return joined.fillna({"crime_rank": 0})

@@ -57,7 +57,7 @@ SELECT kecamatan, round(indeks_kriminalitas, 6) AS indeks_kriminalitas,
        round(coalesce(h.indeks_kesehatan, 0), 6) AS indeks_kesehatan
 FROM crime LEFT JOIN health h USING (kecamatan) ORDER BY kecamatan""")
 def dual_recap(spark, sf_dir):
-    return rounded(report.dual_recap(roles.crime(spark, sf_dir), roles.health(spark, sf_dir))).orderBy("kecamatan")
+    return rounded(report.dual_recap(roles.risk(spark, sf_dir))).orderBy("kecamatan")
 
 
 RANKED_SQL = f"""
@@ -72,6 +72,10 @@ LEVEL_SQL = "CASE WHEN {0} >= 80 THEN 'EKSTRIM' WHEN {0} >= 60 THEN 'TINGGI' WHE
 STEP_SQL = "CASE WHEN {0} >= 80 THEN '4' WHEN {0} >= 60 THEN '3' WHEN {0} >= 40 THEN '2' WHEN {0} >= 20 THEN '1' ELSE '0' END"
 
 
+def headlines(spark, sf_dir):
+    return report.headline_lists(roles.event_news(spark, sf_dir), "kecamatan_terdeteksi", "judul", "tanggal_publikasi", "id_berita")
+
+
 @query("profile", f"""
 {RANKED_SQL}, {roles.NEWS_SQL.strip()},
 late AS (
@@ -85,8 +89,7 @@ SELECT kecamatan, total_kasus_kriminal, round(coalesce(crime_rate, 0), 6) AS cri
        {STEP_SQL.format('indeks_kesehatan')} AS health_step, coalesce(headlines, '') AS headlines
 FROM both_rows LEFT JOIN late USING (kecamatan)""")
 def profile(spark, sf_dir):
-    table = report.profile(roles.crime(spark, sf_dir), roles.health(spark, sf_dir), news=roles.event_news(spark, sf_dir))
-    return rounded(table.drop("incidence_rate"))
+    return rounded(report.profile(roles.risk(spark, sf_dir), headlines=headlines(spark, sf_dir)))
 
 
 @query("risk_report", f"""
@@ -102,7 +105,7 @@ SELECT kecamatan, crime_shown, health_shown, crime_rank, health_rank, total_kasu
        printf('%.2f', coalesce(hfr, 0) * 100) || '%' AS hfr_shown
 FROM shown""")
 def risk_report(spark, sf_dir):
-    return report.risk_report(roles.crime(spark, sf_dir), roles.health(spark, sf_dir))
+    return report.risk_report(roles.risk(spark, sf_dir))
 
 
 @query("city_summary", f"""
@@ -122,7 +125,7 @@ def city_summary(spark, sf_dir):
     yearly = (roles.table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year"))
               .agg(F.count(F.lit(1)).alias("n")))
     change = trend_change(yearly, "year", "n").select("change_percent")
-    return rounded(report.city_summary(roles.crime(spark, sf_dir), roles.health(spark, sf_dir), change))
+    return rounded(report.city_summary(roles.risk(spark, sf_dir), change))
 
 
 @query("kpi_row", f"""
@@ -134,7 +137,7 @@ SELECT count(*) AS districts, arg_min(kecamatan, (-indeks_kriminalitas, kecamata
        (SELECT count(*) FROM events) AS news_total
 FROM crime""")
 def kpi_row(spark, sf_dir):
-    return report.kpi_row(roles.crime(spark, sf_dir), roles.health(spark, sf_dir), roles.table(spark, sf_dir, "events"))
+    return report.kpi_row(roles.risk(spark, sf_dir), roles.table(spark, sf_dir, "events"))
 
 
 @query("pair_compare", f"""
@@ -152,7 +155,7 @@ SELECT figure, round(a, 6) AS value_a, round(b, 6) AS value_b,
        CASE WHEN figure LIKE 'indeks%' THEN CASE WHEN a <= b THEN '▲' ELSE '▼' END END AS mark_b
 FROM ab""")
 def pair_compare(spark, sf_dir):
-    return rounded(report.compare(roles.crime(spark, sf_dir), roles.health(spark, sf_dir), "NATION_3", "NATION_7"))
+    return rounded(report.compare(roles.risk(spark, sf_dir), "NATION_3", "NATION_7"))
 
 
 @query("top_n", f"""
@@ -235,7 +238,7 @@ SELECT event_id, kecamatan_terdeteksi, round(c.indeks_kriminalitas, 6) AS indeks
 FROM news_rows LEFT JOIN ranked c ON c.kecamatan = kecamatan_terdeteksi LEFT JOIN health h ON h.kecamatan = kecamatan_terdeteksi""")
 def news_detail(spark, sf_dir):
     news = roles.event_news(spark, sf_dir).select("event_id", "kecamatan_terdeteksi")
-    return rounded(report.news_detail(news, roles.crime(spark, sf_dir), roles.health(spark, sf_dir), "kecamatan_terdeteksi"))
+    return rounded(report.news_detail(news, roles.risk(spark, sf_dir), "kecamatan_terdeteksi"))
 
 
 @query("lookup_by_name", f"""
@@ -264,7 +267,7 @@ SELECT kecamatan, concat_ws(chr(10),
   'Berita terkini: ' || headlines) AS context
 FROM both_rows LEFT JOIN late USING (kecamatan)""")
 def district_context(spark, sf_dir):
-    return report.district_context(roles.crime(spark, sf_dir), roles.health(spark, sf_dir), roles.event_news(spark, sf_dir))
+    return report.district_context(roles.risk(spark, sf_dir), headlines(spark, sf_dir))
 
 
 @query("city_context", f"""
@@ -277,7 +280,7 @@ SELECT (SELECT string_agg(t, ', ' ORDER BY i DESC, kecamatan) FROM (SELECT kecam
        (SELECT CAST(sum(total_kasus_wabah) AS BIGINT) FROM health) AS total_health
 FROM crime""")
 def city_context(spark, sf_dir):
-    return report.city_context(roles.crime(spark, sf_dir), roles.health(spark, sf_dir))
+    return report.city_context(roles.risk(spark, sf_dir))
 
 
 @query("news_multiplier", f"""
@@ -286,7 +289,7 @@ SELECT kecamatan, kasus_kriminal_baseline AS cases, total_kasus_berita_kriminal
        round(kasus_kriminal_baseline * (1 + 0.5 * coalesce(total_kasus_berita_kriminal / nullif(avg(total_kasus_berita_kriminal) OVER (), 0), 0)), 6) AS calibrated
 FROM crime""")
 def news_multiplier(spark, sf_dir):
-    base = (roles.districts(spark, sf_dir, roles.returned_lines(spark, sf_dir))
+    base = (roles.districts(spark, sf_dir, returned=True)
             .select("kecamatan", F.col("jumlah_kasus").alias("cases")))
     counts = roles.event_counts(spark, sf_dir).select("kecamatan", F.col("total_kasus_berita_kriminal").alias("news"))
     return rounded(index.news_multiplier(base, counts, "kecamatan", "cases", "news", 0.5, "calibrated"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import CRIME_LABEL, HEALTH_LABEL
-from ..operators.index import crime_index, health_index, news_counts
+from ..operators.index import crime_index, dual_index, health_index
 
 # Places to look for in the documents, in priority order; some share words.
 PLACES = ["thanedble the", "attion to", "thtion", "de la", "eriner", "attion", "tiontion", "of the",
@@ -24,8 +24,27 @@ EVENT_LABELS = {"error": CRIME_LABEL, "signup": HEALTH_LABEL}
 AS_OF = "2024-01-31"
 
 
+# Declared, so that opening a table needs no job that looks into the files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "pages": "page_id long, url string, html string",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def per_nation(detail: DataFrame, customer: str, customers: DataFrame, measures) -> DataFrame:
@@ -39,32 +58,43 @@ def named(df: DataFrame, nation: DataFrame) -> DataFrame:
     return df.join(nation.select("n_nationkey", F.col("n_name").alias("kecamatan")), "n_nationkey").drop("n_nationkey")
 
 
-def line_totals(spark: SparkSession, sf_dir: str, measures: dict) -> DataFrame:
-    """Measures over line items per nation of the customer who ordered."""
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        *[agg.alias(name) for name, agg in measures.items()])
-    return per_nation(per_order.join(orders, "o_orderkey"), "o_custkey", table(spark, sf_dir, "customer"), list(measures))
-
-
-def returned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("jumlah_kasus"))
-    return per_nation(per_order.join(orders, "o_orderkey"), "o_custkey", table(spark, sf_dir, "customer"), ["jumlah_kasus"])
-
-
-def districts(spark: SparkSession, sf_dir: str, cases: DataFrame | None = None) -> DataFrame:
-    """Base table: kecamatan, region, jumlah_penduduk and, if given, jumlah_kasus."""
-    people = (table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey"))
-              .agg(F.count(F.lit(1)).alias("jumlah_penduduk")))
-    base = table(spark, sf_dir, "nation").join(people, "n_nationkey", "left")
-    fills = {"jumlah_penduduk": 0}
-    if cases is not None:
-        base = base.join(cases, "n_nationkey", "left")
-        fills["jumlah_kasus"] = 0
-    return base.fillna(fills).withColumnsRenamed({"n_name": "kecamatan", "n_regionkey": "region"}).drop("n_nationkey")
+def line_measures(returned: bool = False, quantity: bool = False) -> dict:
+    """Aggregates over line items: returned lines (crime cases), quantity (disease cases)."""
+    out = {}
+    if returned:
+        out["jumlah_kasus"] = F.count_if(F.col("l_returnflag") == "R")
+    if quantity:
+        out["kasus_wabah_baseline"] = F.sum(F.col("l_quantity").cast("long"))
+    return out
+
+
+def districts(spark: SparkSession, sf_dir: str, returned: bool = False, quantity: bool = False) -> DataFrame:
+    """Base table: kecamatan, region, jumlah_penduduk and the wanted line item measures.
+
+    Lines are counted per order (which partitions them for the join with the orders), then
+    per customer (likewise for the customers), then per nation together with the customers.
+    """
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    measures = line_measures(returned, quantity)
+    if measures:
+        lines = table(spark, sf_dir, "lineitem")
+        if not quantity:
+            lines = lines.filter("l_returnflag = 'R'")
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(*[a.alias(m) for m, a in measures.items()])
+        per_customer = (per_order.join(orders, "o_orderkey").groupBy(F.col("o_custkey").alias("c_custkey"))
+                        .agg(*[F.sum(m).alias(m) for m in measures]))
+        customers = customers.join(per_customer, "c_custkey", "left")
+    people = customers.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
+        F.count(F.lit(1)).alias("jumlah_penduduk"), *[F.sum(m).alias(m) for m in measures])
+    base = table(spark, sf_dir, "nation").join(people, "n_nationkey", "left").fillna(0, ["jumlah_penduduk", *measures])
+    return base.withColumnsRenamed({"n_name": "kecamatan", "n_regionkey": "region"}).drop("n_nationkey")
+
+
+def facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = (table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey"))
+              .agg(F.count(F.lit(1)).alias("total_faskes")))
+    return named(counts, table(spark, sf_dir, "nation"))
 
 
 def label_of(event_type: str = "event_type"):
@@ -104,15 +134,19 @@ def event_news(spark: SparkSession, sf_dir: str, types=None) -> DataFrame:
 
 
 def crime(spark: SparkSession, sf_dir: str, by: str | None = None) -> DataFrame:
-    return crime_index(districts(spark, sf_dir, returned_lines(spark, sf_dir)), event_counts(spark, sf_dir), by=by)
+    return crime_index(districts(spark, sf_dir, returned=True), event_counts(spark, sf_dir), by=by)
 
 
 def health(spark: SparkSession, sf_dir: str, by: str | None = None) -> DataFrame:
-    nation = table(spark, sf_dir, "nation")
-    disease = named(line_totals(spark, sf_dir, {"kasus_wabah_baseline": F.sum(F.col("l_quantity").cast("long"))}), nation)
-    facilities = named(table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey"))
-                       .agg(F.count(F.lit(1)).alias("total_faskes")), nation)
-    return health_index(districts(spark, sf_dir), disease, facilities, event_counts(spark, sf_dir), by=by)
+    base = districts(spark, sf_dir, quantity=True)
+    return health_index(base, base.select("kecamatan", "kasus_wabah_baseline"), facilities(spark, sf_dir),
+                        event_counts(spark, sf_dir), by=by)
+
+
+def risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both indices per district from one pass over each table."""
+    base = districts(spark, sf_dir, returned=True, quantity=True)
+    return dual_index(base, [event_counts(spark, sf_dir), facilities(spark, sf_dir)])
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
