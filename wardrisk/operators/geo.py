@@ -99,13 +99,16 @@ def geo_parse_join(df: DataFrame, text_cols, gazetteer: DataFrame, id_col: str,
         return F.concat(*[gram(words, n) for n in range(1, max_words + 1)])
 
     # A line break separates words but never joins a two-word name: it counts as two blanks.
-    words = [F.split(F.regexp_replace(F.coalesce(clean_text(c), F.lit("")), r"[\t\n\x0B\f\r]", "  "), " ")
-             for c in text_cols]
-    found = F.filter(F.array_distinct(F.concat(*[grams(w) for w in words])), lambda g: g != "")
+    # The word lists are columns of their own, since a lambda would split the text again
+    # for each word.
+    lists = {f"_words{i}": F.split(F.regexp_replace(F.coalesce(clean_text(c), F.lit("")), r"[\t\n\x0B\f\r]", "  "), " ")
+             for i, c in enumerate(text_cols)}
+    words = df.select(id_col, *[w.alias(n) for n, w in lists.items()])
+    found = F.filter(F.array_distinct(F.concat(*[grams(F.col(n)) for n in lists])), lambda g: g != "")
     names = (gazetteer.groupBy("name").agg(F.min("priority").alias("priority"))
              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
     salted = F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")
-    pairs = df.select(id_col, F.explode(found).alias("name"), salted.alias("_salt"))
+    pairs = words.select(id_col, F.explode(found).alias("name"), salted.alias("_salt"))
     best = (pairs.join(names, ["name", "_salt"])
             .groupBy(id_col).agg(F.min_by("name", "priority").alias("_name")))
     joined = df.join(best, id_col, "left")
