@@ -199,89 +199,109 @@ def choropleth(places: DataFrame, news: DataFrame, place: str, news_place: str,
 
 # --- boundary assembly ---------------------------------------------------------------
 
-_LINKS = "relation_id long, way_no long, ring long, part long, side int, flipped boolean, closed boolean"
+_LINKS = "relation_id long, way_no long, ring long, part long, side long, flipped boolean, closed boolean"
 
 
-def link_ways(ends: pd.DataFrame, tolerance: float = 1e-7) -> pd.DataFrame:
+def link_ways(ways, tolerance: float = 1e-7):
     """Order the ways of one relation into rings, from their end points alone.
 
-    A ring starts with the first free way.  It grows by the first free way that fits, where
-    one way may fit at the ring's end (as it is or flipped) or at its start.
+    ``ways`` lists ``(way_no, start, end)`` in order.  A ring starts with the first free
+    way.  It grows by the first free way that fits: at the ring's end (as it is or turned
+    round) or else at its start.  Returns ``(way_no, ring, part, side, flipped, closed)``
+    rows; ``side`` tells whether the way joined after (1) or before (-1) the first one.
     """
-    ends = ends.sort_values("way_no", kind="stable")
-    ways = list(zip(ends.way_no, zip(ends.x0, ends.y0), zip(ends.x1, ends.y1)))
-
-    def cells(p):
-        cx, cy = round(p[0] / tolerance), round(p[1] / tolerance)
-        return [(cx + dx, cy + dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+    def cell(p):
+        return round(p[0] / tolerance), round(p[1] / tolerance)
 
     def near(p, q):
         return abs(p[0] - q[0]) < tolerance and abs(p[1] - q[1]) < tolerance
 
     grid: dict = {}
     for i, (_, a, b) in enumerate(ways):
-        for p in {a, b}:
-            grid.setdefault(cells(p)[4], []).append(i)
+        for c in {cell(a), cell(b)}:
+            grid.setdefault(c, []).append(i)
     free = [True] * len(ways)
 
     def touching(p):
-        return {i for cell in cells(p) for i in grid.get(cell, ())
-                if free[i] and (near(p, ways[i][1]) or near(p, ways[i][2]))}
+        x, y = cell(p)
+        for c in ((x + dx, y + dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)):
+            for i in grid.get(c, ()):
+                if free[i] and (near(p, ways[i][1]) or near(p, ways[i][2])):
+                    yield i
 
     rows, ring = [], 0
     for first in range(len(ways)):
         if not free[first]:
             continue
         free[first] = False
-        chain, (head, tail) = [(first, 0, False)], ways[first][1:]
+        after, before = [(first, 0, False)], []
+        _, head, tail = ways[first]
         while not near(head, tail):
-            fits = touching(tail) | touching(head)
-            if not fits:
+            i = min(min(touching(tail), default=len(ways)), min(touching(head), default=len(ways)))
+            if i == len(ways):
                 break
-            i = min(fits)
             _, a, b = ways[i]
             free[i] = False
             if near(tail, a):
-                chain.append((i, 1, False))
+                after.append((i, 1, False))
                 tail = b
             elif near(tail, b):
-                chain.append((i, 1, True))
+                after.append((i, 1, True))
                 tail = a
             elif near(head, b):
-                chain.insert(0, (i, -1, False))
+                before.append((i, -1, False))
                 head = a
             else:
-                chain.insert(0, (i, -1, True))
+                before.append((i, -1, True))
                 head = b
         closed = near(head, tail)
-        rows += [(ways[i][0], ring, part, side, flipped, closed) for part, (i, side, flipped) in enumerate(chain)]
+        rows += [(ways[i][0], ring, part, side, flipped, closed)
+                 for part, (i, side, flipped) in enumerate(before[::-1] + after)]
         ring += 1
-    out = pd.DataFrame(rows, columns=["way_no", "ring", "part", "side", "flipped", "closed"])
-    out.insert(0, "relation_id", ends.relation_id.iloc[0] if len(ends) else 0)
-    return out
-
-
-def stitch_rings(ways: DataFrame, tolerance: float = 1e-7) -> DataFrame:
+    return rows
+
+
+def _link_partition(batches, tolerance: float):
+    """Link the relations of one sorted partition, which arrive one after the other."""
+    def flush(relation, ways):
+        return [(relation, *row) for row in link_ways(ways, tolerance)]
+
+    columns = ["relation_id", "way_no", "ring", "part", "side", "flipped", "closed"]
+    relation, ways, rows = None, [], []
+    for pdf in batches:
+        for r, w, x0, y0, x1, y1 in zip(*(pdf[c].tolist() for c in ("relation_id", "way_no", "x0", "y0", "x1", "y1"))):
+            if r != relation:
+                rows += flush(relation, ways)
+                relation, ways = r, []
+            ways.append((w, (x0, y0), (x1, y1)))
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
+            rows = []
+    rows += flush(relation, ways)
+    if rows:
+        yield pd.DataFrame(rows, columns=columns)
+
+
+def stitch_rings(ways: DataFrame, tolerance: float = 1e-7, partitions: int | None = None) -> DataFrame:
     """Ways ``(relation_id, way_no, points array<struct<x, y>>)`` to closed rings.
 
-    Only the two end points of each way travel to the ordering step, one group per
-    relation; the points are joined back afterwards.  Result: one row per ring with
-    ``points`` (closed by force if needed) and whether the ways closed it themselves.
+    Only the two end points of each way travel to the linking step, which reads the
+    relations of a partition one after the other; the points are joined back afterwards.
+    Result: one row per ring with ``points`` (closed by force if needed) and whether the
+    ways closed it themselves.
     """
+    partitions = partitions or int(ways.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ways = ways.filter(F.size("points") > 0)
     first, last = F.get("points", F.lit(0)), F.element_at("points", -1)
     ends = ways.select("relation_id", "way_no", first.x.alias("x0"), first.y.alias("y0"),
                        last.x.alias("x1"), last.y.alias("y1"))
-
-    def order(pdf: pd.DataFrame) -> pd.DataFrame:
-        return link_ways(pdf, tolerance)
-
-    links = ends.groupBy("relation_id").applyInPandas(order, _LINKS)
+    ordered = ends.repartition(partitions, "relation_id").sortWithinPartitions("relation_id", "way_no")
+    links = ordered.mapInPandas(lambda batches: _link_partition(batches, tolerance), _LINKS)
     placed = links.join(ways, ["relation_id", "way_no"])
     oriented = F.when(F.col("flipped"), F.reverse("points")).otherwise(F.col("points"))
     # Neighbouring ways share a point: the way that joined the ring later leaves it out.
     start = F.when(F.col("side") == 1, 2).otherwise(1)
-    tail = F.slice(oriented, start, F.size("points") - F.abs("side"))
+    tail = F.slice(oriented, start, F.size("points") - F.abs("side").cast("int"))
     rings = placed.groupBy("relation_id", "ring").agg(
         F.bool_and("closed").alias("closed"),
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", tail.alias("points")))),
