@@ -31,16 +31,22 @@ def _title(name: str) -> str:
 
 
 def _place_inline(text_cols, names: list[str]) -> Column:
-    """Position of the best name in the texts, found in one pass per text.
+    """Title of the best name in the texts, found in one pass per raw text.
 
-    At each word start the look-ahead keeps the first listed name that fits, so names that
-    overlap are all seen; the smallest list position over all hits wins.
+    The pattern reads the raw text as its cleaned form would be read: letter case does not
+    count, a blank inside a name stands for any one character that cleaning turns into a
+    blank, and a name ends where the ASCII letters end.  So the text need not be rewritten
+    first.  At each word start the look-ahead keeps the first listed name that fits, hence
+    names that overlap are all seen; the smallest list position over all hits wins.
     """
-    pattern = rf"\b(?=({'|'.join(map(re.escape, names))})\b)"
-    listed = F.array(*[F.lit(n) for n in names])
-    hits = F.array_distinct(F.concat(*[
-        F.regexp_extract_all(F.coalesce(clean_text(c), F.lit("")), F.lit(pattern), F.lit(1)) for c in text_cols]))
-    best = F.array_min(F.transform(hits, lambda h: F.array_position(listed, h)))
+    blank = r"[^a-zA-Z\t\n\x0B\f\r]"
+    listed = "|".join("".join(blank if c == " " else re.escape(c) for c in name) for name in names)
+    initials = "".join(sorted({re.escape(name[0]) for name in names}))
+    pattern = rf"(?i)(?<![a-z])(?=[{initials}])(?=({listed})(?![a-z]))"
+    found = F.concat(*[F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(pattern), F.lit(1)) for c in text_cols])
+    hits = F.transform(F.array_distinct(found), clean_text)
+    order = F.array(*[F.lit(n) for n in names])
+    best = F.array_min(F.transform(hits, lambda h: F.array_position(order, h)))
     titles = F.array(*[F.lit(_title(n)) for n in names])
     return F.get(titles, (best - 1).cast("int"))
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -29,7 +30,7 @@ def without_stopwords(c, stopwords=fixed.TOPIC_STOPWORDS) -> Column:
     return F.filter(c, lambda w: ~F.array_contains(stop, w))
 
 
-def term_table(df: DataFrame, words: str, min_df: int = 2, size: int | None = 5000) -> DataFrame:
+def term_table(df: DataFrame, words: str, min_df: float = 2, size: int | None = 5000) -> DataFrame:
     """Vocabulary ``(term, total, doc_freq)``: the most frequent terms of at least ``min_df`` texts.
 
     Each text sends its words for the total and its distinct words for the text count.
@@ -129,27 +130,33 @@ def topic_counts(news: DataFrame, id_col: str = "id_berita", text_cols=("judul",
     spark = news.sparkSession
     known = news if unknown is None else news.filter(F.col(place) != unknown)
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    text = document_text(*text_cols)
-    docs = (known.select(id_col, place, text.alias("_text"))
+    docs = (known.select(id_col, place, document_text(*text_cols).alias("_text"))
             .repartition(partitions, id_col).sortWithinPartitions(id_col))
-    if known.isEmpty():
-        return None if strict else _empty(known, place, key)
-
     words = Tokenizer(inputCol="_text", outputCol="_words").transform(docs)
     words = StopWordsRemover(inputCol="_words", outputCol="_kept", stopWords=list(stopwords)).transform(words)
-    # The texts are read once; from here on the short token lists are used.
+    # The texts are read once; from here on the token lists are used.
     words = words.select(id_col, place, "_kept").persist(StorageLevel.MEMORY_AND_DISK)
-    vectorizer = CountVectorizer(inputCol="_kept", outputCol="_counts", vocabSize=vocab_size, minDF=min_df).fit(words)
-    counted = vectorizer.transform(words)
+    if words.isEmpty():
+        words.unpersist()
+        return None if strict else _empty(known, place, key)
+
+    # Equal counts are ordered by the word, which the estimator leaves open; the model's
+    # random start depends on that order.
+    min_docs = min_df if min_df >= 1 else min_df * words.count()
+    vocabulary = [row.term for row in term_table(words, "_kept", min_docs, vocab_size).collect()]
+    counted = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_kept", outputCol="_counts").transform(words)
     weights = IDF(inputCol="_counts", outputCol="features").fit(counted)
     features = weights.transform(counted).select(id_col, place, "features").persist(StorageLevel.MEMORY_AND_DISK)
     model = LDA(k=k, maxIter=max_iter, seed=seed, featuresCol="features").fit(features)
+    # The perplexity bound is the likelihood per unit of term weight, so one pass over the
+    # corpus serves both figures.
+    likelihood = float(model.logLikelihood(features))
+    weight = features.select(Summarizer.normL1(F.col("features")).alias("w")).first().w.values.sum()
     metrics = spark.createDataFrame(
-        [("log_likelihood", float(model.logLikelihood(features))),
-         ("log_perplexity", float(model.logPerplexity(features)))], "metric string, value double")
+        [("log_likelihood", likelihood), ("log_perplexity", float(-likelihood / weight))], "metric string, value double")
     words.unpersist()
 
-    listed = [(row.topic, [vectorizer.vocabulary[i] for i in row.termIndices])
+    listed = [(row.topic, [vocabulary[i] for i in row.termIndices])
               for row in model.describeTopics(max_terms).collect()]
     topics = (spark.createDataFrame(listed, "topic int, terms array<string>")
               .withColumn("kategori_ml", keyword_label("terms", keywords)))

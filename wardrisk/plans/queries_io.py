@@ -117,7 +117,7 @@ def html_rows(spark, sf_dir):
     escaped = F.col("html")
     for char, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         escaped = F.replace(escaped, F.lit(char), F.lit(ref))
-    pages = roles.table(spark, sf_dir, "pages").select("page_id", escaped.alias("table"))
+    pages = roles.text_table(spark, sf_dir, "pages").select("page_id", escaped.alias("table"))
     rows = readers.html_table_rows(pages, "table", ["page_id"], row_tag="ul", cell_tags=("li",))
     return rows.select("page_id", F.col("row").cast("long").alias("row"), F.array_join("cells", "|").alias("cells"))
 

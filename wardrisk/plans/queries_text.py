@@ -16,7 +16,7 @@ from .roles import CLEAN_SQL, DOCUMENTS_SQL, PLACES
 
 @query("text_clean", f"SELECT doc_id, {CLEAN_SQL.format('text')} AS cleaned FROM documents")
 def text_clean(spark, sf_dir):
-    return roles.table(spark, sf_dir, "documents").select("doc_id", clean_text("text").alias("cleaned"))
+    return roles.text_table(spark, sf_dir, "documents").select("doc_id", clean_text("text").alias("cleaned"))
 
 
 @query("document_text", f"""
@@ -109,7 +109,7 @@ trim(regexp_replace(replace(replace(replace(replace(
 
 @query("html_text", f"SELECT page_id, {HTML_SQL.strip()} AS plain FROM pages")
 def html_text(spark, sf_dir):
-    return roles.table(spark, sf_dir, "pages").select("page_id", html_to_text("html").alias("plain"))
+    return roles.text_table(spark, sf_dir, "pages").select("page_id", html_to_text("html").alias("plain"))
 
 
 @query("stable_id", "SELECT page_id, substr(sha256(url), 1, 16) AS id FROM pages")
@@ -241,7 +241,7 @@ vocabulary AS (
 
 def token_frame(spark, sf_dir):
     words = topics.without_stopwords(topics.tokens(F.col("text")), TOPIC_STOPWORDS)
-    return roles.table(spark, sf_dir, "documents").select("doc_id", "lang", words.alias("words"))
+    return roles.text_table(spark, sf_dir, "documents").select("doc_id", "lang", words.alias("words"))
 
 
 @query("term_counts", f"""

@@ -47,6 +47,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of long texts, spread over the cores if its files give fewer tasks than that.
+
+    A table with enough files for all cores is read as it is, without a shuffle.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def per_nation(detail: DataFrame, customer: str, customers: DataFrame, measures) -> DataFrame:
     """Sum measures per customer, then per nation of the customer."""
     by_customer = detail.groupBy(F.col(customer).alias("c_custkey")).agg(*[F.sum(m).alias(m) for m in measures])
@@ -151,7 +161,7 @@ def risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as news texts: the first line is the title, the rest the body."""
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     cut = F.locate("\n", F.col("text"))
     return docs.select(
         "doc_id", "lang", "source",
