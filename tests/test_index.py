@@ -82,8 +82,8 @@ def test_rank_matches_plain_order(spark):
     ranked = rank.rank_desc(df, "v", "k").orderBy("rank").collect()
     assert [r["rank"] for r in ranked] == list(range(1, len(values) + 1))
     assert [r.k for r in ranked] == want
-    stepped = rank.rank_desc(df, "v", "k", step=F.floor(F.col("v") / 10)).orderBy("rank").collect()
-    assert [r.k for r in stepped] == want
+    numbered = rank.number_rows(df, [F.col("v").desc_nulls_last(), F.col("k").asc()], "n").orderBy("n").collect()
+    assert [(r.k, r.n) for r in numbered] == list(zip(want, range(len(values))))
 
 
 def test_top_bottom_ties(spark):
@@ -99,6 +99,23 @@ def test_histogram_keeps_empty_bands(spark):
     assert got == {"Ekstrim (>80)": 1, "Tinggi (60-80)": 1, "Sedang (40-60)": 0, "Waspada (20-40)": 1, "Aman (<20)": 0}
 
 
+def test_city_history_change(spark):
+    from wardrisk.operators.reshape import trend_change
+
+    change = trend_change(readers.city_history(spark), "tahun", "jumlah").first()
+    assert (change.first_value, change.last_value, change.change_percent) == (3377, 8759, 159.0)
+
+
+def test_number_rows_splits_one_hot_value(spark):
+    df = spark.range(20000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(-1)).alias("v"))
+    order = [F.col("v").desc(), F.col("id").asc()]
+    got = rank.number_rows(df, order, "n").orderBy("n").collect()
+    assert [r.n for r in got] == list(range(20000))
+    assert [r.id for r in got] == sorted(range(20000), key=lambda i: (-(i if i % 3 == 0 else -1), i))
+    parts = df.repartitionByRange(8, *order).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in parts) < 20000 / 3
+
+
 def test_products(crime, health, spark):
     risk = index.risk_table(crime, health).cache()
     summary = report.city_summary(risk).first()

@@ -41,6 +41,17 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path, rows):
     assert rows(stream, "id_berita", "kecamatan_terdeteksi") == [("n1", "Tandes"), ("n2", "Gunung Anyar"), ("n4", "unknown"), (None, "unknown")]
 
 
+def test_partitioned_tables(spark, tmp_path, rows):
+    layout = medallion.Layout(f"{tmp_path}/lake")
+    land(spark, f"{tmp_path}/t", [message(1), message(2, "pakal")])
+    medallion.ingest_news(source(spark, f"{tmp_path}/t"), layout, by_date=True)
+    medallion.clean_news_stream(spark, layout, by_place=True)
+    assert (tmp_path / "lake/bronze/tbl_raw_news/kafka_date=2025-01-01").is_dir()
+    pakal = readers.read_table(spark, layout.silver("tbl_clean_news")).filter("kecamatan_terdeteksi = 'Pakal'")
+    assert rows(pakal, "id_berita") == [("n2",)]
+    assert "PartitionFilters: [isnotnull(kecamatan_terdeteksi" in pakal._jdf.queryExecution().executedPlan().toString()
+
+
 def test_non_blocking_start(spark, tmp_path):
     land(spark, f"{tmp_path}/t", [message(1)])
     query = streams.drain(streams.envelope(source(spark, f"{tmp_path}/t")), f"{tmp_path}/o", f"{tmp_path}/c", block=False)

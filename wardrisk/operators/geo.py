@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clean_text, fixed, normalize_key
-from ..functions.numeric import band
-from .rank import rank_desc
+from ..functions import band, clean_text, fixed, normalize_key, resolve_alias
+from .rank import number_rows
+from .rings import LINKS, link_partition
 
 PLACE = "kecamatan_terdeteksi"
 
@@ -131,8 +130,6 @@ def district_table(spark, figures=None) -> DataFrame:
 
 def enrich_place(df: DataFrame, dimension: DataFrame, key: str, aliases=None) -> DataFrame:
     """Left join of the district figures on the normalised, alias-resolved key."""
-    from ..functions import resolve_alias
-
     joined = df.withColumn("place_key", resolve_alias(normalize_key(key), aliases))
     return joined.join(dimension, "place_key", "left")
 
@@ -149,13 +146,8 @@ def jitter(df: DataFrame, index: str, lon: str = "lon", lat: str = "lat",
 
 
 def recency_index(df: DataFrame, ts: str, key: str, out: str = "index") -> DataFrame:
-    """0-based position in order of recency, numbered minute by minute.
-
-    The numbering runs in parallel over the minutes; only the row counts per minute are
-    gathered.
-    """
-    ranked = rank_desc(df, ts, key, out, step=F.unix_timestamp(F.date_trunc("minute", ts)))
-    return ranked.withColumn(out, F.col(out) - 1)
+    """0-based position in order of recency, undated rows last."""
+    return number_rows(df, [F.col(ts).desc_nulls_last(), F.col(key).asc()], out)
 
 
 def in_box(lon, lat, box=fixed.BBOX) -> Column:
@@ -205,94 +197,13 @@ def choropleth(places: DataFrame, news: DataFrame, place: str, news_place: str,
 
 # --- boundary assembly ---------------------------------------------------------------
 
-_LINKS = "relation_id long, way_no long, ring long, part long, side long, flipped boolean, closed boolean"
-
-
-def link_ways(ways, tolerance: float = 1e-7):
-    """Order the ways of one relation into rings, from their end points alone.
-
-    ``ways`` lists ``(way_no, start, end)`` in order.  A ring starts with the first free
-    way.  It grows by the first free way that fits: at the ring's end (as it is or turned
-    round) or else at its start.  Returns ``(way_no, ring, part, side, flipped, closed)``
-    rows; ``side`` tells whether the way joined after (1) or before (-1) the first one.
-    """
-    def cell(p):
-        return round(p[0] / tolerance), round(p[1] / tolerance)
-
-    def near(p, q):
-        return abs(p[0] - q[0]) < tolerance and abs(p[1] - q[1]) < tolerance
-
-    grid: dict = {}
-    for i, (_, a, b) in enumerate(ways):
-        for c in {cell(a), cell(b)}:
-            grid.setdefault(c, []).append(i)
-    free = [True] * len(ways)
-
-    def touching(p):
-        x, y = cell(p)
-        for c in ((x + dx, y + dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)):
-            for i in grid.get(c, ()):
-                if free[i] and (near(p, ways[i][1]) or near(p, ways[i][2])):
-                    yield i
-
-    rows, ring = [], 0
-    for first in range(len(ways)):
-        if not free[first]:
-            continue
-        free[first] = False
-        after, before = [(first, 0, False)], []
-        _, head, tail = ways[first]
-        while not near(head, tail):
-            i = min(min(touching(tail), default=len(ways)), min(touching(head), default=len(ways)))
-            if i == len(ways):
-                break
-            _, a, b = ways[i]
-            free[i] = False
-            if near(tail, a):
-                after.append((i, 1, False))
-                tail = b
-            elif near(tail, b):
-                after.append((i, 1, True))
-                tail = a
-            elif near(head, b):
-                before.append((i, -1, False))
-                head = a
-            else:
-                before.append((i, -1, True))
-                head = b
-        closed = near(head, tail)
-        rows += [(ways[i][0], ring, part, side, flipped, closed)
-                 for part, (i, side, flipped) in enumerate(before[::-1] + after)]
-        ring += 1
-    return rows
-
-
-def _link_partition(batches, tolerance: float):
-    """Link the relations of one sorted partition, which arrive one after the other."""
-    def flush(relation, ways):
-        return [(relation, *row) for row in link_ways(ways, tolerance)]
-
-    columns = ["relation_id", "way_no", "ring", "part", "side", "flipped", "closed"]
-    relation, ways, rows = None, [], []
-    for pdf in batches:
-        for r, w, x0, y0, x1, y1 in zip(*(pdf[c].tolist() for c in ("relation_id", "way_no", "x0", "y0", "x1", "y1"))):
-            if r != relation:
-                rows += flush(relation, ways)
-                relation, ways = r, []
-            ways.append((w, (x0, y0), (x1, y1)))
-        if rows:
-            yield pd.DataFrame(rows, columns=columns)
-            rows = []
-    rows += flush(relation, ways)
-    if rows:
-        yield pd.DataFrame(rows, columns=columns)
-
-
 def stitch_rings(ways: DataFrame, tolerance: float = 1e-7, partitions: int | None = None) -> DataFrame:
     """Ways ``(relation_id, way_no, points array<struct<x, y>>)`` to closed rings.
 
     Only the two end points of each way travel to the linking step, which reads the
     relations of a partition one after the other; the points are joined back afterwards.
+    A relation is linked as a whole, since each choice depends on the ways used so far;
+    boundary relations have some thousand ways at most, five numbers each.
     Result: one row per ring with ``points`` (closed by force if needed) and whether the
     ways closed it themselves.
     """
@@ -302,7 +213,7 @@ def stitch_rings(ways: DataFrame, tolerance: float = 1e-7, partitions: int | Non
     ends = ways.select("relation_id", "way_no", first.x.alias("x0"), first.y.alias("y0"),
                        last.x.alias("x1"), last.y.alias("y1"))
     ordered = ends.repartition(partitions, "relation_id").sortWithinPartitions("relation_id", "way_no")
-    links = ordered.mapInPandas(lambda batches: _link_partition(batches, tolerance), _LINKS)
+    links = ordered.mapInPandas(lambda batches: link_partition(batches, tolerance), LINKS)
     placed = links.join(ways, ["relation_id", "way_no"])
     oriented = F.when(F.col("flipped"), F.reverse("points")).otherwise(F.col("points"))
     # Neighbouring ways share a point: the way that joined the ring later leaves it out.

@@ -13,26 +13,41 @@ def value_step(column: str, lo: float = 0.0, hi: float = 100.0, steps: int = 100
     return F.least(F.greatest(F.floor((F.col(column) - lo) / (hi - lo) * steps), F.lit(0)), F.lit(steps))
 
 
-def rank_desc(df: DataFrame, column: str, key: str, out: str = "rank", by: str | None = None,
-              step: Column | None = None) -> DataFrame:
+def rank_desc(df: DataFrame, column: str, key: str, out: str = "rank", by: str | None = None) -> DataFrame:
     """1-based position by descending value, ties by key, NULL values last.
 
-    With ``by`` the rank is per group.  Otherwise the rows are numbered within steps of the
-    value and each step starts after the rows of the steps above, so no task sorts the whole
-    table.  ``step`` grows with the value; without it see :func:`rank_indices`.
+    With ``by`` the rank is per group, otherwise see :func:`rank_indices`.
     """
-    order = [F.col(column).desc_nulls_last(), F.col(key).asc()]
-    if by is not None:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(by).orderBy(*order)).cast("long"))
-    if step is None:
+    if by is None:
         return rank_indices(df, {column: out}, key)
-    stepped = df.withColumn("_step", step)
-    above = Window.orderBy(F.col("_s").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (stepped.groupBy(F.col("_step").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
-              .select("_s", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_before")))
-    numbered = stepped.withColumn(out, F.row_number().over(Window.partitionBy("_step").orderBy(*order)))
-    joined = numbered.join(starts, F.col("_step").eqNullSafe(F.col("_s")), "left")
-    return joined.withColumn(out, F.col(out) + F.col("_before")).drop("_step", "_s", "_before")
+    w = Window.partitionBy(by).orderBy(F.col(column).desc_nulls_last(), F.col(key).asc())
+    return df.withColumn(out, F.row_number().over(w).cast("long"))
+
+
+def number_rows(df: DataFrame, order, out: str = "index", partitions: int | None = None) -> DataFrame:
+    """0-based position of each row of a table of any size in a total order.
+
+    The rows are range-partitioned by the whole order, so a value shared by very many rows
+    is split by the columns after it.  The numbers within the partitions are written to
+    the shared scratch folder before the partition sizes are added up: a lost executor
+    cannot move a row to another partition afterwards.
+    """
+    from ..sources.writers import scratch_dir
+
+    spark = df.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_dir(spark, "numbers")
+    (df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+     .withColumn("_n", F.monotonically_increasing_id()).write.parquet(path))
+    # The id holds the partition number above bit 33 and the row number below.
+    numbers = spark.read.schema(df.withColumn("_n", F.lit(0).cast("long")).schema).parquet(path)
+    numbers = numbers.withColumns({"_part": F.shiftright("_n", 33), "_row": F.col("_n").bitwiseAND(F.lit(2**33 - 1))})
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (numbers.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+              .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")))
+    # One row per partition.
+    joined = numbers.join(F.broadcast(starts), "_part")
+    return joined.withColumn(out, F.col("_start") + F.col("_row")).drop("_part", "_row", "_n", "_start")
 
 
 def _above(column: str):

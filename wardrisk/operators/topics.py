@@ -102,6 +102,12 @@ class TopicResult:
     metrics: DataFrame
     topics: DataFrame
     model: LDAModel | None = None
+    features: DataFrame | None = None
+
+    def release(self) -> None:
+        """Free the cached features once the results are written."""
+        if self.features is not None:
+            self.features.unpersist()
 
 
 def _empty(news: DataFrame, place: str, key: str) -> TopicResult:
@@ -168,4 +174,4 @@ def topic_counts(news: DataFrame, id_col: str = "id_berita", text_cols=("judul",
     scored = scored.withColumn("dominant_topic", dominant("topic_distribution"))
     scored = scored.withColumn("kategori_ml", F.coalesce(F.try_element_at(by_topic, F.col("dominant_topic")),
                                                          F.lit("Unknown")))
-    return TopicResult(scored, news_counts(scored, place, "kategori_ml", key), metrics, topics, model)
+    return TopicResult(scored, news_counts(scored, place, "kategori_ml", key), metrics, topics, model, features)

@@ -58,10 +58,13 @@ def ingest_batch(spark: SparkSession, layout: Layout, facilities: str, disease:
     return rows
 
 
-def ingest_news(messages: DataFrame, layout: Layout, block: bool = True):
-    """Message stream to the raw news table."""
-    return streams.drain(streams.envelope(messages), layout.bronze("tbl_raw_news"),
-                         layout.checkpoint("bronze_news_stream"), layout.fmt, block)
+def ingest_news(messages: DataFrame, layout: Layout, block: bool = True, by_date: bool = False):
+    """Message stream to the raw news table, partitioned by message date if wanted."""
+    raw = streams.envelope(messages)
+    if by_date:
+        raw = raw.withColumn("kafka_date", F.to_date("kafka_timestamp"))
+    return streams.drain(raw, layout.bronze("tbl_raw_news"), layout.checkpoint("bronze_news_stream"),
+                         layout.fmt, block, ["kafka_date"] if by_date else ())
 
 
 def clean_batch(spark: SparkSession, layout: Layout) -> None:
@@ -79,14 +82,14 @@ def clean_batch(spark: SparkSession, layout: Layout) -> None:
         writers.overwrite(df.withColumn("silver_processed_at", F.current_timestamp()), layout.silver(target), layout.fmt)
 
 
-def clean_news_stream(spark: SparkSession, layout: Layout, block: bool = True, gazetteer=None):
-    """Raw news to clean news; None if there is no raw news yet."""
+def clean_news_stream(spark: SparkSession, layout: Layout, block: bool = True, gazetteer=None, by_place: bool = False):
+    """Raw news to clean news, partitioned by place if wanted; None if there is no raw news yet."""
     raw_schema = streams.envelope(spark.createDataFrame([], streams.ENVELOPE)).schema
     raw = streams.open_stream_or_none(spark, layout.fmt, layout.bronze("tbl_raw_news"), raw_schema)
     if raw is None:
         return None
     return streams.drain(streams.clean_news(raw, gazetteer), layout.silver("tbl_clean_news"),
-                         layout.checkpoint("silver_news"), layout.fmt, block)
+                         layout.checkpoint("silver_news"), layout.fmt, block, ["kecamatan_terdeteksi"] if by_place else ())
 
 
 def build_gold(spark: SparkSession, layout: Layout, dedup: bool = False, strict: bool = False, **topic_options) -> bool:
@@ -104,6 +107,7 @@ def build_gold(spark: SparkSession, layout: Layout, dedup: bool = False, strict:
         return False
     writers.overwrite(topics.counts, layout.gold("news_counts"), layout.fmt)
     writers.overwrite(topics.metrics, layout.gold("topic_metrics"), layout.fmt)
+    topics.release()
     counts = readers.read_table(spark, layout.gold("news_counts"), layout.fmt)
 
     base = silver["tbl_clean_crime_baseline"]

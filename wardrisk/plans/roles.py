@@ -148,9 +148,8 @@ def crime(spark: SparkSession, sf_dir: str, by: str | None = None) -> DataFrame:
 
 
 def health(spark: SparkSession, sf_dir: str, by: str | None = None) -> DataFrame:
-    base = districts(spark, sf_dir, quantity=True)
-    return health_index(base, base.select("kecamatan", "kasus_wabah_baseline"), facilities(spark, sf_dir),
-                        event_counts(spark, sf_dir), by=by)
+    disease = districts(spark, sf_dir, quantity=True).select("kecamatan", "kasus_wabah_baseline")
+    return health_index(districts(spark, sf_dir), disease, facilities(spark, sf_dir), event_counts(spark, sf_dir), by=by)
 
 
 def risk(spark: SparkSession, sf_dir: str) -> DataFrame:

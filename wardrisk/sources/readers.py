@@ -33,6 +33,11 @@ def crime_baseline(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, CRIME_SCHEMA)
 
 
+def city_history(spark: SparkSession) -> DataFrame:
+    """Reported cases of the whole city per year."""
+    return spark.createDataFrame(fixed.CITY_HISTORY, "tahun int, jumlah int")
+
+
 def with_lineage(df: DataFrame, source: str | None = None) -> DataFrame:
     """Add the ingestion time and the source file (the file read, or a given name)."""
     name = F.col("_metadata.file_name") if source is None else F.lit(source)
