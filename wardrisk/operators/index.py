@@ -42,9 +42,9 @@ def minmax(df: DataFrame, columns: dict[str, str], lo: float = 0.0, hi: float =
     """
     bounds = [f(c).alias(f"_{n}{i}") for i, c in enumerate(columns) for n, f in (("min", F.min), ("max", F.max))]
     if by is None:
-        stats = df.agg(F.struct(*bounds).alias("_bounds")).scalar()
-        bound = stats.getField
-        out = df
+        # One column for the bounds: the subquery is in the plan once, however often it is used.
+        out = df.withColumn("_bounds", df.agg(F.struct(*bounds).alias("_bounds")).scalar())
+        bound = F.col("_bounds").getField
     else:
         # Prefixed copy of the key: null-safe, and no ambiguity with the left side.
         groups = df.groupBy(F.col(by).alias("_by")).agg(*bounds)
@@ -56,7 +56,7 @@ def minmax(df: DataFrame, columns: dict[str, str], lo: float = 0.0, hi: float =
         divisor = F.when(span > 0, span).otherwise(F.lit(1.0))
         scaled[name] = (F.col(c) - low) / divisor * F.lit(hi - lo) + F.lit(lo)
     out = out.withColumns(scaled)
-    return out if by is None else out.drop("_by", *[f"_{n}{i}" for i in range(len(columns)) for n in ("min", "max")])
+    return out.drop("_bounds", "_by", *[f"_{n}{i}" for i in range(len(columns)) for n in ("min", "max")])
 
 
 def _crime_rate(df: DataFrame, per: float) -> DataFrame:

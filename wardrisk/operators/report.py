@@ -115,7 +115,8 @@ def single_row(frames) -> DataFrame:
     out = first
     for frame in rest:
         row = frame.select(F.struct("*").alias("_row")).scalar()
-        out = out.withColumns({c: row.getField(c) for c in frame.columns})
+        out = out.withColumn("_row", row)
+        out = out.withColumns({c: F.col("_row").getField(c) for c in frame.columns}).drop("_row")
     return out
 
 
