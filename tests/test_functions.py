@@ -79,7 +79,14 @@ def test_published_at(spark):
     assert at("Mon, 23 Jun 2025 12:00:00 GMT") == "2025-06-23T12:00:00"
     assert at("23 Jun 2025 19:00:00 +0700") == "2025-06-23T12:00:00"
     assert at("2025-06-23T12:00:00") == "2025-06-23T12:00:00"
+    assert at("2025-06-23T12:00:00+07:00") == at("2025-06-23T05:00:00Z") == "2025-06-23T05:00:00"
     assert at("kemarin") == "kemarin"
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Jakarta")
+        assert at("23 Jun 2025 19:00:00 +0700") == at("2025-06-23T12:00:00") == "2025-06-23T12:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
     assert at(None) == at("") == "2025-01-02T03:04:05"
 
 

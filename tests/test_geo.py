@@ -35,7 +35,9 @@ def test_geo_parse_plans_agree_on_overlapping_names(spark):
     df = spark.createDataFrame(texts, "id string, t string")
     results = [sorted((r.id, r.p) for r in geo.geo_parse(df, ["t"], names, "p", strategy=s, id_col="id").collect())
                for s in ("case", "inline", "join")]
-    assert results[0] == results[1] == results[2]
+    salted = geo.geo_parse(df, ["t"], names, "p", strategy="join", id_col="id", broadcast_names=0, salts=3)
+    results.append(sorted((r.id, r.p) for r in salted.collect()))
+    assert results[0] == results[1] == results[2] == results[3]
     assert len({p for _, p in results[0]}) > 5
 
 

@@ -130,9 +130,14 @@ def iso_text(c) -> Column:
 def published_at(c, now=None) -> Column:
     """Publication date as UTC ISO text, else the raw text, else ``now``."""
     raw = F.when(_col(c) != "", _col(c))
-    stamp = F.coalesce(parse_rfc822(raw), to_ts(raw))
-    utc = F.to_utc_timestamp(stamp, F.current_timezone())
-    return F.coalesce(iso_text(utc), raw, iso_text(F.current_timestamp() if now is None else _col(now)))
+
+    def utc(stamp: Column) -> Column:
+        return iso_text(F.to_utc_timestamp(stamp, F.current_timezone()))
+
+    # ISO text without a zone is taken as UTC already, whatever the session's zone.
+    zoned = raw.rlike(r":\d{2}.*(Z|[+-]\d{2}:?\d{2})$")
+    iso = F.when(zoned, utc(to_ts(raw))).otherwise(iso_text(to_ts(raw)))
+    return F.coalesce(utc(parse_rfc822(raw)), iso, raw, iso_text(F.current_timestamp() if now is None else _col(now)))
 
 
 def contains_any(c, parts) -> Column:

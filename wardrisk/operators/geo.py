@@ -14,7 +14,9 @@ from .rings import LINKS, link_partition
 PLACE = "kecamatan_terdeteksi"
 
 # Above this many names the regular expression gives way to the join plan.
-MAX_INLINE_NAMES = 1000
+MAX_INLINE_NAMES = 500
+# Up to this many names (some 10 MB) the join plan broadcasts the gazetteer.
+MAX_BROADCAST_NAMES = 200_000
 
 
 def literal_dimension(spark, rows, names) -> DataFrame:
@@ -39,9 +41,12 @@ def _place_inline(text_cols, names: list[str]) -> Column:
     names that overlap are all seen; the smallest list position over all hits wins.
     """
     blank = r"[^a-zA-Z\t\n\x0B\f\r]"
-    listed = "|".join("".join(blank if c == " " else re.escape(c) for c in name) for name in names)
-    initials = "".join(sorted({re.escape(name[0]) for name in names}))
-    pattern = rf"(?i)(?<![a-z])(?=[{initials}])(?=({listed})(?![a-z]))"
+    # Grouped by first letter, each group in list order: names that fit at one place share it.
+    groups: dict[str, list[str]] = {}
+    for name in names:
+        groups.setdefault(name[0], []).append("".join(blank if c == " " else re.escape(c) for c in name[1:]))
+    listed = "|".join(f"{re.escape(first)}(?:{'|'.join(rests)})(?![a-z])" for first, rests in groups.items())
+    pattern = rf"(?i)(?<![a-z])(?=[{''.join(map(re.escape, groups))}])(?=({listed}))"
     found = F.concat(*[F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(pattern), F.lit(1)) for c in text_cols])
     hits = F.transform(F.array_distinct(found), clean_text)
     order = F.array(*[F.lit(n) for n in names])
@@ -51,7 +56,7 @@ def _place_inline(text_cols, names: list[str]) -> Column:
 
 
 def geo_parse(df: DataFrame, text_cols, gazetteer=None, out: str = PLACE, default: str = "unknown",
-              strategy: str | None = None, id_col: str | None = None, salts: int = 16) -> DataFrame:
+              strategy: str | None = None, id_col: str | None = None, **join_options) -> DataFrame:
     """Detect the first listed place named as whole words in any of the texts.
 
     ``gazetteer`` is an ordered list of lower-case names, or a table ``(priority, name)``.
@@ -79,21 +84,22 @@ def geo_parse(df: DataFrame, text_cols, gazetteer=None, out: str = PLACE, defaul
         raise ValueError("the join plan needs an id column")
     if not is_table:
         gazetteer = df.sparkSession.createDataFrame(list(enumerate(gazetteer)), "priority long, name string")
-    return geo_parse_join(df, text_cols, gazetteer, id_col, out, default, salts=salts)
+    return geo_parse_join(df, text_cols, gazetteer, id_col, out, default, **join_options)
 
 
 def geo_parse_join(df: DataFrame, text_cols, gazetteer: DataFrame, id_col: str, out: str = PLACE,
-                   default: str = "unknown", max_words: int | None = None, salts: int = 16) -> DataFrame:
+                   default: str = "unknown", salts: int = 16,
+                   broadcast_names: int = MAX_BROADCAST_NAMES) -> DataFrame:
     """Geo-parsing for a gazetteer of any size: word n-grams joined to the names.
 
-    A text sends each distinct n-gram once.  A name that is in very many texts is spread
-    over ``salts`` join keys; the names are repeated once per salt instead, which is cheap.
-    The ids must be unique.  ``max_words`` is the length of the longest name; if it is not
-    given it is read from the gazetteer (one number).
+    The gazetteer is measured first: up to ``MAX_BROADCAST_NAMES`` names it is broadcast and
+    the n-grams that are no names go no further than their task.  Beyond that both sides are
+    shuffled; a name that is in very many texts is then spread over ``salts`` join keys,
+    for which the names are repeated.  A text sends each distinct n-gram once.  The ids must
+    be unique.
     """
-    if max_words is None:
-        longest = gazetteer.agg(F.max(F.size(F.split("name", " ")))).first()[0]
-        max_words = longest or 1
+    size, longest = gazetteer.agg(F.count(F.lit(1)), F.max(F.size(F.split("name", " ")))).first()
+    small, max_words = size <= broadcast_names, longest or 1
 
     def gram(words: Column, n: int) -> Column:
         starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
@@ -110,12 +116,15 @@ def geo_parse_join(df: DataFrame, text_cols, gazetteer: DataFrame, id_col: str,
              for i, c in enumerate(text_cols)}
     words = df.select(id_col, *[w.alias(n) for n, w in lists.items()])
     found = F.filter(F.array_distinct(F.concat(*[grams(F.col(n)) for n in lists])), lambda g: g != "")
-    names = (gazetteer.groupBy("name").agg(F.min("priority").alias("priority"))
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    salted = F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")
-    pairs = words.select(id_col, F.explode(found).alias("name"), salted.alias("_salt"))
-    best = (pairs.join(names, ["name", "_salt"])
-            .groupBy(id_col).agg(F.min_by("name", "priority").alias("_name")))
+    names = gazetteer.groupBy("name").agg(F.min("priority").alias("priority"))
+    pairs = words.select(id_col, F.explode(found).alias("name"))
+    if small:
+        hits = pairs.join(F.broadcast(names), "name")
+    else:
+        salt = F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")
+        repeated = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        hits = pairs.withColumn("_salt", salt).join(repeated, ["name", "_salt"])
+    best = hits.groupBy(id_col).agg(F.min_by("name", "priority").alias("_name"))
     joined = df.join(best, id_col, "left")
     return joined.withColumn(out, F.coalesce(F.initcap("_name"), F.lit(default))).drop("_name")
 

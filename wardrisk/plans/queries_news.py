@@ -201,7 +201,10 @@ points AS (
 def news_points(spark, sf_dir):
     rows = [(key, lon, lat) for key, (lon, lat) in CENTRES.items()]
     centres = geo.literal_dimension(spark, rows, ["place_key", "lon", "lat"])
-    news = geo.recency_index(roles.event_news(spark, sf_dir), "tanggal_publikasi", "id_berita")
+    # The numbered rows are written out, so only the columns in use go along.
+    news = roles.event_news(spark, sf_dir).select(
+        "event_id", "id_berita", "tanggal_publikasi", "kecamatan_terdeteksi", "judul", "kategori")
+    news = geo.recency_index(news, "tanggal_publikasi", "id_berita")
     placed = geo.enrich_place(news, centres, "kecamatan_terdeteksi", {})
     return geo.jitter(placed, "index")
 
@@ -244,34 +247,31 @@ def point_features(spark, sf_dir):
 
 # --- boundaries --------------------------------------------------------------------------
 
-def order_ways(spark, sf_dir):
-    """One closed boundary per order: ways between neighbouring points, some turned round.
+def event_ways(spark, sf_dir):
+    """One closed boundary per event: three to nine ways on a circle, some turned round.
 
-    The points lie on a circle at angles given by the row order of the lines.
+    The ways come in mixed order; each holds its two ends and a point between them.
     """
-    from pyspark.sql import Window
-
-    lines = roles.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    whole = Window.partitionBy("l_orderkey")
-    numbered = lines.select(F.col("l_orderkey").alias("relation_id"), F.row_number().over(w).alias("i"),
-                            F.count(F.lit(1)).over(whole).alias("n")).filter("n >= 3")
+    events = roles.table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("relation_id"), (3 + F.col("event_id") % 7).alias("n"), (1 + F.col("user_id") % 5).alias("r"))
+    parts = events.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i"))
 
     def point(i):
-        return F.struct((F.cos(i * 2 * F.pi() / F.col("n"))).alias("x"), (F.sin(i * 2 * F.pi() / F.col("n"))).alias("y"))
+        angle = i * 2 * F.pi() / F.col("n")
+        return F.struct((F.col("r") * F.cos(angle)).alias("x"), (F.col("r") * F.sin(angle)).alias("y"))
 
-    start, end = point(F.col("i") % F.col("n")), point((F.col("i") + 1) % F.col("n"))
+    start, end = point(F.col("i")), point((F.col("i") + 1) % F.col("n"))
+    between = F.struct(((start.x + end.x) / 2).alias("x"), ((start.y + end.y) / 2).alias("y"))
     turned = (F.col("relation_id") + F.col("i")) % 2 == 0
-    return numbered.select("relation_id", ((F.col("i") * 7) % 101).cast("long").alias("way_no"),
-                           F.when(turned, F.array(end, start)).otherwise(F.array(start, end)).alias("points"))
+    return parts.select("relation_id", ((F.col("i") * 7) % 11).alias("way_no"),
+                        F.when(turned, F.array(end, between, start)).otherwise(F.array(start, between, end)).alias("points"))
 
 
 @query("stitch_rings", """
-SELECT l_orderkey AS relation_id, 0::BIGINT AS ring, true AS closed, (count(*) + 1)::BIGINT AS points,
-       round(count(*) * 2 * sin(pi() / count(*)), 6) AS length
-FROM lineitem GROUP BY l_orderkey HAVING count(*) >= 3""")
+SELECT event_id AS relation_id, 0::BIGINT AS ring, true AS closed, (2 * n + 1)::BIGINT AS points, round(n * 2 * r * sin(pi() / n), 6) AS length
+FROM (SELECT event_id, 3 + event_id % 7 AS n, 1 + user_id % 5 AS r FROM events)""")
 def stitch_rings(spark, sf_dir):
-    rings = geo.stitch_rings(order_ways(spark, sf_dir))
+    rings = geo.stitch_rings(event_ways(spark, sf_dir))
     legs = F.zip_with(F.slice("points", 2, F.size("points") - 1), F.slice("points", 1, F.size("points") - 1),
                       lambda p, q: F.hypot(p.x - q.x, p.y - q.y))
     length = F.aggregate(legs, F.lit(0.0), lambda total, leg: total + leg)

@@ -50,6 +50,12 @@ def geo_parse_join(spark, sf_dir):
     return placed_documents(spark, sf_dir, strategy="join", id_col="doc_id").select("doc_id", "kecamatan_terdeteksi")
 
 
+@query("geo_parse_salted", f"WITH {_place_sql()} SELECT doc_id, kecamatan_terdeteksi FROM placed")
+def geo_parse_salted(spark, sf_dir):
+    """The plan for a gazetteer too large to broadcast."""
+    return placed_documents(spark, sf_dir, strategy="join", id_col="doc_id", broadcast_names=0).select("doc_id", "kecamatan_terdeteksi")
+
+
 @query("geo_counts", f"""
 WITH {_place_sql()} SELECT kecamatan_terdeteksi, count(*) AS n FROM placed WHERE kecamatan_terdeteksi <> 'unknown' GROUP BY ALL""")
 def geo_counts(spark, sf_dir):
