@@ -15,7 +15,7 @@ from ..sources import readers, writers
 from ..streaming import news as streams
 from . import medallion, roles
 from .queries_index import rounded
-from .queries_news import PROPS, YEARS_SQL, yearly_orders
+from .queries_news import PROPS, YEARS, YEARS_SQL, wide_years, yearly_orders
 from .queries_text import HTML_SQL
 from .registry import query
 from .roles import BOTH_SQL, NEWS_SQL
@@ -58,9 +58,9 @@ SELECT substr(sha256(url), 1, 16) AS id_berita, url AS link,
        '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || 'T10:20:30' AS tanggal_publikasi,
        CASE WHEN page_id % 3 = 0 THEN 'Stated' ELSE 'site' || page_id % 7 END AS sumber, 'Kriminalitas' AS kategori,
        {HTML_SQL.strip()} AS deskripsi_mentah
-FROM pages WHERE page_id % 11 <> 5""")
+FROM pages WHERE NOT contains(url, 'utm_source')""")
 def feed_items(spark, sf_dir):
-    """Pages landed as RSS items; some links are search pages and are left out."""
+    """Pages landed as RSS items; links with a feed mark become search pages and are left out."""
     path = write_feed(spark, sf_dir)
     now = F.lit("2024-02-01 00:00:00").cast("timestamp")
     return readers.feed_items(readers.read_feed(spark, path), "Kriminalitas", now).drop("ingested_at")
@@ -75,7 +75,7 @@ def write_feed(spark, sf_dir) -> str:
     number = F.col("page_id").cast("string")
     stated = F.col("page_id") % 3 == 0
     site = F.concat(F.lit("site"), (F.col("page_id") % 7).cast("string"))
-    link = F.when(F.col("page_id") % 11 == 5, F.concat(F.lit("https://news.google.com/search?q="), number)).otherwise(F.col("url"))
+    link = F.when(F.contains("url", F.lit("utm_source")), F.concat(F.lit("https://news.google.com/search?q="), number)).otherwise(F.col("url"))
     day = F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0")
     item = F.concat(
         F.lit("<item><title>Page "), number, F.when(stated, "").otherwise(F.concat(F.lit(" - "), site)), F.lit("</title><link>"),
@@ -95,15 +95,15 @@ def write_feed(spark, sf_dir) -> str:
 
 
 @query("ingest_statistics", """
-WITH usable AS (SELECT substr(sha256(url), 1, 16) AS id, page_id % 4 = 0 AS known FROM pages WHERE page_id % 11 <> 5),
+WITH usable AS (SELECT substr(sha256(url), 1, 16) AS id FROM pages WHERE NOT contains(url, 'utm_source')),
 ids AS (SELECT id, count(*) AS n FROM usable GROUP BY ALL),
-sent AS (SELECT count(*) AS sent FROM ids WHERE id NOT IN (SELECT substr(sha256(url), 1, 16) FROM pages WHERE page_id % 4 = 0))
+sent AS (SELECT count(*) AS sent FROM ids WHERE id NOT IN (SELECT substr(sha256(url), 1, 16) FROM pages WHERE starts_with(url, 'http://')))
 SELECT (SELECT count(*) FROM pages) AS fetched, (SELECT count(*) FROM usable) AS usable,
        (SELECT count(*) FROM usable) - sent AS duplicates, sent FROM sent""")
 def ingest_statistics(spark, sf_dir):
     pages = roles.table(spark, sf_dir, "pages")
-    link = F.when(F.col("page_id") % 11 == 5, F.lit("https://news.google.com/search?q=1")).otherwise(F.col("url"))
-    seen = pages.filter("page_id % 4 = 0").select(F.substring(F.sha2("url", 256), 1, 16).alias("id_berita"))
+    link = F.when(F.contains("url", F.lit("utm_source")), F.lit("https://news.google.com/search?q=1")).otherwise(F.col("url"))
+    seen = pages.filter(F.startswith("url", F.lit("http://"))).select(F.substring(F.sha2("url", 256), 1, 16).alias("id_berita"))
     return readers.ingest_statistics(pages.select(link.alias("link")), seen)
 
 
@@ -125,24 +125,25 @@ def html_rows(spark, sf_dir):
 @query("report_rows", f"""
 WITH {YEARS_SQL.strip()}
 SELECT 'sheet ' || n_regionkey AS report, CASE WHEN n_nationkey % 2 = 0 THEN 'regency' ELSE 'municipality' END AS section,
-       n_name AS name, CAST(year AS VARCHAR) AS tahun, CAST(n * 37 AS DOUBLE) AS jumlah
-FROM nation JOIN yearly ON nation = n_nationkey WHERE year IN (1996, 1997)""")
+       n_name AS name, CAST(y AS VARCHAR) AS tahun, CAST(coalesce(n, 0) * 37 AS DOUBLE) AS jumlah
+FROM nation CROSS JOIN range(1995, 2002) AS t(y) LEFT JOIN yearly ON nation = n_nationkey AND year = y
+WHERE n_nationkey IN (SELECT nation FROM yearly)""")
 def report_rows(spark, sf_dir):
     """Sheets per region: title, header, two sections, thousands commas, total and note."""
-    wide = yearly_orders(spark, sf_dir).filter("year IN (1996, 1997)").groupBy("nation").agg(
-        *[F.format_number(F.sum(F.when(F.col("year") == y, F.col("n"))) * 37, 0).alias(f"c{i}") for i, y in ((2, 1996), (3, 1997))])
+    cells = {f"c{i}": str(y) for i, y in enumerate(YEARS, 2)}
+    wide = wide_years(spark, sf_dir).select("nation", *[F.format_number(F.col(y) * 37, 0).alias(c) for c, y in cells.items()])
     nation = roles.table(spark, sf_dir, "nation")
     sheet = F.concat(F.lit("sheet "), F.col("n_regionkey").cast("string"))
     body = nation.join(wide, F.col("nation") == F.col("n_nationkey")).select(
         sheet.alias("report"), (F.col("n_nationkey") + F.when(F.col("n_nationkey") % 2 == 0, 100).otherwise(1000)).cast("long").alias("line"),
-        F.col("n_name").alias("name"), "c2", "c3")
-    fixed_lines = [(0, "Cases, 1996-1997", None, None), (1, "Name", "Total", None), (2, None, "1996", "1997"),
-                   (99, "Kabupaten/Regency", None, None), (999, "Kota/Municipality ", None, None),
-                   (5000, "All", "9,999", "9,999"), (5001, "Note: none", None, None)]
-    frame = F.array(*[F.struct(F.lit(a).cast("long").alias("line"), *[F.lit(v).cast("string").alias(n) for n, v in zip(("name", "c2", "c3"), rest)])
-                      for a, *rest in fixed_lines])
+        F.col("n_name").alias("name"), *cells)
+    none, totals = [None] * len(cells), ["9,999"] * len(cells)
+    fixed_lines = [(0, "Cases, 1995-2001", none), (1, "Name", ["Total", *none[1:]]), (2, None, list(cells.values())),
+                   (99, "Kabupaten/Regency", none), (999, "Kota/Municipality ", none), (5000, "All", totals), (5001, "Note: none", none)]
+    frame = F.array(*[F.struct(F.lit(at).cast("long").alias("line"), *[F.lit(v).cast("string").alias(n) for n, v in zip(["name", *cells], [text, *rest])])
+                      for at, text, rest in fixed_lines])
     around = nation.select(sheet.alias("report")).distinct().select("report", F.inline(frame))
-    return reshape.report_rows(body.unionByName(around), "report", "line", "name", {"c2": "1996", "c3": "1997"},
+    return reshape.report_rows(body.unionByName(around), "report", "line", "name", cells,
                                {"Kabupaten/Regency": "regency", "Kota/Municipality": "municipality"}, ["All"])
 
 

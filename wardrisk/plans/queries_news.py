@@ -218,14 +218,14 @@ def jitter_points(spark, sf_dir):
 
 @query("geocoded_points", f"""
 WITH {POINTS_SQL},
-chosen AS (SELECT event_id, point_lon, point_lat, event_id % 4 = 0 AS cached, 112.5 + (event_id % 50) * 0.01 AS glon,
+chosen AS (SELECT event_id, point_lon, point_lat, kategori = 'purchase' AS cached, 112.5 + (event_id % 50) * 0.01 AS glon,
            -7.5 + (event_id % 40) * 0.01 AS glat FROM points),
 boxed AS (SELECT *, cached AND glat BETWEEN -7.45 AND -7.15 AND glon BETWEEN 112.55 AND 112.90 AS used FROM chosen)
 SELECT event_id, used AS from_cache, round(CASE WHEN used THEN glon ELSE point_lon END, 6) AS point_lon,
        round(CASE WHEN used THEN glat ELSE point_lat END, 6) AS point_lat FROM boxed""")
 def geocoded_points(spark, sf_dir):
-    """Every fourth event has a geocoded point, some of them outside the box."""
-    cache = roles.table(spark, sf_dir, "events").filter("event_id % 4 = 0").select(
+    """Purchases have a geocoded point, some of them outside the box."""
+    cache = roles.table(spark, sf_dir, "events").filter("event_type = 'purchase'").select(
         "event_id", F.expr("112.5D + (event_id % 50) * 0.01D").alias("geo_lon"),
         F.expr("-7.5D + (event_id % 40) * 0.01D").alias("geo_lat"))
     points = news_points(spark, sf_dir).select("event_id", "point_lon", "point_lat")
@@ -286,6 +286,9 @@ yearly AS (SELECT c_nationkey AS nation, CAST(year(o_orderdate) AS INTEGER) AS y
            FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL)"""
 
 
+YEARS = range(1995, 2002)
+
+
 def yearly_orders(spark, sf_dir):
     orders = roles.table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("year"))
     per_customer = orders.groupBy(F.col("o_custkey").alias("c_custkey"), "year").agg(F.count(F.lit(1)).alias("n"))
@@ -303,17 +306,17 @@ def trend_change(spark, sf_dir):
 
 
 def wide_years(spark, sf_dir):
-    counts = [F.sum(F.when(F.col("year") == y, F.col("n")).otherwise(0)).alias(str(y)) for y in range(1996, 2000)]
+    counts = [F.sum(F.when(F.col("year") == y, F.col("n")).otherwise(0)).alias(str(y)) for y in YEARS]
     return yearly_orders(spark, sf_dir).groupBy("nation").agg(*counts)
 
 
 @query("unpivot_years", f"""
 WITH {YEARS_SQL.strip()}
 SELECT k.nation, CAST(y AS VARCHAR) AS tahun, coalesce(n, 0) AS jumlah
-FROM (SELECT DISTINCT nation FROM yearly) k CROSS JOIN range(1996, 2000) AS t(y)
+FROM (SELECT DISTINCT nation FROM yearly) k CROSS JOIN range(1995, 2002) AS t(y)
 LEFT JOIN yearly ON yearly.nation = k.nation AND year = y""")
 def unpivot_years(spark, sf_dir):
-    return reshape.to_long(wide_years(spark, sf_dir), ["nation"], ["1996", "1997", "1998", "1999"])
+    return reshape.to_long(wide_years(spark, sf_dir), ["nation"], [str(y) for y in YEARS])
 
 
 @query("split_union", """
@@ -329,26 +332,25 @@ def split_union(spark, sf_dir):
 
 MONTHS_SQL = """
 spine AS (SELECT n_nationkey AS nation, CAST(m AS DATE) AS month FROM nation
-          CROSS JOIN generate_series(DATE '1997-01-01', DATE '1997-12-01', INTERVAL 1 MONTH) AS t(m)),
+          CROSS JOIN generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH) AS t(m)),
 known AS (SELECT c_nationkey AS nation, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n
           FROM orders JOIN customer ON c_custkey = o_custkey
-          WHERE year(o_orderdate) = 1997 AND (month(o_orderdate) + c_nationkey) % 4 = 0 GROUP BY ALL),
+          WHERE month(o_orderdate) IN (3, 6, 9, 12) GROUP BY ALL),
 joined AS (SELECT nation, month, n FROM spine LEFT JOIN known USING (nation, month))"""
 
 
 def monthly_known(spark, sf_dir):
-    """Order counts per nation and month of 1997, known for every fourth month only."""
-    orders = (roles.table(spark, sf_dir, "orders").filter(F.year("o_orderdate") == 1997)
+    """Order counts per nation for the last month of each quarter, as quarterly figures are."""
+    orders = (roles.table(spark, sf_dir, "orders").filter(F.month("o_orderdate").isin(3, 6, 9, 12))
               .select(F.col("o_custkey").alias("c_custkey"), F.trunc("o_orderdate", "month").alias("month")))
     per_customer = orders.groupBy("c_custkey", "month").agg(F.count(F.lit(1)).alias("n"))
     customers = roles.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
-    joined = per_customer.join(customers, "c_custkey").filter((F.month("month") + F.col("nation")) % 4 == 0)
-    return joined.groupBy("nation", "month").agg(F.sum("n").alias("n"))
+    return per_customer.join(customers, "c_custkey").groupBy("nation", "month").agg(F.sum("n").alias("n"))
 
 
 def monthly_spine(spark, sf_dir):
     keys = roles.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"))
-    return reshape.month_spine(keys, "1997-01-01", "1997-12-01")
+    return reshape.month_spine(keys, "1995-01-01", "2001-12-01")
 
 
 @query("forward_fill", f"""
@@ -460,9 +462,9 @@ def quality_column_totals(spark, sf_dir):
 
 
 @query("unmatched_keys", """
-SELECT user_id, count(*) AS n FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 3) GROUP BY ALL""")
+SELECT user_id, count(*) AS n FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) GROUP BY ALL""")
 def unmatched_keys(spark, sf_dir):
-    known = roles.table(spark, sf_dir, "customer").filter("c_custkey % 10 <> 3").select(F.col("c_custkey").alias("user_id"))
+    known = roles.table(spark, sf_dir, "customer").filter("c_acctbal >= 0").select(F.col("c_custkey").alias("user_id"))
     return quality.unmatched_keys(roles.table(spark, sf_dir, "events"), known, "user_id")
 
 

@@ -98,15 +98,19 @@ def publish(crime: DataFrame, health: DataFrame, news: DataFrame, n: int = 50, l
         return df.agg(F.when(small, rows).otherwise(
             F.raise_error(F.lit("too many rows for one document, use publish_rows"))).alias("rows")).scalar()
 
-    recent = recent_news(news, n).withColumn("tanggal_publikasi", iso_text("tanggal_publikasi"))
+    def descending(column: str):
+        # Rows without a value come last.
+        return F.coalesce(-F.col(column), F.lit(float("inf"))).alias("o")
+
+    recent = recent_news(news, n).withColumns({
+        "_age": -F.unix_micros("tanggal_publikasi").cast("double"), "tanggal_publikasi": iso_text("tanggal_publikasi")})
     stamp = iso_text(F.current_timestamp()) if last_updated is None else F.lit(last_updated)
     spark = crime.sparkSession
     return spark.range(1).select(
         stamp.alias("last_updated"),
-        listed(crime, CRIME_FIELDS, [(-F.col("indeks_kriminalitas")).alias("o"), F.col("kecamatan").alias("k")]).alias("kriminalitas"),
-        listed(health, HEALTH_FIELDS, [(-F.col("indeks_kesehatan")).alias("o"), F.col("kecamatan").alias("k")]).alias("kesehatan"),
-        listed(recent, NEWS_FIELDS, [F.coalesce(-F.unix_micros(F.to_timestamp("tanggal_publikasi")), F.lit(2**62)).alias("o"),
-                                     F.col("id_berita").alias("k")]).alias("berita"))
+        listed(crime, CRIME_FIELDS, [descending("indeks_kriminalitas"), F.col("kecamatan").alias("k")]).alias("kriminalitas"),
+        listed(health, HEALTH_FIELDS, [descending("indeks_kesehatan"), F.col("kecamatan").alias("k")]).alias("kesehatan"),
+        listed(recent, NEWS_FIELDS, [F.coalesce("_age", F.lit(float("inf"))).alias("o"), F.col("id_berita").alias("k")]).alias("berita"))
 
 
 def publish_rows(crime: DataFrame, health: DataFrame, news: DataFrame, n: int = 50) -> DataFrame:
