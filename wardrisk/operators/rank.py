@@ -57,6 +57,7 @@ def _above(column: str):
 def rank_indices(df: DataFrame, columns: dict[str, str], key: str, lo: float = 0.0, hi: float = 100.0) -> DataFrame:
     """Rank several index columns (``{column: output}``) that run from ``lo`` to ``hi``.
 
+    Meant for district tables, one row per district; :func:`number_rows` orders any table.
     The rows per step of each column come from one aggregate with at most 102 rows per
     column, handed to the plan as a scalar.
     """

@@ -95,7 +95,8 @@ def publish(crime: DataFrame, health: DataFrame, news: DataFrame, n: int = 50, l
         row = F.struct(*order, F.struct(*fields).alias("row"))
         rows = F.transform(F.array_sort(F.collect_list(row)), lambda r: r.row)
         small = F.count(F.lit(1)) <= MAX_DOCUMENT_ROWS
-        return df.agg(F.when(small, rows).otherwise(
+        # One row more than allowed is enough to refuse, so no more are ever gathered.
+        return df.limit(MAX_DOCUMENT_ROWS + 1).agg(F.when(small, rows).otherwise(
             F.raise_error(F.lit("too many rows for one document, use publish_rows"))).alias("rows")).scalar()
 
     def descending(column: str):
