@@ -117,7 +117,7 @@ def geo_parse_join(df: DataFrame, text_cols, gazetteer: DataFrame, id_col: str,
     words = df.select(id_col, *[w.alias(n) for n, w in lists.items()])
     found = F.filter(F.array_distinct(F.concat(*[grams(F.col(n)) for n in lists])), lambda g: g != "")
     names = gazetteer.groupBy("name").agg(F.min("priority").alias("priority"))
-    pairs = words.select(id_col, F.explode(found).alias("name"))
+    pairs = words.select(id_col, F.explode_outer(found).alias("name"))
     if small:
         hits = pairs.join(F.broadcast(names), "name")
     else:

@@ -41,7 +41,8 @@ def term_table(df: DataFrame, words: str, min_df: float = 2, size: int | None =
         return F.transform(c, lambda w: F.struct(w.alias("term"), F.lit(n).alias("n"), F.lit(docs).alias("docs")))
 
     pairs = F.concat(counted(words, 1, 0), counted(F.array_distinct(words), 0, 1))
-    vocabulary = (df.select(F.inline(pairs)).groupBy("term")
+    # The outer form: the inner one adds a filter that would split every text a second time.
+    vocabulary = (df.select(F.inline_outer(pairs)).filter("term IS NOT NULL").groupBy("term")
                   .agg(F.sum("n").alias("total"), F.sum("docs").alias("doc_freq"))
                   .filter(F.col("doc_freq") >= min_df))
     return vocabulary if size is None else vocabulary.orderBy(F.desc("total"), "term").limit(size)
@@ -61,7 +62,7 @@ def term_weights(df: DataFrame, id_col: str, words: str, min_df: int = 2, size:
     docs = df.agg(F.count(F.lit(1))).scalar()
     vocabulary = term_table(df, words, min_df, size).select("term", idf("doc_freq", docs).alias("idf"))
     side = F.broadcast(vocabulary) if size <= 100_000 else vocabulary
-    counts = (df.select(id_col, F.explode(words).alias("term")).join(side, "term")
+    counts = (df.select(id_col, F.explode_outer(words).alias("term")).join(side, "term")
               .groupBy(id_col, "term", "idf").agg(F.count(F.lit(1)).alias("n")))
     return counts.select(id_col, "term", "n", (F.col("n") * F.col("idf")).alias("weight"))
 

@@ -281,7 +281,7 @@ def keyword_label(spark, sf_dir):
     """The languages stand for topics: their 15 most frequent words vote for a label."""
     from pyspark.sql import Window
 
-    counts = (token_frame(spark, sf_dir).select("lang", F.explode("words").alias("term"))
+    counts = (token_frame(spark, sf_dir).select("lang", F.explode_outer("words").alias("term")).filter("term IS NOT NULL")
               .groupBy("lang", "term").agg(F.count(F.lit(1)).alias("n")))
     w = Window.partitionBy("lang").orderBy(F.desc("n"), "term")
     top = counts.withColumn("r", F.row_number().over(w)).filter("r <= 15")

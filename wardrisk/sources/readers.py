@@ -164,7 +164,8 @@ def html_table_rows(df: DataFrame, html: str, keep=(), escaped: bool = True,
     markup = decode_entities(html) if escaped else F.col(html)
     rows = F.regexp_extract_all(markup, F.lit(rf"(?is)<{row_tag}\b[^>]*>(.*?)</{row_tag}\s*>"), F.lit(1))
     cell = "|".join(cell_tags)
-    table = df.select(*keep, F.posexplode(rows).alias("row", "_row"))
+    # The outer form: the inner one adds a filter that would search every text a second time.
+    table = df.select(*keep, F.posexplode_outer(rows).alias("row", "_row")).filter("row IS NOT NULL")
     cells = F.regexp_extract_all("_row", F.lit(rf"(?is)<(?:{cell})\b[^>]*>(.*?)</(?:{cell})\s*>"), F.lit(1))
     return table.select(*keep, "row", F.transform(cells, html_to_text).alias("cells"))
 
