@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality_rules, token_counts
+from . import packing, quality_model, quality_rules, simhash, token_counts
 from .shared import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +28,25 @@ def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(token_counts.token_lengths(read(spark, sf_dir, "documents")))
 
 
+@query("op2_golay_simhash")
+def golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(read(spark, sf_dir, "documents"))
+
+
 @query("op4_tokenizer_fertility")
 def tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"))
+
+
+@query("op6_byte_network")
+def byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality_model.fit(docs, read(spark, sf_dir, "labels"))
+    return quality_model.score(docs, net).select(
+        "doc_id", quality_model.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op9_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))

@@ -76,11 +76,13 @@ def byte_encoder(path: str):
     return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-#: The pattern of public_tokenizers.PATTERN for texts whose letters are all Latin.
-LATIN_PATTERN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)"
-                           r"| ?[^\sA-Za-z0-9À-ÖØ-öø-ɏ]+|\s+(?!\S)|\s+")
-#: The characters for which it holds: ASCII without the four separators Python adds to \s, and Latin letters.
-LATIN_TEXT = re.compile("[\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ɏ]*")
+LATIN_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: The characters for which LATIN_PATTERN holds: ASCII without the four separators Python adds to \s, Latin letters,
+#: and signs that are no letters, digits or spaces.
+LATIN_TEXT = re.compile(f"[\x00-\x1b\x20-\x7f{LATIN_LETTERS}¡-©«-±´¶-¸»¿×÷‐-‧‰-⁞€]*")
+#: The pattern of public_tokenizers.PATTERN for such texts.
+LATIN_PATTERN = re.compile(rf" ?[{LATIN_LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)"
+                           rf"| ?[^\s0-9{LATIN_LETTERS}]+|\s+(?!\S)|\s+")
 
 
 @functools.lru_cache(maxsize=1)
