@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_model, quality_rules, simhash, token_counts
+from . import packing, quality_model, quality_rules, simhash, suffix_dedup, token_counts
 from .shared import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query("op10_suffix_array_dedup")
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(read(spark, sf_dir, "documents"), ("doc_id",)).drop("kept_text")
