@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_model, quality_rules, simhash, suffix_dedup, token_counts
+from . import bpe, packing, quality_model, quality_rules, simhash, suffix_dedup, token_counts
 from .shared import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,11 @@ def byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query("op7_transducer_bpe")
+def transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read(spark, sf_dir, "documents"))
+
+
 @query("op9_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
