@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality_model, quality_rules, simhash, suffix_dedup, token_counts
+from . import bpe, license_scan, packing, quality_model, quality_rules, simhash, suffix_dedup, token_counts
 from .shared import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"))
 
 
+@query("op5_rare_token_licences")
+def rare_token_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 @query("op6_byte_network")
 def byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
