@@ -160,10 +160,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, steps: int
     return train([r["text"].encode("utf-8", "replace") for r in rows], np.array([r["quality"] for r in rows]), steps)
 
 
-def score(docs: DataFrame, net: Network, column: str = "score") -> DataFrame:
-    """All columns of the documents and their score, rounded to 9 places."""
+def score(docs: DataFrame, net: Network, column: str = "score", text: str = "text") -> DataFrame:
+    """All columns of the documents and their score, rounded to 9 places; it replaces a column of its name."""
     kept = [c for c in docs.columns if c != column]
-    place = kept.index("text")
+    place = kept.index(text)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -148,7 +148,7 @@ def document_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[
     for batch in slices(batches):
         orders, ties = batch.column("ord").to_numpy(), batch.column("tie").to_numpy()
         for data, rows, offsets, shifts in buffers_of(batch, length):
-            ends = np.append(offsets[1:], len(data))
+            ends = [*offsets[1:], len(data)]
             valid = np.zeros(len(data) - length + 1, dtype=bool)
             for a, b in zip(offsets, ends):
                 valid[a:b - length + 1] = True
