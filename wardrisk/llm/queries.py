@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, license_scan, packing, quality_model, quality_rules, simhash, suffix_dedup, token_counts
+from . import (bpe, hamming_search, license_scan, packing, quality_model, quality_rules, simhash, suffix_dedup,
+               token_counts, training_order)
 from .shared import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,11 @@ def golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(read(spark, sf_dir, "documents"))
 
 
+@query("op3_training_order")
+def feistel_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.training_order(read(spark, sf_dir, "documents"))
+
+
 @query("op4_tokenizer_fertility")
 def tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"))
@@ -57,6 +63,24 @@ def transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"))
 
 
+@query("op8_multi_index_hashing", """
+WITH bits AS (
+  SELECT vec_id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS bits
+  FROM embeddings),
+near AS (
+  SELECT q.vec_id AS query_id, x.vec_id AS vec_id, hamming(q.bits, x.bits) AS distance
+  FROM bits q JOIN bits x ON q.vec_id % 100 = 0)
+SELECT query_id, rank, vec_id, distance::INTEGER AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INTEGER AS rank FROM near)
+WHERE rank <= 10
+""")
+def multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = read(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), hamming_search.sign_code(F.col("embedding")).alias("code"))
+    queries = codes.where("id % 100 = 0").withColumnRenamed("id", "query_id")
+    return hamming_search.top_k(codes, queries, 10).withColumnRenamed("id", "vec_id")
+
+
 @query("op9_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
