@@ -136,9 +136,15 @@ def document_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[
         places = by[several]
         own = np.lexsort((start[places], tie[places], order[places], group[several]))
         places, groups = places[own], group[several][own]
-        later = places[np.append(False, groups[1:] == groups[:-1])] if len(places) else places
+        later, own_first = places, places
+        if len(places):
+            new = np.append(True, groups[1:] != groups[:-1])
+            own_first = places[np.flatnonzero(new)[np.cumsum(new) - 1]][~new]
+            later = places[~new]
         keep = np.ones(len(key), dtype=bool)
         keep[later] = False
+        later = later[~((order[later] == order[own_first]) & (tie[later] == tie[own_first])
+                        & (start[later] == start[own_first]))] if len(later) else later  # a repeated row is no copy
         yield rows_batch(*(c[keep] for c in (key, content, order, tie, start, n)))
         if len(later):
             docs, number = np.unique(np.stack([order[later], tie[later]]), axis=1, return_inverse=True)
@@ -167,7 +173,8 @@ def document_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[
 
 def first_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Sorted pieces to spans (no key) and the earliest of each distinct piece whose key has others (with its key)."""
-    last, waiting = None, None  # the key and content before this batch; a first piece whose follower is not known
+    last, place = None, np.full((3, 1), -1)  # the key and content before this batch, and where its first piece is
+    waiting = None  # a first piece whose follower is not known
     for batch in batches:
         spans = batch.column("content").is_null().to_numpy(zero_copy_only=False)
         if spans.any():
@@ -179,8 +186,12 @@ def first_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
         key, content, order, tie, start, n = (batch.column(i).to_numpy() for i in range(6))
         first = np.append((key[0], content[0]) != last, (key[1:] != key[:-1]) | (content[1:] != content[:-1]))
         last = (key[-1], content[-1])
-        if not first.all():
-            yield rows_batch(None, None, order[~first], tie[~first], start[~first], n[~first] + length - 1)
+        places = np.stack([order, tie, start])
+        firsts = np.concatenate([place, places[:, first]], axis=1)[:, np.cumsum(first)]  # each row's first piece
+        place = firsts[:, -1:]
+        later = ~first & (places != firsts).any(axis=0)  # a repeated row is at the same place as the first
+        if later.any():
+            yield rows_batch(None, None, order[later], tie[later], start[later], n[later] + length - 1)
         if not first.any():
             continue
         own = [c[first] for c in (key, order, tie, start, n)]
