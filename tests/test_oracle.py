@@ -31,4 +31,5 @@ def test_entry_points(spark):
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
-    assert set(e.queries()) - set(e.oracle_sql()) == {"lda_topics", "lda_counts", "lda_metrics"}
+    assert set(catalog.QUERIES) <= set(e.queries())
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"lda_topics", "lda_counts", "lda_metrics"}

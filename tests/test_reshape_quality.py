@@ -39,7 +39,16 @@ def test_spikes(spark):
     counts = [1, 2, 1, 2, 1, 20]
     data = [("a", dt.datetime(2025, 1, 1 + day, hour)) for day, n in enumerate(counts) for hour in range(n)]
     spikes = reshape.news_spikes(spark.createDataFrame(data, "p string, ts timestamp"), "p", "ts").collect()
-    assert [(r.day, r.n) for r in spikes] == [(dt.date(2025, 1, 6), 20)]
+    # The second day rises after a flat history of one day.
+    assert sorted((r.day, r.n) for r in spikes) == [(dt.date(2025, 1, 2), 2), (dt.date(2025, 1, 6), 20)]
+
+
+def test_spikes_after_flat_and_empty_days(spark):
+    flat = [("flat", dt.datetime(2025, 1, 1 + day)) for day in range(7)] + [("flat", dt.datetime(2025, 1, 8, i // 50, i % 50)) for i in range(100)]
+    gaps = [("gaps", dt.datetime(2025, 1, 1)), ("gaps", dt.datetime(2025, 1, 20)), (None, dt.datetime(2025, 1, 3)), ("none", None)]
+    spikes = reshape.news_spikes(spark.createDataFrame(flat + gaps, "p string, ts timestamp"), "p", "ts").collect()
+    assert sorted((r.p, r.day, r.n, r.z) for r in spikes) == [
+        ("flat", dt.date(2025, 1, 8), 100, None), ("gaps", dt.date(2025, 1, 20), 1, None)]
 
 
 def test_union_with_missing_columns(spark, rows):

@@ -54,6 +54,20 @@ def test_period_files(spark, tmp_path, rows):
     assert copies == [1, 2]
 
 
+def test_equal_files_of_two_periods_stay(spark, tmp_path):
+    for name in ("2023.csv", "2024.csv", "2024"):
+        (tmp_path / name).write_text("k,n\nPakal,1\n", encoding="utf-8")
+    rows = readers.read_periods(spark, str(tmp_path), "k string, n int").collect()
+    assert sorted((r.k, r.n, r.period) for r in rows) == [("Pakal", 1, "2023"), ("Pakal", 1, "2024")]
+
+
+def test_report_row_with_an_empty_year(spark):
+    lines = spark.createDataFrame([("r", 1, "Kota", None, None), ("r", 2, "A", "5", None), ("r", 3, "B", None, None)],
+                                  "report string, line long, c0 string, c2 string, c3 string")
+    long = reshape.report_rows(lines, "report", "line", "c0", {"c2": "2019", "c3": "2020"}, {"Kota": "city"})
+    assert [(r.c0, r.tahun, r.jumlah) for r in long.collect()] == [("A", "2019", 5.0)]
+
+
 def test_feed(spark, tmp_path):
     (tmp_path / "feed.xml").write_text("""<?xml version="1.0" encoding="UTF-8"?><rss><channel><title>Feed</title>
       <item><title>Begal di Tandes - detik.com</title><link>https://e.org/1?a=1&amp;b=2</link><pubDate>Mon, 23 Jun 2025 12:00:00 GMT</pubDate>
@@ -128,10 +142,19 @@ def test_document_round_trip(spark, tmp_path):
     assert {r.section for r in writers.publish_rows(*gold(spark), n=1).collect()} == {"kriminalitas", "kesehatan", "berita"}
 
 
-def test_document_is_refused_when_too_large(spark, monkeypatch):
-    monkeypatch.setattr(writers, "MAX_DOCUMENT_ROWS", 2)
-    with pytest.raises(Exception, match="publish_rows"):
-        writers.publish(*gold(spark), n=1).collect()
+def test_document_lists_the_first_districts(spark):
+    doc = writers.publish(*gold(spark), n=1, districts=2).first()
+    assert [r.kecamatan for r in doc.kriminalitas] == ["B", "A"]
+    assert [r.id_berita for r in doc.berita] == ["3"]
+
+
+def test_published_rows_have_their_position(spark):
+    values = [(f"d{i:02d}", i, 1.0, v) for i, v in enumerate([9.5, 100.0, 10.0, None, 10.0])]
+    crime = spark.createDataFrame(values, "kecamatan string, total_kasus_kriminal long, crime_rate double, indeks_kriminalitas double")
+    rows = writers.publish_rows(crime, *gold(spark)[1:], n=2).collect()
+    assert sorted((r.position, r.key) for r in rows if r.section == "kriminalitas") == [
+        (0, "d01"), (1, "d02"), (2, "d04"), (3, "d00"), (4, "d03")]
+    assert sorted((r.position, r.key) for r in rows if r.section == "berita") == [(0, "3"), (1, "1")]
 
 
 def test_csv_file_text(spark, tmp_path):
@@ -151,7 +174,9 @@ def test_messages(spark, tmp_path):
 def test_statistics(spark):
     items = spark.createDataFrame([("https://e.org/1",), ("https://e.org/1",), ("https://e.org/2",), ("",), (None,)], "link string")
     seen = items.filter("link = 'https://e.org/2'").select(F.substring(F.sha2("link", 256), 1, 16).alias("id_berita"))
-    assert tuple(readers.ingest_statistics(items, seen).first()) == (5, 3, 2, 1)
+    assert tuple(readers.ingest_statistics(items, seen).first()) == (5, 3, 2, 1, 0, 1)
+    told = items.withColumns({"error": F.when(F.col("link") == "", "no answer"), "cycle": F.length("link")})
+    assert tuple(readers.ingest_statistics(told, seen, "error", "cycle").first()) == (4, 3, 2, 1, 1, 2)
 
 
 def test_scratch_folder_is_under_the_checkpoint_folder(spark):

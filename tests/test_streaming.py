@@ -62,18 +62,20 @@ def test_non_blocking_start(spark, tmp_path):
 def test_dedup_across_batches_and_restart(spark, tmp_path):
     schema = "id string, ts timestamp"
 
-    def put(*ids):
-        spark.createDataFrame([(i, dt.datetime(2025, 1, 1)) for i in ids], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    def put(*ids, month=3):
+        spark.createDataFrame([(i, dt.datetime(2025, month, 1)) for i in ids], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
 
     def run():
         df = streams.open_stream(spark, "parquet", f"{tmp_path}/in", spark.createDataFrame([], schema).schema)
-        streams.drain(streams.dedup_stream(df, ["id"], "ts"), f"{tmp_path}/out", f"{tmp_path}/c")
+        streams.dedup_stream(df, ["id"], f"{tmp_path}/out", f"{tmp_path}/seen", f"{tmp_path}/c").awaitTermination()
 
-    put("a", "a", "b")
+    put("a", "a", "b", None, None)
     run()
     put("a", "c")
     run()
-    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a", "b", "c"]
+    put("old but unique", "b", None, month=1)  # long before everything seen so far
+    run()
+    assert sorted(r.id or "" for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["", "", "", "a", "b", "c", "old but unique"]
 
 
 def test_refresh_only_for_new_keys(spark, tmp_path):
@@ -94,10 +96,26 @@ def test_refresh_only_for_new_keys(spark, tmp_path):
     put("b", "c")
     run()
     assert calls == [(0, ["a", "b"]), (2, ["c"])]
-    # The same batch once more, as after a failure before its commit: same new keys.
+    # Another stream with the same table of seen keys: nothing is new, and the first stream's entries stay.
     calls.clear()
-    run("again")
-    assert calls[0][0] == 0 and set(calls[0][1]) >= {"a", "b"}
+    run("another")
+    assert calls == []
+    put("d")
+    run("another")
+    run()
+    assert [keys for _, keys in calls] == [["d"]]
+
+
+def test_a_batch_that_runs_again_gives_the_same_rows(spark, tmp_path):
+    """As after a failure between the output and the commit: the checkpoint is lost, the seen keys are there."""
+    import shutil
+
+    spark.createDataFrame([("a",), ("b",)], "id string").write.parquet(f"{tmp_path}/in")
+    for _ in range(2):
+        df = streams.open_stream(spark, "parquet", f"{tmp_path}/in", spark.createDataFrame([], "id string").schema)
+        streams.dedup_stream(df, ["id"], f"{tmp_path}/out", f"{tmp_path}/seen", f"{tmp_path}/c").awaitTermination()
+        assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a", "b"]
+        shutil.rmtree(tmp_path / "c")
 
 
 def facility(i, name="ASEMROWO"):

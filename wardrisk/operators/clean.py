@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,9 +112,22 @@ def first_per_key(df: DataFrame, keys, order) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def distinct_items(df: DataFrame, keys, order=()) -> DataFrame:
+    """One row per key, the first in the given order; rows with a NULL in the key have no identity and all stay.
+
+    Ties go by the other columns, so the row that stays does not depend on how the rows are spread.
+    """
+    keys = list(keys)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    ties = [f.name for f in df.schema if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    keyed, ranked_by = df.filter(known), [*order, *ties]
+    firsts = first_per_key(keyed, keys, ranked_by) if ranked_by else keyed.dropDuplicates(keys)
+    return firsts.unionByName(df.filter(~known))
+
+
 def dedup_news(df: DataFrame, id_col: str = "id_berita", ts: str = "kafka_timestamp") -> DataFrame:
-    """Batch counterpart of the stream de-duplication: the earliest row per id."""
-    return first_per_key(df, [id_col], [F.col(ts).asc_nulls_last()])
+    """Batch counterpart of the stream de-duplication: the earliest row per id, and all rows without an id."""
+    return distinct_items(df, [id_col], [F.col(ts).asc_nulls_last()])
 
 
 def news_identity(link: str = "link", title: str = "judul") -> Column:
@@ -120,7 +135,7 @@ def news_identity(link: str = "link", title: str = "judul") -> Column:
     return F.coalesce(F.when(F.col(link) != "", F.col(link)), F.col(title))
 
 
-def new_items(incoming: DataFrame, seen: DataFrame, keys) -> DataFrame:
-    """Distinct incoming rows whose key was not seen before."""
+def new_items(incoming: DataFrame, seen: DataFrame, keys, order=()) -> DataFrame:
+    """One incoming row per key that was not seen before, the first in the given order; rows without a key stay."""
     known = seen.select(*keys).distinct()
-    return incoming.dropDuplicates(list(keys)).join(known, list(keys), "left_anti")
+    return distinct_items(incoming, keys, order).join(known, list(keys), "left_anti")

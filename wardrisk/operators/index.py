@@ -21,12 +21,25 @@ def sum_per_key(df: DataFrame, key: str, column: str, out: str) -> DataFrame:
     return df.groupBy(key).agg(F.sum(column).alias(out))
 
 
+def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
+    """The frame, combined by its key; a key with several rows raises an error when it is read.
+
+    The check is the aggregate that the join after it needs the rows spread by anyway.
+    """
+    others = [c for c in df.columns if c != key]
+    repeated = F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL"))))
+    row = F.when(F.count(F.lit(1)) == 1, F.first(F.struct(*others))).otherwise(repeated).alias("_row")
+    return df.groupBy(key).agg(row).select(key, *[F.col("_row").getField(c).alias(c) for c in others])
+
+
 def left_fill(base: DataFrame, others, key: str, fills: dict) -> DataFrame:
-    """Left join each frame (one row per key) to the base, then fill missing numbers.
+    """Left join each frame (one row per key) to the base (one row per key), then fill missing numbers.
 
-    No broadcast is forced: the optimizer and AQE pick the strategy from the sizes.
+    Keys that are not unique are refused, as they would multiply rows.  No broadcast is forced: the
+    optimizer and AQE pick the strategy from the sizes.
     """
-    return reduce(lambda left, right: left.join(right, key, "left"), others, base).fillna(fills)
+    frames = [one_row_per_key(df, key) for df in (base, *others)]
+    return reduce(lambda left, right: left.join(right, key, "left"), frames).fillna(fills)
 
 
 def rate(df: DataFrame, num: str, den: str, per: float, out: str) -> DataFrame:

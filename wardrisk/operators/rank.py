@@ -8,39 +8,34 @@ from pyspark.sql import functions as F
 from ..functions import band
 
 
-def value_step(column: str, lo: float = 0.0, hi: float = 100.0, steps: int = 100) -> Column:
-    """Step 0..steps of a value, larger values in larger steps; NULL stays NULL."""
-    return F.least(F.greatest(F.floor((F.col(column) - lo) / (hi - lo) * steps), F.lit(0)), F.lit(steps))
-
-
 def rank_desc(df: DataFrame, column: str, key: str, out: str = "rank", by: str | None = None) -> DataFrame:
-    """1-based position by descending value, ties by key, NULL values last.
+    """1-based position by descending value, ties by key, NULL values last; with ``by`` per group.
 
-    With ``by`` the rank is per group, otherwise see :func:`rank_indices`.
+    Both go through :func:`number_rows`, so a hot value or a hot group is no single task.
     """
+    order = [F.col(column).desc_nulls_last(), F.col(key).asc()]
     if by is None:
-        return rank_indices(df, {column: out}, key)
-    w = Window.partitionBy(by).orderBy(F.col(column).desc_nulls_last(), F.col(key).asc())
-    return df.withColumn(out, F.row_number().over(w).cast("long"))
+        return number_rows(df, order, out).withColumn(out, F.col(out) + 1)
+    numbered = number_rows(df, [F.col(by).asc_nulls_first(), *order], "_place")
+    starts = numbered.groupBy(F.col(by).alias("_by")).agg(F.min("_place").alias("_first"))
+    return (numbered.join(starts, F.col(by).eqNullSafe(F.col("_by")))
+            .withColumn(out, F.col("_place") - F.col("_first") + 1).drop("_place", "_by", "_first"))
 
 
 def number_rows(df: DataFrame, order, out: str = "index", partitions: int | None = None) -> DataFrame:
     """0-based position of each row of a table of any size in a total order.
 
-    The rows are range-partitioned by the whole order, so a value shared by very many rows
-    is split by the columns after it.  The numbers within the partitions are written to
-    the shared scratch folder before the partition sizes are added up: a lost executor
-    cannot move a row to another partition afterwards.
+    The rows are range-partitioned by the whole order, so a value shared by very many rows is split
+    by the columns after it; sorted partitions follow one another, and the sizes of those before give
+    a partition's first number.  The numbers within the partitions are checkpointed before the sizes
+    are added up: a lost executor cannot move a row to another partition afterwards.
     """
-    from ..sources.writers import scratch_dir
+    from ..sources.writers import checkpointed
 
-    spark = df.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_dir(spark, "numbers")
-    (df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-     .withColumn("_n", F.monotonically_increasing_id()).write.parquet(path))
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbers = checkpointed(df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+                           .withColumn("_n", F.monotonically_increasing_id()))
     # The id holds the partition number above bit 33 and the row number below.
-    numbers = spark.read.schema(df.withColumn("_n", F.lit(0).cast("long")).schema).parquet(path)
     numbers = numbers.withColumns({"_part": F.shiftright("_n", 33), "_row": F.col("_n").bitwiseAND(F.lit(2**33 - 1))})
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (numbers.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
@@ -50,31 +45,11 @@ def number_rows(df: DataFrame, order, out: str = "index", partitions: int | None
     return joined.withColumn(out, F.col("_start") + F.col("_row")).drop("_part", "_row", "_n", "_start")
 
 
-def _above(column: str):
-    return lambda r: (r.c == F.lit(column)) & (r.s > F.col("_s"))
-
-
-def rank_indices(df: DataFrame, columns: dict[str, str], key: str, lo: float = 0.0, hi: float = 100.0) -> DataFrame:
-    """Rank several index columns (``{column: output}``) that run from ``lo`` to ``hi``.
-
-    Meant for district tables, one row per district; :func:`number_rows` orders any table.
-    The rows per step of each column come from one aggregate with at most 102 rows per
-    column, handed to the plan as a scalar.
-    """
-    steps = {c: F.coalesce(value_step(c, lo, hi), F.lit(-1)) for c in columns}
-    listed = F.array(*[F.struct(F.lit(c).alias("c"), step.alias("s")) for c, step in steps.items()])
-    counts = df.select(F.inline(listed)).groupBy("c", "s").agg(F.count(F.lit(1)).alias("n"))
-    table = counts.agg(F.collect_list(F.struct("c", "s", "n"))).scalar()
-    out = df.withColumn("_steps", table)
-    for c, name in columns.items():
-        # A plain column, so that the window below has something to partition by.
-        stepped = out.withColumn("_s", steps[c])
-        before = F.aggregate(
-            F.filter("_steps", _above(c)),
-            F.lit(0).cast("long"), lambda total, r: total + r.n)
-        w = Window.partitionBy("_s").orderBy(F.col(c).desc_nulls_last(), F.col(key).asc())
-        out = stepped.withColumn(name, F.row_number().over(w) + before).drop("_s")
-    return out.drop("_steps")
+def rank_indices(df: DataFrame, columns: dict[str, str], key: str) -> DataFrame:
+    """Rank by several columns (``{column: output}``), each descending with ties by key."""
+    for column, out in columns.items():
+        df = rank_desc(df, column, key, out)
+    return df
 
 
 def top_n(df: DataFrame, column: str, n: int, key: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import band, fixed, fixed_text, normalize_key
+from .clean import first_per_key
 from .index import KEY
 from .rank import latest_per_key, rank_indices
 
@@ -18,9 +19,18 @@ def dual_recap(risk: DataFrame, key: str = KEY) -> DataFrame:
         key, CRIME, F.coalesce(HEALTH, F.lit(0.0)).alias(HEALTH))
 
 
-def lookup_by_name(df: DataFrame, table: DataFrame, name: str, key: str, columns) -> DataFrame:
-    """Left join on the normalised name; numbers that are missing become 0."""
-    side = table.select(normalize_key(key).alias("_key"), *columns)
+def first_per_name(table: DataFrame, key: str, columns, order=()) -> DataFrame:
+    """``_key`` and columns of the first row per normalised name, in the given order, then by the name as it stands.
+
+    Two spellings of a name are one place; a lookup must not repeat what it looks up.
+    """
+    keyed = table.withColumn("_key", normalize_key(key))
+    return first_per_key(keyed, ["_key"], [*order, F.col(key).asc(), *[F.col(c).asc_nulls_last() for c in columns]]).select("_key", *columns)
+
+
+def lookup_by_name(df: DataFrame, table: DataFrame, name: str, key: str, columns, order=()) -> DataFrame:
+    """Left join on the normalised name, one row per row of ``df``; numbers that are missing become 0."""
+    side = first_per_name(table, key, list(columns), order)
     joined = df.withColumn("_key", normalize_key(name)).join(side, "_key", "left").drop("_key")
     return joined.fillna(0, list(columns))
 
@@ -49,7 +59,9 @@ def profile(risk: DataFrame, dimension: DataFrame | None = None, headlines: Data
         "health_step": band(HEALTH, fixed.COLOUR_STEPS),
     })
     if dimension is not None:
-        out = out.join(dimension, "place_key", "left")
+        figures = [c for c in dimension.columns if c != "place_key"]
+        side = first_per_name(dimension, "place_key", figures).withColumnRenamed("_key", "place_key")
+        out = out.join(side, "place_key", "left")
     if headlines is not None:
         out = out.join(headlines, "place_key", "left").fillna({"headlines": ""})
     return out.drop("place_key")
@@ -75,6 +87,7 @@ def risk_report(risk: DataFrame, key: str = KEY) -> DataFrame:
         band("crime_shown", fixed.RISK_LEVELS).alias("risk_level"),
         band("crime_shown", fixed.CRIME_ADVICE).alias("crime_advice"),
         band(F.coalesce(F.col(HEALTH), F.lit(0.0)), fixed.HEALTH_ADVICE).alias("health_advice"),
+        fixed_text(F.coalesce(F.col("crime_rate"), F.lit(0.0)), 3).alias("crime_rate_shown"),
         priority.alias("priority"),
         F.concat(fixed_text(F.coalesce(F.col("hfr"), F.lit(0.0)) * 100, 2), F.lit("%")).alias("hfr_shown"))
 
@@ -198,6 +211,6 @@ def city_context(risk: DataFrame, key: str = KEY, n: int = 3) -> DataFrame:
 
 def news_detail(news: DataFrame, risk: DataFrame, place: str, key: str = KEY) -> DataFrame:
     """News with the indices and the crime rank of its district (rank 0 if unknown)."""
-    side = rank_indices(risk, {CRIME: "crime_rank"}, key).select(normalize_key(key).alias("_key"), CRIME, HEALTH, "crime_rank")
+    side = first_per_name(rank_indices(risk, {CRIME: "crime_rank"}, key), key, [CRIME, HEALTH, "crime_rank"], [F.col("crime_rank").asc()])
     joined = news.withColumn("_key", normalize_key(place)).join(side, "_key", "left").drop("_key")
     return joined.fillna({"crime_rank": 0})

@@ -32,7 +32,7 @@ def report_rows(lines: DataFrame, report: str, line: str, name: str, years: dict
     the first section; total lines are named in ``drop_names``.
 
     Only the few section lines are gathered per report; every other line looks its section
-    up there, so a long report is not read by one task.
+    up there, so a long report is not read by one task.  An empty cell leaves out its own year only.
     """
     label = F.create_map(*[F.lit(x) for pair in sections.items() for x in pair])
     text = F.trim(F.col(name))
@@ -40,12 +40,12 @@ def report_rows(lines: DataFrame, report: str, line: str, name: str, years: dict
               .groupBy(report).agg(F.array_sort(F.collect_list(F.struct(F.col(line).alias("at"), "_label"))).alias("_starts")))
     body = lines.filter(F.try_element_at(label, text).isNull() & ~text.isin(*drop_names) if drop_names
                         else F.try_element_at(label, text).isNull())
-    body = body.withColumns({c: number(c) for c in years}).dropna(subset=list(years), how="any")
+    body = body.withColumns({c: number(c) for c in years}).dropna(subset=list(years), how="all")
     before = F.filter("_starts", lambda s: s.at < F.col(line))
     placed = body.join(starts, report).withColumn("section", F.try_element_at(before, F.lit(-1)).getField("_label"))
     wide = placed.filter("section IS NOT NULL").select(
         report, "section", text.alias(name), *[F.col(c).alias(y) for c, y in years.items()])
-    return to_long(wide, [report, "section", name], list(years.values()))
+    return to_long(wide, [report, "section", name], list(years.values())).filter("jumlah IS NOT NULL")
 
 
 def union_all(frames) -> DataFrame:
@@ -123,12 +123,20 @@ def monthly_index(rates: DataFrame, month: str, rate: str, out: str) -> DataFram
 def news_spikes(news: DataFrame, place: str, ts: str, window_days: int = 7, threshold: float = 2.0) -> DataFrame:
     """Days whose news count exceeds the mean of the days before by ``threshold`` deviations.
 
-    News is counted per place and day first, so a place has one row per day with news.
+    News is counted per place and day first; days without news between the first and the last of a
+    place count 0.  After a flat history, which has no deviation, any rise is an alert with NULL ``z``.
     """
-    daily = news.groupBy(place, F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    counted = (news.groupBy(place, F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+               .filter("day IS NOT NULL"))
+    spine = (counted.groupBy(F.col(place).alias("_place")).agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
+             .select("_place", F.explode(F.sequence("_first", "_last")).alias("_day")))
+    same = F.col("_place").eqNullSafe(F.col(place)) & (F.col("_day") == F.col("day"))
+    daily = spine.join(counted, same, "left").select(
+        F.col("_place").alias(place), F.col("_day").alias("day"), F.coalesce("n", F.lit(0)).alias("n"))
     number_of_day = F.unix_date("day")
     w = Window.partitionBy(place).orderBy(number_of_day).rangeBetween(-window_days, -1)
     scored = daily.withColumns({"mean": F.avg("n").over(w), "deviation": F.stddev_pop("n").over(w),
                                 "days_before": F.count("n").over(w)})
-    z = F.try_divide(F.col("n") - F.col("mean"), F.col("deviation"))
-    return scored.withColumn("z", z).filter(F.col("z") > threshold)
+    z = F.try_divide(F.col("n") - F.col("mean"), F.nullif(F.col("deviation"), F.lit(0.0)))
+    flat = (F.col("deviation") == 0) & (F.col("n") > F.col("mean"))
+    return scored.withColumn("z", z).filter((F.col("z") > threshold) | flat)

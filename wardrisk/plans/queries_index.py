@@ -101,6 +101,7 @@ SELECT kecamatan, crime_shown, health_shown, crime_rank, health_rank, total_kasu
        CASE WHEN crime_shown >= 60 THEN '{fixed.CRIME_ADVICE[0][0]}' WHEN crime_shown >= 40 THEN '{fixed.CRIME_ADVICE[1][0]}'
             ELSE '{fixed.CRIME_ADVICE[2][0]}' END AS crime_advice,
        CASE WHEN indeks_kesehatan >= 50 THEN '{fixed.HEALTH_ADVICE[0][0]}' ELSE '{fixed.HEALTH_ADVICE[1][0]}' END AS health_advice,
+       printf('%.3f', coalesce(crime_rate, 0)) AS crime_rate_shown,
        CASE WHEN crime_shown > health_shown THEN '{fixed.PRIORITY_CRIME}' ELSE '{fixed.PRIORITY_HEALTH}' END AS priority,
        printf('%.2f', coalesce(hfr, 0) * 100) || '%' AS hfr_shown
 FROM shown""")
@@ -251,7 +252,10 @@ def lookup_by_name(spark, sf_dir):
     spelled = F.when(F.col("s_suppkey") % 10 == 0, F.concat(F.lit("Darmo "), "n_name")).otherwise(
         F.concat(F.lit("Kecamatan "), F.initcap("n_name"), F.lit(" ")))
     suppliers = roles.table(spark, sf_dir, "supplier").join(names, "s_nationkey").select("s_suppkey", spelled.alias("place"))
-    found = report.lookup_by_name(suppliers, roles.crime(spark, sf_dir), "place", "kecamatan", ["indeks_kriminalitas"])
+    table = roles.crime(spark, sf_dir).select("kecamatan", "indeks_kriminalitas")
+    # The table has every district in a second spelling too, with another value: the first name in order counts.
+    twice = table.unionByName(table.select(F.concat(F.lit("kecamatan "), F.lower("kecamatan")), F.lit(-1.0)).toDF(*table.columns))
+    found = report.lookup_by_name(suppliers, twice, "place", "kecamatan", ["indeks_kriminalitas"])
     return rounded(found.drop("place"))
 
 

@@ -15,7 +15,7 @@ from ..sources import readers, writers
 from ..streaming import news as streams
 from . import medallion, roles
 from .queries_index import rounded
-from .queries_news import PROPS, YEARS, YEARS_SQL, wide_years, yearly_orders
+from .queries_news import PROPS, YEAR_RANGE_SQL, YEARS_SQL, wide_years, year_range, yearly_orders
 from .queries_text import HTML_SQL
 from .registry import query
 from .roles import BOTH_SQL, NEWS_SQL
@@ -40,16 +40,17 @@ def delimited_files(spark, sf_dir):
 
 
 @query("period_files", f"""
-WITH {YEARS_SQL.strip()} SELECT nation, year, n FROM yearly""")
+WITH {YEARS_SQL.strip()} SELECT nation, CAST(year AS VARCHAR) AS period, 1 AS present FROM yearly""")
 def period_files(spark, sf_dir):
-    """One file per year, each landed twice, read together with the copies left out."""
+    """One file per year, each landed twice, read together: copies of a year go, equal files of two years stay."""
     path = writers.scratch_dir(spark, "periods")
-    yearly = yearly_orders(spark, sf_dir).select("nation", "year", "n", F.col("year").alias("period"))
+    yearly = yearly_orders(spark, sf_dir).select("nation", F.lit(1).alias("present"), F.col("year").alias("period"))
     for copy in ("first", "second"):
-        # One sorted file per year: the rows of a year are one per nation.
+        # One sorted file per year: the rows of a year are one per nation, and most years have the same lines.
         yearly.repartition("period").sortWithinPartitions("nation").write.partitionBy("period").option("header", True).csv(f"{path}/{copy}")
-    rows = readers.read_periods(spark, [f"{path}/first/*", f"{path}/second/*"], "nation int, year int, n long")
-    return rows.select("nation", "year", "n")
+    rows = readers.read_periods(spark, [f"{path}/first/*", f"{path}/second/*"], "nation int, present int",
+                                period=lambda file: F.regexp_extract(file, r"period=(\d+)", 1))
+    return rows.select("nation", "period", "present")
 
 
 @query("feed_items", f"""
@@ -95,16 +96,21 @@ def write_feed(spark, sf_dir) -> str:
 
 
 @query("ingest_statistics", """
-WITH usable AS (SELECT substr(sha256(url), 1, 16) AS id FROM pages WHERE NOT contains(url, 'utm_source')),
+WITH got AS (SELECT * FROM pages WHERE page_id % 41 <> 0),
+usable AS (SELECT substr(sha256(url), 1, 16) AS id FROM got WHERE NOT contains(url, 'utm_source')),
 ids AS (SELECT id, count(*) AS n FROM usable GROUP BY ALL),
 sent AS (SELECT count(*) AS sent FROM ids WHERE id NOT IN (SELECT substr(sha256(url), 1, 16) FROM pages WHERE starts_with(url, 'http://')))
-SELECT (SELECT count(*) FROM pages) AS fetched, (SELECT count(*) FROM usable) AS usable,
-       (SELECT count(*) FROM usable) - sent AS duplicates, sent FROM sent""")
+SELECT (SELECT count(*) FROM got) AS fetched, (SELECT count(*) FROM usable) AS usable,
+       (SELECT count(*) FROM usable) - sent AS duplicates, sent, (SELECT count(*) FROM pages WHERE page_id % 41 = 0) AS errors,
+       (SELECT count(DISTINCT page_id // 100) FROM pages) AS cycles FROM sent""")
 def ingest_statistics(spark, sf_dir):
+    """Pages as the items of rounds of a hundred; some of the fetches failed."""
     pages = roles.table(spark, sf_dir, "pages")
     link = F.when(F.contains("url", F.lit("utm_source")), F.lit("https://news.google.com/search?q=1")).otherwise(F.col("url"))
     seen = pages.filter(F.startswith("url", F.lit("http://"))).select(F.substring(F.sha2("url", 256), 1, 16).alias("id_berita"))
-    return readers.ingest_statistics(pages.select(link.alias("link")), seen)
+    items = pages.select(link.alias("link"), F.when(F.col("page_id") % 41 == 0, "timeout").alias("error"),
+                         F.floor(F.col("page_id") / 100).alias("cycle"))
+    return readers.ingest_statistics(items, seen, "error", "cycle")
 
 
 @query("html_rows", r"""
@@ -123,28 +129,38 @@ def html_rows(spark, sf_dir):
 
 
 @query("report_rows", f"""
-WITH {YEARS_SQL.strip()}
+WITH {YEARS_SQL.strip()}, {YEAR_RANGE_SQL.strip()}
 SELECT 'sheet ' || n_regionkey AS report, CASE WHEN n_nationkey % 2 = 0 THEN 'regency' ELSE 'municipality' END AS section,
        n_name AS name, CAST(y AS VARCHAR) AS tahun, CAST(coalesce(n, 0) * 37 AS DOUBLE) AS jumlah
-FROM nation CROSS JOIN range(1995, 2002) AS t(y) LEFT JOIN yearly ON nation = n_nationkey AND year = y
-WHERE n_nationkey IN (SELECT nation FROM yearly)""")
+FROM nation CROSS JOIN years LEFT JOIN yearly ON nation = n_nationkey AND year = y
+WHERE n_nationkey IN (SELECT nation FROM yearly) AND NOT (n_nationkey % 4 = 1 AND y % 2 = 0)""")
 def report_rows(spark, sf_dir):
-    """Sheets per region: title, header, two sections, thousands commas, total and note."""
-    cells = {f"c{i}": str(y) for i, y in enumerate(YEARS, 2)}
-    wide = wide_years(spark, sf_dir).select("nation", *[F.format_number(F.col(y) * 37, 0).alias(c) for c, y in cells.items()])
+    """Sheets per region with two sections, thousands commas, empty cells, total and note, written and read as report files."""
+    path = writers.scratch_dir(spark, "sheets")
+    years = year_range(spark, sf_dir)
+    cells = {f"c{i}": str(y) for i, y in enumerate(years, 2)}
+    empty = F.col("nation") % 4 == 1
+    wide = wide_years(spark, sf_dir, years).select("nation", *[
+        F.when(~empty | F.lit(y % 2 == 1), F.format_number(F.col(str(y)) * 37, 0)).alias(c) for (c, y) in zip(cells, years)])
     nation = roles.table(spark, sf_dir, "nation")
     sheet = F.concat(F.lit("sheet "), F.col("n_regionkey").cast("string"))
     body = nation.join(wide, F.col("nation") == F.col("n_nationkey")).select(
-        sheet.alias("report"), (F.col("n_nationkey") + F.when(F.col("n_nationkey") % 2 == 0, 100).otherwise(1000)).cast("long").alias("line"),
-        F.col("n_name").alias("name"), *cells)
+        sheet.alias("sheet"), (F.col("n_nationkey") + F.when(F.col("n_nationkey") % 2 == 0, 100).otherwise(1000)).cast("long").alias("line"),
+        F.col("n_name").alias("name"), F.lit(None).cast("string").alias("c1"), *cells)
     none, totals = [None] * len(cells), ["9,999"] * len(cells)
-    fixed_lines = [(0, "Cases, 1995-2001", none), (1, "Name", ["Total", *none[1:]]), (2, None, list(cells.values())),
-                   (99, "Kabupaten/Regency", none), (999, "Kota/Municipality ", none), (5000, "All", totals), (5001, "Note: none", none)]
-    frame = F.array(*[F.struct(F.lit(at).cast("long").alias("line"), *[F.lit(v).cast("string").alias(n) for n, v in zip(["name", *cells], [text, *rest])])
+    fixed_lines = [(0, "Cases", none), (1, "Name", ["Total", *none[1:]]), (2, None, list(cells.values())),
+                   (99, "Kabupaten/Regency", none), (999, "Kota/Municipality ", none), (5000, "All", totals), (5001, "Note: none\nSource: none", none)]
+    frame = F.array(*[F.struct(F.lit(at).cast("long").alias("line"), *[F.lit(v).cast("string").alias(n) for n, v in zip(["name", "c1", *cells], [text, None, *rest])])
                       for at, text, rest in fixed_lines])
-    around = nation.select(sheet.alias("report")).distinct().select("report", F.inline(frame))
-    return reshape.report_rows(body.unionByName(around), "report", "line", "name", cells,
+    around = nation.select(sheet.alias("sheet")).distinct().select("sheet", F.inline(frame))
+    # One small file per sheet, its lines in order.
+    (body.unionByName(around).repartition("sheet").sortWithinPartitions("sheet", "line").drop("line")
+     .write.partitionBy("sheet").option("quote", '"').csv(path))
+    raw = readers.read_report(spark, f"{path}/*/*.csv", 2 + len(cells))
+    named = raw.withColumn("report", F.replace(F.regexp_extract("report", r"sheet=([^/]+)/", 1), F.lit("%20"), F.lit(" ")))
+    rows = reshape.report_rows(named, "report", "line", "c0", cells,
                                {"Kabupaten/Regency": "regency", "Kota/Municipality": "municipality"}, ["All"])
+    return rows.withColumnRenamed("c0", "name")
 
 
 @query("messages", """
@@ -170,16 +186,17 @@ def gold_table(spark, sf_dir):
 
 @query("document", f"""
 WITH {BOTH_SQL}, {NEWS_SQL.strip()}
-SELECT 'kriminalitas' AS section, row_number() OVER (ORDER BY indeks_kriminalitas DESC, kecamatan) - 1 AS position,
-       kecamatan AS name, round(indeks_kriminalitas, 6) AS value FROM crime
-UNION ALL SELECT 'kesehatan', row_number() OVER (ORDER BY indeks_kesehatan DESC, kecamatan) - 1, kecamatan, round(indeks_kesehatan, 6) FROM health
+SELECT * FROM (SELECT 'kriminalitas' AS section, row_number() OVER (ORDER BY indeks_kriminalitas DESC, kecamatan) - 1 AS position,
+       kecamatan AS name, round(indeks_kriminalitas, 6) AS value FROM crime) WHERE position < 20
+UNION ALL SELECT * FROM (SELECT 'kesehatan', row_number() OVER (ORDER BY indeks_kesehatan DESC, kecamatan) - 1 AS position, kecamatan, round(indeks_kesehatan, 6) FROM health)
+  WHERE position < 20
 UNION ALL SELECT * FROM (SELECT 'berita' AS section, row_number() OVER (ORDER BY tanggal_publikasi DESC, id_berita) - 1 AS position, id_berita AS name,
        NULL::DOUBLE AS value FROM news_rows WHERE kecamatan_terdeteksi <> 'unknown' ORDER BY position LIMIT 50)""")
 def document(spark, sf_dir):
-    """The published document, written as JSON and read back as its three relations."""
+    """The published document (top 20 districts, latest 50 news), written as JSON and read back as its three relations."""
     gold = gold_table(spark, sf_dir)
     path = writers.scratch_dir(spark, "document")
-    writers.write_document(writers.publish(gold, gold, roles.event_news(spark, sf_dir), 50, "2024-01-31T00:00:00"), path)
+    writers.write_document(writers.publish(gold, gold, roles.event_news(spark, sf_dir), 50, 20, "2024-01-31T00:00:00"), path)
     parts = readers.read_document(spark, path)
     columns = {"kriminalitas": ("kecamatan", "indeks_kriminalitas"), "kesehatan": ("kecamatan", "indeks_kesehatan"), "berita": ("id_berita", None)}
     return rounded(reshape.union_all([
@@ -189,26 +206,39 @@ def document(spark, sf_dir):
 
 @query("export_rows", f"""
 WITH {BOTH_SQL}, {NEWS_SQL.strip()}
-SELECT 'kriminalitas' AS section, kecamatan AS key, CAST(total_kasus_kriminal AS VARCHAR) AS cases FROM crime
-UNION ALL SELECT 'kesehatan', kecamatan, CAST(total_kasus_wabah AS VARCHAR) FROM health
-UNION ALL SELECT 'berita', id_berita, kategori FROM (SELECT * FROM news_rows WHERE kecamatan_terdeteksi <> 'unknown' ORDER BY tanggal_publikasi DESC, id_berita LIMIT 100)""")
+SELECT 'kriminalitas' AS section, row_number() OVER (ORDER BY indeks_kriminalitas DESC NULLS LAST, kecamatan) - 1 AS position,
+       kecamatan AS key, CAST(total_kasus_kriminal AS VARCHAR) AS cases FROM crime
+UNION ALL SELECT 'kesehatan', row_number() OVER (ORDER BY indeks_kesehatan DESC NULLS LAST, kecamatan) - 1, kecamatan, CAST(total_kasus_wabah AS VARCHAR) FROM health
+UNION ALL SELECT * FROM (SELECT 'berita', row_number() OVER (ORDER BY tanggal_publikasi DESC, id_berita) - 1 AS position, id_berita, kategori
+  FROM news_rows WHERE kecamatan_terdeteksi <> 'unknown' ORDER BY position LIMIT 100)""")
 def export_rows(spark, sf_dir):
+    """Every district and the latest 100 news as rows with their place in the display order."""
     gold = gold_table(spark, sf_dir)
     rows = writers.publish_rows(gold, gold, roles.event_news(spark, sf_dir), 100)
     fields = [F.get_json_object("payload", f"$.{c}") for c in ("total_kasus_kriminal", "total_kasus_wabah", "kategori")]
-    return rows.select("section", "key", F.coalesce(*fields).alias("cases"))
+    return rows.select("section", "position", "key", F.coalesce(*fields).alias("cases"))
 
 
 @query("csv_export", f"""
 WITH {BOTH_SQL}
-SELECT '"' || kecamatan || '","' || total_kasus_kriminal || '","' || printf('%.2f', crime_rate) || '","' || printf('%.2f', indeks_kriminalitas) || '"' AS line
-FROM crime""")
+SELECT '"' || kecamatan || '","' || total_kasus_kriminal || '","' || printf('%.2f', crime_rate) || '","' || printf('%.2f', indeks_kriminalitas) || '"' AS line,
+       false AS head FROM crime
+UNION ALL SELECT chr(65279) || '"Kecamatan","Total Kasus","Crime Rate","Indeks Kriminalitas"', true""")
 def csv_export(spark, sf_dir):
+    """The lines of the export; the header with its byte order mark is the first line of each file, and of no other place."""
     path = writers.scratch_dir(spark, "csv")
     writers.write_csv(roles.crime(spark, sf_dir), path, {
         "kecamatan": "Kecamatan", "total_kasus_kriminal": "Total Kasus", "crime_rate": "Crime Rate",
         "indeks_kriminalitas": "Indeks Kriminalitas"}, decimals=("crime_rate", "indeks_kriminalitas"))
-    return spark.read.text(path).filter("value NOT LIKE '%Kecamatan%'").withColumnRenamed("value", "line")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    # The files are small and not split, so the first line of a file has its least number.
+    first = lines.groupBy("file").agg(F.min("at").alias("at")).withColumn("head", F.lit(True))
+    # The text reader takes the mark away, so it is looked up in the bytes.
+    mark = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select(
+        F.col("path").alias("file"), F.when(F.substring("content", 1, 3) == F.lit(b"\xef\xbb\xbf"), "\ufeff").otherwise("").alias("mark"))
+    marked = lines.join(first, ["file", "at"], "left").join(mark.withColumn("head", F.lit(True)), ["file", "head"], "left").select(
+        F.concat(F.coalesce("mark", F.lit("")), "value").alias("line"), F.coalesce("head", F.lit(False)).alias("head"))
+    return marked.filter("head").distinct().unionByName(marked.filter("NOT head"))
 
 
 @query("verify_layer", """
@@ -270,13 +300,20 @@ def stream_silver(spark, sf_dir):
     return news.select("id_berita", "kategori", iso_text("tanggal_publikasi").alias("published"), "kecamatan_terdeteksi")
 
 
-@query("stream_dedup", "SELECT DISTINCT event_type, user_id FROM events")
+@query("stream_dedup", """
+SELECT DISTINCT event_type, user_id, NULL::BIGINT AS event_id FROM events WHERE event_type <> 'error'
+UNION ALL SELECT NULL, user_id, event_id FROM events WHERE event_type = 'error'""")
 def stream_dedup(spark, sf_dir):
-    events = event_files(spark, sf_dir)
-    keyed = events.select("event_type", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    """Two streams over the events, the latest days first: late first-time keys stay, and all rows without a key."""
     path = writers.scratch_dir(spark, "dedup")
-    streams.drain(streams.dedup_stream(keyed, ["event_type", "user_id"], "ts", "60 days").drop("ts"), f"{path}/out", f"{path}/checkpoint")
-    return readers.read_table(spark, f"{path}/out")
+    key = F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_type")
+    middle = F.lit("2024-01-15").cast("timestamp_ntz")
+    for part, days in (("late", F.col("ts") >= middle), ("early", F.col("ts") < middle)):
+        rows = event_files(spark, sf_dir).filter(days).select(key, "user_id", "event_id")
+        streams.dedup_stream(rows, ["event_type", "user_id"], f"{path}/out", f"{path}/seen", f"{path}/checkpoint-{part}",
+                             ["event_id"]).awaitTermination()
+    kept = readers.read_table(spark, f"{path}/out")
+    return kept.select("event_type", "user_id", F.when(F.col("event_type").isNull(), F.col("event_id")).alias("event_id"))
 
 
 @query("stream_refresh", "SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY ALL")
@@ -288,8 +325,10 @@ def stream_refresh(spark, sf_dir):
     def refresh(fresh, batch_id):
         fresh.groupBy("event_type").agg(F.count(F.lit(1)).alias("users")).write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
 
-    streams.refresh_on_new(events.select("event_type", "user_id"), f"{path}/seen", f"{path}/checkpoint",
-                           ["event_type", "user_id"], refresh).awaitTermination()
+    # A second stream over the same keys and the same table of seen keys finds nothing new.
+    for checkpoint in ("first", "second"):
+        streams.refresh_on_new(events.select("event_type", "user_id"), f"{path}/seen", f"{path}/checkpoint-{checkpoint}",
+                               ["event_type", "user_id"], refresh).awaitTermination()
     return readers.read_table(spark, f"{path}/out").groupBy("event_type").agg(F.sum("users").alias("users"))
 
 

@@ -80,11 +80,15 @@ def dedup_rows(spark, sf_dir):
 
 
 @query("dedup_news", """
-SELECT user_id, event_type, event_id FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts) AS r FROM events) WHERE r = 1""")
+WITH items AS (SELECT CASE WHEN event_id % 10 <> 7 THEN user_id END AS id_berita, date_trunc('day', ts) AS day, event_id FROM events)
+SELECT id_berita, event_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY id_berita ORDER BY day, event_id) AS r FROM items) WHERE r = 1 OR id_berita IS NULL""")
 def dedup_news(spark, sf_dir):
-    events = roles.table(spark, sf_dir, "events")
-    return clean.first_per_key(events, ["user_id", "event_type"], [F.col("ts").asc()]).select("user_id", "event_type", "event_id")
+    """The first item per id; broken items have no id and all stay, equal times go by the other columns."""
+    events = roles.table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 10 != 7, F.col("user_id")).alias("id_berita"), "event_id",
+        F.date_trunc("day", F.col("ts").cast("timestamp")).alias("kafka_timestamp"))
+    return clean.dedup_news(events).select("id_berita", "event_id")
 
 
 @query("dedup_text", """
@@ -286,7 +290,14 @@ yearly AS (SELECT c_nationkey AS nation, CAST(year(o_orderdate) AS INTEGER) AS y
            FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL)"""
 
 
-YEARS = range(1995, 2002)
+YEAR_RANGE_SQL = """
+years AS (SELECT unnest(generate_series((SELECT min(year(o_orderdate)) FROM orders), (SELECT max(year(o_orderdate)) FROM orders))) AS y)"""
+
+
+def year_range(spark, sf_dir) -> list[int]:
+    """The years of the orders, first to last: the columns of a wide table have to be known."""
+    first, last = roles.table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    return list(range(first, last + 1)) if first is not None else []
 
 
 def yearly_orders(spark, sf_dir):
@@ -305,18 +316,19 @@ def trend_change(spark, sf_dir):
     return reshape.trend_change(yearly_orders(spark, sf_dir), "year", "n", ["nation"])
 
 
-def wide_years(spark, sf_dir):
-    counts = [F.sum(F.when(F.col("year") == y, F.col("n")).otherwise(0)).alias(str(y)) for y in YEARS]
-    return yearly_orders(spark, sf_dir).groupBy("nation").agg(*counts)
+def wide_years(spark, sf_dir, years):
+    counts = [F.sum(F.when(F.col("year") == y, F.col("n")).otherwise(0)).alias(str(y)) for y in years]
+    return yearly_orders(spark, sf_dir).groupBy("nation").agg(F.count(F.lit(1)).alias("_years"), *counts).drop("_years")
 
 
 @query("unpivot_years", f"""
-WITH {YEARS_SQL.strip()}
+WITH {YEARS_SQL.strip()}, {YEAR_RANGE_SQL.strip()}
 SELECT k.nation, CAST(y AS VARCHAR) AS tahun, coalesce(n, 0) AS jumlah
-FROM (SELECT DISTINCT nation FROM yearly) k CROSS JOIN range(1995, 2002) AS t(y)
+FROM (SELECT DISTINCT nation FROM yearly) k CROSS JOIN years
 LEFT JOIN yearly ON yearly.nation = k.nation AND year = y""")
 def unpivot_years(spark, sf_dir):
-    return reshape.to_long(wide_years(spark, sf_dir), ["nation"], [str(y) for y in YEARS])
+    years = year_range(spark, sf_dir)
+    return reshape.to_long(wide_years(spark, sf_dir, years), ["nation"], [str(y) for y in years])
 
 
 @query("split_union", """
@@ -331,34 +343,31 @@ def split_union(spark, sf_dir):
 
 
 MONTHS_SQL = """
-spine AS (SELECT n_nationkey AS nation, CAST(m AS DATE) AS month FROM nation
-          CROSS JOIN generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH) AS t(m)),
-known AS (SELECT c_nationkey AS nation, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n
-          FROM orders JOIN customer ON c_custkey = o_custkey
-          WHERE month(o_orderdate) IN (3, 6, 9, 12) GROUP BY ALL),
-joined AS (SELECT nation, month, n FROM spine LEFT JOIN known USING (nation, month))"""
+known AS (SELECT o_custkey AS customer, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n FROM orders GROUP BY ALL),
+spine AS (SELECT customer, CAST(unnest(generate_series((SELECT min(month) FROM known), (SELECT max(month) FROM known), INTERVAL 1 MONTH)) AS DATE) AS month
+          FROM (SELECT DISTINCT customer FROM known)),
+joined AS (SELECT customer, month, n FROM spine LEFT JOIN known USING (customer, month))"""
 
 
 def monthly_known(spark, sf_dir):
-    """Order counts per nation for the last month of each quarter, as quarterly figures are."""
-    orders = (roles.table(spark, sf_dir, "orders").filter(F.month("o_orderdate").isin(3, 6, 9, 12))
-              .select(F.col("o_custkey").alias("c_custkey"), F.trunc("o_orderdate", "month").alias("month")))
-    per_customer = orders.groupBy("c_custkey", "month").agg(F.count(F.lit(1)).alias("n"))
-    customers = roles.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
-    return per_customer.join(customers, "c_custkey").groupBy("nation", "month").agg(F.sum("n").alias("n"))
+    """Order counts per customer and month: a customer orders in few of the months."""
+    orders = roles.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer"), F.trunc("o_orderdate", "month").alias("month"))
+    return orders.groupBy("customer", "month").agg(F.count(F.lit(1)).alias("n"))
 
 
 def monthly_spine(spark, sf_dir):
-    keys = roles.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"))
-    return reshape.month_spine(keys, "1995-01-01", "2001-12-01")
+    """Every month from the first to the last order, for each customer with an order."""
+    orders = roles.table(spark, sf_dir, "orders")
+    ends = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    return reshape.month_spine(orders.select(F.col("o_custkey").alias("customer")), *ends)
 
 
 @query("forward_fill", f"""
 WITH {MONTHS_SQL.strip()}
-SELECT nation, strftime(month, '%Y-%m') AS month, n,
-       last_value(n IGNORE NULLS) OVER (PARTITION BY nation ORDER BY month ROWS UNBOUNDED PRECEDING) AS filled FROM joined""")
+SELECT customer, strftime(month, '%Y-%m') AS month, n,
+       last_value(n IGNORE NULLS) OVER (PARTITION BY customer ORDER BY month ROWS UNBOUNDED PRECEDING) AS filled FROM joined""")
 def forward_fill(spark, sf_dir):
-    filled = reshape.forward_fill(monthly_spine(spark, sf_dir), monthly_known(spark, sf_dir), "nation", "month", "n", "filled")
+    filled = reshape.forward_fill(monthly_spine(spark, sf_dir), monthly_known(spark, sf_dir), "customer", "month", "n", "filled")
     return filled.withColumn("month", F.date_format("month", "yyyy-MM"))
 
 
@@ -367,13 +376,13 @@ WITH {MONTHS_SQL.strip()},
 ends AS (
   SELECT *, last_value(n IGNORE NULLS) OVER b AS v0, last_value(CASE WHEN n IS NOT NULL THEN month END IGNORE NULLS) OVER b AS t0,
          first_value(n IGNORE NULLS) OVER a AS v1, first_value(CASE WHEN n IS NOT NULL THEN month END IGNORE NULLS) OVER a AS t1
-  FROM joined WINDOW b AS (PARTITION BY nation ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-                     a AS (PARTITION BY nation ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-SELECT nation, strftime(month, '%Y-%m') AS month, n, round(coalesce(v0 + (v1 - v0) *
+  FROM joined WINDOW b AS (PARTITION BY customer ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                     a AS (PARTITION BY customer ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT customer, strftime(month, '%Y-%m') AS month, n, round(coalesce(v0 + (v1 - v0) *
        coalesce(date_diff('month', t0, month)::DOUBLE / nullif(date_diff('month', t0, t1), 0), 0), v0, v1)::DOUBLE, 6) AS blended
 FROM ends""")
 def interpolate(spark, sf_dir):
-    blended = reshape.interpolate(monthly_spine(spark, sf_dir), monthly_known(spark, sf_dir), "nation", "month", "n", "blended")
+    blended = reshape.interpolate(monthly_spine(spark, sf_dir), monthly_known(spark, sf_dir), "customer", "month", "n", "blended")
     return rounded(blended.withColumns({"month": F.date_format("month", "yyyy-MM"), "blended": F.col("blended").cast("double")}))
 
 
@@ -397,13 +406,20 @@ def monthly_index(spark, sf_dir):
 
 @query("news_spikes", f"""
 WITH {NEWS_SQL.strip()},
-daily AS (SELECT kecamatan_terdeteksi, CAST(tanggal_publikasi AS DATE) AS day, count(*) AS n FROM news_rows GROUP BY ALL),
+user_news AS (SELECT sumber AS kecamatan_terdeteksi, CAST(tanggal_publikasi AS DATE) AS day, count(*) AS n FROM news_rows GROUP BY ALL),
+daily AS (SELECT s.kecamatan_terdeteksi, s.day, coalesce(n, 0) AS n FROM (
+            SELECT kecamatan_terdeteksi, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day
+            FROM (SELECT kecamatan_terdeteksi, min(day) AS a, max(day) AS b FROM user_news GROUP BY kecamatan_terdeteksi)) s
+          LEFT JOIN user_news USING (kecamatan_terdeteksi, day)),
 scored AS (SELECT *, avg(n) OVER w AS mean, stddev_pop(n) OVER w AS deviation, count(n) OVER w AS days_before FROM daily
            WINDOW w AS (PARTITION BY kecamatan_terdeteksi ORDER BY day RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
 SELECT kecamatan_terdeteksi, strftime(day, '%Y-%m-%d') AS day, n, round(mean, 6) AS mean, round(deviation, 6) AS deviation,
-       days_before, round((n - mean) / nullif(deviation, 0), 6) AS z FROM scored WHERE (n - mean) / nullif(deviation, 0) > 2""")
+       days_before, round((n - mean) / nullif(deviation, 0), 6) AS z FROM scored
+WHERE (n - mean) / nullif(deviation, 0) > 2 OR (deviation = 0 AND n > mean)""")
 def news_spikes(spark, sf_dir):
-    spikes = reshape.news_spikes(roles.event_news(spark, sf_dir), "kecamatan_terdeteksi", "tanggal_publikasi")
+    """Spikes per user, whose days are mostly without news: flat histories and gaps are the usual case."""
+    news = roles.event_news(spark, sf_dir).select(F.col("sumber").alias("kecamatan_terdeteksi"), "tanggal_publikasi")
+    spikes = reshape.news_spikes(news, "kecamatan_terdeteksi", "tanggal_publikasi")
     return rounded(spikes.withColumn("day", F.date_format("day", "yyyy-MM-dd")))
 
 

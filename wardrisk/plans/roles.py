@@ -48,13 +48,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of long texts, spread over the cores if its files give fewer tasks than that.
-
-    A table with enough files for all cores is read as it is, without a shuffle.
-    """
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A table of long texts, read as it is: its files and ``spark.sql.files.maxPartitionBytes`` set the tasks."""
+    return table(spark, sf_dir, name)
 
 
 def per_nation(detail: DataFrame, customer: str, customers: DataFrame, measures) -> DataFrame:
@@ -148,6 +143,10 @@ def crime(spark: SparkSession, sf_dir: str, by: str | None = None) -> DataFrame:
 
 
 def health(spark: SparkSession, sf_dir: str, by: str | None = None) -> DataFrame:
+    if by is None:
+        return dual_index(districts(spark, sf_dir, returned=True, quantity=True), [event_counts(spark, sf_dir), facilities(spark, sf_dir)]).select(
+            "kecamatan", "jumlah_penduduk", "kasus_wabah_baseline", "total_kasus_berita_wabah", "total_faskes", "total_kasus_wabah",
+            "incidence_rate", "hfr", "norm_ir", "norm_hfr", "indeks_kesehatan")
     disease = districts(spark, sf_dir, quantity=True).select("kecamatan", "kasus_wabah_baseline")
     return health_index(districts(spark, sf_dir), disease, facilities(spark, sf_dir), event_counts(spark, sf_dir), by=by)
 

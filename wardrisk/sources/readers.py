@@ -105,16 +105,24 @@ def feed_items(items: DataFrame, category: str | Column, now: Column | None = No
         F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd'T'HH:mm:ss").alias("ingested_at"))
 
 
-def ingest_statistics(items: DataFrame, seen: DataFrame) -> DataFrame:
-    """One row: items fetched, usable, repeated in the batch, already known, to be sent."""
-    usable = items.filter(is_article_link("link")).select(stable_id("link").alias("id_berita"))
+def ingest_statistics(items: DataFrame, seen: DataFrame, error: str | None = None, cycle: str | None = None) -> DataFrame:
+    """One row: items fetched, usable, repeated in the batch or already known, to be sent, errors and cycles.
+
+    ``error`` names a column with the message of a fetch that failed; such rows are no items.
+    ``cycle`` names a column with the round that brought the row; rows with an error count there too.
+    """
+    failed = F.lit(False) if error is None else F.col(error).isNotNull()
+    rounds = F.lit(1).cast("long") if cycle is None else F.count_distinct(cycle)
+    got = items.filter(~failed)
+    usable = got.filter(is_article_link("link")).select(stable_id("link").alias("id_berita"))
     known = seen.select("id_berita").distinct().withColumn("_known", F.lit(True))
     per_id = usable.groupBy("id_berita").agg(F.count(F.lit(1)).alias("n")).join(known, "id_berita", "left")
     stats = per_id.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("usable"),
         F.coalesce(F.sum(F.when(F.col("_known").isNull(), 1)), F.lit(0)).alias("sent"))
-    fetched = items.agg(F.count(F.lit(1))).scalar()
-    return stats.select(fetched.alias("fetched"), "usable", (F.col("usable") - F.col("sent")).alias("duplicates"), "sent")
+    all_rows = items.agg(F.struct(F.count_if(~failed).alias("fetched"), F.count_if(failed).alias("errors"), rounds.alias("cycles"))).scalar()
+    counted = stats.withColumn("_all", all_rows)
+    return counted.select("_all.fetched", "usable", (F.col("usable") - F.col("sent")).alias("duplicates"), "sent", "_all.errors", "_all.cycles")
 
 
 # --- period files ---------------------------------------------------------------------
@@ -131,19 +139,27 @@ def file_fingerprints(spark: SparkSession, path) -> DataFrame:
         F.sum(F.xxhash64(F.lit("s"), "value").cast("decimal(38,0)")).alias("h2"))
 
 
-def distinct_files(spark: SparkSession, path) -> DataFrame:
-    """The first path of each group of files with the same lines."""
-    return file_fingerprints(spark, path).groupBy("lines", "h1", "h2").agg(
-        F.min("file").alias("file"), F.count(F.lit(1)).alias("copies")).select("file", "lines", "copies")
+def file_stem(file: Column) -> Column:
+    """Name of a file without its folders and its extension: copies of a period share it."""
+    return F.regexp_extract(file, r"([^/]*?)(?:\.[^./]*)?$", 1)
+
+
+def distinct_files(spark: SparkSession, path, period=file_stem) -> DataFrame:
+    """The first path of each group of files of one period with the same lines.
+
+    ``period`` makes a column out of the path of a file.  Equal files of different periods all stay.
+    """
+    return file_fingerprints(spark, path).groupBy(period(F.col("file")).alias("period"), "lines", "h1", "h2").agg(
+        F.min("file").alias("file"), F.count(F.lit(1)).alias("copies")).select("file", "period", "lines", "copies")
 
 
-def read_periods(spark: SparkSession, path, schema=None, sep: str = ",") -> DataFrame:
-    """One file per period, read together, each row with its file; repeated files once."""
+def read_periods(spark: SparkSession, path, schema=None, sep: str = ",", period=file_stem) -> DataFrame:
+    """One file per period, read together, each row with its file and period; a period's repeated files once."""
     data = read_delimited(spark, path, schema, sep, enforceSchema=False) if schema else read_delimited(spark, path, None, sep)
     data = data.withColumn("_file", F.col("_metadata.file_path"))
     data = data.withColumn("source_file", F.col("_metadata.file_name"))
-    keep = distinct_files(spark, path).select(F.col("file").alias("_file"))
-    return data.join(keep, "_file", "left_semi").drop("_file")
+    keep = distinct_files(spark, path, period).select(F.col("file").alias("_file"), "period")
+    return data.join(keep, "_file").drop("_file")
 
 
 # --- report sheets and HTML tables ----------------------------------------------------

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_text, iso_text
@@ -25,6 +26,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/wardrisk/{name}-{uuid.uuid4().hex}"
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The frame with its rows kept in the shared checkpoint folder; Spark removes them with the frame if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoints"))
+    return df.checkpoint(eager=True)
+
+
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by=()) -> None:
     """Replace a table, schema included."""
     writer = df.write.format(fmt).mode("overwrite").partitionBy(*partition_by)
@@ -75,56 +85,60 @@ CRIME_FIELDS = ["kecamatan", "total_kasus_kriminal", "crime_rate", "indeks_krimi
 HEALTH_FIELDS = ["kecamatan", "total_kasus_wabah", "incidence_rate", "hfr", "indeks_kesehatan"]
 NEWS_FIELDS = ["id_berita", "judul", "link", "tanggal_publikasi", "sumber", "kategori",
                "kecamatan_terdeteksi", "deskripsi_mentah"]
-MAX_DOCUMENT_ROWS = 100_000
-
-
 def recent_news(news: DataFrame, n: int, place: str = "kecamatan_terdeteksi", ts: str = "tanggal_publikasi",
                 id_col: str = "id_berita", unknown: str = "unknown") -> DataFrame:
     """Most recent ``n`` news with a known place; undated news comes last."""
     return news.filter(F.col(place) != unknown).orderBy(F.col(ts).desc_nulls_last(), id_col).limit(n)
 
 
-def publish(crime: DataFrame, health: DataFrame, news: DataFrame, n: int = 50, last_updated=None) -> DataFrame:
-    """One row with the three lists the reader page loads, each in its display order.
+def _section(df: DataFrame, name: str, key: str, fields) -> DataFrame:
+    """Rows ``(section, position, key, row as JSON)`` of a table that has a ``position``."""
+    return df.select(F.lit(name).alias("section"), "position", F.col(key).alias("key"),
+                     F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("payload"))
 
-    The news list is limited by ``n``.  The index lists hold every district, so they are
-    refused above ``MAX_DOCUMENT_ROWS``; larger sets are published with
-    :func:`publish_rows`, which never gathers them.
-    """
-    def listed(df: DataFrame, fields, order):
-        row = F.struct(*order, F.struct(*fields).alias("row"))
-        rows = F.transform(F.array_sort(F.collect_list(row)), lambda r: r.row)
-        small = F.count(F.lit(1)) <= MAX_DOCUMENT_ROWS
-        # One row more than allowed is enough to refuse, so no more are ever gathered.
-        return df.limit(MAX_DOCUMENT_ROWS + 1).agg(F.when(small, rows).otherwise(
-            F.raise_error(F.lit("too many rows for one document, use publish_rows"))).alias("rows")).scalar()
-
-    def descending(column: str):
-        # Rows without a value come last.
-        return F.coalesce(-F.col(column), F.lit(float("inf"))).alias("o")
-
-    recent = recent_news(news, n).withColumns({
-        "_age": -F.unix_micros("tanggal_publikasi").cast("double"), "tanggal_publikasi": iso_text("tanggal_publikasi")})
-    stamp = iso_text(F.current_timestamp()) if last_updated is None else F.lit(last_updated)
-    spark = crime.sparkSession
-    return spark.range(1).select(
-        stamp.alias("last_updated"),
-        listed(crime, CRIME_FIELDS, [descending("indeks_kriminalitas"), F.col("kecamatan").alias("k")]).alias("kriminalitas"),
-        listed(health, HEALTH_FIELDS, [descending("indeks_kesehatan"), F.col("kecamatan").alias("k")]).alias("kesehatan"),
-        listed(recent, NEWS_FIELDS, [F.coalesce("_age", F.lit(float("inf"))).alias("o"), F.col("id_berita").alias("k")]).alias("berita"))
+
+def _newest(news: DataFrame, n: int) -> DataFrame:
+    """The ``n`` latest news with their position; the window sees those only."""
+    order = Window.orderBy(F.col("tanggal_publikasi").desc_nulls_last(), "id_berita")
+    numbered = recent_news(news, n).withColumn("position", (F.row_number().over(order) - 1).cast("long"))
+    return numbered.withColumn("tanggal_publikasi", iso_text("tanggal_publikasi"))
 
 
 def publish_rows(crime: DataFrame, health: DataFrame, news: DataFrame, n: int = 50) -> DataFrame:
-    """The same content as rows ``(section, key, sort_value, payload)`` for any number of districts."""
-    def rows(df: DataFrame, section: str, key: str, order: str, fields) -> DataFrame:
-        return df.select(F.lit(section).alias("section"), F.col(key).alias("key"),
-                         F.col(order).cast("string").alias("sort_value"),
-                         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("payload"))
+    """Rows ``(section, position, key, payload)``: every district by descending index, and the latest ``n`` news.
 
-    recent = recent_news(news, n).withColumn("tanggal_publikasi", iso_text("tanggal_publikasi"))
-    return (rows(crime, "kriminalitas", "kecamatan", "indeks_kriminalitas", CRIME_FIELDS)
-            .unionByName(rows(health, "kesehatan", "kecamatan", "indeks_kesehatan", HEALTH_FIELDS))
-            .unionByName(rows(recent, "berita", "id_berita", "tanggal_publikasi", NEWS_FIELDS)))
+    Districts are numbered by range partitions, so a table of any size can be published.
+    """
+    from ..operators.rank import number_rows
+
+    def ranked(df: DataFrame, column: str) -> DataFrame:
+        return number_rows(df, [F.col(column).desc_nulls_last(), F.col("kecamatan").asc()], "position")
+
+    return (_section(ranked(crime, "indeks_kriminalitas"), "kriminalitas", "kecamatan", CRIME_FIELDS)
+            .unionByName(_section(ranked(health, "indeks_kesehatan"), "kesehatan", "kecamatan", HEALTH_FIELDS))
+            .unionByName(_section(_newest(news, n), "berita", "id_berita", NEWS_FIELDS)))
+
+
+def publish(crime: DataFrame, health: DataFrame, news: DataFrame, n: int = 50, districts: int = 1000, last_updated=None) -> DataFrame:
+    """One row with the three lists of the reader page: the first ``districts`` of each index and the latest ``n`` news.
+
+    A top-n limit bounds each list before it is gathered; :func:`publish_rows` has the whole tables.
+    """
+    def first(df: DataFrame, column: str, fields) -> DataFrame:
+        order = [F.col(column).desc_nulls_last(), F.col("kecamatan").asc()]
+        top = df.orderBy(*order).limit(districts)
+        return top.select((F.row_number().over(Window.orderBy(*order)) - 1).cast("long").alias("position"), F.struct(*fields).alias("row"))
+
+    recent = _newest(news, n).select("position", F.struct(*NEWS_FIELDS).alias("row"))
+    parts = {"kriminalitas": first(crime, "indeks_kriminalitas", CRIME_FIELDS),
+             "kesehatan": first(health, "indeks_kesehatan", HEALTH_FIELDS), "berita": recent}
+    rows = reduce(DataFrame.unionByName, [
+        part.select(*[F.struct("position", "row").alias(s) if s == name else F.lit(None).cast(
+            f"struct<position: bigint, row: {parts[s].schema['row'].dataType.simpleString()}>").alias(s) for s in parts])
+        for name, part in parts.items()])
+    stamp = iso_text(F.current_timestamp()) if last_updated is None else F.lit(last_updated)
+    listed = [F.transform(F.array_sort(F.collect_list(s)), lambda x: x["row"]).alias(s) for s in parts]
+    return rows.agg(*listed).select(stamp.alias("last_updated"), *parts)
 
 
 def write_document(doc: DataFrame, path: str) -> None:
@@ -146,7 +160,8 @@ def csv_lines(df: DataFrame, columns: dict[str, str], decimals=(), digits: int =
 def write_csv(df: DataFrame, path: str, columns: dict[str, str], decimals=(), digits: int = 2) -> None:
     """CSV files with all fields quoted, a header and a byte order mark in each file.
 
-    The lines are finished text, so the CSV writer only adds the header line.
+    The lines are finished text, so the CSV writer only adds the header line.  Rows keep the order
+    of ``df`` within a file; an ordered frame gives files that follow one another.
     """
     lines, header = csv_lines(df, columns, decimals, digits)
     (lines.withColumnRenamed("line", "﻿" + header).write.mode("overwrite")

@@ -6,7 +6,9 @@ cluster that has the connectors, plain files elsewhere.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -72,14 +74,6 @@ def clean_news(raw: DataFrame, gazetteer=None) -> DataFrame:
     return placed.withColumn("silver_processed_at", F.current_timestamp())
 
 
-def dedup_stream(df: DataFrame, keys, ts: str, delay: str = "7 days") -> DataFrame:
-    """Drop repeated keys within the watermark delay.
-
-    The state is bounded by the delay: a repeat that comes later than that passes.
-    """
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
-
-
 def drain(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", block: bool = True,
           partition_by=(), max_wait: int | None = None) -> StreamingQuery:
     """Append everything that is available now, then stop.
@@ -98,31 +92,68 @@ def drain(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", block
     return query
 
 
-def refresh_on_new(df: DataFrame, seen_path: str, checkpoint: str, keys,
-                   refresh: Callable[[DataFrame, int], None]) -> StreamingQuery:
-    """Call ``refresh(new rows, batch id)`` for each batch that holds unseen keys.
+SEEN_BUCKETS = 16
 
-    The seen keys of a batch are stored under its id, and a repeated batch ignores its own
-    earlier entry, so a batch that is run again after a failure gives the same result.
+
+def _stream_name(checkpoint: str) -> str:
+    """Identity of a stream in the table of seen keys: its checkpoint is what makes it one stream."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def _on_first_seen(df: DataFrame, seen_path: str, checkpoint: str, keys, act: Callable[[DataFrame, int], None],
+                   order=(), buckets: int = SEEN_BUCKETS) -> StreamingQuery:
+    """Call ``act(rows, batch id)`` with the rows of each batch whose key no batch had before.
+
+    Seen keys lie in buckets by hash, under their stream and batch: a batch reads only the buckets of
+    its own keys, streams that share the table cannot overwrite each other, and a batch that runs
+    again ignores its own earlier entry and so gives the same rows.  Rows with a NULL in the key have
+    no identity: all of them pass, and none is remembered.
     """
-    keys = list(keys)
-    key_schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("batch", T.LongType())])
+    keys, stream = list(keys), _stream_name(checkpoint)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    places = [T.StructField("bucket", T.IntegerType()), T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())]
+    seen_schema = T.StructType([df.schema[k] for k in keys] + places)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+    def seen_by_others(spark: SparkSession, own: list[int], batch_id: int) -> DataFrame:
         try:
-            seen = spark.read.schema(key_schema).parquet(seen_path).filter(F.col("batch") != batch_id)
+            seen = spark.read.schema(seen_schema).parquet(seen_path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            seen = spark.createDataFrame([], key_schema)
-        fresh = new_items(batch, seen, keys).persist()
+            return spark.createDataFrame([], seen_schema)
+        return seen.filter(F.col("bucket").isin(own) & ~((F.col("stream") == stream) & (F.col("batch") == batch_id)))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        own = [r.bucket for r in batch.select(bucket.alias("bucket")).distinct().collect()]  # at most ``buckets``
+        fresh = new_items(batch, seen_by_others(batch.sparkSession, own, batch_id), keys, order).persist()
         try:
             if not fresh.isEmpty():
-                refresh(fresh, batch_id)
-                fresh.select(*keys).write.mode("overwrite").parquet(f"{seen_path}/batch={batch_id}")
+                act(fresh, batch_id)
+                (fresh.filter(known).select(*keys, bucket.alias("bucket"), F.lit(stream).alias("stream"),
+                                            F.lit(batch_id).cast("long").alias("batch"))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("bucket", "stream", "batch").parquet(seen_path))
         finally:
             fresh.unpersist()
 
     return (df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def dedup_stream(df: DataFrame, keys, path: str, seen_path: str, checkpoint: str, order=(), fmt: str = "parquet") -> StreamingQuery:
+    """Append every item the first time its key is seen, however late it comes; items without a key all pass.
+
+    What was seen is a table, not the state of a watermark, so a first-time row is never too late and
+    a repeat never passes.  Each batch has a folder of its own and is replaced if it runs again.
+    """
+    def append(fresh: DataFrame, batch_id: int) -> None:
+        fresh.write.mode("overwrite").format(fmt).save(f"{path}/stream={_stream_name(checkpoint)}/batch={batch_id}")
+
+    return _on_first_seen(df, seen_path, checkpoint, keys, append, order)
+
+
+def refresh_on_new(df: DataFrame, seen_path: str, checkpoint: str, keys,
+                   refresh: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    """Call ``refresh(new rows, batch id)`` for each batch that holds unseen keys."""
+    return _on_first_seen(df, seen_path, checkpoint, keys, refresh)
