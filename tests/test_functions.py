@@ -46,7 +46,15 @@ def test_html_to_text(spark):
     assert one(spark, W.html_to_text("x"), x=html) == "A b &lt; é😀 €&bogus; x&y z 1 < 2 end"
     assert one(spark, W.html_to_text("x"), x="") == ""
     assert one(spark, W.html_to_text("x"), x=None) == ""
-    assert one(spark, W.html_to_text("x"), x="&#0; &#99999999; &#x110000;") == "&#0; &#99999999; &#x110000;"
+    assert one(spark, W.html_to_text("x"), x="&#0; &#99999999; &#x110000; &#xD800; &#00000000065;") == "\ufffd \ufffd \ufffd \ufffd A"
+    assert one(spark, W.html_to_text("x"), x="&#128; &#x92; &#129;|&check;&lpar; &hellip x&nosuch; &amp") == "€ ’ \x81|✓( … x&nosuch; &"
+
+
+def test_html_that_is_not_well_formed(spark):
+    for html, text in (("<p title=it's>hello</p>", "hello"), ("a<script>var x = 1; </scrip>", "a"), ("a<!-- b <i>c</i>", "a"),
+                       ("a<style>p{}", "a"), ("<a b = 'x>y' c=\"d>e\" f=g>h</a>", "h"),
+                       ("<br/>x<hr/ >y", "x y"), ("<script>1</script>a<script>2</script >b", "a b"), ("1 < 2 > 3", "1 < 2 > 3")):
+        assert one(spark, W.html_to_text("x"), x=html) == text, html
 
 
 def test_html_long_attribute_does_not_overflow(spark):
@@ -81,6 +89,11 @@ def test_published_at(spark):
     assert at("2025-06-23T12:00:00") == "2025-06-23T12:00:00"
     assert at("2025-06-23T12:00:00+07:00") == at("2025-06-23T05:00:00Z") == "2025-06-23T05:00:00"
     assert at("kemarin") == "kemarin"
+    # No seconds, two digits of the year, named zones, long names, other order marks.
+    assert at("Mon, 23 Jun 2025 08:00 EDT") == at("23 Jun 25 04:00:00 PST") == "2025-06-23T12:00:00"
+    assert at("Monday, 23-June-2025 12:00:00 UTC") == at("23 jun 2025 12:00:00") == at("23 Jun 2025 14:00:00 +02:00 (CEST)") == "2025-06-23T12:00:00"
+    assert at("Sat, 1 Jan 99 0:05 GMT") == "1999-01-01T00:05:00"
+    assert at("23 Jun 2025 12:00:00 XYZ") == "23 Jun 2025 12:00:00 XYZ"
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "Asia/Jakarta")

@@ -24,7 +24,7 @@ TEXTS = [
 @pytest.mark.parametrize("strategy", ["case", "inline", "join"])
 def test_geo_parse_edges(spark, strategy):
     df = spark.createDataFrame([t[:3] for t in TEXTS], "id string, judul string, deskripsi_mentah string")
-    out = geo.geo_parse(df, ["deskripsi_mentah", "judul"], strategy=strategy, id_col="id")
+    out = geo.geo_parse(df, ["deskripsi_mentah", "judul"], strategy=strategy)
     assert {r.id: r.kecamatan_terdeteksi for r in out.collect()} == {t[0]: t[3] for t in TEXTS}
 
 
@@ -33,9 +33,9 @@ def test_geo_parse_plans_agree_on_overlapping_names(spark):
     draw = random.Random(7)
     texts = [(str(i), "".join(draw.choice("abcdefAB -\n1") for _ in range(draw.randrange(40)))) for i in range(400)]
     df = spark.createDataFrame(texts, "id string, t string")
-    results = [sorted((r.id, r.p) for r in geo.geo_parse(df, ["t"], names, "p", strategy=s, id_col="id").collect())
+    results = [sorted((r.id, r.p) for r in geo.geo_parse(df, ["t"], names, "p", strategy=s).collect())
                for s in ("case", "inline", "join")]
-    salted = geo.geo_parse(df, ["t"], names, "p", strategy="join", id_col="id", broadcast_names=0, salts=3)
+    salted = geo.geo_parse(df, ["t"], names, "p", strategy="join", salts=3)
     results.append(sorted((r.id, r.p) for r in salted.collect()))
     assert results[0] == results[1] == results[2] == results[3]
     assert len({p for _, p in results[0]}) > 5
@@ -44,10 +44,25 @@ def test_geo_parse_plans_agree_on_overlapping_names(spark):
 def test_large_gazetteer_as_table(spark):
     gazetteer = spark.range(5000).select(F.col("id").alias("priority"), F.concat(F.lit("kampung x"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("name"))
     df = spark.createDataFrame([(1, "ke Kampung xbcd dan kampung xb"), (2, "tidak")], "id long, t string")
-    out = geo.geo_parse(df, ["t"], gazetteer, "p", id_col="id")
+    out = geo.geo_parse(df, ["t"], gazetteer, "p")
     assert {r.id: r.p for r in out.collect()} == {1: "Kampung Xb", 2: "unknown"}
 
 
+@pytest.mark.parametrize("strategy", ["case", "inline", "join"])
+def test_names_are_cleaned_like_texts(spark, strategy):
+    df = spark.createDataFrame([(1, "rapat di Gunung-Anyar dan Tandes"), (2, "tandes, gunung anyar"), (3, "Tandes"), (3, "tandes"), (4, None)], "id int, t string")
+    for names in (["gunung-anyar", "tandes"], ["Gunung Anyar", "TANDES", "", "-"]):
+        out = geo.geo_parse(df, ["t"], names, "p", strategy=strategy)
+        assert sorted((r.id, r.p) for r in out.collect()) == [
+            (1, "Gunung Anyar"), (2, "Gunung Anyar"), (3, "Tandes"), (3, "Tandes"), (4, "unknown")]
+
+
+def test_a_long_list_is_still_one_pattern(spark):
+    names = ["tandes"] + ["kampung " + "".join(chr(97 + int(d)) for d in str(i)) for i in range(700)]
+    df = spark.createDataFrame([("di Kampung FGJ",), ("Kampung fgj dekat Tandes",)], "t string")
+    assert [r.p for r in geo.geo_parse(df, ["t"], names, "p").collect()] == ["Kampung Fgj" if "kampung fgj" in names else "unknown", "Tandes"]
+
+
 def test_jitter_and_default_centre(spark):
     import math
 

@@ -6,7 +6,8 @@ the same in batch and in streaming.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+import json
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,15 +55,31 @@ def resolve_alias(c, aliases: dict[str, str] | None = None) -> Column:
 
 # --- HTML ------------------------------------------------------------------------
 
-# One alternation, so that the leftmost construct wins as it does in a parser.
+# One alternation, so that the leftmost construct wins as it does in a parser.  A quote counts only
+# after "=", and what is not closed ends with the text.
 _MARKUP = (
-    r"(?is)<!--.*?-->"
-    r"|<script\b[^>]*>.*?</script\s*>"
-    r"|<style\b[^>]*>.*?</style\s*>"
+    r"(?is)<!--.*?(?:-->|\z)"
+    r"|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
     r"|<[!?][^>]*>"
-    r"""|</?[a-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+    r"""|</?[a-z](?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>"""
 )
-_ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+_ENTITY = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*)(;?)"
+
+
+def _names() -> Column:
+    """Names of character references to their text, as one constant."""
+    return F.from_json(F.lit(json.dumps({name.rstrip(";"): text for name, text in html5.items()})), "map<string,string>")
+
+
+def _windows_1252() -> Column:
+    """The numbers 128 to 159 that stand for the characters of that code page."""
+    known = {}
+    for code in range(128, 160):
+        try:
+            known[str(code)] = bytes([code]).decode("cp1252")
+        except UnicodeDecodeError:
+            pass  # five numbers are not in use
+    return F.from_json(F.lit(json.dumps(known)), "map<string,string>")
 
 
 def _code_point(c: Column) -> Column:
@@ -70,18 +87,21 @@ def _code_point(c: Column) -> Column:
 
 
 def decode_entities(c) -> Column:
-    """Replace named and numeric character references, each exactly once."""
-    names = F.create_map(*[F.lit(x) for name, code in {**name2codepoint, "apos": 39}.items()
-                           for x in (name, chr(code))])
+    """Replace named and numeric character references, with or without ``;``, each exactly once.
 
+    Numbers of any length are read; those that are no character become U+FFFD.  Unknown names stay.
+    """
     def piece(part: Column, i: Column) -> Column:
-        ref = F.regexp_extract(part, _ENTITY, 1)
-        code = (F.when(ref.rlike("^#[0-9]"), F.conv(F.substr(ref, F.lit(2)), 10, 16))
-                .when(ref.rlike("^#[xX]"), F.substr(ref, F.lit(3))))
-        valid = F.conv(code, 16, 10).cast("bigint").between(1, 0x10FFFF)
-        char = F.coalesce(F.when(valid, _code_point(code)), F.try_element_at(names, ref))
+        ref, end = F.regexp_extract(part, _ENTITY, 1), F.regexp_extract(part, _ENTITY, 2)
+        digits = F.regexp_replace(F.regexp_replace(ref, "^#[xX]?", ""), "^0+", "")
+        hexa = F.when(ref.rlike("^#[xX]"), F.lower(digits)).when(F.length(digits) < 9, F.lower(F.conv(digits, 10, 16)))
+        code = F.conv(F.when(F.length(hexa) < 8, hexa), 16, 10).cast("bigint")
+        character = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = (F.when(ref.startswith("#"), F.coalesce(F.try_element_at(_windows_1252(), code.cast("string")),
+                                                       F.when(character, _code_point(hexa)), F.lit("\ufffd")))
+                .otherwise(F.try_element_at(_names(), ref)))
         kept = F.concat(F.lit("&"), part)
-        hit = F.concat(char, F.substr(part, F.length(ref) + 2))
+        hit = F.concat(char, F.substr(part, F.length(ref) + F.length(end) + 1))
         return F.when(i == 0, part).when(ref == "", kept).otherwise(F.coalesce(hit, kept))
 
     text = _col(c)
@@ -115,11 +135,28 @@ def to_ts(c) -> Column:
     return _col(c).try_cast("timestamp")
 
 
+# Weekday, day, month name, year, time, zone; what feeds write in place of the plain RFC-822 shape.
+_FEED_DATE = (r"^\s*(?:[A-Za-z]+\.?,?\s+)?(\d{1,2})[\s-]+([A-Za-z]{3})[A-Za-z]*\.?[\s-]+(\d{4}|\d{2}),?\s+"
+              r"(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\.\d+)?\s*([A-Za-z]{1,5}|[+-]\d{2}:?\d{2})?\s*(?:\([^)]*\))?\s*$")
+#: Zone names of RFC 822 and their offsets (fixed values).
+ZONES = {"UT": "+0000", "UTC": "+0000", "GMT": "+0000", "Z": "+0000", "EST": "-0500", "EDT": "-0400", "CST": "-0600",
+         "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
+
+
 def parse_rfc822(c) -> Column:
-    """RFC-822 date ('Mon, 02 Jan 2025 10:00:00 GMT' or '+0700') to timestamp, or NULL."""
-    text = F.regexp_replace(_col(c), r"^\s*[A-Za-z]{3},\s*", "")
-    text = F.regexp_replace(F.trim(text), r"\s(GMT|UTC|UT|Z)$", " +0000")
-    return F.try_to_timestamp(text, F.lit("d MMM yyyy HH:mm:ss Z"))
+    """Feed date to timestamp, or NULL: 'Mon, 02 Jan 2025 10:00:00 GMT' and its usual variants.
+
+    Weekday and seconds may be missing, the year may have two digits (69 to 99 are the last century),
+    the zone is a name of RFC 822 or an offset; without one it is UTC.
+    """
+    day, month, year, hour, minute, second, zone = (F.regexp_extract(_col(c), _FEED_DATE, i) for i in range(1, 8))
+    century = F.when(F.length(year) == 4, "").when(year >= "69", "19").otherwise("20")
+    offsets = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
+    offset = F.when(zone == "", "+0000").when(zone.rlike("^[+-]"), F.replace(zone, F.lit(":"), F.lit(""))).otherwise(
+        F.try_element_at(offsets, F.upper(zone)))
+    text = F.concat(day, F.lit(" "), F.initcap(month), F.lit(" "), century, year, F.lit(" "), hour, F.lit(":"), minute, F.lit(":"),
+                    F.when(second == "", "00").otherwise(second), F.lit(" "), offset)
+    return F.when(day != "", F.try_to_timestamp(text, F.lit("d MMM yyyy H:mm:ss Z")))
 
 
 def iso_text(c) -> Column:

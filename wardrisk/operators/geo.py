@@ -13,10 +13,8 @@ from .rings import LINKS, link_partition
 
 PLACE = "kecamatan_terdeteksi"
 
-# Above this many names the regular expression gives way to the join plan.
-MAX_INLINE_NAMES = 500
-# Up to this many names (some 10 MB) the join plan broadcasts the gazetteer.
-MAX_BROADCAST_NAMES = 200_000
+# Bits of the filter of first words, as one value of bitmap_construct_agg has them: 4 KB for any gazetteer.
+FILTER_BITS = 32768
 
 
 def literal_dimension(spark, rows, names) -> DataFrame:
@@ -27,8 +25,10 @@ def literal_dimension(spark, rows, names) -> DataFrame:
 
 # --- geo-parsing -------------------------------------------------------------------
 
-def _title(name: str) -> str:
-    return name.title()
+def _cleaned(names) -> list[str]:
+    """Names as they stand in cleaned texts, empty and repeated ones left out."""
+    cleaned = (re.sub(r"[^a-z]", " ", re.sub(r"[^a-zA-Z\s]", " ", name).lower()).strip() for name in names)
+    return list(dict.fromkeys(name for name in cleaned if name))
 
 
 def _place_inline(text_cols, names: list[str]) -> Column:
@@ -51,82 +51,85 @@ def _place_inline(text_cols, names: list[str]) -> Column:
     hits = F.transform(F.array_distinct(found), clean_text)
     order = F.array(*[F.lit(n) for n in names])
     best = F.array_min(F.transform(hits, lambda h: F.array_position(order, h)))
-    titles = F.array(*[F.lit(_title(n)) for n in names])
+    titles = F.array(*[F.lit(n.title()) for n in names])
     return F.get(titles, (best - 1).cast("int"))
 
 
 def geo_parse(df: DataFrame, text_cols, gazetteer=None, out: str = PLACE, default: str = "unknown",
-              strategy: str | None = None, id_col: str | None = None, **join_options) -> DataFrame:
+              strategy: str | None = None, **join_options) -> DataFrame:
     """Detect the first listed place named as whole words in any of the texts.
 
-    ``gazetteer`` is an ordered list of lower-case names, or a table ``(priority, name)``.
-    Short lists need no shuffle at all (works on streams too).  Large ones go through a
-    join on word n-grams, see :func:`geo_parse_join`.
+    ``gazetteer`` is an ordered list of names, or a table ``(priority, name)``.  Names are cleaned as
+    texts are, so "Gunung-Anyar" stands for "gunung anyar", whatever the plan.  A list is one regular
+    expression without a shuffle (works on streams too), however long; a table goes through a join on
+    word n-grams, see :func:`geo_parse_join`.  ``strategy`` ("inline", "case" or "join") picks for a list.
     """
-    gazetteer = fixed.DISTRICTS if gazetteer is None else gazetteer
-    is_table = isinstance(gazetteer, DataFrame)
-    if strategy is None:
-        strategy = "join" if is_table or len(gazetteer) > MAX_INLINE_NAMES else "inline"
-    if strategy == "inline":
-        if is_table:
-            raise ValueError("the inline plan needs a list of names")
-        return df.withColumn(out, F.coalesce(_place_inline(text_cols, gazetteer), F.lit(default)))
+    if isinstance(gazetteer, DataFrame):
+        if strategy not in (None, "join"):
+            raise ValueError(f"the {strategy} plan needs a list of names")
+        return geo_parse_join(df, text_cols, gazetteer, out, default, **join_options)
+    names = _cleaned(fixed.DISTRICTS if gazetteer is None else gazetteer)
+    if not names:
+        return df.withColumn(out, F.lit(default))
+    if strategy == "join":
+        table = df.sparkSession.createDataFrame(list(enumerate(names)), "priority long, name string")
+        return geo_parse_join(df, text_cols, table, out, default, **join_options)
     if strategy == "case":
         expr = F
         texts = [clean_text(c) for c in text_cols]
-        for name in gazetteer:
+        for name in names:
             hit = F.lit(False)
             for text in texts:
                 hit = hit | text.rlike(rf"\b{re.escape(name)}\b")
-            expr = expr.when(hit, F.lit(_title(name)))
+            expr = expr.when(hit, F.lit(name.title()))
         return df.withColumn(out, expr.otherwise(F.lit(default)))
-    if id_col is None:
-        raise ValueError("the join plan needs an id column")
-    if not is_table:
-        gazetteer = df.sparkSession.createDataFrame(list(enumerate(gazetteer)), "priority long, name string")
-    return geo_parse_join(df, text_cols, gazetteer, id_col, out, default, **join_options)
+    return df.withColumn(out, F.coalesce(_place_inline(text_cols, names), F.lit(default)))
 
 
-def geo_parse_join(df: DataFrame, text_cols, gazetteer: DataFrame, id_col: str, out: str = PLACE,
-                   default: str = "unknown", salts: int = 16,
-                   broadcast_names: int = MAX_BROADCAST_NAMES) -> DataFrame:
+def geo_parse_join(df: DataFrame, text_cols, gazetteer: DataFrame, out: str = PLACE,
+                   default: str = "unknown", salts: int = 16) -> DataFrame:
     """Geo-parsing for a gazetteer of any size: word n-grams joined to the names.
 
-    The gazetteer is measured first: up to ``MAX_BROADCAST_NAMES`` names it is broadcast and
-    the n-grams that are no names go no further than their task.  Beyond that both sides are
-    shuffled; a name that is in very many texts is then spread over ``salts`` join keys,
-    for which the names are repeated.  A text sends each distinct n-gram once.  The ids must
-    be unique.
+    A 4 KB bitmap of the names' first words drops most n-grams in their task.  The others travel with
+    two hashes of their texts, not with the texts, so equal texts are one and no id is needed.  A name
+    that is in very many texts is spread over ``salts`` join keys, for which the names are repeated.
     """
-    size, longest = gazetteer.agg(F.count(F.lit(1)), F.max(F.size(F.split("name", " ")))).first()
-    small, max_words = size <= broadcast_names, longest or 1
+    cleaned = F.trim(F.translate(F.coalesce(clean_text("name"), F.lit("")), "\t\n\x0b\f\r", "     "))
+    names = (gazetteer.select(cleaned.alias("name"), "priority").filter("name <> ''")
+             .groupBy("name").agg(F.min("priority").alias("priority")))
+    max_words = names.agg(F.max(F.size(F.split("name", " ")))).first()[0] or 1
 
-    def gram(words: Column, n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-        joined = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-        return F.when(F.size(words) >= n, joined).otherwise(F.array().cast("array<string>"))
+    def slot(word: Column) -> Column:
+        return F.pmod(F.xxhash64(word), F.lit(FILTER_BITS)).cast("int")
 
-    def grams(words: Column) -> Column:
-        return F.concat(*[gram(words, n) for n in range(1, max_words + 1)])
+    starts = names.agg(F.bitmap_construct_agg(slot(F.substring_index("name", " ", 1)))).scalar()
+
+    def listed(word: Column) -> Column:
+        """Whether a name may start with the word: its bit in the bitmap."""
+        byte = F.conv(F.hex(F.substr(F.col("_starts"), F.floor(slot(word) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.getbit(byte, slot(word) % 8) == 1
+
+    def grams(words: str) -> Column:
+        words = F.col(words)
+        first = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: listed(F.get(words, i - 1)))
+        return F.concat(*[F.transform(F.filter(first, lambda i: i + (n - 1) <= F.size(words)),
+                                      lambda i: F.array_join(F.slice(words, i, n), " ")) for n in range(1, max_words + 1)])
 
     # A line break separates words but never joins a two-word name: it counts as two blanks.
     # The word lists are columns of their own, since a lambda would split the text again
     # for each word.
     lists = {f"_words{i}": F.split(F.regexp_replace(F.coalesce(clean_text(c), F.lit("")), r"[\t\n\x0B\f\r]", "  "), " ")
              for i, c in enumerate(text_cols)}
-    words = df.select(id_col, *[w.alias(n) for n, w in lists.items()])
-    found = F.filter(F.array_distinct(F.concat(*[grams(F.col(n)) for n in lists])), lambda g: g != "")
-    names = gazetteer.groupBy("name").agg(F.min("priority").alias("priority"))
-    pairs = words.select(id_col, F.explode_outer(found).alias("name"))
-    if small:
-        hits = pairs.join(F.broadcast(names), "name")
-    else:
-        salt = F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")
-        repeated = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        hits = pairs.withColumn("_salt", salt).join(repeated, ["name", "_salt"])
-    best = hits.groupBy(id_col).agg(F.min_by("name", "priority").alias("_name"))
-    joined = df.join(best, id_col, "left")
-    return joined.withColumn(out, F.coalesce(F.initcap("_name"), F.lit(default))).drop("_name")
+    texts = [F.col(c).cast("string") for c in text_cols]
+    hashes = {"_t1": F.xxhash64(*texts), "_t2": F.xxhash64(F.lit("second"), *texts)}
+    words = df.select(*[h.alias(n) for n, h in hashes.items()], *[w.alias(n) for n, w in lists.items()]).withColumn("_starts", starts)
+    found = F.filter(F.array_distinct(F.concat(*[grams(n) for n in lists])), lambda g: g != "")
+    salt = F.pmod(F.col("_t1"), F.lit(salts)).cast("int")
+    pairs = words.select("_t1", "_t2", F.explode_outer(found).alias("name")).filter("name IS NOT NULL").withColumn("_salt", salt)
+    repeated = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    best = pairs.join(repeated, ["name", "_salt"]).groupBy("_t1", "_t2").agg(F.min_by("name", "priority").alias("_name"))
+    joined = df.withColumns(hashes).join(best, ["_t1", "_t2"], "left")
+    return joined.withColumn(out, F.coalesce(F.initcap("_name"), F.lit(default))).drop("_name", "_t1", "_t2")
 
 
 # --- map points ----------------------------------------------------------------------

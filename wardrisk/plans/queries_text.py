@@ -47,13 +47,18 @@ def geo_parse(spark, sf_dir):
 
 @query("geo_parse_join", f"WITH {_place_sql()} SELECT doc_id, kecamatan_terdeteksi FROM placed")
 def geo_parse_join(spark, sf_dir):
-    return placed_documents(spark, sf_dir, strategy="join", id_col="doc_id").select("doc_id", "kecamatan_terdeteksi")
+    return placed_documents(spark, sf_dir, strategy="join", salts=1).select("doc_id", "kecamatan_terdeteksi")
 
 
 @query("geo_parse_salted", f"WITH {_place_sql()} SELECT doc_id, kecamatan_terdeteksi FROM placed")
 def geo_parse_salted(spark, sf_dir):
-    """The plan for a gazetteer too large to broadcast."""
-    return placed_documents(spark, sf_dir, strategy="join", id_col="doc_id", broadcast_names=0).select("doc_id", "kecamatan_terdeteksi")
+    """The gazetteer as a table that also has a name for every part, far more than a pattern should list."""
+    parts = roles.table(spark, sf_dir, "part").select(
+        (F.col("p_partkey") + len(PLACES)).cast("long").alias("priority"), F.concat(F.lit("Part-Nr "), F.col("p_partkey").cast("string"), F.lit("x")).alias("name"))
+    spelled = [(i, name.upper().replace(" ", "-")) for i, name in enumerate(PLACES)]
+    gazetteer = spark.createDataFrame(spelled, "priority long, name string").unionByName(parts)
+    docs = roles.documents(spark, sf_dir)
+    return geo.geo_parse(docs, ["deskripsi_mentah", "judul"], gazetteer).select("doc_id", "kecamatan_terdeteksi")
 
 
 @query("geo_counts", f"""

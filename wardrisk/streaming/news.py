@@ -70,7 +70,7 @@ def envelope(messages: DataFrame) -> DataFrame:
 def clean_news(raw: DataFrame, gazetteer=None) -> DataFrame:
     """Raw messages to clean news with a place: the same plan in batch and in a stream."""
     parsed = parse_news(raw)
-    placed = geo_parse(parsed, ["deskripsi_mentah", "judul"], gazetteer, strategy="inline")
+    placed = geo_parse(parsed, ["deskripsi_mentah", "judul"], gazetteer)
     return placed.withColumn("silver_processed_at", F.current_timestamp())
 
 
