@@ -30,8 +30,8 @@ def without_stopwords(c, stopwords=fixed.TOPIC_STOPWORDS) -> Column:
     return F.filter(c, lambda w: ~F.array_contains(stop, w))
 
 
-def term_table(df: DataFrame, words: str, min_df: float = 2, size: int | None = 5000) -> DataFrame:
-    """Vocabulary ``(term, total, doc_freq)``: the most frequent terms of at least ``min_df`` texts.
+def term_table(df: DataFrame, words: str, min_df: float = 2, size: int | None = None) -> DataFrame:
+    """Vocabulary ``(term, total, doc_freq)``: the terms of at least ``min_df`` texts, or the ``size`` most frequent.
 
     Each text sends its words for the total and its distinct words for the text count.
     Both are combined per task before the one shuffle, so a very frequent term stays
@@ -53,18 +53,20 @@ def idf(doc_freq, docs) -> Column:
     return F.log((docs + 1) / (F.col(doc_freq) + 1))
 
 
-def term_weights(df: DataFrame, id_col: str, words: str, min_df: int = 2, size: int = 5000) -> DataFrame:
-    """``(id, term, n, weight)`` for the terms of the vocabulary.
+def term_weights(df: DataFrame, id_col: str, words: str, min_df: int = 2, size: int | None = None) -> DataFrame:
+    """``(id, term, n, weight)`` for the terms of the vocabulary, by default all of at least ``min_df`` texts.
 
-    The vocabulary has at most ``size`` rows, so up to 100 000 it is broadcast; words
-    outside it are gone before the shuffle.
+    One table of counts per text feeds both the vocabulary and the weights; the join strategy is left
+    to the sizes.
     """
     docs = df.agg(F.count(F.lit(1))).scalar()
-    vocabulary = term_table(df, words, min_df, size).select("term", idf("doc_freq", docs).alias("idf"))
-    side = F.broadcast(vocabulary) if size <= 100_000 else vocabulary
-    counts = (df.select(id_col, F.explode_outer(words).alias("term")).join(side, "term")
-              .groupBy(id_col, "term", "idf").agg(F.count(F.lit(1)).alias("n")))
-    return counts.select(id_col, "term", "n", (F.col("n") * F.col("idf")).alias("weight"))
+    counts = (df.select(id_col, F.explode_outer(words).alias("term")).filter("term IS NOT NULL")
+              .groupBy("term", id_col).agg(F.count(F.lit(1)).alias("n")))
+    terms = counts.groupBy("term").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("doc_freq")).filter(F.col("doc_freq") >= min_df)
+    if size is not None:
+        terms = terms.orderBy(F.desc("total"), "term").limit(size)
+    return counts.join(terms.select("term", idf("doc_freq", docs).alias("idf")), "term").select(
+        id_col, "term", "n", (F.col("n") * F.col("idf")).alias("weight"))
 
 
 # --- labels ---------------------------------------------------------------------------
@@ -124,6 +126,7 @@ def topic_counts(news: DataFrame, id_col: str = "id_berita", text_cols=("judul",
                  place: str = "kecamatan_terdeteksi", key: str = KEY, stopwords=fixed.TOPIC_STOPWORDS,
                  keywords: dict[str, list[str]] | None = None, k: int = 2, max_iter: int = 10,
                  seed: int = 42, vocab_size: int = 5000, min_df: float = 2.0, max_terms: int = 15,
+                 subsampling: float = 0.05,
                  unknown: str | None = "unknown", partitions: int | None = None,
                  strict: bool = False) -> TopicResult | None:
     """Fit LDA on news with a known place and count the news per district and topic label.
@@ -131,7 +134,8 @@ def topic_counts(news: DataFrame, id_col: str = "id_berita", text_cols=("judul",
     The rows are placed by the hash of their id into a fixed number of partitions and
     sorted there, so that the seed gives the same model whatever the input layout; keep
     ``partitions`` fixed to compare runs.  Only the vocabulary (at most ``vocab_size``
-    words) and the topic terms come to the driver.  Without news the counts are empty;
+    words) and the topic terms come to the driver.  Each iteration of the online fit sees the
+    share ``subsampling`` of the texts, as the estimator's default has it.  Without news the counts are empty;
     ``strict`` returns None instead.
     """
     spark = news.sparkSession
@@ -154,7 +158,7 @@ def topic_counts(news: DataFrame, id_col: str = "id_berita", text_cols=("judul",
     counted = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_kept", outputCol="_counts").transform(words)
     weights = IDF(inputCol="_counts", outputCol="features").fit(counted)
     features = weights.transform(counted).select(id_col, place, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    model = LDA(k=k, maxIter=max_iter, seed=seed, featuresCol="features").fit(features)
+    model = LDA(k=k, maxIter=max_iter, seed=seed, subsamplingRate=subsampling, featuresCol="features").fit(features)
     # The perplexity bound is the likelihood per unit of term weight, so one pass over the
     # corpus serves both figures.
     likelihood = float(model.logLikelihood(features))

@@ -128,6 +128,41 @@ def html_rows(spark, sf_dir):
     return rows.select("page_id", F.col("row").cast("long").alias("row"), F.array_join("cells", "|").alias("cells"))
 
 
+@query("envelope_rows", r"""
+SELECT page_id AS table_id, r - 1 AS row, array_to_string(list_transform(regexp_extract_all(ul, '(?is)<li\b[^>]*>(.*?)</li\s*>', 1),
+       lambda c: trim(regexp_replace(replace(regexp_replace(c, '<[^>]*>', ' ', 'g'), '&amp;', '&'), '\s+', ' ', 'g'))), '|') AS cells
+FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<ul\b[^>]*>(.*?)</ul\s*>', 1)) AS ul,
+             generate_subscripts(regexp_extract_all(html, '(?is)<ul\b[^>]*>(.*?)</ul\s*>', 1), 1) AS r FROM pages)""")
+def envelope_rows(spark, sf_dir):
+    """The pages as escaped tables in JSON envelopes, fifty to a file, read back as rows and cells."""
+    escaped = F.col("html")
+    for char, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        escaped = F.replace(escaped, F.lit(char), F.lit(ref))
+    data = F.struct(F.col("page_id").alias("table_id"), F.col("url").alias("title"), escaped.alias("table"), F.lit("2024").alias("cr_date"))
+    file = F.floor(F.col("page_id") / 50).alias("file")
+    items = roles.table(spark, sf_dir, "pages").select(
+        file, F.lit(1).alias("part"), F.concat(F.lit(","), F.to_json(F.struct(F.lit("OK").alias("status"), data.alias("data")))).alias("value"))
+    frame = items.select("file").distinct().select("file", F.inline(F.array(
+        F.struct(F.lit(0).alias("part"), F.lit('[{"status": "first"}').alias("value")),
+        F.struct(F.lit(2).alias("part"), F.lit("]").alias("value")))))
+    path = writers.scratch_dir(spark, "envelopes")
+    (items.unionByName(frame).repartition("file").sortWithinPartitions("file", "part").drop("part")
+     .write.partitionBy("file").text(path))
+    envelopes = readers.read_envelope(spark, f"{path}/*/*.txt").filter("status = 'OK'")
+    rows = readers.html_table_rows(envelopes, "table", ["table_id"], row_tag="ul", cell_tags=("li",))
+    return rows.select("table_id", F.col("row").cast("long").alias("row"), F.array_join("cells", "|").alias("cells"))
+
+
+@query("replaced_table", "SELECT s_suppkey, s_name, s_nationkey % 5 AS part FROM supplier")
+def replaced_table(spark, sf_dir):
+    """A table that is written, then replaced with other columns and partitions."""
+    suppliers = roles.table(spark, sf_dir, "supplier")
+    path = writers.scratch_dir(spark, "replaced")
+    writers.overwrite(suppliers.select("s_suppkey", "s_acctbal"), path)
+    writers.overwrite(suppliers.select("s_suppkey", "s_name", (F.col("s_nationkey") % 5).alias("part")), path, partition_by=["part"])
+    return readers.read_table(spark, path)
+
+
 @query("report_rows", f"""
 WITH {YEARS_SQL.strip()}, {YEAR_RANGE_SQL.strip()}
 SELECT 'sheet ' || n_regionkey AS report, CASE WHEN n_nationkey % 2 = 0 THEN 'regency' ELSE 'municipality' END AS section,
@@ -300,6 +335,21 @@ def stream_silver(spark, sf_dir):
     return news.select("id_berita", "kategori", iso_text("tanggal_publikasi").alias("published"), "kecamatan_terdeteksi")
 
 
+@query("partitioned_news", """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS kafka_date, upper(event_type[1]) || event_type[2:] AS place, count(*) AS n FROM events
+WHERE event_type = 'purchase' GROUP BY ALL""")
+def partitioned_news(spark, sf_dir):
+    """Raw news by message date and clean news by place; each is read by its partitions."""
+    layout = medallion.Layout(writers.scratch_dir(spark, "parts"))
+    medallion.ingest_news(event_stream(spark, sf_dir), layout, by_date=True)
+    medallion.clean_news_stream(spark, layout, gazetteer=GAZETTEER, by_place=True)
+    raw = readers.read_table(spark, layout.bronze("tbl_raw_news")).select(
+        F.col("kafka_key").alias("id_berita"), F.col("kafka_date").cast("string").alias("kafka_date"))
+    clean_rows = readers.read_table(spark, layout.silver("tbl_clean_news")).filter("kecamatan_terdeteksi = 'Purchase'")
+    return (clean_rows.join(raw, "id_berita").groupBy("kafka_date", F.col("kecamatan_terdeteksi").alias("place"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 @query("stream_dedup", """
 SELECT DISTINCT event_type, user_id, NULL::BIGINT AS event_id FROM events WHERE event_type <> 'error'
 UNION ALL SELECT NULL, user_id, event_id FROM events WHERE event_type = 'error'""")

@@ -100,6 +100,17 @@ def dedup_text(spark, sf_dir):
         "doc_id", "copies", F.substring("h", 1, 16).alias("id"))
 
 
+@query("news_identity", """
+SELECT CASE WHEN event_id % 3 > 0 THEN 'https://example.org/' || user_id ELSE 'Title ' || event_type END AS identity, count(*) AS n
+FROM events GROUP BY ALL""")
+def news_identity(spark, sf_dir):
+    """Items by what a reader counts as the same: the link, else the title; links may be empty or missing."""
+    link = (F.when(F.col("event_id") % 3 > 0, F.concat(F.lit("https://example.org/"), F.col("user_id").cast("string")))
+            .when(F.col("event_id") % 2 == 0, ""))
+    items = roles.table(spark, sf_dir, "events").select(link.alias("link"), F.concat(F.lit("Title "), "event_type").alias("judul"))
+    return items.groupBy(clean.news_identity().alias("identity")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("new_items", """
 SELECT DISTINCT o_custkey, o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'
   AND (o_custkey, o_orderpriority) NOT IN (SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01')""")

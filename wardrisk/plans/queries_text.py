@@ -123,6 +123,26 @@ def html_text(spark, sf_dir):
     return roles.text_table(spark, sf_dir, "pages").select("page_id", html_to_text("html").alias("plain"))
 
 
+@query("html_known_text", r"""
+SELECT doc_id, CASE WHEN doc_id % 6 = 5 THEN '€ ' ELSE '' END || trim(regexp_replace(text, '\s+', ' ', 'g')) AS plain FROM documents""")
+def html_known_text(spark, sf_dir):
+    """Markup of many kinds around the text of each document; what comes back has to be that text."""
+    text = F.col("text")
+    for char, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(char), F.lit(ref))
+    named = text
+    for char, ref in (("é", "&eacute;"), ("ñ", "&ntilde;"), ("ß", "&#223;"), ("ü", "&#xfc;"), ("$", "&dollar;")):
+        named = F.replace(named, F.lit(char), F.lit(ref))
+    kind = F.col("doc_id") % 6
+    markup = (F.when(kind == 0, F.concat(F.lit("<p title=it's>"), text, F.lit("</p><br/>")))
+              .when(kind == 1, F.concat(F.lit('<script>var t = "</p>";</script><a href=\'x>y\' b>'), text, F.lit("</a><!-- open <b>end</b>")))
+              .when(kind == 2, F.concat(F.lit("<!DOCTYPE html><b>"), named, F.lit("</b><style>p{}")))
+              .when(kind == 3, F.replace(text, F.lit("e"), F.lit("&#0000000101;")))
+              .when(kind == 4, F.concat(F.lit("<style>a > b {}</style><!-- c --><i data-x=\"1 > 2\">"), text, F.lit("</i><script>open(")))
+              .otherwise(F.concat(F.lit("&#128 <em>"), F.replace(text, F.lit(" "), F.lit("&#32;")), F.lit("</em>"))))
+    return roles.text_table(spark, sf_dir, "documents").select("doc_id", html_to_text(markup).alias("plain"))
+
+
 @query("stable_id", "SELECT page_id, substr(sha256(url), 1, 16) AS id FROM pages")
 def stable_ids(spark, sf_dir):
     return roles.table(spark, sf_dir, "pages").select("page_id", stable_id("url").alias("id"))
@@ -141,18 +161,27 @@ def publishers(spark, sf_dir):
 
 
 @query("published_at", """
-SELECT event_id, CASE WHEN event_id % 5 = 3 THEN 'yesterday' WHEN event_id % 5 = 4 THEN '2024-01-31T00:00:00'
+SELECT event_id, CASE WHEN event_id % 10 = 3 THEN 'yesterday' WHEN event_id % 10 = 4 THEN '2024-01-31T00:00:00'
+       WHEN event_id % 10 = 7 THEN strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%S')
        ELSE strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') END AS published FROM events""")
 def published(spark, sf_dir):
-    """Dates as RFC-822 text in two zones, as ISO text, as other text and missing."""
+    """Dates as feed text of many shapes, as ISO text, as other text and missing."""
     ts = F.date_trunc("second", F.col("ts").cast("timestamp"))
-    kind = F.col("event_id") % 5
+    kind = F.col("event_id") % 10
     rfc = F.date_format(ts, "d MMM yyyy HH:mm:ss")
-    later = F.date_format(ts + F.expr("interval 7 hours"), "d MMM yyyy HH:mm:ss")
+
+    def moved(hours: int, pattern: str = "d MMM yyyy HH:mm:ss"):
+        return F.date_format(ts + F.expr(f"interval {hours} hours"), pattern)
+
     text = (F.when(kind == 0, F.concat(F.lit("Mon, "), rfc, F.lit(" GMT")))
-            .when(kind == 1, F.concat(later, F.lit(" +0700")))
+            .when(kind == 1, F.concat(moved(7), F.lit(" +0700")))
             .when(kind == 2, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
-            .when(kind == 3, F.lit("yesterday")))
+            .when(kind == 3, F.lit("yesterday"))
+            .when(kind == 5, F.concat(F.lit("Monday, "), moved(-5), F.lit(" EST")))
+            .when(kind == 6, F.concat(moved(-7, "dd-MMM-yy HH:mm:ss"), F.lit(" PDT")))
+            .when(kind == 7, F.concat(F.date_format(ts, "d MMM yyyy HH:mm"), F.lit(" Z")))
+            .when(kind == 8, rfc)
+            .when(kind == 9, F.concat(F.upper(moved(2, "d MMM yyyy H:mm:ss")), F.lit(" +02:00 (CEST)"))))
     now = F.lit("2024-01-31 00:00:00").cast("timestamp")
     return roles.table(spark, sf_dir, "events").select("event_id", published_at(text, now).alias("published"))
 
@@ -246,8 +275,7 @@ tokens AS (
          lambda w: NOT list_contains({TOPIC_STOPWORDS!r}, w)) AS words FROM documents),
 pairs AS (SELECT doc_id, w AS term, count(*) AS n FROM (SELECT doc_id, unnest(words) AS w FROM tokens) GROUP BY ALL),
 vocabulary AS (
-  SELECT term, CAST(sum(n) AS BIGINT) AS total, count(*) AS doc_freq FROM pairs GROUP BY term HAVING count(*) >= 2
-  ORDER BY total DESC, term LIMIT 5000)"""
+  SELECT term, CAST(sum(n) AS BIGINT) AS total, count(*) AS doc_freq FROM pairs GROUP BY term HAVING count(*) >= 2)"""
 
 
 def token_frame(spark, sf_dir):
@@ -298,22 +326,82 @@ def keyword_label(spark, sf_dir):
                          topics.keyword_label(F.col("words"), TOPIC_KEYWORDS).alias("label"))
 
 
-def document_topics(spark, sf_dir):
-    news = placed_documents(spark, sf_dir).withColumn("id_berita", F.col("doc_id"))
-    return topics.topic_counts(news, stopwords=TOPIC_STOPWORDS, keywords=TOPIC_KEYWORDS)
+@query("dominant_topic", f"""
+WITH {_place_sql()}, vectors AS (
+  SELECT doc_id, [length(text) - length(replace(text, 'e', '')), length(text) - length(replace(text, 'n', '')), length(text) - length(replace(text, 'a', ''))] AS v FROM documents)
+SELECT doc_id, list_position(v, list_max(v)) - 1 AS dominant_topic FROM vectors""")
+def dominant_topic(spark, sf_dir):
+    """The letters e, n and a stand for topics, their counts for the weights: the first largest wins."""
+    text = F.col("text")
+    counts = F.array(*[(F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))).cast("double") for c in "ena"])
+    docs = roles.text_table(spark, sf_dir, "documents").select("doc_id", counts.alias("v"))
+    return docs.select("doc_id", topics.dominant("v").alias("dominant_topic"))
+
+
+@query("topic_label_counts", f"""
+WITH {TOKENS_SQL.strip()},
+by_lang AS (SELECT lang, w AS term, count(*) AS n FROM (SELECT lang, unnest(words) AS w FROM tokens) GROUP BY ALL),
+top AS (SELECT lang, term FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS r FROM by_lang) WHERE r <= 15),
+labels AS (SELECT lang, CASE WHEN count(*) FILTER (list_contains({TOPIC_KEYWORDS['Kriminalitas']!r}, term)) >=
+                             count(*) FILTER (list_contains({TOPIC_KEYWORDS['Kesehatan']!r}, term)) THEN 'Kriminalitas' ELSE 'Kesehatan' END AS label FROM top GROUP BY ALL)
+SELECT source AS kecamatan, count(*) FILTER (label = 'Kriminalitas') AS total_kasus_berita_kriminal,
+       count(*) FILTER (label = 'Kesehatan') AS total_kasus_berita_wabah FROM documents JOIN labels USING (lang) GROUP BY ALL""")
+def topic_label_counts(spark, sf_dir):
+    """Every document gets the label of its topic (its language); both labels are counted per source."""
+    from ..operators.index import news_counts
+
+    labels = keyword_label(spark, sf_dir).select("lang", "label")
+    labelled = roles.table(spark, sf_dir, "documents").select("doc_id", "lang", "source").join(labels, "lang")
+    return news_counts(labelled, "source", "label")
+
+
+@query("index_without_news", f"""
+WITH {roles.PEOPLE_SQL.strip()},
+crime0 AS (SELECT kecamatan, coalesce(returned, 0) AS total_kasus_kriminal,
+                  CAST(coalesce(returned, 0) AS DOUBLE) / nullif(jumlah_penduduk, 0) * 100000 AS rate FROM base LEFT JOIN lines USING (nk))
+SELECT kecamatan, total_kasus_kriminal, round((rate - min(rate) OVER ()) / CASE WHEN max(rate) OVER () > min(rate) OVER ()
+       THEN max(rate) OVER () - min(rate) OVER () ELSE 1.0 END * 100, 6) AS indeks_kriminalitas FROM crime0""")
+def index_without_news(spark, sf_dir):
+    """The news table is not there yet: no topics, no counts, and the index comes from the baseline."""
+    from ..operators.clean import NEWS_SCHEMA
+    from ..operators.index import crime_index
+    from ..sources import readers, writers
+
+    news = readers.read_or_empty(spark, writers.scratch_dir(spark, "absent"), NEWS_SCHEMA)
+    counts = topics.topic_counts(news).counts
+    crime = crime_index(roles.districts(spark, sf_dir, returned=True), counts)
+    return rounded(crime.select("kecamatan", "total_kasus_kriminal", "indeks_kriminalitas"))
+
+
+_FITTED: dict[tuple[str, str], str] = {}
+
+
+def document_topics(spark, sf_dir, part: str):
+    """One part of the topic model of the documents: it is fitted once per session and folder, and stored."""
+    from ..sources import writers
+
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _FITTED:
+        news = placed_documents(spark, sf_dir).withColumn("id_berita", F.col("doc_id"))
+        result = topics.topic_counts(news, stopwords=TOPIC_STOPWORDS, keywords=TOPIC_KEYWORDS)
+        path = writers.scratch_dir(spark, "topics")
+        for name in ("scored", "counts", "metrics"):
+            writers.overwrite(getattr(result, name), f"{path}/{name}")
+        result.release()
+        _FITTED[key] = path
+    return spark.read.parquet(f"{_FITTED[key]}/{part}")
 
 
 @query("lda_topics")
 def lda_topics(spark, sf_dir):
-    scored = document_topics(spark, sf_dir).scored
-    return scored.select("id_berita", "kecamatan_terdeteksi", "dominant_topic", "kategori_ml")
+    return document_topics(spark, sf_dir, "scored").select("id_berita", "kecamatan_terdeteksi", "dominant_topic", "kategori_ml")
 
 
 @query("lda_counts")
 def lda_counts(spark, sf_dir):
-    return document_topics(spark, sf_dir).counts
+    return document_topics(spark, sf_dir, "counts")
 
 
 @query("lda_metrics")
 def lda_metrics(spark, sf_dir):
-    return document_topics(spark, sf_dir).metrics
+    return document_topics(spark, sf_dir, "metrics")
