@@ -149,14 +149,19 @@ def parse_rfc822(c) -> Column:
     Weekday and seconds may be missing, the year may have two digits (69 to 99 are the last century),
     the zone is a name of RFC 822 or an offset; without one it is UTC.
     """
-    day, month, year, hour, minute, second, zone = (F.regexp_extract(_col(c), _FEED_DATE, i) for i in range(1, 8))
-    century = F.when(F.length(year) == 4, "").when(year >= "69", "19").otherwise("20")
-    offsets = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
-    offset = F.when(zone == "", "+0000").when(zone.rlike("^[+-]"), F.replace(zone, F.lit(":"), F.lit(""))).otherwise(
-        F.try_element_at(offsets, F.upper(zone)))
-    text = F.concat(day, F.lit(" "), F.initcap(month), F.lit(" "), century, year, F.lit(" "), hour, F.lit(":"), minute, F.lit(":"),
-                    F.when(second == "", "00").otherwise(second), F.lit(" "), offset)
-    return F.when(day != "", F.try_to_timestamp(text, F.lit("d MMM yyyy H:mm:ss Z")))
+    offsets = F.from_json(F.lit(json.dumps(ZONES)), "map<string,string>")
+
+    def plain(parts: Column) -> Column:
+        day, month, year, hour, minute, second, zone = (F.get(parts, F.lit(i)) for i in range(7))
+        century = F.when(F.length(year) == 4, "").when(year >= "69", "19").otherwise("20")
+        offset = F.when(zone == "", "+0000").when(zone.rlike("^[+-]"), F.replace(zone, F.lit(":"), F.lit(""))).otherwise(
+            F.try_element_at(offsets, F.upper(zone)))
+        return F.concat(day, F.lit(" "), F.initcap(month), F.lit(" "), century, year, F.lit(" "), hour, F.lit(":"), minute,
+                        F.lit(":"), F.when(second == "", "00").otherwise(second), F.lit(" "), offset)
+
+    # The parts are taken out once; a lambda binds them, so that no expression repeats the search.
+    parts = F.split(F.when(_col(c).rlike(_FEED_DATE), F.regexp_replace(_col(c), _FEED_DATE, "$1|$2|$3|$4|$5|$6|$7")), r"\|")
+    return F.try_to_timestamp(F.get(F.transform(F.array(parts), plain), F.lit(0)), F.lit("d MMM yyyy H:mm:ss Z"))
 
 
 def iso_text(c) -> Column:
