@@ -297,3 +297,23 @@ def news_multiplier(spark, sf_dir):
             .select("kecamatan", F.col("jumlah_kasus").alias("cases")))
     counts = roles.event_counts(spark, sf_dir).select("kecamatan", F.col("total_kasus_berita_kriminal").alias("news"))
     return rounded(index.news_multiplier(base, counts, "kecamatan", "cases", "news", 0.5, "calibrated"))
+
+
+@query("customer_rank", """
+SELECT c_custkey, row_number() OVER (ORDER BY floor(balance / 500) DESC NULLS LAST, c_custkey) AS rank
+FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN c_acctbal END AS balance FROM customer)""")
+def customer_rank(spark, sf_dir):
+    """A rank over a whole table: few distinct values, and a third of the rows without one."""
+    balance = F.when(F.col("c_custkey") % 3 > 0, F.floor(F.col("c_acctbal") / 500))
+    table = roles.table(spark, sf_dir, "customer").select("c_custkey", balance.alias("balance"))
+    return rank.rank_desc(table, "balance", "c_custkey").select("c_custkey", "rank")
+
+
+@query("customer_rank_by_nation", """
+SELECT c_custkey, row_number() OVER (PARTITION BY nation ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS rank
+FROM (SELECT c_custkey, c_acctbal, CASE WHEN c_custkey % 3 > 0 THEN c_nationkey END AS nation FROM customer)""")
+def customer_rank_by_nation(spark, sf_dir):
+    """A rank per group of which one, without a key, holds a third of the rows."""
+    group = F.when(F.col("c_custkey") % 3 > 0, F.col("c_nationkey"))
+    table = roles.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", group.alias("nation"))
+    return rank.rank_desc(table, "c_acctbal", "c_custkey", by="nation").select("c_custkey", "rank")
