@@ -19,6 +19,7 @@ import json
 import os
 import re
 import tempfile
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,10 @@ from .shared import LATIN_LETTERS, LATIN_PATTERN, LATIN_TEXT, slices, stored, te
 VOCABULARY = "byte_bpe_50k.json"
 LEXICON_WORDS = 60_000
 #: Words whose ids a worker remembers besides the lexicon.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+#: Bits of an id in a pair or a merge; no merge is larger than NONE.
+ID_BITS = 20
+ID_MASK, NONE = (1 << ID_BITS) - 1, 1 << 62
 
 
 @functools.lru_cache(maxsize=1)
@@ -53,7 +57,8 @@ class Vocabulary:
         self.path, model, to_byte = path, content["model"], byte_characters()
         ids = model["vocab"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.merges = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # One number for a pair and one for its merge, the rank above the new id: the least is merged first.
+        self.merges = {ids[a] << ID_BITS | ids[b]: rank << ID_BITS | ids[a + b] for rank, (a, b) in enumerate(pairs)}
         self.of_byte = [0] * 256
         for character, byte in to_byte.items():
             self.of_byte[byte] = ids[character]
@@ -77,41 +82,39 @@ class Vocabulary:
         ids = [self.of_byte[b] for b in word]
         if len(ids) > 100:
             return self.merge_long(ids)
-        merges, none = self.merges, (1 << 60, 0)
-        while len(ids) > 1:
-            best = min(zip(ids, ids[1:]), key=lambda pair: merges.get(pair, none)[0])
-            if best not in merges:
-                break
-            new, out, i = merges[best][1], [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and ids[i] == best[0] and ids[i + 1] == best[1]:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+        merge = self.merges.get
+        merges = [merge(a << ID_BITS | b, NONE) for a, b in zip(ids, ids[1:])]
+        while merges and (best := min(merges)) != NONE:
+            i = merges.index(best)
+            ids[i] = best & ID_MASK
+            del ids[i + 1], merges[i]
+            if i:
+                merges[i - 1] = merge(ids[i - 1] << ID_BITS | ids[i], NONE)
+            if i < len(merges):
+                merges[i] = merge(ids[i] << ID_BITS | ids[i + 1], NONE)
         return ids
 
     def merge_long(self, ids: list[int]) -> list[int]:
         """The same in time n log n, over a linked list with a heap of possible merges."""
         ids, n = list(ids), len(ids)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(*self.merges[pair], i, pair) for i, pair in enumerate(zip(ids, ids[1:])) if pair in self.merges]
+        pairs = [a << ID_BITS | b for a, b in zip(ids, ids[1:])]
+        heap = [(self.merges[pair], i, pair) for i, pair in enumerate(pairs) if pair in self.merges]
         heapq.heapify(heap)
         while heap:
-            _, new, left, pair = heapq.heappop(heap)
+            merge, left, pair = heapq.heappop(heap)
             right = after[left]
-            if ids[left] != pair[0] or right >= n or ids[right] != pair[1]:
+            if right >= n or ids[left] < 0 or ids[right] < 0 or ids[left] << ID_BITS | ids[right] != pair:
                 continue
-            ids[left], ids[right] = new, -1
+            ids[left], ids[right] = merge & ID_MASK, -1
             after[left] = after[right]
             if after[left] < n:
                 before[after[left]] = left
             for start in (before[left], left):
-                if start >= 0 and after[start] < n and (ids[start], ids[after[start]]) in self.merges:
-                    pair = ids[start], ids[after[start]]
-                    heapq.heappush(heap, (*self.merges[pair], start, pair))
+                if start >= 0 and after[start] < n:
+                    pair = ids[start] << ID_BITS | ids[after[start]]
+                    if pair in self.merges:
+                        heapq.heappush(heap, (self.merges[pair], start, pair))
         return [i for i in ids if i >= 0]
 
     def pieces(self, text: str) -> list[str]:
@@ -139,7 +142,7 @@ class Encoder:
         encoded = [w.encode() for w in words]
         found = self.lexicon.find(encoded) if self.lexicon else [None] * len(words)
         for word, data, ids in zip(words, encoded, found):
-            self.known[word] = ids if ids is not None else np.array(self.vocab.merge(data), dtype="<u4").tobytes()
+            self.known[word] = ids if ids is not None else array("I", self.vocab.merge(data)).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = []
