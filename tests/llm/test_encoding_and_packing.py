@@ -51,6 +51,7 @@ def test_lexicon(tmp_path):
     assert [np.frombuffer(f, "<u4").tolist() for f in found[:8]] == [[i, i + 1] for i in range(8)]
     assert found[8:] == [None] * 5  # too long, and not there
     assert len(lexicon.accepting) < 20  # suffixes are shared: a trie would need 26 states
+    assert lexicon.find([b"y" * 60]) == [None]
     compile_lexicon([], path)
     assert Lexicon(path).find([b"a"]) == [None]
 

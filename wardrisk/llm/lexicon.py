@@ -94,7 +94,7 @@ class Lexicon:
             done = sizes[alive] == depth + 1
             ended.append(alive[done])
             alive = alive[~done]
-        for i in np.concatenate(ended):
+        for i in np.concatenate(ended) if ended else ():
             if self.accepting[state[i]]:
                 a, b = self.bounds[number[i]], self.bounds[number[i] + 1]
                 found[i] = self.ids[a:b].astype("<u4").tobytes()
