@@ -85,6 +85,22 @@ def test_large_keys_go_in_blocks(spark):
         assert {r["root"] for r in roots} == {min(ball)} and len(roots) == len(ball) - 1
 
 
+def test_keys_across_batches():
+    """However the sorted rows are cut into batches, a large key passes whole and a small one is compared."""
+    import pyarrow as pa
+
+    rows = [(1, 5), (1, 7)] + [(2, 1000 + i) for i in range(90)] + [(3, 8), (4, 9), (4, 11)] + [(5, 4096 * i) for i in range(40)]
+    for size in (1, 3, 7, 50, 500):
+        batches = (pa.RecordBatch.from_arrays([pa.array([k for k, _ in part]), pa.array([f for _, f in part])], ["key", "fp"])
+                   for part in (rows[i:i + size] for i in range(0, len(rows), size)))
+        out = [r for b in simhash.compare_keys(batches, 4, 60) for r in b.to_pylist()]
+        assert sorted((r["key"], r["b"]) for r in out if r["key"] is not None) == rows[2:92]
+        edges = [(r["a"], r["b"]) for r in out if r["key"] is None]
+        nodes = [f for k, f in rows if k != 2]
+        links = [(a, b) for k, a in rows for m, b in rows if k == m != 2 and a < b and (a ^ b).bit_count() <= 4]
+        assert groups(sorted(nodes), edges) == groups(sorted(nodes), links)
+
+
 def test_components(spark, rows):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(200, 260)] + [(5, k) for k in range(100, 190)]
