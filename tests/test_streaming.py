@@ -1,7 +1,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from wardrisk.operators.clean import NEWS_SCHEMA
 from wardrisk.plans import medallion
