@@ -21,8 +21,7 @@ def corpus():
     passage = prose(rng, 60)
     texts += [t for t in texts[:8]] + [t + " more" for t in texts[8:16]]
     texts += [prose(rng, 20) + " " + passage + " " + prose(rng, 20) for _ in range(6)]
-    texts += [" ".join([w] * 12 for w in ()) + " ".join(w for w in prose(rng, 12).split() for _ in range(12))
-              for _ in range(4)]
+    texts += [" ".join(w for w in prose(rng, 12).split() for _ in range(12)) for _ in range(4)]
     texts += EDGES + ["Released under the MIT License.", "Apache License, Version 2.0; CC BY-NC 4.0 CC-BY-NC"]
     rows = list(enumerate(texts))
     rng.shuffle(rows)
