@@ -2,8 +2,10 @@
 
 Codes are cut into four segments of 16 bits and indexed by each.  A code at distance d from a query
 is within d // 4 of it in some segment, so probing all values within radius r of every segment finds
-every code up to distance 4 * r + 3.  Radii grow by one; a query is done when its k-th verified
-distance is within that bound, and the others go on.  At the full radius everything is covered.
+every code up to distance 4 * r + 3; with radius r in only j of the segments and r - 1 in the others,
+up to 4 * r + j - 1.  Radii grow by one; a query is done when its k-th verified distance is within
+that bound, and the others go on.  A query that has k hits probes only as many segments as cover its
+k-th distance, and takes no hit beyond it.  At the full radius everything is covered.
 
 Equal codes are one entry with their k least ids: no others can be among the k nearest, as ties are
 broken by id.  Equal queries are searched once.
@@ -54,27 +56,30 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                   .groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")))
     index = cut(entries.select("code", "ids", F.inline(segments(F.col("code")))))
     asked = cut(queries.where("code IS NOT NULL").distinct())
-    active = asked.select(F.col("code").alias("query")).distinct()
+    # The bound of a query is its k-th distance so far: no code farther than that can be among its k nearest.
+    active = asked.select(F.col("code").alias("query")).distinct().withColumn("bound", F.lit(BITS))
     found, finished = None, []
     for radius in range(WIDTH + 1):
+        covered = SEGMENTS * radius - 1
+        needed = F.least(F.lit(SEGMENTS), F.col("bound") - covered)
         flips = F.filter(F.sequence(F.lit(0), F.lit((1 << WIDTH) - 1)), lambda x: F.bit_count(x) == radius)
-        probes = (active.select("query", F.inline(segments(F.col("query"))))
-                  .select("query", "segment", F.explode(flips).alias("flip"), F.col("value").alias("own"))
-                  .select("query", "segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value")))
+        probes = (active.select("query", "bound", needed.alias("needed"), F.inline(segments(F.col("query"))))
+                  .where("segment < needed")
+                  .select("query", "bound", "segment", F.col("value").alias("own"), F.explode(flips).alias("flip"))
+                  .select("query", "bound", "segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value")))
         distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code")))
-        hits = (probes.join(index, ["segment", "value"])
-                .select("query", "code", "ids", distance.alias("distance")).dropDuplicates(["query", "code"])
-                .select("query", "distance", F.explode("ids").alias("id")))
+        met = (probes["segment"] == index["segment"]) & (probes["value"] == index["value"]) & (distance <= F.col("bound"))
+        hits = (probes.join(index, met).select("query", "code", "ids", distance.alias("distance"))
+                .dropDuplicates(["query", "code"]).select("query", "distance", F.explode("ids").alias("id")))
         if found is not None:
             hits = hits.unionByName(found.select("query", "distance", "id")).distinct()
         found = cut(nearest(hits, k, "query", "distance", "id"))
-        covered = SEGMENTS * (radius + 1) - 1
-        state = active.join(found.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("last")),
-                            "query", "left")
-        open_ = cut(state.where(~F.coalesce((F.col("n") >= k) & (F.col("last") <= covered), F.lit(False)))
-                    .select("query"))
+        last = found.groupBy("query").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("last"))
+        reached = F.lit(covered) + needed
+        open_ = cut(active.join(last, "query", "left").where(~F.coalesce(F.col("last") <= reached, F.lit(False)))
+                    .select("query", F.coalesce("last", F.lit(BITS)).alias("bound")))
         finished.append(found.join(open_, "query", "left_anti") if radius < WIDTH else found)
-        if open_.isEmpty() or radius == WIDTH:
+        if radius == WIDTH or open_.isEmpty():
             break
         found, active = cut(found.join(open_, "query", "left_semi")), open_
     results = reduce(DataFrame.unionByName, finished)
