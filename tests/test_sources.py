@@ -148,6 +148,21 @@ def test_document_lists_the_first_districts(spark):
     assert [r.id_berita for r in doc.berita] == ["3"]
 
 
+def test_document_lists_every_district(spark, tmp_path):
+    from wardrisk.plans import medallion
+
+    layout = medallion.Layout(f"{tmp_path}/lake")
+    crime = spark.range(1500).select(F.format_string("d%04d", "id").alias("kecamatan"), F.col("id").alias("total_kasus_kriminal"),
+                                     F.lit(1.0).alias("crime_rate"), F.col("id").cast("double").alias("indeks_kriminalitas"))
+    writers.overwrite(crime, layout.gold("tbl_index_kriminalitas"))
+    writers.overwrite(gold(spark)[1], layout.gold("tbl_index_kesehatan"))
+    medallion.export_document(spark, layout, f"{tmp_path}/doc")
+    listed = readers.read_document(spark, f"{tmp_path}/doc")["kriminalitas"].orderBy("position").collect()
+    assert [(r.position, r.kecamatan) for r in listed] == [(i, f"d{1499 - i:04d}") for i in range(1500)]
+    rows = spark.read.json(f"{tmp_path}/doc_rows").where("section = 'kriminalitas'").collect()
+    assert sorted((r.position, r.key) for r in rows) == [(i, f"d{1499 - i:04d}") for i in range(1500)]
+
+
 def test_published_rows_have_their_position(spark):
     values = [(f"d{i:02d}", i, 1.0, v) for i, v in enumerate([9.5, 100.0, 10.0, None, 10.0])]
     crime = spark.createDataFrame(values, "kecamatan string, total_kasus_kriminal long, crime_rate double, indeks_kriminalitas double")

@@ -229,9 +229,25 @@ UNION ALL SELECT * FROM (SELECT 'berita' AS section, row_number() OVER (ORDER BY
        NULL::DOUBLE AS value FROM news_rows WHERE kecamatan_terdeteksi <> 'unknown' ORDER BY position LIMIT 50)""")
 def document(spark, sf_dir):
     """The published document (top 20 districts, latest 50 news), written as JSON and read back as its three relations."""
+    return document_relations(spark, sf_dir, 20)
+
+
+@query("document_whole", f"""
+WITH {BOTH_SQL}, {NEWS_SQL.strip()}
+SELECT 'kriminalitas' AS section, row_number() OVER (ORDER BY indeks_kriminalitas DESC NULLS LAST, kecamatan) - 1 AS position,
+       kecamatan AS name, round(indeks_kriminalitas, 6) AS value FROM crime
+UNION ALL SELECT 'kesehatan', row_number() OVER (ORDER BY indeks_kesehatan DESC NULLS LAST, kecamatan) - 1, kecamatan, round(indeks_kesehatan, 6) FROM health
+UNION ALL SELECT * FROM (SELECT 'berita' AS section, row_number() OVER (ORDER BY tanggal_publikasi DESC, id_berita) - 1 AS position, id_berita AS name,
+       NULL::DOUBLE AS value FROM news_rows WHERE kecamatan_terdeteksi <> 'unknown' ORDER BY position LIMIT 50)""")
+def document_whole(spark, sf_dir):
+    """The published document with every district, as *document* has its first ones."""
+    return document_relations(spark, sf_dir, None)
+
+
+def document_relations(spark, sf_dir, districts):
     gold = gold_table(spark, sf_dir)
     path = writers.scratch_dir(spark, "document")
-    writers.write_document(writers.publish(gold, gold, roles.event_news(spark, sf_dir), 50, 20, "2024-01-31T00:00:00"), path)
+    writers.write_document(writers.publish(gold, gold, roles.event_news(spark, sf_dir), 50, districts, "2024-01-31T00:00:00"), path)
     parts = readers.read_document(spark, path)
     columns = {"kriminalitas": ("kecamatan", "indeks_kriminalitas"), "kesehatan": ("kecamatan", "indeks_kesehatan"), "berita": ("id_berita", None)}
     return rounded(reshape.union_all([

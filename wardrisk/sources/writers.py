@@ -119,13 +119,19 @@ def publish_rows(crime: DataFrame, health: DataFrame, news: DataFrame, n: int =
             .unionByName(_section(_newest(news, n), "berita", "id_berita", NEWS_FIELDS)))
 
 
-def publish(crime: DataFrame, health: DataFrame, news: DataFrame, n: int = 50, districts: int = 1000, last_updated=None) -> DataFrame:
-    """One row with the three lists of the reader page: the first ``districts`` of each index and the latest ``n`` news.
+def publish(crime: DataFrame, health: DataFrame, news: DataFrame, n: int = 50, districts: int | None = None,
+            last_updated=None) -> DataFrame:
+    """One row with the three lists of the reader page: every district of each index, or the first ``districts`` if
+    given, and the latest ``n`` news.
 
-    A top-n limit bounds each list before it is gathered; :func:`publish_rows` has the whole tables.
+    The row holds its lists; :func:`publish_rows` has the same without gathering them.
     """
+    from ..operators.rank import number_rows
+
     def first(df: DataFrame, column: str, fields) -> DataFrame:
         order = [F.col(column).desc_nulls_last(), F.col("kecamatan").asc()]
+        if districts is None:
+            return number_rows(df, order, "position").select(F.col("position").cast("long").alias("position"), F.struct(*fields).alias("row"))
         top = df.orderBy(*order).limit(districts)
         return top.select((F.row_number().over(Window.orderBy(*order)) - 1).cast("long").alias("position"), F.struct(*fields).alias("row"))
 
