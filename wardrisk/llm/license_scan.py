@@ -1,11 +1,13 @@
 """Licence scan with a positional index of rare words, in DataFrame functions only.
 
 Every file keeps the positions of its licence words (the words of any template).  Document
-frequencies over all files weigh them.  For each template, the files that have its two words of
-highest IDF look up where those stand; shifting each position by the word's place in the template
-turns postings into possible starts, and intersecting the starts of both words leaves the
-alignments.  Those at which the template's mandatory phrase stands word for word count.  Base
-phrases are templates that are mandatory as a whole, so all their places are found.
+frequencies over all files weigh them.  For each template, the files that have all words of its
+mandatory phrase look up where the one of highest IDF stands; shifting each position by the word's
+place in the template turns postings into possible starts, and intersecting them with the starts of the
+other words of the phrase leaves the places where it stands word for word.  The weights thus order
+the look-up and decide no place.  A phrase that is a share of its template's words large enough for a
+label gives it wherever it stands; for a shorter one the share of IDF weight in place has to be as
+large.  Base phrases are templates that are mandatory as a whole, so all their places are found.
 
 Only rows per licence word (bounded by the templates) reach the driver; there is no join, so no key
 can be hot, and repeated ids do not meet.
@@ -118,9 +120,9 @@ def scan(docs: DataFrame, columns: Sequence[str] = ("doc_id",), text: str = "tex
     for i, template in enumerate(everything):
         words, phrase = template.words.split(), (template.mandatory or template.words).split()
         at = next(k for k in range(len(words)) if words[k:k + len(phrase)] == phrase)
-        rarest = sorted(enumerate(words), key=lambda x: -idf[x[1]])[:2]
-        needed = {(w, k) for k, w in rarest} | {(w, at + k) for k, w in enumerate(phrase)}
-        looked_up = reduce(lambda a, b: a & b, [F.array_contains("seen", w) for _, w in rarest])
+        needed = {(w, at + k) for k, w in enumerate(phrase)}
+        rarest = sorted({w for w, _ in needed}, key=lambda w: -idf[w])
+        looked_up = reduce(lambda a, b: a & b, [F.array_contains("seen", w) for w in rarest])
         results = results.withColumn(f"places{i}", F.when(looked_up, meet(sorted(needed))).otherwise(none))
         total = sum(idf[w] for w in words)
         held = [F.when(F.arrays_overlap(starts(w, k), F.col(f"places{i}")), idf[w] / total).otherwise(0.0)
@@ -132,9 +134,11 @@ def scan(docs: DataFrame, columns: Sequence[str] = ("doc_id",), text: str = "tex
                              *[s.alias(f"share{i}") for i, s in enumerate(shares)])
 
     def joined(picked: Sequence[tuple[int, str]]) -> Column:
-        labels = F.array(*[F.when(F.col(f"share{i}") >= least_share, F.lit(label)) for i, label in picked])
+        labels = F.array(*[F.when(F.col(f"share{i}") >= (least_share if short[i] else 1e-9), F.lit(label)) for i, label in picked])
         return F.array_join(F.array_sort(F.array_distinct(F.array_compact(labels))), ",")
 
+    #: Whether the mandatory phrase alone is too little of the template's words for its label.
+    short = [len((t.mandatory or t.words).split()) < least_share * len(t.words.split()) for t in everything]
     numbered = [(i, t.label) for i, t in enumerate(everything)]
     places = F.concat(none, *[F.col(f"places{i}") for i in range(len(base))])
     return results.select(
