@@ -132,6 +132,15 @@ def test_permutation():
     assert (first != second).mean() > 0.9 and (first == training_order.Permutation(1000, key=1).slots(range(1000))).all()
 
 
+def test_shards_are_written_in_slot_order(spark, tmp_path):
+    """Also if the rows of a shard come in another order, as the writer's own sort may leave them."""
+    ids = {slot: bytes([65 + slot % 26, 0]) * 4 for slot in range(40)}
+    rows = [(s, s // 16, ids[s]) for s in sorted(ids, reverse=True)]
+    path = str(tmp_path / "shards")
+    training_order.write_shards(spark.createDataFrame(rows, "slot long, shard long, ids binary").coalesce(1), path)
+    assert {r["slot"]: r["ids"] for r in training_order.read_shards(spark, path, 4, 16).collect()} == ids
+
+
 def test_training_order(spark, docs, corpus, empty, tmp_path):
     records = training_order.training_order(docs, size=32, shard_rows=16).cache()
     rows = sorted(records.collect(), key=lambda r: r["slot"])

@@ -145,8 +145,11 @@ def training_order(docs: DataFrame, key: int = KEY, size: int = SIZE, shard_rows
 
 
 def write_shards(records: DataFrame, path: str) -> None:
-    """One file per shard in ``path/shard=<n>``: the ids of each slot and the record end, by Spark's own committer."""
-    (records.select("shard", F.col("ids").cast("string").alias("value"))
+    """One file per shard in ``path/shard=<n>``: the ids of each slot and the record end, by Spark's own committer.
+
+    The rows of a shard have to be in one partition.  They are sorted here, as the writer would sort by shard alone.
+    """
+    (records.sortWithinPartitions("shard", "slot").select("shard", F.col("ids").cast("string").alias("value"))
      .write.option("lineSep", RECORD_END).partitionBy("shard").text(path))
 
 
