@@ -201,3 +201,35 @@ def test_scratch_folder_is_under_the_checkpoint_folder(spark):
 def test_fixed_values():
     assert len(fixed.DISTRICTS) == 31 and len(fixed.TOPIC_STOPWORDS) == len(set(fixed.TOPIC_STOPWORDS))
     assert {name.lower() for name, *_ in fixed.CRIME_BASELINE} == set(fixed.DISTRICTS) == set(fixed.DISTRICT_FIGURES)
+
+
+def test_document_of_lines_is_one_json_object(spark, tmp_path):
+    """The files in the order of their names are the document; positions come back from the order of the lines."""
+    import json
+
+    crime = spark.range(5000).select(F.format_string("d%05d", "id").alias("kecamatan"), F.col("id").alias("total_kasus_kriminal"),
+                                     (F.col("id") / 7).alias("crime_rate"), (F.col("id") % 100 / 1.0).alias("indeks_kriminalitas"))
+    _, health, news = gold(spark)
+    rows = writers.publish_rows(crime, health, news, n=3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the list is small, but has to come in several files
+    writers.write_document_lines(writers.document_lines(rows, "2025-02-01T00:00:00"), f"{tmp_path}/doc")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "doc").glob("part=*/part-*"))
+    doc = json.loads("".join(f.read_text() for f in files))
+    assert list(doc) == ["last_updated", "kriminalitas", "kesehatan", "berita"] and len(files) > 7
+    want = sorted(range(5000), key=lambda i: (-(i % 100), i))
+    assert [r["kecamatan"] for r in doc["kriminalitas"]] == [f"d{i:05d}" for i in want]
+    parts = readers.read_document(spark, f"{tmp_path}/doc")
+    assert [tuple(r) for r in parts["kriminalitas"].select("position", "kecamatan").orderBy("position").collect()] == [
+        (p, f"d{i:05d}") for p, i in enumerate(want)]
+    assert parts["kesehatan"].count() == health.count() and parts["berita"].count() == len(doc["berita"])
+
+
+def test_document_of_lines_without_rows(spark, tmp_path):
+    import json
+
+    crime, health, news = (df.limit(0) for df in gold(spark))
+    writers.write_document_lines(writers.document_lines(writers.publish_rows(crime, health, news), "now"), f"{tmp_path}/doc")
+    doc = json.loads("".join(f.read_text() for f in sorted((tmp_path / "doc").glob("part=*/part-*"))))
+    assert doc == {"last_updated": "now", "kriminalitas": [], "kesehatan": [], "berita": []}
+    assert readers.read_document(spark, f"{tmp_path}/doc")["berita"].count() == 0

@@ -161,3 +161,21 @@ def test_whole_job(spark, tmp_path):
     medallion.clean_batch(spark, other)
     assert medallion.build_gold(spark, other)
     assert readers.read_table(spark, other.gold("tbl_index_kriminalitas")).filter("total_kasus_berita_kriminal <> 0").count() == 0
+
+
+def test_a_batch_costs_the_same_however_many_came_before(spark, tmp_path):
+    """Fifty batches with as many new keys each: every one reads its own rows only, and the state gets their keys."""
+    for i in range(50):
+        spark.createDataFrame([(f"k{i}-{j}",) for j in range(20)] + [("k0-0",)], "id string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    files = streams.open_stream(spark, "parquet", f"{tmp_path}/in", spark.createDataFrame([], "id string").schema, maxFilesPerTrigger=1)
+    query = streams.dedup_stream(files, ["id"], f"{tmp_path}/out", None, f"{tmp_path}/c")
+    query.awaitTermination()
+    steps = [p for p in query.recentProgress if p.numInputRows]
+    # The one source feeds two branches: the rows, and their keys for the state.
+    assert len(steps) == 50 and {sum(s.numInputRows for s in p.sources) for p in steps} == {42}
+    states = [p.stateOperators[0] for p in steps]
+    assert [s.numRowsTotal for s in states] == [20 * (i + 1) for i in range(50)]
+    assert {s.numRowsUpdated for s in states[1:]} == {21}
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == out.distinct().count() == 1000
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != streams.STATE_SETTINGS["spark.sql.streaming.stateStore.providerClass"]

@@ -7,6 +7,7 @@ the same in batch and in streaming.
 from __future__ import annotations
 
 import json
+import zlib
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -63,12 +64,17 @@ _MARKUP = (
     r"|<[!?][^>]*>"
     r"""|</?[a-z](?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>"""
 )
-_ENTITY = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*)(;?)"
+_REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);?"
+_NAME_GROUPS = 256
 
 
 def _names() -> Column:
-    """Names of character references to their text, as one constant."""
-    return F.from_json(F.lit(json.dumps({name.rstrip(";"): text for name, text in html5.items()})), "map<string,string>")
+    """Names of character references to their text, as one constant: maps of a few names, by the CRC-32 of the name."""
+    groups: list[dict[str, str]] = [{} for _ in range(_NAME_GROUPS)]
+    for name, text in html5.items():
+        name = name.rstrip(";")
+        groups[zlib.crc32(name.encode()) % _NAME_GROUPS][name] = text
+    return F.from_json(F.lit(json.dumps(groups)), "array<map<string,string>>")
 
 
 def _windows_1252() -> Column:
@@ -86,27 +92,40 @@ def _code_point(c: Column) -> Column:
     return F.decode(F.unhex(F.lpad(c, 8, "0")), "UTF-32")
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _character(reference: Column) -> Column:
+    """The text of a reference; an unknown name stays as it is."""
+    ref = F.replace(F.replace(reference, F.lit("&"), F.lit("")), F.lit(";"), F.lit(""))
+    digits = F.regexp_replace(F.regexp_replace(ref, "^#[xX]?", ""), "^0+", "")
+    hexa = F.when(ref.rlike("^#[xX]"), F.lower(digits)).when(F.length(digits) < 9, F.lower(F.conv(digits, 10, 16)))
+    code = F.conv(F.when(F.length(hexa) < 8, hexa), 16, 10).cast("bigint")
+    character = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    group = F.get(_names(), (F.crc32(ref.cast("binary")) % _NAME_GROUPS).cast("int"))
+    return (F.when(ref.startswith("#"), F.coalesce(F.try_element_at(_windows_1252(), code.cast("string")),
+                                                   F.when(character, _code_point(hexa)), F.lit("\ufffd")))
+            .otherwise(F.coalesce(F.try_element_at(group, ref), reference)))
+
+
 def decode_entities(c) -> Column:
     """Replace named and numeric character references, with or without ``;``, each exactly once.
 
-    Numbers of any length are read; those that are no character become U+FFFD.  Unknown names stay.
+    Numbers of any length are read; those that are no character become U+FFFD.  Unknown names stay.  The different
+    references of a text are decoded once each and put back between the pieces around them.
     """
-    def piece(part: Column, i: Column) -> Column:
-        ref, end = F.regexp_extract(part, _ENTITY, 1), F.regexp_extract(part, _ENTITY, 2)
-        digits = F.regexp_replace(F.regexp_replace(ref, "^#[xX]?", ""), "^0+", "")
-        hexa = F.when(ref.rlike("^#[xX]"), F.lower(digits)).when(F.length(digits) < 9, F.lower(F.conv(digits, 10, 16)))
-        code = F.conv(F.when(F.length(hexa) < 8, hexa), 16, 10).cast("bigint")
-        character = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        char = (F.when(ref.startswith("#"), F.coalesce(F.try_element_at(_windows_1252(), code.cast("string")),
-                                                       F.when(character, _code_point(hexa)), F.lit("\ufffd")))
-                .otherwise(F.try_element_at(_names(), ref)))
-        kept = F.concat(F.lit("&"), part)
-        hit = F.concat(char, F.substr(part, F.length(ref) + F.length(end) + 1))
-        return F.when(i == 0, part).when(ref == "", kept).otherwise(F.coalesce(hit, kept))
-
-    text = _col(c)
-    decoded = F.array_join(F.transform(F.split(text, "&"), piece), "")
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    def decoded(text: Column) -> Column:
+        found = F.struct(F.split(text, _REFERENCE).alias("pieces"), F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)).alias("refs"))
+        return _bound(found, lambda x: _bound(F.array_distinct(x["refs"]), lambda different: _bound(
+            F.map_from_arrays(different, F.transform(different, _character)), lambda known: joined(x, known))))
+
+    def joined(found: Column, known: Column) -> Column:
+        return F.array_join(F.zip_with(found["pieces"], found["refs"], lambda piece, ref: F.concat(
+            piece, F.coalesce(F.try_element_at(known, ref), F.lit("")))), "")
+
+    return _bound(_col(c), lambda text: F.when(F.contains(text, F.lit("&")), decoded(text)).otherwise(text))
 
 
 def html_to_text(c) -> Column:

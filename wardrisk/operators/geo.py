@@ -13,10 +13,6 @@ from .rings import LINKS, link_partition
 
 PLACE = "kecamatan_terdeteksi"
 
-# Bits of the filter of first words, as one value of bitmap_construct_agg has them: 4 KB for any gazetteer.
-FILTER_BITS = 32768
-
-
 def literal_dimension(spark, rows, names) -> DataFrame:
     """Small literal table as a pure expression, so that its size is known to the optimizer."""
     structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
@@ -86,50 +82,63 @@ def geo_parse(df: DataFrame, text_cols, gazetteer=None, out: str = PLACE, defaul
     return df.withColumn(out, F.coalesce(_place_inline(text_cols, names), F.lit(default)))
 
 
-def geo_parse_join(df: DataFrame, text_cols, gazetteer: DataFrame, out: str = PLACE,
-                   default: str = "unknown", salts: int = 16) -> DataFrame:
-    """Geo-parsing for a gazetteer of any size: word n-grams joined to the names.
+def name_trie(gazetteer: DataFrame) -> DataFrame:
+    """The names' word prefixes as edges: ``(prefix, priority, deeper, words)``.
 
-    A 4 KB bitmap of the names' first words drops most n-grams in their task.  The others travel with
-    two hashes of their texts, not with the texts, so equal texts are one and no id is needed.  A name
-    that is in very many texts is spread over ``salts`` join keys, for which the names are repeated.
+    ``priority`` is that of the name the prefix is, or NULL; ``deeper`` is the largest number of words of a name that
+    starts with it.  Names are cleaned as texts are; of equal names the least priority counts.
     """
     cleaned = F.trim(F.translate(F.coalesce(clean_text("name"), F.lit("")), "\t\n\x0b\f\r", "     "))
     names = (gazetteer.select(cleaned.alias("name"), "priority").filter("name <> ''")
-             .groupBy("name").agg(F.min("priority").alias("priority")))
-    max_words = names.agg(F.max(F.size(F.split("name", " ")))).first()[0] or 1
-
-    def slot(word: Column) -> Column:
-        return F.pmod(F.xxhash64(word), F.lit(FILTER_BITS)).cast("int")
-
-    starts = names.agg(F.bitmap_construct_agg(slot(F.substring_index("name", " ", 1)))).scalar()
+             .groupBy("name").agg(F.min("priority").alias("priority")).withColumn("parts", F.split("name", " ")))
+    size = F.size("parts")
+    edges = names.select("priority", "parts", size.alias("size"), F.explode(F.sequence(F.lit(1), size)).alias("words"))
+    return (edges.select(F.array_join(F.slice("parts", F.lit(1), F.col("words")), " ").alias("prefix"), "words", "size",
+                         F.when(F.col("words") == F.col("size"), F.col("priority")).alias("priority"))
+            .groupBy("prefix", "words").agg(F.min("priority").alias("priority"), F.max("size").alias("deeper")))
 
-    def listed(word: Column) -> Column:
-        """Whether a name may start with the word: its bit in the bitmap."""
-        byte = F.conv(F.hex(F.substr(F.col("_starts"), F.floor(slot(word) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        return F.getbit(byte, slot(word) % 8) == 1
 
-    def grams(words: str) -> Column:
-        words = F.col(words)
-        first = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: listed(F.get(words, i - 1)))
-        return F.concat(*[F.transform(F.filter(first, lambda i: i + (n - 1) <= F.size(words)),
-                                      lambda i: F.array_join(F.slice(words, i, n), " ")) for n in range(1, max_words + 1)])
+def geo_parse_join(df: DataFrame, text_cols, gazetteer: DataFrame, out: str = PLACE,
+                   default: str = "unknown", salts: int = 1, id_col: str | None = None) -> DataFrame:
+    """Geo-parsing for a gazetteer of any size: a trie of name words, walked level by level.
+
+    Every word of the texts is a row; a join keeps those that start a name, with as many of the words after them as the
+    longest such name has.  Each further level is one join on the prefix read so far; a row that has left the trie meets
+    nothing more.  The least priority per text wins.  Rows travel with ``id_col`` (unique and not NULL) or else two hashes
+    of their texts.  The sizes decide how the joins are done: a small trie is broadcast, a large one is shuffled by
+    prefix, where AQE splits the rows of a frequent first word; ``salts`` above 1 spread them beforehand.
+    """
+    from ..sources.writers import checkpointed
 
-    # A line break separates words but never joins a two-word name: it counts as two blanks.
-    # The word lists are columns of their own, since a lambda would split the text again
-    # for each word.
-    lists = {f"_words{i}": F.split(F.regexp_replace(F.coalesce(clean_text(c), F.lit("")), r"[\t\n\x0B\f\r]", "  "), " ")
-             for i, c in enumerate(text_cols)}
+    trie = checkpointed(name_trie(gazetteer))
+    max_words = trie.agg(F.max("words")).first()[0]
+    if not max_words:
+        return df.withColumn(out, F.lit(default))
     texts = [F.col(c).cast("string") for c in text_cols]
-    hashes = {"_t1": F.xxhash64(*texts), "_t2": F.xxhash64(F.lit("second"), *texts)}
-    words = df.select(*[h.alias(n) for n, h in hashes.items()], *[w.alias(n) for n, w in lists.items()]).withColumn("_starts", starts)
-    found = F.filter(F.array_distinct(F.concat(*[grams(n) for n in lists])), lambda g: g != "")
-    salt = F.pmod(F.col("_t1"), F.lit(salts)).cast("int")
-    pairs = words.select("_t1", "_t2", F.explode_outer(found).alias("name")).filter("name IS NOT NULL").withColumn("_salt", salt)
-    repeated = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    best = pairs.join(repeated, ["name", "_salt"]).groupBy("_t1", "_t2").agg(F.min_by("name", "priority").alias("_name"))
-    joined = df.withColumns(hashes).join(best, ["_t1", "_t2"], "left")
-    return joined.withColumn(out, F.coalesce(F.initcap("_name"), F.lit(default))).drop("_name", "_t1", "_t2")
+    keys = {"_t1": F.xxhash64(*texts), "_t2": F.xxhash64(F.lit("second"), *texts)} if id_col is None else {"_t1": F.col(id_col)}
+    # A line break separates words but never joins a two-word name: it counts as two blanks.
+    split = F.array(*[F.split(F.regexp_replace(F.coalesce(clean_text(c), F.lit("")), r"[\t\n\x0B\f\r]", "  "), " ") for c in text_cols])
+    lists = df.select(*[k.alias(n) for n, k in keys.items()], F.explode(split).alias("_words"))
+    words = lists.select(*keys, "_words", F.posexplode("_words").alias("_at", "_prefix")).filter("_prefix <> ''")
+    hit = F.when(F.col("priority").isNotNull(), F.struct("priority", F.col("prefix").alias("name")))
+    first = trie.filter("words = 1").select(F.col("prefix").alias("_prefix"), hit.alias("_best"), F.col("deeper").alias("_deeper"))
+    on = ["_prefix"]
+    if salts > 1:
+        words = words.withColumn("_salt", F.pmod(F.col("_at"), F.lit(salts)))
+        first, on = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["_prefix", "_salt"]
+    walk = words.join(first, on).select(
+        *keys, "_best", "_prefix", "_deeper", F.slice("_words", F.col("_at") + 1, F.col("_deeper")).alias("_rest"))
+    for level in range(2, max_words + 1):
+        edges = trie.filter(F.col("words") == level).select(
+            F.col("prefix").alias("_next"), hit.alias("_hit"), F.col("deeper").alias("_deep"))
+        goes_on = (F.col("_deeper") >= level) & (F.size("_rest") >= level)
+        following = F.when(goes_on, F.concat("_prefix", F.lit(" "), F.get("_rest", F.lit(level - 1))))
+        walk = walk.withColumn("_next", following).join(edges, "_next", "left").select(
+            *keys, F.least("_best", "_hit").alias("_best"), F.col("_next").alias("_prefix"),
+            F.coalesce("_deep", F.lit(0)).alias("_deeper"), "_rest").filter(F.col("_best").isNotNull() | (F.col("_deeper") > level))
+    best = walk.filter("_best IS NOT NULL").groupBy(*keys).agg(F.min("_best").alias("_found")).select(*keys, F.col("_found.name").alias("_name"))
+    joined = df.withColumns(keys).join(best, list(keys), "left")
+    return joined.withColumn(out, F.coalesce(F.initcap("_name"), F.lit(default))).drop("_name", *keys)
 
 
 # --- map points ----------------------------------------------------------------------

@@ -126,13 +126,15 @@ def build_gold(spark: SparkSession, layout: Layout, dedup: bool = False, strict:
 def export_document(spark: SparkSession, layout: Layout, path: str, n: int = 50) -> None:
     """The document for the reader page from the gold tables and the latest news: all districts, ``n`` news.
 
-    The same as JSON lines with positions is in ``<path>_rows``, written first, for tables too large for one row.
+    It is written as lines in order, in files whose names give the order, so no list has to fit into a row.  The rows with
+    their positions are in ``<path>_rows``.
     """
     crime = readers.read_table(spark, layout.gold("tbl_index_kriminalitas"), layout.fmt)
     health = readers.read_table(spark, layout.gold("tbl_index_kesehatan"), layout.fmt)
     news = readers.read_or_empty(spark, layout.silver("tbl_clean_news"), NEWS_SCHEMA, layout.fmt)
-    writers.write_document(writers.publish_rows(crime, health, news, n), f"{path.rstrip('/')}_rows")
-    writers.write_document(writers.publish(crime, health, news, n), path)
+    beside = f"{path.rstrip('/')}_rows"
+    writers.write_document(writers.publish_rows(crime, health, news, n), beside)
+    writers.write_document_lines(writers.document_lines(spark.read.schema(writers.PUBLISHED).json(beside)), path)
 
 
 def verify_layer(spark: SparkSession, tables: dict[str, str], fmt: str = "parquet") -> DataFrame:

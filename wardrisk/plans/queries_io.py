@@ -246,8 +246,11 @@ def document_whole(spark, sf_dir):
 
 def document_relations(spark, sf_dir, districts):
     gold = gold_table(spark, sf_dir)
-    path = writers.scratch_dir(spark, "document")
-    writers.write_document(writers.publish(gold, gold, roles.event_news(spark, sf_dir), 50, districts, "2024-01-31T00:00:00"), path)
+    path, news = writers.scratch_dir(spark, "document"), roles.event_news(spark, sf_dir)
+    if districts is None:
+        writers.write_document_lines(writers.document_lines(writers.publish_rows(gold, gold, news, 50), "2024-01-31T00:00:00"), path)
+    else:
+        writers.write_document(writers.publish(gold, gold, news, 50, districts, "2024-01-31T00:00:00"), path)
     parts = readers.read_document(spark, path)
     columns = {"kriminalitas": ("kecamatan", "indeks_kriminalitas"), "kesehatan": ("kecamatan", "indeks_kesehatan"), "berita": ("id_berita", None)}
     return rounded(reshape.union_all([

@@ -52,9 +52,13 @@ def geo_parse_join(spark, sf_dir):
 
 @query("geo_parse_salted", f"WITH {_place_sql()} SELECT doc_id, kecamatan_terdeteksi FROM placed")
 def geo_parse_salted(spark, sf_dir):
-    """The gazetteer as a table that also has a name for every part, far more than a pattern should list."""
+    """The gazetteer as a table that also has a name for every part, far more than a pattern should list.
+
+    The digits of a part's key are spelled in letters, as cleaning would make blanks of them, so all names differ.
+    """
+    key = F.translate(F.col("p_partkey").cast("string"), "0123456789", "abcdefghij")
     parts = roles.table(spark, sf_dir, "part").select(
-        (F.col("p_partkey") + len(PLACES)).cast("long").alias("priority"), F.concat(F.lit("Part-Nr "), F.col("p_partkey").cast("string"), F.lit("x")).alias("name"))
+        (F.col("p_partkey") + len(PLACES)).cast("long").alias("priority"), F.concat(F.lit("Part-Nr "), key, F.lit("x")).alias("name"))
     spelled = [(i, name.upper().replace(" ", "-")) for i, name in enumerate(PLACES)]
     gazetteer = spark.createDataFrame(spelled, "priority long, name string").unionByName(parts)
     docs = roles.documents(spark, sf_dir)

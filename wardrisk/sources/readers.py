@@ -202,7 +202,23 @@ berita array<struct<id_berita: string, judul: string, link: string, tanggal_publ
 
 
 def read_document(spark: SparkSession, path) -> dict[str, DataFrame]:
-    """The published document as its three relations, with the position in each list."""
+    """The published document as its three relations, with the position in each list: one JSON file, or files of lines."""
+    from .writers import LISTS
+
+    if any("/part=" in file for file in spark.read.text(path).inputFiles()[:1]):
+        return {name: _listed(spark, path, part, name) for name, part in LISTS.items()}
     doc = spark.read.schema(DOCUMENT_SCHEMA).json(path, multiLine=True)
     return {name: doc.select(F.posexplode(name).alias("position", "_r")).select("position", "_r.*")
             for name in ("kriminalitas", "kesehatan", "berita")}
+
+
+def _listed(spark: SparkSession, path, part: str, name: str) -> DataFrame:
+    """The rows of one list; their position is the number of their line in the files of the part."""
+    from ..operators.rank import number_rows
+
+    row = T.StructType.fromDDL(DOCUMENT_SCHEMA)[name].dataType.elementType
+    lines = spark.read.schema("value string, part string").text(path).filter(F.col("part") == part)
+    placed = lines.select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                          F.monotonically_increasing_id().alias("line"))
+    numbered = number_rows(placed, ["file", "block", "line"], "position")
+    return numbered.select("position", F.from_json(F.regexp_replace("value", "^,", ""), row).alias("_r")).select("position", "_r.*")

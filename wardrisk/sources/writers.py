@@ -104,6 +104,9 @@ def _newest(news: DataFrame, n: int) -> DataFrame:
     return numbered.withColumn("tanggal_publikasi", iso_text("tanggal_publikasi"))
 
 
+PUBLISHED = "section string, position long, key string, payload string"
+
+
 def publish_rows(crime: DataFrame, health: DataFrame, news: DataFrame, n: int = 50) -> DataFrame:
     """Rows ``(section, position, key, payload)``: every district by descending index, and the latest ``n`` news.
 
@@ -147,6 +150,34 @@ def publish(crime: DataFrame, health: DataFrame, news: DataFrame, n: int = 50, d
     return rows.agg(*listed).select(stamp.alias("last_updated"), *parts)
 
 
+#: The parts of the published document in the order of their names: lists of rows, and the text around them.
+LISTS = {"kriminalitas": "1-kriminalitas", "kesehatan": "3-kesehatan", "berita": "5-berita"}
+
+
+def document_lines(rows: DataFrame, last_updated=None) -> DataFrame:
+    """The rows of :func:`publish_rows` as lines ``(part, position, line)`` of the published document.
+
+    All lines one after another, in the order of part and position, are one JSON object with the three lists.
+    """
+    part = F.create_map(*[F.lit(x) for pair in LISTS.items() for x in pair])
+    listed = rows.select(F.element_at(part, F.col("section")).alias("part"), F.col("position").cast("long").alias("position"),
+                         F.concat(F.when(F.col("position") > 0, ",").otherwise(""), "payload").alias("line"))
+    stamp = iso_text(F.current_timestamp()) if last_updated is None else F.lit(last_updated)
+    opening = F.concat(F.substring_index(F.to_json(F.struct(stamp.alias("last_updated"))), "}", 1), F.lit(',"kriminalitas":['))
+    frame = F.array(*[F.struct(F.lit(name).alias("part"), F.lit(0).cast("long").alias("position"), line.alias("line")) for name, line in (
+        ("0-open", opening), ("2-next", F.lit('],"kesehatan":[')), ("4-next", F.lit('],"berita":[')), ("6-close", F.lit("]}")))])
+    return listed.unionByName(rows.sparkSession.range(1).select(F.inline(frame)))
+
+
+def write_document_lines(lines: DataFrame, path: str) -> None:
+    """Text files that hold the document if read in the order of their names, folders first; no list is held anywhere.
+
+    The lines are dealt out by ranges of their order, so a task writes a stretch of it.
+    """
+    (lines.repartitionByRange("part", "position").sortWithinPartitions("part", "position")
+     .select("part", "line").write.mode("overwrite").partitionBy("part").text(path))
+
+
 def write_document(doc: DataFrame, path: str) -> None:
     doc.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.clean import new_items, parse_news
+from ..operators.clean import distinct_items, parse_news
 from ..operators.geo import geo_parse
 
 # The columns a Kafka source delivers.
@@ -92,60 +92,85 @@ def drain(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", block
     return query
 
 
-SEEN_BUCKETS = 16
+#: State that outgrows memory and writes what a batch changed, not all it holds (settings of Spark).
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _stream_name(checkpoint: str) -> str:
-    """Identity of a stream in the table of seen keys: its checkpoint is what makes it one stream."""
+    """Identity of a stream among those that share a log of seen keys: its checkpoint is what makes it one stream."""
     return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
-def _on_first_seen(df: DataFrame, seen_path: str, checkpoint: str, keys, act: Callable[[DataFrame, int], None],
-                   order=(), buckets: int = SEEN_BUCKETS) -> StreamingQuery:
-    """Call ``act(rows, batch id)`` with the rows of each batch whose key no batch had before.
+def _seen_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The keys that streams have logged, as a stream: each entry is read once by each stream."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    return spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(path)
+
 
-    Seen keys lie in buckets by hash, under their stream and batch: a batch reads only the buckets of
-    its own keys, streams that share the table cannot overwrite each other, and a batch that runs
-    again ignores its own earlier entry and so gives the same rows.  Rows with a NULL in the key have
-    no identity: all of them pass, and none is remembered.
+def mark_first(df: DataFrame, keys, seen: DataFrame | None = None) -> DataFrame:
+    """The rows of a stream with ``_first`` false, and beside them a row with ``_first`` true for each key that is new.
+
+    Keyed state holds, for every key so far, the times of the first and the latest batch that had it; a key is new where
+    they are one.  So a batch costs what its own keys cost, however many were seen before.  A key that the stream ``seen``
+    brings, in the same batch or earlier, is not new.
     """
-    keys, stream = list(keys), _stream_name(checkpoint)
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    places = [T.StructField("bucket", T.IntegerType()), T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())]
-    seen_schema = T.StructType([df.schema[k] for k in keys] + places)
+    keys = list(keys)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    asked = df.filter(known).select(*keys, F.lit(True).alias("_incoming"))
+    if seen is not None:
+        asked = asked.unionByName(seen.select(*keys, F.lit(False).alias("_incoming")))
+    asked = asked.withColumn("_at", F.current_timestamp())  # the time of the batch, the same when it runs again
+    state = asked.groupBy(*keys).agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"), F.min("_incoming").alias("_own"))
+    new = state.filter("_from = _to AND _own").select(
+        *[F.col(f.name) if f.name in keys else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema], F.lit(True).alias("_first"))
+    return df.withColumn("_first", F.lit(False)).unionByName(new)
+
+
+def _on_first_seen(df: DataFrame, seen_path: str | None, checkpoint: str, keys, act: Callable[[DataFrame, int], None],
+                   order=()) -> StreamingQuery:
+    """Call ``act(rows, batch id)`` with the rows of each batch whose key no batch had before.
 
-    def seen_by_others(spark: SparkSession, own: list[int], batch_id: int) -> DataFrame:
-        try:
-            seen = spark.read.schema(seen_schema).parquet(seen_path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], seen_schema)
-        return seen.filter(F.col("bucket").isin(own) & ~((F.col("stream") == stream) & (F.col("batch") == batch_id)))
+    What was seen is keyed state in the stream's checkpoint.  With ``seen_path`` the new keys of each batch are also
+    logged there for other streams, and what others have logged counts as seen; the log is a source of the stream, so an
+    entry is read once and a batch that runs again sees the same entries.  Rows with a NULL in the key have no identity:
+    all of them pass, and none is remembered.
+    """
+    keys, spark = list(keys), df.sparkSession
+    seen = None if seen_path is None else _seen_log(spark, seen_path, T.StructType([df.schema[k] for k in keys]))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        own = [r.bucket for r in batch.select(bucket.alias("bucket")).distinct().collect()]  # at most ``buckets``
-        fresh = new_items(batch, seen_by_others(batch.sparkSession, own, batch_id), keys, order).persist()
+        new = batch.filter("_first").select(*keys)
+        rows = batch.filter("NOT _first").drop("_first")
+        fresh = distinct_items(rows.filter(known).join(new, keys, "left_semi"), keys, order).unionByName(rows.filter(~known))
         try:
             if not fresh.isEmpty():
                 act(fresh, batch_id)
-                (fresh.filter(known).select(*keys, bucket.alias("bucket"), F.lit(stream).alias("stream"),
-                                            F.lit(batch_id).cast("long").alias("batch"))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("bucket", "stream", "batch").parquet(seen_path))
+                if seen_path is not None:
+                    new.write.mode("overwrite").parquet(f"{seen_path}/{_stream_name(checkpoint)}-{batch_id}")
         finally:
-            fresh.unpersist()
+            batch.unpersist()
 
-    return (df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        return (mark_first(df, keys, seen).writeStream.outputMode("update").foreachBatch(handle)
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def dedup_stream(df: DataFrame, keys, path: str, seen_path: str, checkpoint: str, order=(), fmt: str = "parquet") -> StreamingQuery:
+def dedup_stream(df: DataFrame, keys, path: str, seen_path: str | None, checkpoint: str, order=(), fmt: str = "parquet") -> StreamingQuery:
     """Append every item the first time its key is seen, however late it comes; items without a key all pass.
 
-    What was seen is a table, not the state of a watermark, so a first-time row is never too late and
-    a repeat never passes.  Each batch has a folder of its own and is replaced if it runs again.
+    State has no watermark, so a first-time row is never too late and a repeat never passes.  Each batch has a folder of
+    its own and is replaced if it runs again.
     """
     def append(fresh: DataFrame, batch_id: int) -> None:
         fresh.write.mode("overwrite").format(fmt).save(f"{path}/stream={_stream_name(checkpoint)}/batch={batch_id}")
@@ -153,7 +178,7 @@ def dedup_stream(df: DataFrame, keys, path: str, seen_path: str, checkpoint: str
     return _on_first_seen(df, seen_path, checkpoint, keys, append, order)
 
 
-def refresh_on_new(df: DataFrame, seen_path: str, checkpoint: str, keys,
+def refresh_on_new(df: DataFrame, seen_path: str | None, checkpoint: str, keys,
                    refresh: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """Call ``refresh(new rows, batch id)`` for each batch that holds unseen keys."""
     return _on_first_seen(df, seen_path, checkpoint, keys, refresh)
