@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from .shared import slices, stored, texts_of
 
 LONGEST, THRESHOLD, TOP = 5, 100, 2000
 #: N-grams that a task counts at a time, and those of one hash partition (its summary has at most a hundredth of them as counters).
-CHUNK, PARTITION_MASS = 1 << 20, 1 << 25
+CHUNK, PARTITION_MASS = 1 << 20, 1 << 24
 #: Bits of a set of survivors: at least, at most (16 MB), and for each survivor.
 LEAST_BITS, MOST_BITS, BITS_A_GRAM = 20, 27, 32
 #: A text's separators become line feeds, its tabs spaces (fixed values).
@@ -158,21 +159,44 @@ class Summary:
         return self.hashes[self.counts + self.taken >= threshold]
 
 
-def survivors(texts: DataFrame, length: int, sets, threshold: int, splits: int) -> DataFrame:
-    """Per hash partition ``part`` the hashes that its summary still has, as one binary each of at most CHUNK numbers."""
-    shift = np.uint64(64 - splits)
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers in as few bytes each as the largest needs."""
+    for kind in (np.uint8, np.uint16, np.uint32):
+        if not len(values) or values.max() <= np.iinfo(kind).max:
+            return values.astype(kind).tobytes()
+    return values.astype(np.uint64).tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"<u{len(data) // n}").astype(np.uint64)
+
+
+#: A summary of one task's chunk for one hash partition: its mass alone (kind 0), or its counters: the differences of the
+#: sorted hashes, whose lower 16 bits stand apart as they are as good as random, and the counts.
+SUMMARIES = "part int, kind tinyint, n long, low binary, high binary, counts binary"
+
+
+def survivors(texts: DataFrame, length: int, sets, threshold: int, splits: int, width: int) -> DataFrame:
+    """Per hash partition ``part`` the leading ``width`` bits of the hashes that its summary still has, as binaries of at
+    most CHUNK numbers; hashes that share these bits are one counter, which only lets more pass."""
+    cut, shift = np.uint64(64 - width), np.uint64(width - splits)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sets.value
         for words in gathered(batches, CHUNK):
-            grams, counts = counted(runs_of(words, length, known)[1])
-            parts = (grams >> shift).astype(np.int32) if splits else np.zeros(len(grams), np.int32)
-            masses = np.bincount(parts, counts, minlength=1).astype(np.int64)
-            some = np.flatnonzero(masses).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(some, parts)), pa.array(np.append(np.zeros(len(some), np.int8), np.ones(len(parts), np.int8))),
-                 pa.array(np.append(np.zeros(len(some), np.uint64), grams).view(np.int64)), pa.array(np.append(masses[some], counts))],
-                ["part", "kind", "gram", "n"])
+            grams, counts = counted(runs_of(words, length, known)[1] >> cut)
+            parts = (grams >> shift).astype(np.int64)
+            rows: list[tuple] = []
+            bounds = np.searchsorted(parts, np.arange((1 << splits) + 1))
+            for part in np.unique(parts).tolist():
+                own, n = grams[bounds[part]:bounds[part + 1]], counts[bounds[part]:bounds[part + 1]]
+                steps = np.diff(own, prepend=np.uint64(part) << shift)
+                rows.append((part, 0, int(n.sum()), b"", b"", b""))
+                rows.append((part, 1, len(own), (steps & np.uint64(0xFFFF)).astype(np.uint16).tobytes(),
+                             packed(steps >> np.uint64(16)), packed(n)))
+            kinds = (pa.int32(), pa.int8(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 6, kinds)],
+                                             [f.split()[0] for f in SUMMARIES.split(", ")])
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, mass, summary, waiting, held = None, 0, None, [], 0
@@ -191,39 +215,37 @@ def survivors(texts: DataFrame, length: int, sets, threshold: int, splits: int)
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(own)], pa.int64()),
                                                   pa.array([own.tobytes()], pa.binary())], ["part", "n", "grams"])
 
-        for batch in batches:
-            parts, kinds = batch.column("part").to_numpy(), batch.column("kind").to_numpy()
-            grams, counts = batch.column("gram").to_numpy().view(np.uint64), batch.column("n").to_numpy()
-            for own in np.unique(parts):
-                mine = parts == own
+        for batch in slices(batches, 64):
+            for own, kind, n, low, high, counts in zip(*[c.to_pylist() for c in batch.columns]):
                 if own != part:
                     if summary is not None:
                         yield from left()
                     part, mass, summary = own, 0, None
-                mass += int(counts[mine & (kinds == 0)].sum())
-                rows = mine & (kinds == 1)
-                if not rows.any():
+                if kind == 0:
+                    mass += n
                     continue
                 if summary is None:  # all masses have come
                     summary = Summary(mass // threshold + 1)
-                waiting.append((grams[rows], counts[rows]))
-                held += int(rows.sum())
+                steps = unpacked(high, n) << np.uint64(16) | unpacked(low, n)
+                waiting.append(((np.uint64(own) << shift) + np.cumsum(steps), unpacked(counts, n).astype(np.int64)))
+                held += n
                 if held >= max(CHUNK // 4, summary.capacity):
                     flush()
         if summary is not None:
             yield from left()
 
-    return (texts.select("words").mapInArrow(dealt, "part int, kind tinyint, gram long, n long")
-            .repartition("part").sortWithinPartitions("part", "kind").mapInArrow(merged, "part int, n long, grams binary"))
+    return (texts.select("words").mapInArrow(dealt, SUMMARIES).repartition("part").sortWithinPartitions("part", "kind")
+            .mapInArrow(merged, "part int, n long, grams binary"))
 
 
-def bits_of(found: DataFrame, splits: int) -> np.ndarray:
-    """The bit set of the survivors; each row of ``found`` fills bits of its own partition's stretch, at most MOST_BITS come here."""
+def bits_of(found: DataFrame, splits: int, given: int) -> np.ndarray:
+    """The bit set of the survivors (hashes of ``given`` bits); each row of ``found`` fills bits of its own partition's stretch,
+    at most MOST_BITS come here."""
     n = found.agg(F.sum("n")).first()[0] or 0
     width = max(LEAST_BITS, splits + 3)
     while width < MOST_BITS and 1 << width < n * BITS_A_GRAM:
         width += 1
-    shift, stretch = np.uint64(64 - width), 1 << (width - splits - 3)
+    shift, stretch = np.uint64(given - width), 1 << (width - splits - 3)
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
@@ -239,9 +261,14 @@ def bits_of(found: DataFrame, splits: int) -> np.ndarray:
     return data
 
 
-def exact_counts(docs: DataFrame, text: str, lang: str, sets, threshold: int) -> DataFrame:
-    """``(lang, words, phrase, f)`` of the n-grams with at least ``threshold`` places, counted by their words."""
-    def local(lang_name: str, tokens: list[bytes], known: list[Bits]) -> Iterator[pa.RecordBatch]:
+def exact_counts(docs: DataFrame, text: str, lang: str, sets, threshold: int, splits: int) -> DataFrame:
+    """``(lang, words, phrase, f)`` of the n-grams with at least ``threshold`` places, counted by their words.
+
+    A task's counts go to the n-grams' hash partitions in rows of many phrases, and are added up there.
+    """
+    shift = np.uint64(64 - splits)
+
+    def local(lang_name: str, tokens: list[bytes], known: list[Bits]) -> Iterator[tuple]:
         number: dict[bytes, int] = {b"\n": 0}
         ids = np.fromiter((number.setdefault(t, len(number)) for t in tokens), dtype=np.int64, count=len(tokens))
         hashes = hashes_of(list(number), seed_of(lang_name))[ids]
@@ -253,30 +280,68 @@ def exact_counts(docs: DataFrame, text: str, lang: str, sets, threshold: int) ->
             if not len(at):
                 return
             _, first, same, counts = np.unique(same, return_index=True, return_inverse=True, return_counts=True)
-            phrases = [b" ".join(tokens[i:i + n]) for i in at[first].tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang_name] * len(first)), pa.array(np.full(len(first), n, np.int32)),
-                 pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts.astype(np.int64))], ["lang", "words", "phrase", "f"])
+            parts = (grams[first] >> shift).astype(np.int64)
+            order = np.argsort(parts, kind="stable")
+            bounds = np.searchsorted(parts[order], np.arange((1 << splits) + 1))
+            starts = at[first].tolist()
+            for part in np.unique(parts).tolist():
+                own = order[bounds[part]:bounds[part + 1]]
+                yield part, lang_name, n, [b" ".join(tokens[starts[i]:starts[i] + n]) for i in own.tolist()], counts[own].tolist()
             both = np.flatnonzero(at[1:] == at[:-1] + 1)
             same = same.astype(np.int64)[both] << 32 | ids[at[both] + n]
             grams, at = longer(grams[both], hashes[at[both] + n]), at[both]
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, waiting = sets.value, {}
+        known, waiting, held = sets.value, {}, 0
+        kinds = (pa.int32(), pa.string(), pa.int32(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+
+        def sent() -> pa.RecordBatch:
+            rows = [row for name, tokens in waiting.items() for row in local(name, tokens, known)]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 5, kinds)],
+                                              ["part", "lang", "words", "phrases", "f"])
+
         for batch in slices(batches):
             for content, name in zip(texts_of(batch, "mined_text"), batch.column("lang").to_pylist()):
-                tokens = waiting.setdefault(name, [])
-                tokens += tokens_of(content)
-                tokens.append(b"\n")
-                if sum(map(len, waiting.values())) >= CHUNK:
-                    for own, held in waiting.items():
-                        yield from local(own, held, known)
-                    waiting = {}
-        for own, held in waiting.items():
-            yield from local(own, held, known)
+                tokens = tokens_of(content)
+                waiting.setdefault(name, []).extend(tokens)
+                waiting[name].append(b"\n")
+                held += len(tokens) + 1
+                if held >= CHUNK:
+                    yield sent()
+                    waiting, held = {}, 0
+        if waiting:
+            yield sent()
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, tables, held = None, [], 0
+        names = ["lang", "words", "phrase"]
+
+        def total() -> pa.Table:
+            return pa.concat_tables(tables).group_by(names).aggregate([("f", "sum")]).rename_columns([*names, "f"])
+
+        def left() -> Iterator[pa.RecordBatch]:
+            found = total()
+            yield from found.filter(pc.greater_equal(found["f"], threshold)).to_batches()
+
+        for batch in slices(batches, 64):
+            for row in range(batch.num_rows):
+                own = batch.column("part")[row].as_py()
+                if own != part:
+                    if tables:
+                        yield from left()
+                    part, tables, held = own, [], 0
+                phrases, n = batch.column("phrases")[row].values, len(batch.column("phrases")[row])
+                tables.append(pa.table([pa.repeat(batch.column("lang")[row], n), pa.repeat(batch.column("words")[row], n),
+                                        phrases.cast(pa.string()), batch.column("f")[row].values], [*names, "f"]))
+                held += n
+                if held >= CHUNK:
+                    tables = [total()]
+                    held = tables[0].num_rows // 2
+        if tables:
+            yield from left()
 
-    return (mined(docs, text, lang).mapInArrow(places, "lang string, words int, phrase string, f long")
-            .groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= threshold))
+    return (mined(docs, text, lang).mapInArrow(places, "part int, lang string, words int, phrases array<binary>, f array<long>")
+            .repartition("part").sortWithinPartitions("part").mapInArrow(added, "lang string, words int, phrase string, f long"))
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST,
@@ -290,13 +355,14 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     while PARTITION_MASS << splits < mass:
         splits += 1
     splits = max(splits, 6)
+    width = min(64, max(40, mass.bit_length() + 8))  # so that few n-grams share their bits
     sets: list[Bits] = []
     for length in range(1, longest + 1):
-        found = stored(survivors(texts, length, context.broadcast(sets), threshold, splits), "survivors")
+        found = stored(survivors(texts, length, context.broadcast(sets), threshold, splits, width), "survivors")
         if found.isEmpty():
             break
-        sets.append(Bits(bits_of(found, splits)))
-    return stored(exact_counts(docs, text, lang, context.broadcast(sets), threshold), "frequent"), totals
+        sets.append(Bits(bits_of(found, splits, width)))
+    return stored(exact_counts(docs, text, lang, context.broadcast(sets), threshold, splits), "frequent"), totals
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST,
