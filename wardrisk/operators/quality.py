@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import per_capita
@@ -63,3 +63,44 @@ def variants(df: DataFrame, column: str) -> DataFrame:
                .withColumn("normal", F.lower(F.trim("spelling"))))
     several = spelled.groupBy("normal").agg(F.count(F.lit(1)).alias("spellings")).filter("spellings > 1")
     return spelled.join(several, "normal")
+
+
+# --- alias proposals --------------------------------------------------------------------
+
+def numbered_grams(text: Column, q: int) -> Column:
+    """The q-grams of a text with marked ends; the second one of a kind is told apart from the first, and so on."""
+    whole = F.concat(F.lit("\x01" * (q - 1)), text, F.lit("\x02" * (q - 1)))
+    grams = F.transform(F.sequence(F.lit(1), F.length(text) + (q - 1)), lambda i: F.substr(whole, i, F.lit(q)))
+
+    def counted(listed: Column) -> Column:
+        return F.transform(listed, lambda g, i: F.concat(g, F.size(F.filter(F.slice(listed, F.lit(1), i + 1), lambda h: h == g)).cast("string")))
+
+    return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(
+        F.get(F.transform(F.array(grams), counted), F.lit(0)))
+
+
+def propose_aliases(spelled: DataFrame, known: DataFrame, key: str, max_distance: int = 2, q: int = 2) -> DataFrame:
+    """``(key, proposal, distance)``: for each key that is not known the nearest known one within ``max_distance`` edits.
+
+    Ties go to the first known key.  An edit changes at most q of a text's q-grams, so keys that near share one of their
+    ``q * max_distance + 1`` rarest ones: those alone are indexed, which keeps frequent grams out of the join.  Texts
+    with no more grams than that need share none; they are few (of at most ``q * (max_distance - 1) + 1`` letters) and
+    meet each other by a mark.  Pairs of very different lengths are dropped before the distance is computed.
+    """
+    prefix = q * max_distance + 1
+    accepted = known.select(F.col(key).alias("text")).filter("text IS NOT NULL").distinct()
+    asked = spelled.select(F.col(key).alias("text")).filter("text IS NOT NULL").distinct().join(accepted, "text", "left_anti")
+    both = accepted.withColumn("known", F.lit(True)).unionByName(asked.withColumn("known", F.lit(False)))
+    grams = both.select("text", "known", F.explode(numbered_grams(F.col("text"), q)).alias("gram"))
+    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rare = F.row_number().over(Window.partitionBy("known", "text").orderBy("n", "gram"))
+    index = grams.join(counts, "gram").withColumn("place", rare).filter(F.col("place") <= prefix).select("text", "known", "gram")
+    short = both.filter(F.length("text") + (q - 1) < prefix).select("text", "known", F.lit("").alias("gram"))
+    index = index.unionByName(short)
+    left = index.filter("NOT known").select("gram", F.col("text").alias(key))
+    right = index.filter("known").select("gram", F.col("text").alias("proposal"))
+    pairs = (left.join(right, "gram").filter(F.abs(F.length(key) - F.length("proposal")) <= max_distance)
+             .select(key, "proposal").distinct())
+    near = pairs.withColumn("distance", F.levenshtein(key, "proposal")).filter(F.col("distance") <= max_distance)
+    best = near.groupBy(key).agg(F.min(F.struct("distance", "proposal")).alias("best"))
+    return best.select(key, "best.proposal", "best.distance")

@@ -214,3 +214,21 @@ def news_detail(news: DataFrame, risk: DataFrame, place: str, key: str = KEY) ->
     side = first_per_name(rank_indices(risk, {CRIME: "crime_rank"}, key), key, [CRIME, HEALTH, "crime_rank"], [F.col("crime_rank").asc()])
     joined = news.withColumn("_key", normalize_key(place)).join(side, "_key", "left").drop("_key")
     return joined.fillna({"crime_rank": 0})
+
+
+# --- distinct counts from stored sketches -----------------------------------------------
+
+def daily_sketches(df: DataFrame, value: str, ts: str, lg_size: int = 12) -> DataFrame:
+    """``(day, sketch)``: a mergeable sketch of the distinct values of each day, to be stored; undated rows are left out."""
+    return (df.groupBy(F.to_date(ts).alias("day")).agg(F.hll_sketch_agg(value, lg_size).alias("sketch")).filter("day IS NOT NULL"))
+
+
+def distinct_between(sketches: DataFrame, ranges: DataFrame, first: str = "first", last: str = "last") -> DataFrame:
+    """The ranges with the estimated ``distinct_values`` of their days, by the union of the days' sketches."""
+    met = ranges.join(sketches, F.col("day").between(F.col(first), F.col(last)), "left")
+    return met.groupBy(*ranges.columns).agg(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.lit(0)).alias("distinct_values"))
+
+
+def sketch_error(lg_size: int = 12, deviations: float = 3.0) -> float:
+    """Relative error that an estimate stays within, at so many deviations."""
+    return deviations * 1.04 / (1 << lg_size) ** 0.5

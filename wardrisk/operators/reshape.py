@@ -110,6 +110,50 @@ def interpolate(spine: DataFrame, known: DataFrame, key: str, t: str, value: str
     return joined.withColumn(out, F.coalesce(blend, "_v0", "_v1")).drop("_v0", "_v1", "_t0", "_t1")
 
 
+def known_stretches(known: DataFrame, key: str, t: str, value: str, start, end, keys: DataFrame | None = None) -> DataFrame:
+    """The months from start to end of each key, made from its known points alone: ``(key, t, value, _t0, _v0, _t1, _v1)``.
+
+    A point reaches until the next one of its key, and the first one back to the start as well, so one window over the
+    points finds the stretches and each is expanded where it is; no calendar is joined.  ``_t0, _v0`` is the point before
+    (or at) a month and ``_t1, _v1`` the one after.  ``keys`` adds keys that have no point, all of whose months are unknown.
+    """
+    first, last = (F.trunc(F.lit(d).cast("date"), "month") for d in (start, end))
+    points = known.filter(F.col(value).isNotNull() & F.col(t).between(first, last)).select(key, F.col(t).alias("_t0"), F.col(value).alias("_v0"))
+    if keys is not None:
+        none = [F.lit(None).cast(points.schema[c].dataType).alias(c) for c in ("_t0", "_v0")]
+        points = points.unionByName(keys.select(key).distinct().select(key, *none))
+    w = Window.partitionBy(key).orderBy(F.col("_t0").asc_nulls_first())
+    ahead = points.withColumns({"_t1": F.lead("_t0").over(w), "_v1": F.lead("_v0").over(w), "_first": F.lag(F.lit(1)).over(w).isNull()})
+    until = F.coalesce(F.add_months("_t1", -1), last)
+    kind = points.schema
+    unknown = [F.lit(None).cast(kind["_t0"].dataType).alias("_t0"), F.lit(None).cast(kind["_v0"].dataType).alias("_v0")]
+
+    def stretch(begin, stop, *columns):
+        return F.struct(begin.alias("_from"), stop.alias("_to"), *columns)
+
+    own = stretch(F.coalesce("_t0", first), until, F.col("_t0"), F.col("_v0"), F.col("_t1"), F.col("_v1"))
+    before = stretch(first, F.add_months("_t0", -1), *unknown, F.col("_t0").alias("_t1"), F.col("_v0").alias("_v1"))
+    parts = ahead.select(key, F.inline(F.when(F.col("_first") & F.col("_t0").isNotNull(), F.array(before, own)).otherwise(F.array(own))))
+    months = parts.filter("_from <= _to").select(
+        key, F.explode(F.sequence("_from", "_to", F.expr("interval 1 month"))).alias(t), "_t0", "_v0", "_t1", "_v1")
+    return months.withColumn(value, F.when(F.col(t) == F.col("_t0"), F.col("_v0")))
+
+
+def fill_months(known: DataFrame, key: str, t: str, value: str, out: str, start, end, keys: DataFrame | None = None) -> DataFrame:
+    """Every month of each key with the last known value; months before the first value are NULL."""
+    return known_stretches(known, key, t, value, start, end, keys).select(key, t, value, F.col("_v0").alias(out))
+
+
+def blend_months(known: DataFrame, key: str, t: str, value: str, out: str, start, end, keys: DataFrame | None = None) -> DataFrame:
+    """Every month of each key, linear between the known values around it; the ends stay flat."""
+    def months(a, b):
+        return F.round(F.months_between(b, a))
+
+    share = F.try_divide(months("_t0", F.col(t)), months("_t0", F.col("_t1")))
+    blend = F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.coalesce(share, F.lit(0.0))
+    return known_stretches(known, key, t, value, start, end, keys).select(key, t, value, F.coalesce(blend, "_v0", "_v1").alias(out))
+
+
 def since(df: DataFrame, t: str, epoch: str = "2025-01-01") -> DataFrame:
     """Rows from the first month of the baseline on."""
     return df.filter(F.col(t) >= F.lit(epoch).cast("date"))

@@ -8,7 +8,7 @@ from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import IDF, CountVectorizerModel, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -94,6 +94,94 @@ def dominant(c) -> Column:
     return (F.array_position(c, F.array_max(c)) - 1).cast("int")
 
 
+# --- topic weights for given topics ------------------------------------------------------
+
+def digamma(x: Column) -> Column:
+    """Derivative of the log-gamma function for positive numbers, to some 1e-9: shifted by six, then its series."""
+    y = x + 6
+    series = F.log(y) - 0.5 / y - 1 / (12 * y * y) + 1 / (120 * F.pow(y, F.lit(4))) - 1 / (252 * F.pow(y, F.lit(6)))
+    return series - sum((1 / (x + i) for i in range(1, 6)), 1 / x)
+
+
+def log_gamma(x: Column) -> Column:
+    """Log-gamma for positive numbers, to some 1e-9, in the same way."""
+    y = x + 6
+    series = (y - 0.5) * F.log(y) - y + 0.5 * F.log(F.lit(2) * F.pi()) + 1 / (12 * y) - 1 / (360 * F.pow(y, F.lit(3))) + 1 / (1260 * F.pow(y, F.lit(5)))
+    return series - sum((F.log(x + i) for i in range(1, 6)), F.log(x))
+
+
+def total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+
+
+def dot(a: Column, b: Column) -> Column:
+    return total(F.zip_with(a, b, lambda x, y: x * y))
+
+
+def topic_terms(counts: DataFrame, topic: str, term: str, n: str, k: int, smoothing: float = 0.01) -> DataFrame:
+    """``(term, beta)``: each term's probability in the topics 0 to k - 1, from its counts per topic, smoothed.
+
+    ``counts`` has a row per topic and term; terms with no count in a topic have the smoothing alone.
+    """
+    sizes = counts.groupBy(topic).agg(F.sum(n).alias("_all"))
+    vocabulary = counts.agg(F.count_distinct(term)).scalar()
+    listed = counts.groupBy(term).agg(F.map_from_entries(F.collect_list(F.struct(topic, n))).alias("_n"))
+    all_sizes = sizes.agg(F.map_from_entries(F.collect_list(F.struct(topic, "_all")))).scalar()  # k entries at most
+    listed = listed.withColumn("_sizes", all_sizes).withColumn("_terms", vocabulary)
+    beta = F.array(*[(F.coalesce(F.try_element_at("_n", F.lit(i)), F.lit(0)) + smoothing)
+                     / (F.coalesce(F.try_element_at("_sizes", F.lit(i)), F.lit(0)) + F.col("_terms") * smoothing) for i in range(k)])
+    return listed.select(F.col(term).alias("term"), beta.alias("beta"))
+
+
+def infer_topics(counts: DataFrame, terms: DataFrame, id_col: str, k: int, alpha: float | None = None, rounds: int = 20) -> DataFrame:
+    """``(id, topic_distribution, bound, weight)`` of each text under given topics: the variational E-step of LDA.
+
+    ``counts``: id, term, n; ``terms``: term, beta (see :func:`topic_terms`).  A text's terms meet in one row, so every
+    round is a column expression over that row and nothing is shuffled between rounds.  ``bound`` is the text's part of
+    the variational lower bound of the log likelihood, ``weight`` its total count.  Texts without a known term are left out.
+    """
+    alpha = 1.0 / k if alpha is None else alpha
+    rows = counts.join(terms, "term").groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("term", F.col("n").cast("double").alias("n"), "beta"))).alias("_words"))
+    rows = rows.withColumn("_weight", total(F.transform("_words", lambda w: w["n"])))
+    rows = rows.withColumn("_gamma", F.array_repeat(F.col("_weight") / k + alpha, k))
+
+    def expected() -> Column:
+        """Expected log weight of each topic."""
+        return F.transform("_gamma", lambda g: digamma(g) - digamma(total(F.col("_gamma"))))
+
+    zeros = F.array(*[F.lit(0.0)] * k)
+    for _ in range(rounds):
+        rows = rows.withColumn("_e", F.transform(expected(), lambda x: F.exp(x)))
+        shares = F.aggregate("_words", zeros, lambda sums, w: F.zip_with(
+            sums, w["beta"], lambda s, b: s + w["n"] * b / dot(F.col("_e"), w["beta"])))
+        # The weights are named outside of the lambda as well, so the optimizer leaves them a column of their own.
+        rows = rows.withColumn("_gamma", F.zip_with("_e", shares, lambda e, s: e * s + alpha))
+    rows = rows.withColumn("_log", expected()).withColumn("_e", F.transform("_log", lambda x: F.exp(x)))
+    words = F.aggregate("_words", F.lit(0.0), lambda s, w: s + w["n"] * F.log(dot(F.col("_e"), w["beta"])))
+    prior = total(F.zip_with("_gamma", "_log", lambda g, x: (alpha - g) * x + log_gamma(g) - log_gamma(F.lit(alpha))))
+    bound = words + prior + log_gamma(F.lit(float(k * alpha))) - log_gamma(total(F.col("_gamma"))) + F.element_at("_e", 1) * 0
+    return rows.select(id_col, F.transform("_gamma", lambda g: g / total(F.col("_gamma"))).alias("topic_distribution"),
+                       bound.alias("bound"), F.col("_weight").alias("weight"))
+
+
+def topic_words(terms: DataFrame, vocabulary: DataFrame, k: int, n: int = 15) -> DataFrame:
+    """``(topic, position, index, term)``: each topic's first terms by weight, looked up by their index.
+
+    ``vocabulary``: index, term.  A topic is described by term indices, as a fitted model is; a join gives their words.
+    """
+    weights = terms.join(vocabulary, "term").select("index", F.posexplode("beta").alias("topic", "beta"))
+    place = F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("beta"), "index"))
+    first = weights.withColumn("position", place - 1).filter(F.col("position") < n)
+    described = first.groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("position", "index"))).alias("indices"))
+    return described.select("topic", F.inline("indices")).join(vocabulary, "index").select("topic", "position", "index", "term")
+
+
+def label_of_topic(topic: Column, labels: dict[int, str], unknown: str = "Unknown") -> Column:
+    """The label of a topic number from a small map."""
+    by_topic = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    return F.coalesce(F.try_element_at(by_topic, topic), F.lit(unknown))
+
+
 # --- the model ----------------------------------------------------------------------
 
 @dataclass
@@ -172,11 +260,9 @@ def topic_counts(news: DataFrame, id_col: str = "id_berita", text_cols=("judul",
     topics = (spark.createDataFrame(listed, "topic int, terms array<string>")
               .withColumn("kategori_ml", keyword_label("terms", keywords)))
     labels = {row.topic: row.kategori_ml for row in topics.collect()}
-    by_topic = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
 
     scored = model.transform(features).select(
         id_col, place, vector_to_array("topicDistribution").alias("topic_distribution"))
     scored = scored.withColumn("dominant_topic", dominant("topic_distribution"))
-    scored = scored.withColumn("kategori_ml", F.coalesce(F.try_element_at(by_topic, F.col("dominant_topic")),
-                                                         F.lit("Unknown")))
+    scored = scored.withColumn("kategori_ml", label_of_topic(F.col("dominant_topic"), labels))
     return TopicResult(scored, news_counts(scored, place, "kategori_ml", key), metrics, topics, model, features)

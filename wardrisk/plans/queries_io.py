@@ -6,11 +6,12 @@ checkpoint folder and reads it back the way a job would.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import iso_text
-from ..operators import clean, geo, index, reshape
+from ..operators import clean, geo, index, report, reshape
 from ..sources import readers, writers
 from ..streaming import news as streams
 from . import medallion, roles
@@ -409,3 +410,95 @@ def enrich_place(spark, sf_dir):
     names = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.concat(F.lit("Kec. "), "n_name").alias("place"))
     suppliers = roles.table(spark, sf_dir, "supplier").join(names, "s_nationkey")
     return geo.enrich_place(suppliers, dimension, "place").select("s_suppkey", "area_km2")
+
+
+@query("stream_resume", "SELECT event_id, event_type, 1::BIGINT AS times FROM events")
+def stream_resume(spark, sf_dir):
+    """A drain in small batches that fails in one of them and goes on from its checkpoint: each row once."""
+    path = writers.scratch_dir(spark, "resume")
+    events = roles.table(spark, sf_dir, "events").select("event_id", "event_type")
+    events.repartitionByRange(6, "event_id").write.parquet(f"{path}/in")
+    middle = events.agg(F.avg("event_id")).first()[0] or 0.0
+    rows = streams.open_stream(spark, "parquet", f"{path}/in", events.schema, maxFilesPerTrigger=1)
+    stopped = F.when(F.col("event_id") > middle, F.raise_error(F.lit("stopped on purpose")).cast("long")).otherwise(F.col("event_id"))
+    try:
+        streams.drain(rows.withColumn("event_id", stopped), f"{path}/out", f"{path}/checkpoint")
+    except StreamingQueryException as error:
+        if "stopped on purpose" not in str(error):
+            raise
+    streams.drain(rows, f"{path}/out", f"{path}/checkpoint")
+    written = readers.read_table(spark, f"{path}/out")
+    return written.groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("times"))
+
+
+@query("stream_statistics", """
+WITH got AS (SELECT page_id // 100 % 2 AS batch, url FROM pages WHERE page_id % 41 <> 0),
+firsts AS (SELECT url, min(batch) AS batch FROM got GROUP BY url)
+SELECT b.batch::BIGINT AS batch, (SELECT count(*) FROM got WHERE got.batch = b.batch) AS fetched,
+       (SELECT count(*) FROM firsts WHERE firsts.batch = b.batch) AS sent,
+       (SELECT count(*) FROM got WHERE got.batch = b.batch) - (SELECT count(*) FROM firsts WHERE firsts.batch = b.batch) AS duplicates,
+       (SELECT count(*) FROM pages WHERE page_id % 41 = 0 AND page_id // 100 % 2 = b.batch) AS errors
+FROM (SELECT DISTINCT page_id // 100 % 2 AS batch FROM pages) b""")
+def stream_statistics(spark, sf_dir):
+    """The statistics of a running stream of two cycles, told by its own progress."""
+    path = writers.scratch_dir(spark, "statistics")
+    pages = roles.table(spark, sf_dir, "pages").select("url", F.when(F.col("page_id") % 41 == 0, "timeout").alias("error"),
+                                                       (F.floor(F.col("page_id") / 100) % 2).cast("int").alias("cycle"))
+    listener = streams.IngestStatistics()
+    spark.streams.addListener(listener)
+    try:
+        for cycle in (0, 1):
+            pages.filter(F.col("cycle") == cycle).drop("cycle").write.mode("append").parquet(f"{path}/in")
+            rows = streams.open_stream(spark, "parquet", f"{path}/in", pages.drop("cycle").schema)
+            query = streams.dedup_stream(rows, ["url"], f"{path}/out", None, f"{path}/checkpoint", error="error")
+            query.awaitTermination()
+            listener.wait(query)
+    finally:
+        spark.streams.removeListener(listener)
+    return listener.table(spark).select("batch", "fetched", "sent", "duplicates", "errors")
+
+
+@query("stream_gold", f"""
+WITH {roles.PEOPLE_SQL.strip()},
+firsts AS (SELECT DISTINCT event_type, user_id FROM events),
+fresh AS (SELECT user_id % 25 AS nk, count(*) AS n FROM firsts GROUP BY ALL),
+crime0 AS (SELECT kecamatan, coalesce(returned, 0) + coalesce(n, 0) AS total_kasus_kriminal,
+                  CAST(coalesce(returned, 0) + coalesce(n, 0) AS DOUBLE) / nullif(jumlah_penduduk, 0) * 100000 AS rate
+           FROM base LEFT JOIN lines USING (nk) LEFT JOIN fresh USING (nk))
+SELECT kecamatan, total_kasus_kriminal, round((rate - min(rate) OVER ()) / CASE WHEN max(rate) OVER () > min(rate) OVER ()
+       THEN max(rate) OVER () - min(rate) OVER () ELSE 1.0 END * 100, 6) AS indeks_kriminalitas FROM crime0""")
+def stream_gold(spark, sf_dir):
+    """The crime index kept up by a stream: new items of three batches are added to stored counts, and the index made from those."""
+    path = writers.scratch_dir(spark, "upkeep")
+    nation = roles.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("place"), F.col("n_name").alias("kecamatan"))
+    events = roles.table(spark, sf_dir, "events").select("event_type", "user_id", "event_id")
+    events.repartitionByRange(3, "event_id").write.parquet(f"{path}/in")
+    rows = streams.open_stream(spark, "parquet", f"{path}/in", events.schema, maxFilesPerTrigger=1)
+
+    def add(fresh, batch_id):
+        counts = (fresh.groupBy((F.col("user_id") % 25).alias("place")).agg(F.count(F.lit(1)).alias("total_kasus_berita_kriminal"))
+                  .join(nation, "place").select("kecamatan", "total_kasus_berita_kriminal"))
+        streams.merge_counts(counts, batch_id, f"{path}/counts", ["kecamatan"])
+
+    streams.refresh_on_new(rows, None, f"{path}/checkpoint", ["event_type", "user_id"], add).awaitTermination()
+    versions = readers.read_table(spark, f"{path}/counts")
+    counts = versions.filter(F.col("version") == versions.agg(F.max("version")).scalar()).select("kecamatan", "total_kasus_berita_kriminal")
+    crime = index.crime_index(roles.districts(spark, sf_dir, returned=True), counts)
+    return rounded(crime.select("kecamatan", "total_kasus_kriminal", "indeks_kriminalitas"))
+
+
+@query("distinct_by_sketch", """
+WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS first FROM events)
+SELECT strftime(first, '%Y-%m-%d') AS first, (SELECT count(DISTINCT user_id) FROM events WHERE CAST(ts AS DATE) BETWEEN first AND first + 6) AS exact, true AS within
+FROM days""")
+def distinct_by_sketch(spark, sf_dir):
+    """Users of the week from each day on: by the union of stored daily sketches, held against the exact count."""
+    events = roles.table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"))
+    path = writers.scratch_dir(spark, "sketches")
+    writers.overwrite(report.daily_sketches(events, "user_id", "day"), path)
+    ranges = events.select(F.col("day").alias("first")).distinct().withColumn("last", F.date_add("first", 6))
+    near = report.distinct_between(readers.read_table(spark, path), ranges)
+    met = events.distinct().join(ranges, F.col("day").between(F.col("first"), F.col("last")))
+    exact = met.groupBy("first").agg(F.count_distinct("user_id").alias("exact"))
+    within = F.abs(F.col("distinct_values") - F.col("exact")) <= F.ceil(F.col("exact") * report.sketch_error())
+    return near.join(exact, "first").select(F.col("first").cast("string").alias("first"), "exact", within.alias("within"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import iso_text
+from ..functions import iso_text, normalize_key
 from ..operators import clean, geo, index, quality, rank, report, reshape
 from . import roles
 from .queries_index import rounded
@@ -366,11 +366,9 @@ def monthly_known(spark, sf_dir):
     return orders.groupBy("customer", "month").agg(F.count(F.lit(1)).alias("n"))
 
 
-def monthly_spine(spark, sf_dir):
-    """Every month from the first to the last order, for each customer with an order."""
-    orders = roles.table(spark, sf_dir, "orders")
-    ends = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
-    return reshape.month_spine(orders.select(F.col("o_custkey").alias("customer")), *ends)
+def month_ends(spark, sf_dir):
+    """The days of the first and the last order."""
+    return tuple(roles.table(spark, sf_dir, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first())
 
 
 @query("forward_fill", f"""
@@ -378,7 +376,7 @@ WITH {MONTHS_SQL.strip()}
 SELECT customer, strftime(month, '%Y-%m') AS month, n,
        last_value(n IGNORE NULLS) OVER (PARTITION BY customer ORDER BY month ROWS UNBOUNDED PRECEDING) AS filled FROM joined""")
 def forward_fill(spark, sf_dir):
-    filled = reshape.forward_fill(monthly_spine(spark, sf_dir), monthly_known(spark, sf_dir), "customer", "month", "n", "filled")
+    filled = reshape.fill_months(monthly_known(spark, sf_dir), "customer", "month", "n", "filled", *month_ends(spark, sf_dir))
     return filled.withColumn("month", F.date_format("month", "yyyy-MM"))
 
 
@@ -393,7 +391,7 @@ SELECT customer, strftime(month, '%Y-%m') AS month, n, round(coalesce(v0 + (v1 -
        coalesce(date_diff('month', t0, month)::DOUBLE / nullif(date_diff('month', t0, t1), 0), 0), v0, v1)::DOUBLE, 6) AS blended
 FROM ends""")
 def interpolate(spark, sf_dir):
-    blended = reshape.interpolate(monthly_spine(spark, sf_dir), monthly_known(spark, sf_dir), "customer", "month", "n", "blended")
+    blended = reshape.blend_months(monthly_known(spark, sf_dir), "customer", "month", "n", "blended", *month_ends(spark, sf_dir))
     return rounded(blended.withColumns({"month": F.date_format("month", "yyyy-MM"), "blended": F.col("blended").cast("double")}))
 
 
@@ -517,3 +515,80 @@ def variants(spark, sf_dir):
     kind = F.col("p_partkey") % 3
     spelled = F.when(kind == 0, F.upper("p_type")).when(kind == 1, F.concat(F.lit(" "), "p_type")).otherwise(F.col("p_type"))
     return quality.variants(roles.table(spark, sf_dir, "part").select(spelled.alias("v")), "v")
+
+
+def _misspelt_sql(name: str = "p_name") -> str:
+    return f"""CASE c_custkey % 5 WHEN 0 THEN {name} WHEN 1 THEN substr({name}, 1, 1) || substr({name}, 3)
+         WHEN 2 THEN substr({name}, 1, 2) || substr({name}, 4, 1) || substr({name}, 3, 1) || substr({name}, 5)
+         WHEN 3 THEN ' ' || upper(substr({name}, 1, 1) || 'q' || substr({name}, 3)) ELSE {name} || 'zz' END"""
+
+
+@query("alias_proposals", f"""
+WITH names AS (SELECT p_name, row_number() OVER (ORDER BY p_name) - 1 AS i FROM (SELECT DISTINCT p_name FROM part)),
+spelled AS (
+  SELECT DISTINCT lower(trim({_misspelt_sql()})) AS key FROM customer JOIN names ON i = c_custkey % (SELECT count(*) FROM names)),
+pairs AS (
+  SELECT key, p_name AS proposal, levenshtein(key, p_name) AS distance FROM spelled, names
+  WHERE key NOT IN (SELECT p_name FROM names) AND levenshtein(key, p_name) <= 2)
+SELECT key, proposal, distance::INTEGER AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY distance, proposal) AS r FROM pairs) WHERE r = 1""")
+def alias_proposals(spark, sf_dir):
+    """The customers' places in many spellings; the names of the parts are the accepted ones."""
+    names = rank.number_rows(roles.table(spark, sf_dir, "part").select("p_name").distinct(), ["p_name"], "i")
+    n = names.agg(F.count(F.lit(1))).scalar()
+    customers = roles.table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % n).alias("i"))
+    spelled = customers.join(names, "i").select(normalize_key(F.expr(_misspelt_sql())).alias("key"))
+    return quality.propose_aliases(spelled, names.select(F.col("p_name").alias("key")), "key")
+
+
+@query("alias_unmatched", f"""
+WITH names AS (SELECT p_name, row_number() OVER (ORDER BY p_name) - 1 AS i FROM (SELECT DISTINCT p_name FROM part)),
+spelled AS (
+  SELECT c_custkey, lower(trim({_misspelt_sql()})) AS key FROM customer JOIN names ON i = c_custkey % (SELECT count(*) FROM names)),
+near AS (
+  SELECT key, p_name, row_number() OVER (PARTITION BY key ORDER BY levenshtein(key, p_name), p_name) AS r
+  FROM (SELECT DISTINCT key FROM spelled), names WHERE levenshtein(key, p_name) <= 2)
+SELECT coalesce(p_name, spelled.key) AS place, count(*) AS customers FROM spelled LEFT JOIN near ON near.key = spelled.key AND r = 1 GROUP BY ALL""")
+def alias_unmatched(spark, sf_dir):
+    """The proposals put to use: customers per place after every unknown spelling took its proposed alias."""
+    names = rank.number_rows(roles.table(spark, sf_dir, "part").select("p_name").distinct(), ["p_name"], "i")
+    n = names.agg(F.count(F.lit(1))).scalar()
+    customers = roles.table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % n).alias("i"))
+    spelled = customers.join(names, "i").select(normalize_key(F.expr(_misspelt_sql())).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    proposed = quality.propose_aliases(spelled, names.select(F.col("p_name").alias("key")), "key")
+    placed = spelled.join(proposed, "key", "left").select(F.coalesce("proposal", "key").alias("place"), "n")
+    return placed.groupBy("place").agg(F.sum("n").alias("customers"))
+
+
+@query("monthly_health", """
+WITH people AS (SELECT c_nationkey AS nation, count(*) AS people FROM customer GROUP BY ALL),
+beds AS (SELECT s_nationkey AS nation, count(*) AS beds FROM supplier GROUP BY ALL),
+months AS (SELECT c_nationkey AS nation, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n
+           FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderdate >= DATE '1998-01-01' GROUP BY ALL),
+rates AS (
+  SELECT m.nation, month, n, n::DOUBLE / people * 100000 AS ir, coalesce(beds, 0)::DOUBLE / people * 10000 AS hfr
+  FROM months m JOIN people USING (nation) LEFT JOIN beds USING (nation)),
+scaled AS (
+  SELECT *, (ir - min(ir) OVER w) / CASE WHEN max(ir) OVER w > min(ir) OVER w THEN max(ir) OVER w - min(ir) OVER w ELSE 1.0 END * 100 AS norm_ir,
+         (hfr - min(hfr) OVER w) / CASE WHEN max(hfr) OVER w > min(hfr) OVER w THEN max(hfr) OVER w - min(hfr) OVER w ELSE 1.0 END * 100 AS norm_hfr
+  FROM rates WINDOW w AS (PARTITION BY month))
+SELECT n_name AS kecamatan, month, n AS cases, round(0.7 * norm_ir + 0.3 * (100 - norm_hfr), 6) AS indeks_kesehatan
+FROM scaled JOIN nation ON n_nationkey = nation""")
+def monthly_health(spark, sf_dir):
+    """The health composite per month: orders of the month are its cases, suppliers the facilities."""
+    orders = reshape.since(roles.table(spark, sf_dir, "orders"), "o_orderdate", "1998-01-01").select(
+        F.col("o_custkey").alias("c_custkey"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    per_customer = orders.groupBy("c_custkey", "month").agg(F.count(F.lit(1)).alias("n"))
+    customers = roles.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
+    nation = roles.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    people = customers.groupBy("n_nationkey").agg(F.count(F.lit(1)).alias("jumlah_penduduk"))
+    months = per_customer.join(customers, "c_custkey").groupBy("n_nationkey", "month").agg(F.sum("n").alias("kasus_wabah_baseline"))
+    beds = (roles.table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("total_faskes")))
+    base = months.join(people, "n_nationkey").join(nation, "n_nationkey").join(beds, "n_nationkey", "left").fillna(0, ["total_faskes"])
+    none = F.lit(0).cast("long")
+    rows = base.select(  # a row per place and month, and a key of both
+        F.concat_ws("|", "n_name", "month").alias("kecamatan"), "month", "jumlah_penduduk", "kasus_wabah_baseline", "total_faskes", none.alias("jumlah_kasus"),
+        none.alias("total_kasus_berita_kriminal"), none.alias("total_kasus_berita_wabah"))
+    found = index.dual_index(rows, by="month")
+    return rounded(found.select(F.substring_index("kecamatan", "|", 1).alias("kecamatan"), "month",
+                                F.col("total_kasus_wabah").alias("cases"), "indeks_kesehatan"))

@@ -359,6 +359,126 @@ def topic_label_counts(spark, sf_dir):
     return news_counts(labelled, "source", "label")
 
 
+# --- topic weights for given topics: the languages of the documents ---------------------------
+
+TOPIC_LANGS, TOPIC_ROUNDS = ["de", "en", "es", "fr"], 4
+
+
+def _psi(x: str) -> str:
+    """The series of ``topics.digamma`` in SQL."""
+    y = f"({x} + 6)"
+    shifts = " - ".join(f"1 / ({x} + {i})" for i in range(6))
+    return f"(ln({y}) - 0.5 / {y} - 1 / (12 * {y} * {y}) + 1 / (120 * pow({y}, 4)) - 1 / (252 * pow({y}, 6)) - {shifts})"
+
+
+def _ln_gamma(x: str) -> str:
+    y = f"({x} + 6)"
+    shifts = " - ".join(f"ln({x} + {i})" for i in range(6))
+    return (f"(({y} - 0.5) * ln({y}) - {y} + 0.5 * ln(2 * pi()) + 1 / (12 * {y}) - 1 / (360 * pow({y}, 3)) + 1 / (1260 * pow({y}, 5))"
+            f" - {shifts})")
+
+
+def _inference_sql() -> str:
+    """Rounds of the E-step as one aggregate each: gammas g0 to g3 per document, expected weights e0 to e3."""
+    k = range(len(TOPIC_LANGS))
+    parts = [f"""
+WITH {TOKENS_SQL.strip()},
+by_topic AS (
+  SELECT term, list_position({TOPIC_LANGS!r}, lang) - 1 AS topic, sum(n) AS n
+  FROM pairs JOIN documents USING (doc_id) JOIN vocabulary USING (term) GROUP BY ALL),
+sizes AS (SELECT topic, sum(n) AS size FROM by_topic GROUP BY topic),
+beta AS (
+  SELECT term, {', '.join(f"(coalesce(sum(n) FILTER (topic = {i}), 0) + 0.01::DOUBLE) / (coalesce((SELECT size FROM sizes WHERE topic = {i}), 0) + 0.01::DOUBLE * (SELECT count(DISTINCT term) FROM by_topic)) AS b{i}" for i in k)}
+  FROM by_topic GROUP BY term),
+words AS (SELECT doc_id, term, n::DOUBLE AS n, {', '.join(f'b{i}' for i in k)} FROM pairs JOIN beta USING (term)),
+gamma0 AS (SELECT doc_id, sum(n) AS weight, {', '.join(f'sum(n) / 4 + 0.25::DOUBLE AS g{i}' for i in k)} FROM words GROUP BY doc_id)"""]
+    whole = f"({' + '.join(f'g{i}' for i in k)})"
+    for r in range(TOPIC_ROUNDS + 1):
+        parts.append(f"logs{r} AS (SELECT *, {', '.join(f'{_psi(f'g{i}')} - {_psi(whole)} AS l{i}' for i in k)} FROM gamma{r})")
+        parts.append(f"weights{r} AS (SELECT *, {', '.join(f'exp(l{i}) AS e{i}' for i in k)} FROM logs{r})")
+        if r < TOPIC_ROUNDS:
+            norm = f"({' + '.join(f'e{i} * b{i}' for i in k)})"
+            parts.append(f"gamma{r + 1} AS (SELECT doc_id, any_value(weight) AS weight, "
+                         f"{', '.join(f'any_value(e{i}) * sum(n * b{i} / {norm}) + 0.25::DOUBLE AS g{i}' for i in k)} "
+                         f"FROM words JOIN weights{r} USING (doc_id) GROUP BY doc_id)")
+    norm = f"({' + '.join(f'e{i} * b{i}' for i in k)})"
+    prior = " + ".join(f"(0.25 - g{i}) * l{i} + {_ln_gamma(f'g{i}')} - {_ln_gamma('0.25::DOUBLE')}" for i in k)
+    parts.append(f"""scored AS (
+  SELECT w.doc_id, w.weight, {', '.join(f'g{i} / {whole} AS t{i}' for i in k)}, ll + {prior} + {_ln_gamma('1.0::DOUBLE')} - {_ln_gamma(whole)} AS bound
+  FROM weights{TOPIC_ROUNDS} w JOIN (SELECT doc_id, sum(n * ln({norm})) AS ll FROM words JOIN weights{TOPIC_ROUNDS} USING (doc_id) GROUP BY doc_id) USING (doc_id))""")
+    return ",\n".join(parts)
+
+
+def topic_counts_by_language(spark, sf_dir):
+    """Counts per document and term, and the languages' term probabilities."""
+    frame = token_frame(spark, sf_dir)
+    counts = frame.select("doc_id", "lang", F.explode_outer("words").alias("term")).filter("term IS NOT NULL").groupBy(
+        "doc_id", "lang", "term").agg(F.count(F.lit(1)).alias("n"))
+    vocabulary = counts.groupBy("term").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("doc_freq")).filter("doc_freq >= 2")
+    known = counts.join(vocabulary.select("term"), "term")
+    topic = (F.array_position(F.array(*[F.lit(x) for x in TOPIC_LANGS]), F.col("lang")) - 1).cast("int")
+    by_topic = known.groupBy(topic.alias("topic"), "term").agg(F.sum("n").alias("n"))
+    return known, topics.topic_terms(by_topic, "topic", "term", "n", len(TOPIC_LANGS)), vocabulary
+
+
+@query("topic_weights", f"{_inference_sql()} SELECT doc_id, round(t0, 5) AS t0, round(t1, 5) AS t1, round(t2, 5) AS t2, round(t3, 5) AS t3, round(bound, 3) AS bound FROM scored")
+def topic_weights(spark, sf_dir):
+    """Topic weights of every document and its part of the likelihood bound, after a few rounds."""
+    counts, terms, _ = topic_counts_by_language(spark, sf_dir)
+    found = topics.infer_topics(counts, terms, "doc_id", len(TOPIC_LANGS), rounds=TOPIC_ROUNDS)
+    weights = [F.round(F.get("topic_distribution", F.lit(i)), 5).alias(f"t{i}") for i in range(len(TOPIC_LANGS))]
+    return found.select("doc_id", *weights, F.round("bound", 3).alias("bound"))
+
+
+@query("topic_likelihood", f"{_inference_sql()} SELECT round(sum(bound), 1) AS log_likelihood, round(-sum(bound) / sum(weight), 6) AS log_perplexity FROM scored")
+def topic_likelihood(spark, sf_dir):
+    """The scores of the topics over all documents: the bound, and its negative per word."""
+    counts, terms, _ = topic_counts_by_language(spark, sf_dir)
+    found = topics.infer_topics(counts, terms, "doc_id", len(TOPIC_LANGS), rounds=TOPIC_ROUNDS)
+    return found.agg(F.round(F.sum("bound"), 1).alias("log_likelihood"), F.round(-F.sum("bound") / F.sum("weight"), 6).alias("log_perplexity"))
+
+
+TOPIC_WORDS_SQL = f"""
+WITH {TOKENS_SQL.strip()},
+numbered AS (SELECT term, row_number() OVER (ORDER BY total DESC, term) - 1 AS index FROM vocabulary),
+by_topic AS (
+  SELECT term, list_position({TOPIC_LANGS!r}, lang) - 1 AS topic, sum(n) AS n
+  FROM pairs JOIN documents USING (doc_id) JOIN vocabulary USING (term) GROUP BY ALL),
+first AS (
+  SELECT topic, index, term, row_number() OVER (PARTITION BY topic ORDER BY n DESC, index) - 1 AS position
+  FROM by_topic JOIN numbered USING (term) QUALIFY position < 15)"""
+
+
+def words_of_topics(spark, sf_dir):
+    from ..operators.rank import number_rows
+
+    counts, terms, vocabulary = topic_counts_by_language(spark, sf_dir)
+    numbered = number_rows(vocabulary, [F.desc("total"), "term"], "index").select("index", "term")
+    return counts, terms, topics.topic_words(terms, numbered, len(TOPIC_LANGS))
+
+
+@query("topic_terms", f"{TOPIC_WORDS_SQL} SELECT topic::INTEGER AS topic, position::INTEGER AS position, index, term FROM first")
+def described_topics(spark, sf_dir):
+    """The 15 heaviest terms of each topic, by index and by word."""
+    return words_of_topics(spark, sf_dir)[2]
+
+
+@query("topic_labels", f"""{TOPIC_WORDS_SQL},
+labels AS (
+  SELECT topic, CASE WHEN count(*) FILTER (list_contains({TOPIC_KEYWORDS['Kriminalitas']!r}, term)) >=
+                          count(*) FILTER (list_contains({TOPIC_KEYWORDS['Kesehatan']!r}, term)) THEN 'Kriminalitas' ELSE 'Kesehatan' END AS label
+  FROM first GROUP BY topic)
+SELECT doc_id, (list_position({TOPIC_LANGS!r}, lang) - 1)::INTEGER AS topic, coalesce(label, 'Unknown') AS label
+FROM documents LEFT JOIN labels ON topic = list_position({TOPIC_LANGS!r}, lang) - 1""")
+def labelled_topics(spark, sf_dir):
+    """The words of each topic vote for its label; a map brings the label to the documents of the topic (their language)."""
+    words = words_of_topics(spark, sf_dir)[2].groupBy("topic").agg(F.collect_list("term").alias("terms"))
+    labels = {r.topic: r.label for r in words.select("topic", topics.keyword_label(F.col("terms"), TOPIC_KEYWORDS).alias("label")).collect()}
+    topic = (F.array_position(F.array(*[F.lit(x) for x in TOPIC_LANGS]), F.col("lang")) - 1).cast("int")
+    docs = roles.table(spark, sf_dir, "documents").select("doc_id", topic.alias("topic"))
+    return docs.select("doc_id", "topic", topics.label_of_topic(F.col("topic"), labels).alias("label"))
+
+
 @query("index_without_news", f"""
 WITH {roles.PEOPLE_SQL.strip()},
 crime0 AS (SELECT kecamatan, coalesce(returned, 0) AS total_kasus_kriminal,

@@ -7,6 +7,7 @@ cluster that has the connectors, plain files elsewhere.
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable
 from functools import reduce
 
@@ -14,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.clean import distinct_items, parse_news
 from ..operators.geo import geo_parse
@@ -129,14 +130,54 @@ def mark_first(df: DataFrame, keys, seen: DataFrame | None = None) -> DataFrame:
     return df.withColumn("_first", F.lit(False)).unionByName(new)
 
 
+STATISTICS = "ingest_statistics"
+
+
+class IngestStatistics(StreamingQueryListener):
+    """One row per batch of the streams that name themselves in ``STATISTICS`` metrics, as they run.
+
+    Rows come with the progress of a batch, so nothing is counted twice and no table is read; :meth:`table` has them.
+    """
+
+    def __init__(self):
+        self.rows: dict[tuple[str, int], tuple] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.ended.setdefault(str(event.id), threading.Event()).clear()
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(STATISTICS)
+        if seen is not None and event.progress.numInputRows:
+            self.rows[str(event.progress.id), event.progress.batchId] = (
+                seen["fetched"], seen["fetched"] - seen["sent"], seen["sent"], seen["errors"])
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.setdefault(str(event.id), threading.Event()).set()
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Until the last event of a query that has ended is here; events come a little after it."""
+        if not self.ended.setdefault(str(query.id), threading.Event()).wait(seconds):
+            raise TimeoutError(f"no end of query {query.id} was told within {seconds} s")
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``(stream, batch, fetched, duplicates, sent, errors)``, a row per batch: each is a cycle of its stream."""
+        return spark.createDataFrame([(*key, *row) for key, row in sorted(self.rows.items())],
+                                     "stream string, batch long, fetched long, duplicates long, sent long, errors long")
+
+
 def _on_first_seen(df: DataFrame, seen_path: str | None, checkpoint: str, keys, act: Callable[[DataFrame, int], None],
-                   order=()) -> StreamingQuery:
+                   order=(), error: str | None = None) -> StreamingQuery:
     """Call ``act(rows, batch id)`` with the rows of each batch whose key no batch had before.
 
     What was seen is keyed state in the stream's checkpoint.  With ``seen_path`` the new keys of each batch are also
     logged there for other streams, and what others have logged counts as seen; the log is a source of the stream, so an
     entry is read once and a batch that runs again sees the same entries.  Rows with a NULL in the key have no identity:
-    all of them pass, and none is remembered.
+    all of them pass, and none is remembered.  ``error`` names a column with the message of a fetch that failed: such rows
+    are counted for :class:`IngestStatistics` and are no items.
     """
     keys, spark = list(keys), df.sparkSession
     seen = None if seen_path is None else _seen_log(spark, seen_path, T.StructType([df.schema[k] for k in keys]))
@@ -155,18 +196,27 @@ def _on_first_seen(df: DataFrame, seen_path: str | None, checkpoint: str, keys,
         finally:
             batch.unpersist()
 
+    failed = F.lit(False) if error is None else F.col(error).isNotNull()
+    items = mark_first(df.filter(~failed), keys, seen)
+    if error is not None:
+        items = items.unionByName(df.filter(failed).withColumn("_first", F.lit(None).cast("boolean")))
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    row = F.col("_first") == F.lit(False)  # neither a failed fetch nor a mark of a new key
+    items = items.observe(STATISTICS, F.count_if(row).alias("fetched"), F.count_if(failed).alias("errors"),
+                          F.count_if(F.col("_first") | (row & ~known)).alias("sent"))
     before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
     for name, value in STATE_SETTINGS.items():
         spark.conf.set(name, value)
     try:
-        return (mark_first(df, keys, seen).writeStream.outputMode("update").foreachBatch(handle)
+        return (items.writeStream.outputMode("update").foreachBatch(handle)
                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def dedup_stream(df: DataFrame, keys, path: str, seen_path: str | None, checkpoint: str, order=(), fmt: str = "parquet") -> StreamingQuery:
+def dedup_stream(df: DataFrame, keys, path: str, seen_path: str | None, checkpoint: str, order=(), fmt: str = "parquet",
+                 error: str | None = None) -> StreamingQuery:
     """Append every item the first time its key is seen, however late it comes; items without a key all pass.
 
     State has no watermark, so a first-time row is never too late and a repeat never passes.  Each batch has a folder of
@@ -175,10 +225,31 @@ def dedup_stream(df: DataFrame, keys, path: str, seen_path: str | None, checkpoi
     def append(fresh: DataFrame, batch_id: int) -> None:
         fresh.write.mode("overwrite").format(fmt).save(f"{path}/stream={_stream_name(checkpoint)}/batch={batch_id}")
 
-    return _on_first_seen(df, seen_path, checkpoint, keys, append, order)
+    return _on_first_seen(df, seen_path, checkpoint, keys, append, order, error)
 
 
 def refresh_on_new(df: DataFrame, seen_path: str | None, checkpoint: str, keys,
                    refresh: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """Call ``refresh(new rows, batch id)`` for each batch that holds unseen keys."""
     return _on_first_seen(df, seen_path, checkpoint, keys, refresh)
+
+
+def merge_counts(fresh: DataFrame, batch_id: int, path: str, keys) -> DataFrame:
+    """Add the counts of a batch to the stored ones: a version per batch, made from the one before.
+
+    ``fresh`` has a row per key and numbers to be added.  A batch reads one version, whose size is that of the keys, and
+    one that runs again replaces its own version.  Returns the new counts.
+    """
+    keys, spark = list(keys), fresh.sparkSession
+    numbers = [c for c in fresh.columns if c not in keys]
+    try:
+        versions = spark.read.parquet(path)
+        last = versions.filter(F.col("version") < batch_id).agg(F.max("version")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        last = None
+    rows = fresh if last is None else fresh.unionByName(versions.filter(F.col("version") == last).select(*fresh.columns))
+    merged = rows.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in numbers])
+    merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    return spark.read.parquet(f"{path}/version={batch_id}")
