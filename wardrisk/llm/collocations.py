@@ -268,7 +268,12 @@ def exact_counts(docs: DataFrame, text: str, lang: str, sets, threshold: int, sp
     """
     shift = np.uint64(64 - splits)
 
-    def local(lang_name: str, tokens: list[bytes], known: list[Bits]) -> Iterator[tuple]:
+    names = ["part", "lang", "words", "phrase"]
+
+    def total(tables: list[pa.Table], keys: list[str]) -> pa.Table:
+        return pa.concat_tables(tables).group_by(keys).aggregate([("f", "sum")]).rename_columns([*keys, "f"])
+
+    def local(lang_name: str, tokens: list[bytes], known: list[Bits]) -> Iterator[pa.Table]:
         number: dict[bytes, int] = {b"\n": 0}
         ids = np.fromiter((number.setdefault(t, len(number)) for t in tokens), dtype=np.int64, count=len(tokens))
         hashes = hashes_of(list(number), seed_of(lang_name))[ids]
@@ -280,25 +285,31 @@ def exact_counts(docs: DataFrame, text: str, lang: str, sets, threshold: int, sp
             if not len(at):
                 return
             _, first, same, counts = np.unique(same, return_index=True, return_inverse=True, return_counts=True)
-            parts = (grams[first] >> shift).astype(np.int64)
-            order = np.argsort(parts, kind="stable")
-            bounds = np.searchsorted(parts[order], np.arange((1 << splits) + 1))
-            starts = at[first].tolist()
-            for part in np.unique(parts).tolist():
-                own = order[bounds[part]:bounds[part + 1]]
-                yield part, lang_name, n, [b" ".join(tokens[starts[i]:starts[i] + n]) for i in own.tolist()], counts[own].tolist()
+            phrases = pa.array([b" ".join(tokens[i:i + n]) for i in at[first].tolist()], pa.binary()).cast(pa.string())
+            yield pa.table([pa.array((grams[first] >> shift).astype(np.int32)), pa.repeat(lang_name, len(first)),
+                            pa.array(np.full(len(first), n, np.int32)), phrases, pa.array(counts.astype(np.int64))], [*names, "f"])
             both = np.flatnonzero(at[1:] == at[:-1] + 1)
             same = same.astype(np.int64)[both] << 32 | ids[at[both] + n]
             grams, at = longer(grams[both], hashes[at[both] + n]), at[both]
 
+    def by_part(tables: list[pa.Table]) -> pa.RecordBatch:
+        """One row per partition with the lists of its phrases and counts."""
+        rows = total(tables, names).sort_by("part").combine_chunks()
+        parts = rows["part"].to_numpy()
+        own = np.unique(parts)
+        offsets = pa.array(np.append(np.searchsorted(parts, own), len(parts)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, rows[c].combine_chunks()) for c in (*names[1:], "f")]
+        return pa.RecordBatch.from_arrays([pa.array(own), *lists], [*names, "f"])
+
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, waiting, held = sets.value, {}, 0
-        kinds = (pa.int32(), pa.string(), pa.int32(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+        known, waiting, held, tables = sets.value, {}, 0, []
 
-        def sent() -> pa.RecordBatch:
-            rows = [row for name, tokens in waiting.items() for row in local(name, tokens, known)]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 5, kinds)],
-                                              ["part", "lang", "words", "phrases", "f"])
+        def count() -> None:
+            nonlocal waiting, held, tables
+            new = [t for name, tokens in waiting.items() for t in local(name, tokens, known)]
+            if new:
+                tables = [total(tables + new, names)]
+            waiting, held = {}, 0
 
         for batch in slices(batches):
             for content, name in zip(texts_of(batch, "mined_text"), batch.column("lang").to_pylist()):
@@ -307,40 +318,36 @@ def exact_counts(docs: DataFrame, text: str, lang: str, sets, threshold: int, sp
                 waiting[name].append(b"\n")
                 held += len(tokens) + 1
                 if held >= CHUNK:
-                    yield sent()
-                    waiting, held = {}, 0
-        if waiting:
-            yield sent()
+                    count()
+                    if tables and tables[0].num_rows >= CHUNK:
+                        yield by_part(tables)
+                        tables = []
+        count()
+        if tables:
+            yield by_part(tables)
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, tables, held = None, [], 0
-        names = ["lang", "words", "phrase"]
-
-        def total() -> pa.Table:
-            return pa.concat_tables(tables).group_by(names).aggregate([("f", "sum")]).rename_columns([*names, "f"])
 
         def left() -> Iterator[pa.RecordBatch]:
-            found = total()
+            found = total(tables, names[1:])
             yield from found.filter(pc.greater_equal(found["f"], threshold)).to_batches()
 
-        for batch in slices(batches, 64):
-            for row in range(batch.num_rows):
-                own = batch.column("part")[row].as_py()
-                if own != part:
-                    if tables:
-                        yield from left()
-                    part, tables, held = own, [], 0
-                phrases, n = batch.column("phrases")[row].values, len(batch.column("phrases")[row])
-                tables.append(pa.table([pa.repeat(batch.column("lang")[row], n), pa.repeat(batch.column("words")[row], n),
-                                        phrases.cast(pa.string()), batch.column("f")[row].values], [*names, "f"]))
-                held += n
-                if held >= CHUNK:
-                    tables = [total()]
-                    held = tables[0].num_rows // 2
+        for batch in slices(batches, 1):
+            own = batch.column("part")[0].as_py()
+            if own != part:
+                if tables:
+                    yield from left()
+                part, tables, held = own, [], 0
+            tables.append(pa.table([batch.column(c).flatten() for c in (*names[1:], "f")], [*names[1:], "f"]))
+            held += tables[-1].num_rows
+            if held >= CHUNK:
+                tables = [total(tables, names[1:])]
+                held = tables[0].num_rows // 2
         if tables:
             yield from left()
 
-    return (mined(docs, text, lang).mapInArrow(places, "part int, lang string, words int, phrases array<binary>, f array<long>")
+    return (mined(docs, text, lang).mapInArrow(places, "part int, lang array<string>, words array<int>, phrase array<string>, f array<long>")
             .repartition("part").sortWithinPartitions("part").mapInArrow(added, "lang string, words int, phrase string, f long"))
 
 
