@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import re
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import LATIN_LETTERS, LATIN_TEXT, slices, stored, texts_of, vocabulary_file
+from .shared import LATIN_LETTERS, LATIN_TEXT, Memo, packed_ids, slices, stored, texts_of, vocabulary_file
 
 VOCABULARY, SIZE, CLOSING_ID = "word_bpe_49k.json", 2048, 0
 #: The vocabulary's own splitting pattern for lower-case texts that LATIN_TEXT admits.
@@ -35,10 +36,16 @@ UNUSUAL = re.compile(r"[İȺȾ]|<\|(?:startoftext|endoftext)\|>")
 PIECES = "piece int, start long, length long, ids_crc32 long, part int, local_rank long"
 
 
-class WordIds(dict):
-    """Ids of single words as little-endian 32-bit numbers, by the library and remembered up to a bound."""
+def byte_characters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it is printed in Latin-1, else the
+    next one from 256 on."""
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in printed else chr(next(others)) for b in range(256)]
 
-    BOUND = 300_000
+
+class WordIds(Memo):
+    """Ids of single words as little-endian 32-bit numbers, by the library's model."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -47,17 +54,20 @@ class WordIds(dict):
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.BOUND:
-            self.clear()
-        ids = self.whole(word)
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+        self.model, self.characters = self.library.model, byte_characters()
+
+    def compute(self, word: str) -> bytes:
+        """A word that the splitting pattern has found is in lower case; one in normal form goes to the model at once."""
+        if word.isascii():
+            spelled = word
+        elif unicodedata.is_normalized("NFC", word):
+            spelled = "".join([self.characters[b] for b in word.encode()])
+        else:
+            return self.whole(word)
+        return packed_ids([token.id for token in self.model.tokenize(spelled)])
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return packed_ids(self.library.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
         if LATIN_TEXT.fullmatch(text) and not UNUSUAL.search(text):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import functools
 import re
+import struct
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -100,22 +101,45 @@ def pre_tokens(text: str) -> list[str]:
     return any_pattern().findall(text)
 
 
-class PieceIds(dict):
-    """Ids of pieces as little-endian 32-bit numbers, remembered up to a bound."""
+class Memo(dict):
+    """Results of ``compute`` by text, remembered in two halves: when one is full the older one goes, so that what is asked
+    for often stays."""
 
-    BOUND = 300_000
+    HALF = 300_000
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict[str, bytes] = {}
+
+    def compute(self, text: str) -> bytes:
+        raise NotImplementedError
+
+    def __missing__(self, text: str) -> bytes:
+        value = self.older.get(text)
+        if value is None:
+            value = self.compute(text)
+        if len(text) <= 64:
+            if len(self) >= self.HALF:
+                self.older = dict(self)
+                self.clear()
+            self[text] = value
+        return value
+
+
+def packed_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class PieceIds(Memo):
+    """Ids of pieces as little-endian 32-bit numbers."""
 
     def __init__(self, encoder):
         super().__init__()
         self.single = encoder._core_bpe.encode_single_piece
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.BOUND:
-            self.clear()
-        ids = np.asarray(self.single(piece.encode()), dtype="<u4").tobytes()
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+    def compute(self, piece: str) -> bytes:
+        return packed_ids(self.single(piece.encode()))
 
 
 @functools.lru_cache(maxsize=2)
