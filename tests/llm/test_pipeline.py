@@ -12,7 +12,8 @@ from wardrisk.llm.shared import piece_ids, stored, vocabulary_file
 import corpus_pipeline
 
 from .test_encoding_and_packing import library
-from .test_near_copies import groups, plain_fingerprint
+from .test_near_copies import groups
+from .test_shingle_copies import plain_links, plain_shingles
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
@@ -65,10 +66,9 @@ def test_stages(spark):
             want = {r["doc_id"] for r in rows if quality_rules.judge(r["text"] or "", memo, known, quality_rules.BANDS)[6]}
             assert {r["doc_id"] for r in got} == want and want
         if number == 2:
-            prints = {r["doc_id"]: plain_fingerprint(r["text"]) for r in rows}
-            links = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
-            want = set(groups(sorted(prints), links).values())
-            assert sorted(r["doc_id"] for r in got) == sorted(want)
+            sets = {r["doc_id"]: plain_shingles(r["text"]) for r in rows}
+            kept, groups_kept = {r["doc_id"] for r in got}, groups(sorted(sets), plain_links(sets))
+            assert kept == set(groups_kept.values())
         if number == 3:
             assert {r["doc_id"]: r["text"] for r in got} == plain_without_repeats(rows)
             assert all(r["n_chars"] == len(r["text"]) for r in got)

@@ -1,10 +1,13 @@
 """The near-copy stage against brute-force Jaccard similarity of five-word shingles."""
 
-import itertools
+import os
 import random
 import re
+from collections import Counter
 
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 from wardrisk.llm import shingle_copies
 
 import corpus_pipeline
@@ -19,8 +22,15 @@ def plain_shingles(text):
 
 
 def plain_links(sets):
-    return [(a, b) for a, b in itertools.combinations(sorted(sets), 2)
-            if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    """All pairs of similar sets; only those that share a shingle are looked at, and equal ones."""
+    owners, links = {}, set()
+    for i in sorted(sets):
+        for shingle in sets[i] or {None}:
+            owners.setdefault(shingle, []).append(i)
+    for i in sorted(sets):
+        shared = Counter(j for shingle in sets[i] or {None} for j in owners[shingle] if j > i)
+        links |= {(i, j) for j, n in shared.items() if not sets[i] or n >= 0.8 * (len(sets[i]) + len(sets[j]) - n)}
+    return sorted(links)
 
 
 def test_stage_keeps_one_of_each_group(spark):
@@ -58,6 +68,82 @@ def test_keys_across_batches():
     for size in (100, 4096, 10000):
         batches = (pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + size]), (
             pa.int32(), pa.int64(), pa.int64()))], ["key", "fp", "node"]) for i in range(0, len(rows), size))
-        pairs = [(r["a"], r["b"]) for b in shingle_copies.close_pairs(batches) for r in b.to_pylist()]
+        out = [r for b in shingle_copies.close_pairs(batches) for r in b.to_pylist()]
+        pairs = [(r["a"], r["b"]) for r in out if r["b"] is not None]
         found = groups(sorted(n for _, _, n in rows), pairs)
         assert len(set(found.values())) == 4 and found[9999] == 1000 and len(pairs) < 4 * len(rows)
+        # All rows of the large key are passed on, once.
+        assert sorted(r["a"] for r in out if r["b"] is None) == list(range(1000, 10000))
+
+
+def test_rows_of_a_large_key_all_meet(monkeypatch):
+    """Every close pair of different groups comes out of the cells, whatever the blocks, and however the rows are batched."""
+    rng = random.Random(2)
+    rows = [(7, i, i % 3, rng.getrandbits(63) if i % 2 else 12345) for i in range(60)]  # key, node, root, fp
+    near = {(a, b) for _, a, x, f in rows for _, b, y, g in rows
+            if a < b and x != y and (f ^ g).bit_count() <= shingle_copies.MOST_BITS}
+    for n in (1, 4):
+        cells = sorted((key, min(node % n, other), max(node % n, other), node % n, node, root, fp)
+                       for key, node, root, fp in rows for other in range(n))
+        for size in (7, 500):
+            batches = (pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cells[i:i + size]), (
+                pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
+                ["key", "low", "high", "own", "node", "root", "fp"]) for i in range(0, len(cells), size))
+            found = [(r["a"], r["b"]) for b in shingle_copies.cell_pairs(batches) for r in b.to_pylist()]
+            assert sorted(found) == sorted(near)
+
+
+def test_no_link_is_lost_among_rows_of_one_key(spark):
+    """A chain of copies, each like the next one only, in keys of more rows than are paired at once."""
+    rng = random.Random(4)
+    words = prose(rng, 300).split()
+    texts = []
+    for i in range(40):
+        texts.append(" ".join(words))
+        for j in range(3):
+            words[(i * 3 + j) * 2 % 290] = f"step{i}x{j}"
+    sets = {i: plain_shingles(t) for i, t in enumerate(texts)}
+    want = sorted(set(groups(sorted(sets), plain_links(sets)).values()))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == want
+
+
+def test_equal_hash_of_a_row_needs_128_bits(spark, monkeypatch):
+    """Two rows with one 64-bit hash are still two rows."""
+    docs = spark.createDataFrame([(1, "one text of its own"), (2, "quite another text here")], "doc_id long, text string")
+    real = corpus_pipeline.F.xxhash64
+    monkeypatch.setattr(corpus_pipeline.F, "xxhash64", lambda *c: real(*c) if len(c) > len(docs.columns) else F.lit(5).cast("long"))
+    assert corpus_pipeline.drop_near_copies(spark, docs, "").count() == 2
+
+
+SF_DIR = os.environ.get("TEST_RECALL_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
+def test_recall_on_the_tables(spark):
+    """Of all pairs of different similar sets among the documents, nine in ten at least are in one group, and no other pair is."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    rows = docs.collect()
+    # Changed copies of some of them beside the table's own, at 0.8 to 0.95.
+    rng, texts = random.Random(9), {r["doc_id"]: r["text"] for r in rows}
+    for i, text in list(texts.items())[:300]:
+        words = (text or "").split(" ")
+        for at in rng.sample(range(len(words)), min(len(words) // 60 + 1, len(words))):
+            words[at] = f"changed{i}"
+        texts[10 ** 6 + i] = " ".join(words)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    hashed = frame.withColumns({"r1": F.xxhash64("doc_id"), "r2": F.col("doc_id")})
+    found = {r["doc_id"]: r["component"] for r in shingle_copies.near_copies(hashed, ("r1", "r2")).join(
+        hashed.select("r1", "r2", "doc_id"), ["r1", "r2"]).collect()}
+    sets = {i: plain_shingles(t) for i, t in texts.items()}
+    links = plain_links(sets)
+    different = [(a, b) for a, b in links if sets[a] != sets[b]]
+    met = sum(found[a] == found[b] for a, b in different)
+    print(f"{met} of {len(different)} pairs")
+    assert len(different) > 100 and met >= 0.9 * len(different)
+    assert all(found[a] == found[b] for a, b in links if sets[a] == sets[b])
+    want = groups(sorted(sets), links)
+    together = {}
+    for i, c in found.items():
+        together.setdefault(c, set()).add(want[i])
+    assert all(len(g) == 1 for g in together.values())

@@ -3,16 +3,20 @@
 Texts are linked if their sets of five-word shingles have a similarity of 0.8 or more.  At 0.8 some ten of 64
 sign bits differ, too many for keys over hard bits.  So the signed sums of a SimHash are decoded, not their
 signs: each of six segments of 23 sums goes to the three codewords of the Golay code of length 23 that correlate
-most with it, and two texts are compared if they share a codeword in two segments.  Two random directions with the
-cosine of a similarity of 0.8 share one of three codewords in a segment with probability 0.74 (simulated), so at
-0.8 itself about one pair in two hundred is not compared; above, fewer.
+most with it, and two texts meet if they share a codeword in two segments.  Which pairs meet is a matter of chance:
+``tests/llm/test_shingle_copies.py`` measures it on the tables, and the README has the figures.
 
-Of the rows with one key each is paired with the three earlier ones whose signs differ least, so pairs grow with the
-rows; a key's rows pass as a stream of which 4,096 are held.  Every pair is checked on its sets of hashed
-shingles, and only pairs that pass link.
+Of the texts that meet no pair is left out, however many share a key.  In a key with few texts all pairs are made.  In a
+larger one each text is first paired with the nearest of those before it; these pairs are checked and joined to groups.
+Then the larger keys are dealt out in blocks, every block meets every other, and all pairs whose texts are not yet in
+one group are made and checked as well.  A large group of copies is one group by then and makes no more pairs.
 
-Defined results: equal sets are one node, whatever their number; a text shorter than a shingle is one shingle; a null
-text or one without words has no shingle, and all those are one node; an empty table gives no rows.
+A pair is checked in two steps: by 192 sign bits, of which copies at 0.8 differ in some thirty and others in about half,
+and then on the sets of hashed shingles; only pairs that pass both link.
+
+Defined results: texts with equal sets (128 bits of their hash) are one node, whatever their number; a text shorter than a
+shingle is one shingle; a null text or one without words has no shingle, and all those are one node; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -35,9 +39,13 @@ SHINGLE, SEED = 5, 42
 #: Least similarity of linked texts, in tenths.
 LEAST_TENTHS = 8
 SEGMENTS, WIDTH, PROBES = 6, 23, 3
-#: Of 64 signs, so many differ in a pair that is checked; at a similarity of 0.8 the mean is 10 and the deviation 3.
-MOST_BITS = 22
-NEAREST, BLOCK = 3, 4096
+#: Of 64 signs, so many differ in a pair that is made; at a similarity of 0.8 the mean is 10 and the deviation 3.
+MOST_BITS = 26
+#: Of all 192 signs, so many differ in a pair that is checked on its sets; at 0.8 the mean is 30 and the deviation 5.
+MOST_SIGNS = 66
+#: Texts of a key of which all pairs are made at once; earlier ones that a text of a larger key is paired with first; and
+#: the texts that a task holds of a key.
+FEW, NEAREST, BLOCK = 8, 3, 4096
 
 
 def shingles_of(text: str) -> np.ndarray:
@@ -62,7 +70,7 @@ def sums_of(hashes: np.ndarray) -> np.ndarray:
             words.append(x ^ x >> np.uint64(31))
         bits = np.unpackbits(np.stack(words, axis=1).astype("<u8").view(np.uint8), axis=1, bitorder="little")
         total += 2 * bits.sum(0, dtype=np.int64) - len(part)
-    return total[:SEGMENTS * WIDTH]
+    return total
 
 
 @functools.lru_cache(maxsize=1)
@@ -73,54 +81,69 @@ def codewords() -> np.ndarray:
     return (2 * (words[None, :] >> np.arange(WIDTH)[:, None] & 1) - 1).astype(np.float32)
 
 
-def keys_of(sums: np.ndarray) -> np.ndarray:
-    """The keys of each row of sums: a codeword among the nearest of one segment and one of another."""
+def codes_of(sums: np.ndarray) -> np.ndarray:
+    """The nearest codewords of every segment of each row of sums: rows x segments x probes."""
     near = []
     for s in range(SEGMENTS):
-        part = sums[:, s * WIDTH:(s + 1) * WIDTH].astype(np.float32)
-        fit, found = part @ codewords(), []
+        fit, found = sums[:, s * WIDTH:(s + 1) * WIDTH].astype(np.float32) @ codewords(), []
         for _ in range(PROBES):
             best = fit.argmax(1)
             fit[np.arange(len(fit)), best] = -np.inf
             found.append(best)
-        near.append(np.stack(found, axis=1).astype(np.int32))
-    keys = [(np.int32(kind << 24) | near[x][:, :, None] << 12 | near[y][:, None, :]).reshape(len(sums), -1)
+        near.append(np.stack(found, axis=1))
+    return np.stack(near, axis=1).astype("<u2")
+
+
+def keys_of(codes: np.ndarray) -> np.ndarray:
+    """The keys of each row of codes: a codeword of one segment and one of another."""
+    near = codes.astype(np.int32)
+    keys = [(np.int32(kind << 24) | near[:, x, :, None] << 12 | near[:, y, None, :]).reshape(len(codes), -1)
             for kind, (x, y) in enumerate(itertools.combinations(range(SEGMENTS), 2))]
     return np.concatenate(keys, axis=1)
 
 
 def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(key, fp, node)`` sorted by key to pairs ``(a, b)`` of nodes, the lesser one first.
+    """Rows ``(key, fp, node)`` sorted by key to pairs ``(a, b, null, null)`` of nodes, the lesser one first.
 
-    The signs are counted unsigned: of a negative number, ``bitwise_count`` counts the absolute value.
+    A key with more than FEW rows gives the pairs of each row with the nearest earlier ones that are held, and its rows
+    as ``(node, null, key, fp)`` for :func:`cell_pairs`.
     """
     def pairs(a, b):
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(len(a), pa.int32()),
+                                           pa.nulls(len(a), pa.int64())], ["a", "b", "key", "fp"])
+
+    def rows(keys, fps, nodes):
+        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.nulls(len(nodes), pa.int64()), pa.array(keys), pa.array(fps.view(np.int64))],
+                                          ["a", "b", "key", "fp"])
 
     def groups(keys, fps, nodes, done):
         starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         sizes = np.diff(np.append(starts, len(keys)))
-        few = np.repeat((sizes > 1) & (sizes <= NEAREST + 1), sizes)
+        large = sizes > FEW
+        if done:
+            large[0] = True  # the earlier rows of this key are passed on already
+        few = np.repeat((sizes > 1) & ~large, sizes)
         k, f, n = keys[few], fps[few], nodes[few]
-        for shift in range(1, NEAREST + 1):  # all pairs of the small groups, at once
+        for shift in range(1, FEW):  # all pairs of the small groups, at once
             if len(k) <= shift:
                 break
             hit = (k[shift:] == k[:-shift]) & (np.bitwise_count(f[shift:] ^ f[:-shift]) <= MOST_BITS)
             if hit.any():
                 yield pairs(n[shift:][hit], n[:-shift][hit])
-        large = sizes > NEAREST + 1
         for start, size in zip(starts[large], sizes[large]):
             f, n = fps[start:start + size], nodes[start:start + size]
-            for first in range(done if start == 0 else 0, size, 256):
+            fresh = done if start == 0 else 0
+            yield rows(keys[start + fresh:start + size], f[fresh:], n[fresh:])
+            for first in range(fresh, size, 256):
                 last = min(first + 256, size)
                 apart = np.bitwise_count(f[first:last, None] ^ f[None, :last]).astype(np.int32)
                 at = np.arange(last, dtype=np.int32)
                 apart[at[None, :] >= at[first:, None]] = 64
                 order = apart << 16 | at  # of equally near ones the first
                 nearest = np.partition(order, NEAREST - 1, axis=1)[:, :NEAREST] if last > NEAREST else order
-                rows, columns = np.nonzero(nearest >> 16 <= MOST_BITS)
-                if len(rows):
-                    yield pairs(n[first:last][rows], n[nearest[rows, columns] & 0xFFFF])
+                own, columns = np.nonzero(nearest >> 16 <= MOST_BITS)
+                if len(own):
+                    yield pairs(n[first:last][own], n[nearest[own, columns] & 0xFFFF])
 
     keys, fps, nodes, done = np.empty(0, np.int32), np.empty(0, np.uint64), np.empty(0, np.int64), 0
     for batch in batches:
@@ -138,25 +161,84 @@ def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from groups(keys, fps, nodes, done)
 
 
+def cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(key, low, high, own, node, root, fp)`` sorted by their cell (key, low, high) to all close pairs of nodes with
+    different roots: of one block if low is high, else of the one with the other."""
+    names = ["key", "low", "high", "own", "node", "root", "fp"]
+
+    def cells(held):
+        key, low, high, own, node, root, fp = held
+        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
+        for start, stop in zip(starts, np.append(starts[1:], len(key))):
+            n, r, f, o = node[start:stop], root[start:stop], fp[start:stop].view(np.uint64), own[start:stop]
+            left = np.flatnonzero(o == low[start])
+            right = left if low[start] == high[start] else np.flatnonzero(o == high[start])
+            for first in range(0, len(left), 256):
+                some = left[first:first + 256]
+                near = (np.bitwise_count(f[some, None] ^ f[None, right]) <= MOST_BITS) & (r[some, None] != r[None, right])
+                if low[start] == high[start]:
+                    near &= n[some, None] < n[None, right]
+                x, y = np.nonzero(near)
+                if len(x):
+                    a, b = n[some[x]], n[right[y]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    held = None
+    for batch in batches:
+        new = [batch.column(c).to_numpy() for c in names]
+        held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
+        same = np.logical_and.reduce([c == c[-1] for c in held[:3]]) if len(held[0]) else np.empty(0, bool)
+        last = len(same) - int(same.sum())
+        if last:
+            yield from cells([c[:last] for c in held])
+            held = [c[last:] for c in held]
+    if held is not None and len(held[0]):
+        yield from cells(held)
+
+
 def hashed_nodes(docs: DataFrame, columns: tuple[str, ...], text: str) -> DataFrame:
-    """``columns`` and the node (a hash of the shingle set) of each document."""
+    """``columns`` of each document, the 128-bit hash ``n1, n2`` of its shingle set, its signs and its codewords."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [shingles_of(x) for x in texts_of(batch, "hashed_text")]
-            nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype="<u8").view(np.int64)
+            names = np.array([divmod(xxhash.xxh3_128_intdigest(s.tobytes(), SEED), 1 << 64) for s in sets], dtype="<u8").view(np.int64)
             sums = np.stack([sums_of(s) for s in sets])
-            fps = np.packbits(sums[:, :64] > 0, axis=1, bitorder="little").view("<i8")[:, 0]
-            some = pa.array([len(s) > 0 for s in sets])
-            keys = pa.array(list(keys_of(sums)), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [pa.array(nodes), pa.array(fps), some, keys],
-                                             list(columns) + ["node", "fp", "some", "keys"])
+            signs = np.packbits(sums > 0, axis=1, bitorder="little").view("<i8")
+            codes = [c.tobytes() for c in codes_of(sums)]
+            yield pa.RecordBatch.from_arrays(
+                batch.columns[:-1] + [pa.array(names[:, i].copy()) for i in range(2)] + [pa.array(signs[:, i].copy()) for i in range(3)]
+                + [pa.array([len(s) for s in sets], pa.int64()), pa.array(codes, pa.binary())],
+                list(columns) + ["n1", "n2", "s1", "s2", "s3", "size", "codes"])
 
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
-                       + ["node long, fp long, some boolean, keys array<int>"])
+                       + ["n1 long, n2 long, s1 long, s2 long, s3 long, size long, codes binary"])
     return docs.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").cast("string").alias("hashed_text")
                        ).mapInArrow(hashed, schema)
 
 
+def keyed_nodes(nodes: DataFrame) -> DataFrame:
+    """``(key, fp, node)`` for every key of the nodes."""
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1024):
+            codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), "<u2").reshape(batch.num_rows, SEGMENTS, PROBES)
+            keys = keys_of(codes)
+            each = keys.shape[1]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column("s1").to_numpy(), each)),
+                                              pa.array(np.repeat(batch.column("node").to_numpy(), each))], ["key", "fp", "node"])
+
+    return nodes.select("node", "s1", "codes").mapInArrow(keyed, "key int, fp long, node long")
+
+
+def by_signs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs whose signs and set sizes allow the similarity."""
+    def side(node: str, mark: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(node), *[F.col(c).alias(f"{c}{mark}") for c in ("s1", "s2", "s3", "size")])
+
+    apart = sum((F.bit_count(F.col(f"s{i}a").bitwiseXOR(F.col(f"s{i}b"))) for i in range(1, 4)), F.lit(0))
+    sizes = 10 * F.least("sizea", "sizeb") >= LEAST_TENTHS * F.greatest("sizea", "sizeb")
+    return pairs.join(side("a", "a"), "a").join(side("b", "b"), "b").where(sizes & (apart <= MOST_SIGNS)).select("a", "b")
+
+
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose sets ``(node, hashes)`` are similar enough."""
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,24 +255,45 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("a", "b", "x", "y").mapInArrow(checked, "a long, b long"))
 
 
-def near_copies(docs: DataFrame, row: str, text: str = "text") -> DataFrame:
-    """``row`` (a hash of the whole row, as long) of each document and its ``component`` (a node of it)."""
+def near_copies(docs: DataFrame, row: tuple[str, ...], text: str = "text") -> DataFrame:
+    """``row`` (columns that tell the documents apart) of each document and its ``component`` (a node of it)."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [shingles_of(x).tobytes() for x in texts_of(batch, "hashed_text")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
 
-    # Keys are kept once per node; of documents with equal sets any may give them.
-    known = stored(hashed_nodes(docs, (row,), text), "shingles")
-    nodes = known.groupBy("node").agg(F.min(row).alias("row_"))
-    keyed = known.where("some").dropDuplicates(["node"]).select(F.explode("keys").alias("key"), "fp", "node")
-    pairs = cut(keyed.repartition("key").sortWithinPartitions("key", "node")
-                .mapInArrow(close_pairs, "a long, b long").distinct())
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    first = nodes.join(asked, "node").withColumnRenamed("row_", row)
-    texts = docs.select(F.col(f"`{row}`"), F.col(f"`{text}`").cast("string").alias("hashed_text")).join(first, row)
-    sets = stored(texts.dropDuplicates(["node"]).select("node", "hashed_text")
-                  .mapInArrow(hashed, "node long, hashes binary"), "shingle-sets")
-    roots = connected_components(similar(pairs, sets))
-    lookup = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("component"))
-    return known.select(row, "node").join(lookup, "node").select(row, "component")
+    known = stored(hashed_nodes(docs, row, text), "shingles")
+    # Of documents with equal sets any may stand for the node.
+    first = F.min(F.struct(*row)).alias("first_")
+    nodes = known.groupBy("n1", "n2").agg(first, *[F.first(c).alias(c) for c in ("s1", "s2", "s3", "size", "codes")])
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        """Those of the pairs that are similar."""
+        near = cut(by_signs(pairs, nodes))
+        asked = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        texts = docs.select(*row, F.col(f"`{text}`").cast("string").alias("hashed_text")).join(
+            nodes.join(asked, "node").select("node", "first_.*"), list(row))
+        sets = stored(texts.dropDuplicates(["node"]).select("node", "hashed_text").mapInArrow(hashed, "node long, hashes binary"), name)
+        return cut(similar(near, sets))
+
+    keyed = keyed_nodes(nodes.where("size > 0"))
+    met = stored(keyed.repartition("key").sortWithinPartitions("key", "node")
+                 .mapInArrow(close_pairs, "a long, b long, key int, fp long"), "met")
+    pairs = stored(met.where("b IS NOT NULL").select("a", "b").distinct(), "pairs")
+    links = linked(pairs, "shingle-sets")
+    large = met.where("b IS NULL").select("key", "fp", F.col("a").alias("node"))
+    if not large.isEmpty():
+        roots = connected_components(links)
+        rooted = large.join(roots, "node", "left").select("key", "fp", "node", F.coalesce("root", "node").alias("root"))
+        groups = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n"))
+        several = groups.where("r0 <> r1").select("key", "n")
+        own = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
+        cells = (rooted.join(several, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+                 .select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root", "fp"))
+        more = (cells.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(cell_pairs, "a long, b long")
+                .distinct().join(pairs, ["a", "b"], "left_anti"))
+        links = links.unionByName(linked(more, "shingle-sets"))
+    roots = connected_components(links)
+    lookup = nodes.join(roots, "node", "left").select("n1", "n2", F.coalesce("root", "node").alias("component"))
+    return known.select(*row, "n1", "n2").join(lookup, ["n1", "n2"]).select(*row, "component")
