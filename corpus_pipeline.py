@@ -44,14 +44,15 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the least id (ties: the
-    least hash of the row)."""
+    least hash of the row, of 128 bits)."""
     rows, at = numbered(docs)
-    rows = rows.withColumn("row", F.xxhash64(*rows.columns))
-    ids = rows.select("row", at["doc_id"]).distinct()
-    found = shingle_copies.near_copies(rows, "row", at["text"]).distinct().join(ids, "row")
-    first = F.min(F.struct(F.col(at["doc_id"]).isNull(), at["doc_id"], "row"))
-    keep = found.groupBy("component").agg(first.alias("first")).select(F.col("first.row").alias("row"))
-    return named(rows.join(keep, "row", "left_semi").dropDuplicates(["row"]), docs)
+    own = ("row1", "row2")
+    rows = rows.withColumns({"row1": F.xxhash64(*rows.columns), "row2": F.xxhash64(F.lit("second"), *rows.columns)})
+    ids = rows.select(*own, at["doc_id"]).distinct()
+    found = shingle_copies.near_copies(rows, own, at["text"]).distinct().join(ids, list(own))
+    first = F.min(F.struct(F.col(at["doc_id"]).isNull(), at["doc_id"], *own))
+    keep = found.groupBy("component").agg(first.alias("first")).select("first.row1", "first.row2")
+    return named(rows.join(keep, list(own), "left_semi").dropDuplicates(list(own)), docs)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
