@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import xxhash
@@ -201,3 +202,45 @@ def test_removal_null_ids_and_repeats(spark, empty):
     n = len(text)
     assert got == [(-1, 0, 0), (-1, n, n), (3, n, 0), (3, n, 0), (5, n + 4, n)]
     assert suffix_dedup.without_repeats(empty, ("doc_id",)).collect() == []
+
+
+def texts_of_one_checksum():
+    """Two texts of 220 bytes with one CRC-32, of which each has nothing twice."""
+    seen = {}
+    for i in range(400_000):
+        text = "".join(chr(97 + (i * 7 + k * k + (i >> k % 13)) % 26) for k in range(12)) + f"{i:08d}"
+        own = zlib.crc32((text + "x" * 0).encode())
+        if own in seen and seen[own] != text:
+            return seen[own], text
+        seen[own] = text
+    raise AssertionError("no pair found")
+
+
+def test_texts_with_one_checksum_are_two(spark):
+    first, second = texts_of_one_checksum()
+    rng = random.Random(12)
+    # Equal bytes before two texts of one checksum leave the checksums equal.
+    passage = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(180))
+    a, b = passage + first, passage + second
+    assert zlib.crc32(a.encode()) == zlib.crc32(b.encode()) and a != b
+    for ids, kind in (((None, None), "long"), ((4, 4), "long"), (("x", "x"), "string")):
+        docs = spark.createDataFrame([(ids[0], a), (ids[1], b)], f"doc_id {kind}, text string")
+        rows = suffix_dedup.without_repeats(docs, ("doc_id",)).collect()
+        # One of them keeps all, the other loses the passage alone.
+        assert sorted(r["n_removed"] for r in rows) == [0, 180 + common_start(first, second)]
+        assert {r["kept_text"] for r in rows} & {a, b}
+
+
+def common_start(a, b):
+    return next(i for i in range(len(a) + 1) if a[:i + 1] != b[:i + 1])
+
+
+def test_ids_of_any_type_and_nulls_last(spark):
+    rng = random.Random(13)
+    passage = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(150))
+    for ids, kind in ((["b", "a", None], "string"), ([2.5, 1.5, None], "double"), ([7, 3, None], "int")):
+        docs = spark.createDataFrame([(i, f"{k}{passage}{k}") for k, i in enumerate(ids)], f"doc_id {kind}, text string")
+        removed = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.without_repeats(docs, ("doc_id",)).collect()}
+        assert sorted(removed.values()) == [0, 150, 150] and removed[None] == 150
+        if kind == "int":
+            assert removed == {3: 0, 7: 150, None: 150}

@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import slices, stored
 from .suffix_array import common_prefixes, suffix_array
@@ -129,8 +130,8 @@ def document_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[
 
     def reduced():
         key, content, order, tie, start, n = (np.concatenate(c) for c in zip(*held))
-        by = np.argsort(content, kind="stable")
-        same = content[by][1:] == content[by][:-1]
+        by = np.lexsort((key, content))  # equal pieces have equal keys: 128 bits tell pieces apart here as well
+        same = (content[by][1:] == content[by][:-1]) & (key[by][1:] == key[by][:-1])
         group = np.cumsum(np.append(True, ~same))
         several = np.append(same, False) | np.append(False, same)
         places = by[several]
@@ -259,10 +260,16 @@ def compare_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
 
 
 def with_place(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The documents with their place in the corpus: ``ord`` and ``tie``; ``body`` has the bytes."""
+    """The documents with their place in the corpus: ``ord`` and ``tie``; ``body`` has the bytes.
+
+    ``ord`` is the id, or 62 bits of its hash if ids are no whole numbers; ``tie`` are 64 bits of the text's hash.  Null
+    ids come after all others (below 2**62) and have 62 further bits of the text's hash there.
+    """
     body = F.coalesce(F.col(f"`{text}`").cast("string").cast("binary"), F.lit(b""))
-    return docs.withColumns({"ord": F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(2 ** 63 - 1)),
-                             "tie": F.crc32(body), "body": body})
+    whole = isinstance(docs.schema[doc_id].dataType, T.IntegralType)
+    own = F.col(f"`{doc_id}`").cast("long") if whole else F.shiftrightunsigned(F.xxhash64(f"`{doc_id}`"), 2)
+    last = F.shiftrightunsigned(F.xxhash64(F.lit("null"), body), 2) + F.lit(2 ** 62)
+    return docs.withColumns({"ord": F.when(F.col(f"`{doc_id}`").isNull(), last).otherwise(own), "tie": F.xxhash64(body), "body": body})
 
 
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
