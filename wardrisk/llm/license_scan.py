@@ -1,13 +1,12 @@
 """Licence scan with a positional index of rare words, in DataFrame functions only.
 
-Every file keeps the positions of its licence words (the words of any template).  Document
-frequencies over all files weigh them.  For each template, the files that have all words of its
-mandatory phrase look up where the one of highest IDF stands; shifting each position by the word's
-place in the template turns postings into possible starts, and intersecting them with the starts of the
-other words of the phrase leaves the places where it stands word for word.  The weights thus order
-the look-up and decide no place.  A phrase that is a share of its template's words large enough for a
-label gives it wherever it stands; for a shorter one the share of IDF weight in place has to be as
-large.  Base phrases are templates that are mandatory as a whole, so all their places are found.
+Every file keeps the positions of its licence words (the words of any template).  Document frequencies over all files
+weigh them.  A file that has all words of a template's mandatory phrase looks up where the one of highest IDF stands;
+shifting each position by the word's place in the template turns postings into possible starts, and intersecting them
+with the starts of the other words of the phrase, the rarer ones first, leaves the places where it stands word for word.
+The mandatory phrase alone decides the label, so a file's labels are the same in any corpus; the weights order the
+look-up, and they make the score: the share of the template's weight that stands in place around the phrase.  Base phrases
+are templates that are mandatory as a whole, so all their places are found.
 
 Only rows per licence word (bounded by the templates) reach the driver; there is no join, so no key
 can be hot, and repeated ids do not meet.
@@ -40,27 +39,31 @@ class Template(NamedTuple):
 #: Phrases and labels whose places are counted (fixed values).
 BASE = (Template("mit", "under the mit license"), Template("apache-2", "apache license version 2"),
         Template("cc-by-nc", "cc by nc"))
-#: Well-known licence sentences (fixed values), each with its mandatory phrase.
+#: Passages of well-known licences (fixed values), each with its mandatory phrase.
 METHOD = (
+    Template("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public"
+             " license as published by the free software foundation", "gnu general public license"),
     Template("gpl", "gnu general public license version 3", "gnu general public license"),
     Template("gpl", "gnu general public license version 2", "gnu general public license"),
     Template("lgpl", "gnu lesser general public license"),
     Template("agpl", "gnu affero general public license"),
-    Template("mpl-2", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy",
-             "permission is hereby granted free of charge"),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted",
-             "source and binary forms"),
-    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee",
-             "with or without fee"),
-    Template("unlicense", "this is free and unencumbered software released into the public domain",
-             "released into the public domain"),
-    Template("cc-by", "creative commons attribution"),
+    Template("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not"
+             " distributed with this file you can obtain one", "mozilla public license"),
+    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
+             " documentation files the software to deal in the software without restriction",
+             "free of charge to any person obtaining a copy"),
+    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the"
+             " following conditions are met", "redistribution and use in source and binary forms"),
+    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"
+             " provided that the above copyright notice and this permission notice appear in all copies",
+             "for any purpose with or without fee"),
+    Template("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish"
+             " use compile sell or distribute this software", "unencumbered software released into the public domain"),
+    Template("cc-by", "this work is licensed under a creative commons attribution international license", "creative commons attribution"),
     Template("cc-by-sa", "cc by sa"),
-    Template("apache-2", "licensed under the apache license version 2 0", "apache license version 2"),
+    Template("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with"
+             " the license", "apache license version 2"),
 )
-#: Share of a template's IDF weight that has to stand in place for its label.
-LEAST_SHARE = 0.6
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Letters whose lower case has ASCII letters: the Kelvin sign and the dotted capital I.
@@ -99,8 +102,7 @@ def inverse_frequencies(hits: DataFrame, templates: Sequence[Template]) -> dict[
 
 
 def scan(docs: DataFrame, columns: Sequence[str] = ("doc_id",), text: str = "text",
-         base: Sequence[Template] = BASE, method: Sequence[Template] = METHOD,
-         least_share: float = LEAST_SHARE) -> DataFrame:
+         base: Sequence[Template] = BASE, method: Sequence[Template] = METHOD) -> DataFrame:
     """``columns`` of each file with its word count, the places of base phrases, its labels and a score."""
     everything = [*base, *method]
     hits = stored(positions(docs, columns, everything, text), "licence-words")
@@ -134,11 +136,9 @@ def scan(docs: DataFrame, columns: Sequence[str] = ("doc_id",), text: str = "tex
                              *[s.alias(f"share{i}") for i, s in enumerate(shares)])
 
     def joined(picked: Sequence[tuple[int, str]]) -> Column:
-        labels = F.array(*[F.when(F.col(f"share{i}") >= (least_share if short[i] else 1e-9), F.lit(label)) for i, label in picked])
+        labels = F.array(*[F.when(F.col(f"share{i}") > 0, F.lit(label)) for i, label in picked])
         return F.array_join(F.array_sort(F.array_distinct(F.array_compact(labels))), ",")
 
-    #: Whether the mandatory phrase alone is too little of the template's words for its label.
-    short = [len((t.mandatory or t.words).split()) < least_share * len(t.words.split()) for t in everything]
     numbered = [(i, t.label) for i, t in enumerate(everything)]
     places = F.concat(none, *[F.col(f"places{i}") for i in range(len(base))])
     return results.select(
