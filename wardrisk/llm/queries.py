@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (bpe, collocations, decontamination, hamming_search, hard_negatives, license_scan, packing, quality_model, quality_rules, simhash, suffix_dedup,
                token_counts, training_order)
-from .shared import read
+from .shared import read, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,7 +37,10 @@ def golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_training_order")
 def feistel_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order.training_order(read(spark, sf_dir, "documents"))
+    """The shards of all documents, written to the shared folder and read back."""
+    path = f"{shared_folder(spark)}/llm/order-{uuid.uuid4().hex}"
+    training_order.materialise(read(spark, sf_dir, "documents"), path)
+    return training_order.materialised(spark, path)
 
 
 @query("op4_tokenizer_fertility")

@@ -6,7 +6,6 @@ import base64
 import functools
 import re
 import struct
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -23,13 +22,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local session without it gets one of its own."""
+    """The folder in ``spark.checkpoint.dir``, or the session's warehouse where that is not set: both are shared."""
     context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="llm-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(base)
     return base.rstrip("/")

@@ -3,8 +3,9 @@
 The documents' ids, each closed by an end id, form one stream in the order in which the table is
 scanned; every ``size`` tokens are a sequence.  A keyed Feistel network with cycle-walking permutes
 the sequence numbers, so every sequence has a global slot, and slots are cut into shards of a fixed
-number.  Each shard is written in slot order by one task.  All records have the same number of
-bytes, so the place of any slot follows from its number: reading is sequential, and can resume anywhere.
+number.  A range of shards goes to one task, which writes each in slot order; tasks have SHARDS_A_TASK shards whatever the
+corpus.  All records have the same number of bytes, so the place of any slot follows from its number: reading is
+sequential, and can resume anywhere.
 
 Defined results: a null or empty text is the end id alone; repeated rows are written each; the last
 sequence is filled up with the end id, ``n_tokens`` counts its own; an empty table gives no rows;
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ from .shared import encode, piece_ids, slices, stored, texts_of, vocabulary_file
 
 VOCABULARY, END_ID = "byte_bpe_50k.tiktoken", 50256
 SIZE, SHARD_ROWS, KEY, ROUNDS = 2048, 1024, 0x5EED, 6
+#: Shards that one task writes, about 34 MB.
+SHARDS_A_TASK = 8
 #: Ends every record in a file; two bytes, so that 16-bit ids stay aligned.
 RECORD_END = "\x00\n"
 
@@ -83,21 +87,34 @@ def encode_stream(docs: DataFrame, text: str, vocabulary: str, end_id: int) -> D
             .mapInArrow(encoded, "part int, before long, n long, ids binary"))
 
 
+def with_shape(docs: DataFrame, size: int, text: str, vocabulary: str, end_id: int) -> tuple[DataFrame, dict[int, int], int]:
+    """The stored stream, the tokens before each task's part of it, and all its tokens."""
+    stream = stored(encode_stream(docs, text, vocabulary, end_id), "ids")
+    totals = sorted((r["part"], r["n"]) for r in stream.groupBy("part").agg(F.sum("n").alias("n")).collect())
+    starts, total = {}, 0  # one row per task of the scan
+    for part, n in totals:
+        starts[part], total = total, total + n
+    return stream, starts, total
+
+
 def training_order(docs: DataFrame, key: int = KEY, size: int = SIZE, shard_rows: int = SHARD_ROWS, text: str = "text",
                    vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
     """One row per slot: its shard and place in the shard's file, the sequence, its own tokens and all its ids.
 
     The vocabulary must have at most 65,536 ids.
     """
-    stream = stored(encode_stream(docs, text, vocabulary, end_id), "ids")
-    totals = sorted((r["part"], r["n"]) for r in stream.groupBy("part").agg(F.sum("n").alias("n")).collect())
-    starts, total = {}, 0  # one row per task of the scan
-    for part, n in totals:
-        starts[part], total = total, total + n
-    order = Permutation(max(1, -(-total // size)), key)
+    return in_order(*with_shape(docs, size, text, vocabulary, end_id), key, size, shard_rows, end_id)
+
+
+def in_order(stream: DataFrame, starts: dict[int, int], total: int, key: int, size: int, shard_rows: int, end_id: int) -> DataFrame:
+    """The records of a stored stream, a range of shards in each partition and in the order of their slots there."""
+    sequences = -(-total // size)
+    order = Permutation(max(1, sequences), key)
     stride = 2 * size + len(RECORD_END)
+    tasks = max(1, -(-sequences // (shard_rows * SHARDS_A_TASK)))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1, write_checksum=False)
         for batch in slices(batches):
             columns = [batch.column(c).to_pylist() for c in ("part", "before", "ids")]
             sequence, place, piece = [], [], []
@@ -107,18 +124,18 @@ def training_order(docs: DataFrame, key: int = KEY, size: int = SIZE, shard_rows
                     room = min(size - (at + done) % size, len(ids) // 2 - done)
                     sequence.append((at + done) // size)
                     place.append((at + done) % size)
-                    piece.append(ids[2 * done:2 * (done + room)])
+                    piece.append(pack.compress(ids[2 * done:2 * (done + room)]))
                     done += room
             yield pa.RecordBatch.from_arrays(
                 [pa.array(order.slots(sequence)), pa.array(place, pa.int32()), pa.array(sequence, pa.int64()),
                  pa.array(piece, pa.binary())], ["slot", "place", "sequence", "piece"])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filler = np.array([end_id], "<u2").tobytes()
+        filler, unpack = np.array([end_id], "<u2").tobytes(), zstandard.ZstdDecompressor().decompress
 
         def records(rows):
             slots = np.array([r[0] for r in rows], dtype=np.int64)
-            ids = [b"".join(r[2]) for r in rows]
+            ids = [b"".join(map(unpack, r[2])) for r in rows]
             lengths = [len(i) // 2 for i in ids]
             return pa.RecordBatch.from_arrays(
                 [pa.array(slots), pa.array(slots // shard_rows), pa.array(slots % shard_rows * stride),
@@ -140,10 +157,42 @@ def training_order(docs: DataFrame, key: int = KEY, size: int = SIZE, shard_rows
             yield records(rows)
 
     pieces = stream.mapInArrow(dealt, "slot long, place int, sequence long, piece binary")
-    return (pieces.repartition(F.floor(F.col("slot") / shard_rows)).sortWithinPartitions("slot", "place")
+    return (pieces.repartitionById(tasks, F.floor(F.col("slot") / (shard_rows * SHARDS_A_TASK)).cast("int"))
+            .sortWithinPartitions("slot", "place")
             .mapInArrow(joined, "slot long, shard long, byte_offset long, sequence long, n_tokens int, ids binary"))
 
 
+def materialise(docs: DataFrame, path: str, key: int = KEY, size: int = SIZE, shard_rows: int = SHARD_ROWS, text: str = "text",
+                vocabulary: str = VOCABULARY, end_id: int = END_ID) -> None:
+    """Write the shards to ``path/shards`` and what a reader has to know to ``path/shape``."""
+    stream, starts, total = with_shape(docs, size, text, vocabulary, end_id)
+    write_shards(in_order(stream, starts, total, key, size, shard_rows, end_id), f"{path}/shards")
+    docs.sparkSession.createDataFrame([(total, key, size, shard_rows)], SHAPE).coalesce(1).write.parquet(f"{path}/shape")
+
+
+SHAPE = "total long, key long, size int, shard_rows int"
+
+
+def materialised(spark: SparkSession, path: str, from_slot: int = 0) -> DataFrame:
+    """The records of the shards in ``path`` from a slot on, as :func:`training_order` has them; earlier shards are not opened."""
+    shape = spark.read.schema(SHAPE).parquet(f"{path}/shape").first()
+    total, size, shard_rows = shape["total"], shape["size"], shape["shard_rows"]
+    sequences = -(-total // size)
+    order, stride = Permutation(max(1, sequences), shape["key"]), 2 * size + len(RECORD_END)
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = batch.column("slot").to_numpy()
+            own = order.sequences(slots)
+            tokens = np.where(own == sequences - 1, total - (sequences - 1) * size, size).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slots), pa.array(slots // shard_rows), pa.array(slots % shard_rows * stride), pa.array(own), pa.array(tokens),
+                 batch.column("ids")], ["slot", "shard", "byte_offset", "sequence", "n_tokens", "ids"])
+
+    return read_shards(spark, f"{path}/shards", size, shard_rows, from_slot).mapInArrow(
+        described, "slot long, shard long, byte_offset long, sequence long, n_tokens int, ids binary")
+
+
 def write_shards(records: DataFrame, path: str) -> None:
     """One file per shard in ``path/shard=<n>``: the ids of each slot and the record end, by Spark's own committer.
 
@@ -167,5 +216,7 @@ def read_shards(spark: SparkSession, path: str, size: int = SIZE, shard_rows: in
                  pa.array([data[(s - first) * stride:(s - first) * stride + 2 * size] for s in slots], pa.binary())],
                 ["slot", "ids"])
 
-    files = spark.read.format("binaryFile").load(path).where(F.col("shard") >= from_slot // shard_rows)
-    return files.select(F.col("shard").cast("long"), "content").mapInArrow(parsed, "slot long, ids binary")
+    # The columns are given, as a folder without shards tells none.
+    schema = "path string, modificationTime timestamp, length long, content binary, shard long"
+    files = spark.read.format("binaryFile").schema(schema).load(path).where(F.col("shard") >= from_slot // shard_rows)
+    return files.select("shard", "content").mapInArrow(parsed, "slot long, ids binary")
