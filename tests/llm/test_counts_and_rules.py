@@ -1,5 +1,7 @@
 """Token histogram, quality rules, licences: against plain Python."""
 
+import math
+import random
 import re
 from collections import Counter
 
@@ -68,7 +70,7 @@ def test_quality_bands(spark):
     byte_words = " ".join("ᚠᚡᚢ" + chr(0x16a3 + i) for i in range(60))
     docs = spark.createDataFrame([(1, symbols), (2, byte_words)], "doc_id long, text string")
     rows = {r["doc_id"]: r for r in quality_rules.apply_rules(docs).collect()}
-    assert rows[2]["byte_fallback"] > 1.0  # three bytes for each rune
+    assert 0.85 < rows[2]["byte_fallback"] < 1.0  # three bytes for each rune, and a piece for each space
     assert rows[2]["script"] == "other" and not rows[2]["kept"]
     assert quality_rules.script_of({"д": 3, "a": 2}) == "cyrillic"
     assert quality_rules.script_of({"1": 5}) == "none"
@@ -76,6 +78,34 @@ def test_quality_bands(spark):
     assert not any(r["kept"] for r in quality_rules.apply_rules(docs, bands=strict).collect())
 
 
+def measures(text):
+    """Characters per token, byte-fallback share and token entropy, by the libraries over the whole text."""
+    import sentencepiece
+
+    ids = byte_encoder(vocabulary_file(quality_rules.TOKENS)).encode_ordinary(text or "")
+    model = sentencepiece.SentencePieceProcessor(model_file=vocabulary_file(quality_rules.PIECES))
+    pieces = model.encode(text or "")
+    bits = -sum(n / len(ids) * math.log2(n / len(ids)) for n in Counter(ids).values())
+    return (len(text or "") / max(len(ids), 1), sum(map(model.is_byte, pieces)) / max(len(pieces), 1), bits)
+
+
+def test_measures_and_verdicts(spark, docs, corpus):
+    """All measures by the libraries, and what they and the bands make of ``kept``; also of odd spaces and of a text of some MB."""
+    rng = random.Random(3)
+    odd = [(1000 + i, "".join(rng.choice(" ab\n ﬁ①Å日ᚠ \t.é\xa0") for _ in range(rng.randrange(20)))) for i in range(200)]
+    odd += [(2000, " "), (2001, "   "), (2002, "ﬁ ① Å"), (2003, " a  b "), (2004, "one two three. " * 150_000)]
+    extra = spark.createDataFrame(odd, "doc_id long, text string")
+    rows = {r["doc_id"]: r for part in (docs, extra) for r in quality_rules.apply_rules(part).collect()}
+    for i, text in corpus + odd:
+        r, (chars, share, bits) = rows[i], measures(text)
+        assert abs(r["chars_per_token"] - chars) < 1e-9 and abs(r["byte_fallback"] - share) < 1e-12 and abs(r["token_entropy"] - bits) < 1e-6
+        tokens = len(byte_encoder(vocabulary_file(quality_rules.TOKENS)).encode_ordinary(text or ""))
+        band = quality_rules.BANDS[r["script"]]
+        inside = (band.least_chars <= chars <= band.most_chars and share <= band.most_fallback
+                  and bits >= min(band.top, band.base + band.slope * math.log2(max(tokens, 1))))
+        assert r["kept"] == (inside and not r["base_failed"])
+
+
 def test_quality_rules_of_nothing(empty):
     assert quality_rules.apply_rules(empty).collect() == []
 
@@ -107,6 +137,38 @@ def test_label_holds_beside_a_hot_source(spark):
         assert {r["doc_id"] for r in rows if r["labels"] == "gpl"} == {i for i, t in enumerate(part) if "GNU" in t}
 
 
+def plain_labels(text):
+    lower = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+    labels = set()
+    for template in (*license_scan.BASE, *license_scan.METHOD):
+        whole, own = template.words.split(), (template.mandatory or template.words).split()
+        assert any(whole[k:k + len(own)] == own for k in range(len(whole)))
+        if any(words[k:k + len(own)] == own for k in range(len(words))):
+            labels.add(template.label)
+    return ",".join(sorted(labels))
+
+
+def test_labels_are_the_same_in_any_corpus(spark):
+    """Every template whole, its phrase alone, the phrase without its last word, and a mixture, beside three other corpora."""
+    rng = random.Random(6)
+    texts = []
+    for template in license_scan.METHOD:
+        phrase = template.mandatory or template.words
+        texts += [template.words.capitalize(), f"see the {phrase}!", " ".join(phrase.split()[:-1]) + " unlike it", phrase.replace(" ", " and ")]
+    words = license_scan.licence_words(license_scan.METHOD)
+    texts += [" ".join(rng.choice(words) for _ in range(60)) for _ in range(20)]
+    texts.append("Permission is hereby granted free of charge to the reader")
+    want = [plain_labels(t) for t in texts]
+    assert len(set(want)) > 8
+    for others in ([], ["nothing of the kind here"] * 200, ["obtaining a copy any person to gnu public license software"] * 200):
+        docs = spark.createDataFrame(list(enumerate(texts + others)), "doc_id long, text string")
+        rows = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
+        assert [rows[i]["labels"] for i in range(len(texts))] == want
+        whole = [rows[i]["score"] for i in range(0, 4 * len(license_scan.METHOD), 4)]
+        assert whole == [1.0] * len(whole) and all((rows[i]["score"] > 0) == bool(want[i]) for i in range(len(texts)))
+
+
 def test_licence_templates(spark, empty):
     texts = ["This program is under the GNU General Public License, version 3.",
              "Permission is hereby granted, free of charge, to any person obtaining a copy",

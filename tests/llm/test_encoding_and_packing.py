@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from wardrisk.llm import bpe, packing, training_order
 from wardrisk.llm.lexicon import Lexicon, compile_lexicon
 from wardrisk.llm.shared import byte_encoder, vocabulary_file
@@ -167,3 +168,22 @@ def test_training_order(spark, docs, corpus, empty, tmp_path):
         back = training_order.read_shards(spark, path, 32, 16, start).collect()
         assert {r["slot"]: r["ids"] for r in back} == {r["slot"]: r["ids"] for r in rows[start:]}
     assert training_order.training_order(empty).collect() == []
+    training_order.write_shards(training_order.training_order(empty), str(tmp_path / "none"))
+    assert training_order.read_shards(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_materialised_order(spark, docs, empty, tmp_path, monkeypatch):
+    """What is read back from the shards is what was to be written, from any slot; tasks hold a few shards each."""
+    monkeypatch.setattr(training_order, "SHARDS_A_TASK", 2)
+    records = training_order.training_order(docs, size=32, shard_rows=16)
+    want = sorted(tuple(r) for r in records.collect())
+    parts = {r["shard"]: r["p"] for r in records.select("shard", F.spark_partition_id().alias("p")).distinct().collect()}
+    assert parts == {shard: shard // 2 for shard in parts} and len(parts) > 10
+    path = str(tmp_path / "order")
+    training_order.materialise(docs, path, size=32, shard_rows=16)
+    for start in (0, 17, len(want) - 1):
+        assert sorted(tuple(r) for r in training_order.materialised(spark, path, start).collect()) == want[start:]
+    shard = next((tmp_path / "order/shards/shard=3").glob("part-*"))
+    assert shard.stat().st_size == 16 * 66  # fixed stride
+    training_order.materialise(empty, str(tmp_path / "none2"))
+    assert training_order.materialised(spark, str(tmp_path / "none2")).collect() == []
