@@ -1,8 +1,10 @@
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from wardrisk.operators import quality, reshape
+from wardrisk.operators import quality, report, reshape
 
 
 def test_trend_and_unpivot(spark, rows):
@@ -75,3 +77,56 @@ def test_quality_checks(spark, rows):
     parts = spark.createDataFrame([(1, 5.0), (1, 6.0)], "k int, v double")
     stated = spark.createDataFrame([(1, 11.0), (2, 3.0)], "k int, t double")
     assert [r.k for r in quality.check_totals(parts, stated, "k", "v", "t", 0.1).collect()] == [2]
+
+
+def test_month_stretches_equal_the_spine(spark, rows):
+    """Keys with many, one and no point, points outside of the calendar, and months without a value."""
+    draw = random.Random(3)
+    points = {(f"k{draw.randrange(8)}", dt.date(2024 + draw.randrange(3), draw.randint(1, 12), 1)): draw.choice([None, 1.5, 2.0, 7.0]) for _ in range(60)}
+    known = spark.createDataFrame([(k, m, v) for (k, m), v in points.items()], "k string, month date, v double")
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(10)], "k string")
+    start, end = dt.date(2024, 3, 10), dt.date(2025, 11, 20)
+    spine = reshape.month_spine(keys, start, end)
+    assert rows(reshape.fill_months(known, "k", "month", "v", "f", start, end, keys)) == rows(reshape.forward_fill(spine, known, "k", "month", "v", "f"))
+    assert rows(reshape.blend_months(known, "k", "month", "v", "f", start, end, keys)) == rows(reshape.interpolate(spine, known, "k", "month", "v", "f"))
+    assert reshape.fill_months(known.limit(0), "k", "month", "v", "f", start, end).collect() == []
+    plan = reshape.blend_months(known, "k", "month", "v", "f", start, end)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        row, last = [i + 1], row
+        for j, y in enumerate(b):
+            row.append(min(last[j + 1] + 1, row[j] + 1, last[j] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("most,q", [(1, 2), (2, 2), (2, 3), (3, 2)])
+def test_alias_proposals_equal_brute_force(spark, most, q):
+    """Short texts, repeated letters and one frequent ending included."""
+    draw = random.Random(most * 10 + q)
+    names = {"".join(draw.choice("abcab n") for _ in range(draw.randrange(9))).strip() + draw.choice(["", "", " kulon"]) for _ in range(120)} | {"Tenggilis Mejoyo", "Pabean Cantian", ""}
+    known = sorted(names)[::2] + ["Tenggilis Mejoyo"]
+    asked = sorted(names)[1::2] + ["Tenggilis Mejojo", "Pabean Cantikan", "Pabean Cantian"]
+    want = {}
+    for a in set(asked) - set(known):
+        near = sorted((distance(a, b), b) for b in set(known) if distance(a, b) <= most)
+        if near:
+            want[a] = near[0]
+    spelled = spark.createDataFrame([(a,) for a in asked + asked[:5] + [None]], "k string")
+    out = quality.propose_aliases(spelled, spark.createDataFrame([(b,) for b in known + [None]], "k string"), "k", most, q)
+    assert {r.k: (r.distance, r.proposal) for r in out.collect()} == want and want
+
+
+def test_sketches_of_days(spark):
+    """Days united give the sketch of all rows; the estimate stays within its bound; a range without rows has none."""
+    rows = spark.range(60_000).select((F.col("id") % 23_000).alias("v"), F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 40).cast("int")).alias("day"))
+    days = report.daily_sketches(rows, "v", "day")
+    ranges = spark.createDataFrame([(dt.date(2025, 1, 1), dt.date(2025, 2, 28)), (dt.date(2025, 1, 5), dt.date(2025, 1, 11)), (dt.date(2020, 1, 1), dt.date(2020, 2, 1))], "first date, last date")
+    got = {r["first"]: r.distinct_values for r in report.distinct_between(days, ranges).collect()}
+    whole = rows.agg(F.hll_sketch_estimate(F.hll_sketch_agg("v", 12))).first()[0]
+    assert got[dt.date(2025, 1, 1)] == whole and abs(whole - 23_000) <= 23_000 * report.sketch_error()
+    exact = rows.filter(F.col("day").between("2025-01-05", "2025-01-11")).select("v").distinct().count()
+    assert abs(got[dt.date(2025, 1, 5)] - exact) <= exact * report.sketch_error() and got[dt.date(2020, 1, 1)] == 0

@@ -179,3 +179,38 @@ def test_a_batch_costs_the_same_however_many_came_before(spark, tmp_path):
     out = spark.read.parquet(f"{tmp_path}/out")
     assert out.count() == out.distinct().count() == 1000
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != streams.STATE_SETTINGS["spark.sql.streaming.stateStore.providerClass"]
+
+
+def test_statistics_of_a_stream_equal_the_batch_table(spark, tmp_path):
+    """Two cycles with repeats, a failed fetch in each, and items without an identity."""
+    cycles = [[("https://e.org/1", None), ("https://e.org/2", None), ("https://e.org/1", None), (None, "timeout")],
+              [("https://e.org/2", None), ("https://e.org/3", None), ("https://e.org/9", "refused"), ("https://e.org/4", None)]]
+    listener = streams.IngestStatistics()
+    spark.streams.addListener(listener)
+    try:
+        for cycle in cycles:
+            spark.createDataFrame(cycle, "link string, error string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+            df = streams.open_stream(spark, "parquet", f"{tmp_path}/in", spark.createDataFrame([], "link string, error string").schema)
+            query = streams.dedup_stream(df, ["link"], f"{tmp_path}/out", None, f"{tmp_path}/c", error="error")
+            query.awaitTermination()
+            listener.wait(query)
+    finally:
+        spark.streams.removeListener(listener)
+    table = listener.table(spark).collect()
+    assert [(r.batch, r.fetched, r.duplicates, r.sent, r.errors) for r in table] == [(0, 3, 1, 2, 1), (1, 3, 1, 2, 1)]
+    rows = spark.createDataFrame([(*r, i) for i, c in enumerate(cycles) for r in c], "link string, error string, cycle int")
+    whole = readers.ingest_statistics(rows, spark.createDataFrame([], "id_berita string"), "error", "cycle").first()
+    assert (whole.fetched, whole.duplicates, whole.sent, whole.errors, whole.cycles) == (
+        sum(r.fetched for r in table), sum(r.duplicates for r in table), sum(r.sent for r in table), sum(r.errors for r in table), len(table))
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 4
+
+
+def test_merged_counts_and_a_batch_that_runs_again(spark, tmp_path, rows):
+    def batch(*pairs):
+        return spark.createDataFrame(pairs, "k string, n long")
+
+    streams.merge_counts(batch(("a", 1), ("b", 2)), 0, f"{tmp_path}/c", ["k"])
+    for _ in range(2):
+        out = streams.merge_counts(batch(("b", 5), ("c", 1)), 3, f"{tmp_path}/c", ["k"])
+        assert rows(out, "k", "n") == [("a", 1), ("b", 7), ("c", 1)]
+    assert rows(streams.merge_counts(batch(("a", 1)), 4, f"{tmp_path}/c", ["k"]), "k", "n") == [("a", 2), ("b", 7), ("c", 1)]

@@ -1,3 +1,6 @@
+import math
+import random
+
 from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
@@ -83,3 +86,61 @@ def test_both_topics_with_one_label(spark):
     result = topics.topic_counts(news(spark), keywords=same, partitions=2)
     row = result.counts.agg(F.sum("total_kasus_berita_kriminal"), F.sum("total_kasus_berita_wabah")).first()
     assert tuple(row) == (40, 0)
+
+
+def plain_inference(words, k, alpha, rounds):
+    """The E-step of one text in plain Python; ``words`` are (n, beta)."""
+    def psi(x):
+        total = 0.0
+        while x < 30:
+            total -= 1 / x
+            x += 1
+        return total + math.log(x) - 1 / (2 * x) - 1 / (12 * x ** 2) + 1 / (120 * x ** 4) - 1 / (252 * x ** 6)
+
+    gamma = [alpha + sum(n for n, _ in words) / k] * k
+    for _ in range(rounds + 1):
+        logs = [psi(g) - psi(sum(gamma)) for g in gamma]
+        e = [math.exp(x) for x in logs]
+        last = gamma
+        gamma = [alpha + e[i] * sum(n * b[i] / sum(x * y for x, y in zip(e, b)) for n, b in words) for i in range(k)]
+    gamma = last
+    bound = sum(n * math.log(sum(x * y for x, y in zip(e, b))) for n, b in words)
+    bound += sum((alpha - g) * x + math.lgamma(g) - math.lgamma(alpha) for g, x in zip(gamma, logs))
+    return [g / sum(gamma) for g in gamma], bound + math.lgamma(k * alpha) - math.lgamma(sum(gamma))
+
+
+def test_inference_is_the_e_step(spark):
+    draw = random.Random(5)
+    beta = {f"t{i}": [draw.random() + 0.01 for _ in range(3)] for i in range(12)}
+    texts = {d: {f"t{draw.randrange(14)}": draw.randint(1, 9) for _ in range(draw.randint(1, 8))} for d in range(25)}
+    counts = spark.createDataFrame([(d, t, n) for d, found in texts.items() for t, n in found.items()], "d int, term string, n long")
+    terms = spark.createDataFrame(list(beta.items()), "term string, beta array<double>")
+    for rounds in (0, 1, 12):
+        got = {r.d: r for r in topics.infer_topics(counts, terms, "d", 3, alpha=0.2, rounds=rounds).collect()}
+        known = {d: [(n, beta[t]) for t, n in found.items() if t in beta] for d, found in texts.items()}
+        assert set(got) == {d for d, words in known.items() if words}
+        for d, r in got.items():
+            weights, bound = plain_inference(known[d], 3, 0.2, rounds)
+            assert max(abs(a - b) for a, b in zip(r.topic_distribution, weights)) < 1e-7 and abs(r.bound - bound) < 1e-6
+            assert r.weight == sum(n for n, _ in known[d])
+
+
+def test_gamma_functions(spark):
+    values = [0.05, 0.25, 1.0, 2.0, 7.5, 1000.0]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", topics.log_gamma(F.col("x")).alias("g"), topics.digamma(F.col("x")).alias("p")).collect()
+    for r in rows:
+        assert abs(r.g - math.lgamma(r.x)) < 1e-8
+        step = r.x * 1e-5
+        assert abs(r.p - (math.lgamma(r.x + step) - math.lgamma(r.x - step)) / (2 * step)) < 1e-5 * max(1, abs(r.p))
+    assert abs(rows[2].p + 0.5772156649) < 1e-8
+
+
+def test_topic_terms_and_labels(spark):
+    counts = spark.createDataFrame([(0, "a", 3), (0, "b", 1), (1, "b", 4)], "topic int, term string, n long")
+    terms = topics.topic_terms(counts, "topic", "term", "n", 3, smoothing=1.0)
+    assert {r.term: r.beta for r in terms.collect()} == {"a": [4 / 6, 1 / 6, 1 / 2], "b": [2 / 6, 5 / 6, 1 / 2]}
+    vocabulary = spark.createDataFrame([(0, "b"), (1, "a")], "index long, term string")
+    words = topics.topic_words(terms, vocabulary, 3, n=1)
+    assert sorted((r.topic, r.position, r.index, r.term) for r in words.collect()) == [(0, 0, 1, "a"), (1, 0, 0, "b"), (2, 0, 0, "b")]
+    labelled = spark.range(3).select(topics.label_of_topic(F.col("id").cast("int"), {0: "x", 1: "y"}).alias("label"))
+    assert [r.label for r in labelled.collect()] == ["x", "y", "Unknown"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
@@ -14,15 +13,8 @@ from .readers import read_table, table_exists
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint folder of the session.
-
-    Only a local session without that setting falls back to a temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="wardrisk-")
+    """A new folder in the shared checkpoint folder of the session, or in its warehouse where that is not set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/wardrisk/{name}-{uuid.uuid4().hex}"
 
 
