@@ -497,15 +497,20 @@ def index_without_news(spark, sf_dir):
     return rounded(crime.select("kecamatan", "total_kasus_kriminal", "indeks_kriminalitas"))
 
 
-_FITTED: dict[tuple[str, str], str] = {}
+_FITTED: dict[tuple, str] = {}
 
 
-def document_topics(spark, sf_dir, part: str):
-    """One part of the topic model of the documents: it is fitted once per session and folder, and stored."""
+def document_topics(spark, sf_dir, part: str, fit: bool = False):
+    """One part of the topic model of the documents; the model is fitted if ``fit`` says so or these texts have none yet.
+
+    A fitted model belongs to the session, the folder and a fingerprint of the texts, so a changed table gets a new one.
+    """
     from ..sources import writers
 
-    key = spark.sparkContext.applicationId, sf_dir
-    if key not in _FITTED:
+    print_of = roles.text_table(spark, sf_dir, "documents").agg(
+        F.count(F.lit(1)), F.bit_xor(F.xxhash64("doc_id", "text")), F.bit_xor(F.xxhash64("text", "doc_id"))).first()
+    key = spark.sparkContext.applicationId, sf_dir, *print_of
+    if fit or key not in _FITTED:
         news = placed_documents(spark, sf_dir).withColumn("id_berita", F.col("doc_id"))
         result = topics.topic_counts(news, stopwords=TOPIC_STOPWORDS, keywords=TOPIC_KEYWORDS)
         path = writers.scratch_dir(spark, "topics")
@@ -528,4 +533,5 @@ def lda_counts(spark, sf_dir):
 
 @query("lda_metrics")
 def lda_metrics(spark, sf_dir):
-    return document_topics(spark, sf_dir, "metrics")
+    """The fit itself, each time; the other two queries read what was fitted last."""
+    return document_topics(spark, sf_dir, "metrics", fit=True)
