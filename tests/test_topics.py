@@ -141,6 +141,6 @@ def test_topic_terms_and_labels(spark):
     assert {r.term: r.beta for r in terms.collect()} == {"a": [4 / 6, 1 / 6, 1 / 2], "b": [2 / 6, 5 / 6, 1 / 2]}
     vocabulary = spark.createDataFrame([(0, "b"), (1, "a")], "index long, term string")
     words = topics.topic_words(terms, vocabulary, 3, n=1)
-    assert sorted((r.topic, r.position, r.index, r.term) for r in words.collect()) == [(0, 0, 1, "a"), (1, 0, 0, "b"), (2, 0, 0, "b")]
+    assert sorted((r["topic"], r["position"], r["index"], r["term"]) for r in words.collect()) == [(0, 0, 1, "a"), (1, 0, 0, "b"), (2, 0, 0, "b")]
     labelled = spark.range(3).select(topics.label_of_topic(F.col("id").cast("int"), {0: "x", 1: "y"}).alias("label"))
     assert [r.label for r in labelled.collect()] == ["x", "y", "Unknown"]
