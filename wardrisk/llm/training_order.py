@@ -216,7 +216,8 @@ def read_shards(spark: SparkSession, path: str, size: int = SIZE, shard_rows: in
                  pa.array([data[(s - first) * stride:(s - first) * stride + 2 * size] for s in slots], pa.binary())],
                 ["slot", "ids"])
 
-    # The columns are given, as a folder without shards tells none.
-    schema = "path string, modificationTime timestamp, length long, content binary, shard long"
-    files = spark.read.format("binaryFile").schema(schema).load(path).where(F.col("shard") >= from_slot // shard_rows)
-    return files.select("shard", "content").mapInArrow(parsed, "slot long, ids binary")
+    files = spark.read.format("binaryFile").load(path)
+    if "shard" not in files.columns:  # no shard was written
+        return spark.createDataFrame([], "slot long, ids binary")
+    files = files.where(F.col("shard") >= from_slot // shard_rows)
+    return files.select(F.col("shard").cast("long").alias("shard"), "content").mapInArrow(parsed, "slot long, ids binary")
