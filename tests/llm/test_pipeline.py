@@ -46,7 +46,7 @@ def test_stages(spark):
     docs = stored(docs, "test")
     net = quality_model.fit(docs.select("doc_id", "text"), spark.read.parquet(f"{SF_DIR}/labels.parquet"))
     memo = piece_ids(vocabulary_file(quality_rules.TOKENS))
-    known = quality_rules.piece_counts(vocabulary_file(quality_rules.PIECES))
+    known = quality_rules.pieces_of(vocabulary_file(quality_rules.PIECES))
     for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
         rows = docs.collect()
         if number:

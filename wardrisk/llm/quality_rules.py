@@ -2,9 +2,8 @@
 
 Fertility is measured with two vocabularies: characters per token and the entropy of the token distribution with a
 byte-level one, the byte-fallback share with a piece vocabulary: of the pieces that it encodes the text to, its
-normalisation included, those that are single bytes.  Pieces never reach from a letter over a space, so a text is encoded
-by stretches that begin with their spaces, each remembered.  A document is rejected outside the band of its script, the
-script of most of its letters.
+normalisation included, those that are single bytes.  A document is rejected outside the band of its script, the script
+of most of its letters.
 
 Defined results: a null or empty text has no words, so it fails the base rules, and no pieces, so its shares are zero;
 repeated rows are judged each; an empty table gives no rows; further columns are not read.
@@ -15,8 +14,6 @@ from __future__ import annotations
 import bisect
 import functools
 import math
-import re
-import struct
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from typing import NamedTuple
@@ -26,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Memo, encode, piece_ids, slices, texts_of, vocabulary_file
+from .shared import encode, piece_ids, slices, texts_of, vocabulary_file
 
 TOKENS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
@@ -72,43 +69,24 @@ _STARTS = [0] + [start for start, _ in SCRIPTS]
 _NAMES = ["none"] + [name for _, name in SCRIPTS]
 
 
-STRETCH = re.compile(" *[^ ]+| +")
-
-
-class PieceCounts(Memo):
-    """Pieces and byte pieces of a stretch of text, as two little-endian numbers."""
+class Pieces:
+    """A piece vocabulary, and which of its pieces are single bytes."""
 
     def __init__(self, path: str):
         import sentencepiece
 
-        super().__init__()
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
 
-    def compute(self, stretch: str) -> bytes:
-        """The vocabulary puts a space before every text, so a stretch gives its own first one up."""
-        ids = self.model.encode(stretch[1:] if stretch.startswith(" ") else stretch, num_threads=1)
-        return struct.pack("<2q", len(ids), int(self.is_byte[ids].sum()))
-
     def share(self, text: str) -> float:
         """Byte pieces among the pieces of a text."""
-        if not text:
-            return 0.0
-        stretches = STRETCH.findall(text if text.startswith(" ") else " " + text)
-        if text.startswith(" "):
-            stretches[0] = " " + stretches[0]
-        last = b""
-        if not stretches[-1].strip(" "):  # spaces at the end have no letter of their own
-            run = stretches.pop()
-            whole, letter = (np.array(self.model.encode(x, num_threads=1), dtype=np.int64) for x in ("a" + run, "a"))
-            last = struct.pack("<2q", len(whole) - len(letter), 0) if stretches else self.compute(run)
-        counts = np.frombuffer(b"".join(map(self.__getitem__, stretches)) + last, dtype="<i8").reshape(-1, 2).sum(0)
-        return float(counts[1] / counts[0]) if counts[0] else 0.0
+        ids = self.model.encode(text, num_threads=1)
+        return float(self.is_byte[ids].mean()) if ids else 0.0
 
 
 @functools.lru_cache(maxsize=2)
-def piece_counts(path: str) -> PieceCounts:
-    return PieceCounts(path)
+def pieces_of(path: str) -> Pieces:
+    return Pieces(path)
 
 
 def script_of(counts: Mapping[str, int]) -> str:
@@ -156,7 +134,7 @@ def entropy(ids: np.ndarray) -> float:
     return float(-(shares * np.log2(shares)).sum()) + 0.0
 
 
-def judge(text: str, memo, pieces: PieceCounts, bands: Mapping[str, Band]) -> tuple:
+def judge(text: str, memo, pieces: Pieces, bands: Mapping[str, Band]) -> tuple:
     words = text.encode("utf-8", "surrogatepass").split()  # bytes.split() parts at exactly these six characters
     n, repeats = len(words), repeated_words(words)
     counts = character_counts(text)
@@ -181,7 +159,7 @@ def apply_rules(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), bands:
     source = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("string").alias("judged_text"))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, counts = piece_ids(vocabulary_file(tokens)), piece_counts(vocabulary_file(pieces))
+        memo, counts = piece_ids(vocabulary_file(tokens)), pieces_of(vocabulary_file(pieces))
         for batch in slices(batches):
             results = [judge(x, memo, counts, bands) for x in texts_of(batch, "judged_text")]
             found = [pa.array(list(c)) for c in zip(*results)]
