@@ -100,7 +100,7 @@ class Memo(dict):
     """Results of ``compute`` by text, remembered in two halves: when one is full the older one goes, so that what is asked
     for often stays."""
 
-    HALF = 300_000
+    HALF = 150_000
 
     def __init__(self):
         super().__init__()
