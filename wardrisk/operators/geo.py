@@ -102,15 +102,18 @@ def geo_parse_join(df: DataFrame, text_cols, gazetteer: DataFrame, out: str = PL
                    default: str = "unknown", salts: int = 1, id_col: str | None = None) -> DataFrame:
     """Geo-parsing for a gazetteer of any size: a trie of name words, walked level by level.
 
-    Every word of the texts is a row; a join keeps those that start a name, with as many of the words after them as the
-    longest such name has.  Each further level is one join on the prefix read so far; a row that has left the trie meets
+    Every word of the texts is a row, with as many of the words after it as the longest name has; a join keeps those that
+    start a name.  Each further level is one join on the prefix read so far; a row that has left the trie meets
     nothing more.  The least priority per text wins.  Rows travel with ``id_col`` (unique and not NULL) or else two hashes
     of their texts.  The sizes decide how the joins are done: a small trie is broadcast, a large one is shuffled by
     prefix, where AQE splits the rows of a frequent first word; ``salts`` above 1 spread them beforehand.
     """
-    from ..sources.writers import checkpointed
+    from ..sources.writers import overwrite, scratch_dir
 
-    trie = checkpointed(name_trie(gazetteer))
+    # As a table, so that the optimizer knows its size.
+    path = scratch_dir(gazetteer.sparkSession, "trie")
+    overwrite(name_trie(gazetteer), path)
+    trie = gazetteer.sparkSession.read.parquet(path)
     max_words = trie.agg(F.max("words")).first()[0]
     if not max_words:
         return df.withColumn(out, F.lit(default))
@@ -119,15 +122,16 @@ def geo_parse_join(df: DataFrame, text_cols, gazetteer: DataFrame, out: str = PL
     # A line break separates words but never joins a two-word name: it counts as two blanks.
     split = F.array(*[F.split(F.regexp_replace(F.coalesce(clean_text(c), F.lit("")), r"[\t\n\x0B\f\r]", "  "), " ") for c in text_cols])
     lists = df.select(*[k.alias(n) for n, k in keys.items()], F.explode(split).alias("_words"))
-    words = lists.select(*keys, "_words", F.posexplode("_words").alias("_at", "_prefix")).filter("_prefix <> ''")
+    tails = F.transform(F.sequence(F.lit(1), F.size("_words")), lambda i: F.slice("_words", i, F.lit(max_words)))
+    words = (lists.select(*keys, F.posexplode(tails).alias("_at", "_rest"))
+             .withColumn("_prefix", F.get("_rest", F.lit(0))).filter("_prefix <> ''"))
     hit = F.when(F.col("priority").isNotNull(), F.struct("priority", F.col("prefix").alias("name")))
     first = trie.filter("words = 1").select(F.col("prefix").alias("_prefix"), hit.alias("_best"), F.col("deeper").alias("_deeper"))
     on = ["_prefix"]
     if salts > 1:
         words = words.withColumn("_salt", F.pmod(F.col("_at"), F.lit(salts)))
         first, on = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["_prefix", "_salt"]
-    walk = words.join(first, on).select(
-        *keys, "_best", "_prefix", "_deeper", F.slice("_words", F.col("_at") + 1, F.col("_deeper")).alias("_rest"))
+    walk = words.join(first, on).select(*keys, "_best", "_prefix", "_deeper", "_rest")
     for level in range(2, max_words + 1):
         edges = trie.filter(F.col("words") == level).select(
             F.col("prefix").alias("_next"), hit.alias("_hit"), F.col("deeper").alias("_deep"))
