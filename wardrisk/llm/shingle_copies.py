@@ -40,9 +40,9 @@ SHINGLE, SEED = 5, 42
 LEAST_TENTHS = 8
 SEGMENTS, WIDTH, PROBES = 6, 23, 3
 #: Of 64 signs, so many differ in a pair that is made; at a similarity of 0.8 the mean is 10 and the deviation 3.
-MOST_BITS = 26
-#: Of all 192 signs, so many differ in a pair that is checked on its sets; at 0.8 the mean is 30 and the deviation 5.
-MOST_SIGNS = 66
+MOST_BITS = 22
+#: Of all 192 signs, so many differ in a pair that is checked on its sets; at 0.8 the mean is 29 and the deviation 5.
+MOST_SIGNS = 50
 #: Texts of a key of which all pairs are made at once; earlier ones that a text of a larger key is paired with first; and
 #: the texts that a task holds of a key.
 FEW, NEAREST, BLOCK = 8, 3, 4096
