@@ -36,10 +36,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, level: int = 3) -> DataFrame:
     """Like cut(), as a compressed table of which later steps read only the columns they need."""
     path = f"{shared_folder(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

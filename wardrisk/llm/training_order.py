@@ -89,7 +89,7 @@ def encode_stream(docs: DataFrame, text: str, vocabulary: str, end_id: int) -> D
 
 def with_shape(docs: DataFrame, size: int, text: str, vocabulary: str, end_id: int) -> tuple[DataFrame, dict[int, int], int]:
     """The stored stream, the tokens before each task's part of it, and all its tokens."""
-    stream = stored(encode_stream(docs, text, vocabulary, end_id), "ids")
+    stream = stored(encode_stream(docs, text, vocabulary, end_id), "ids", level=5)
     totals = sorted((r["part"], r["n"]) for r in stream.groupBy("part").agg(F.sum("n").alias("n")).collect())
     starts, total = {}, 0  # one row per task of the scan
     for part, n in totals:
@@ -114,49 +114,52 @@ def in_order(stream: DataFrame, starts: dict[int, int], total: int, key: int, si
     tasks = max(1, -(-sequences // (shard_rows * SHARDS_A_TASK)))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1, write_checksum=False)
+        pack = zstandard.ZstdCompressor(level=3, write_checksum=False)
         for batch in slices(batches):
             columns = [batch.column(c).to_pylist() for c in ("part", "before", "ids")]
-            sequence, place, piece = [], [], []
+            sequence, place, piece, end = [], [], [], -1
             for part, before, ids in zip(*columns):
                 at, done = starts[part] + before, 0
                 while done < len(ids) // 2:
                     room = min(size - (at + done) % size, len(ids) // 2 - done)
-                    sequence.append((at + done) // size)
-                    place.append((at + done) % size)
-                    piece.append(pack.compress(ids[2 * done:2 * (done + room)]))
+                    if at + done != end or end % size == 0:
+                        sequence.append((at + done) // size)
+                        place.append((at + done) % size)
+                        piece.append([])
+                    piece[-1].append(ids[2 * done:2 * (done + room)])  # neighbours in a sequence travel as one
                     done += room
+                    end = at + done
             yield pa.RecordBatch.from_arrays(
-                [pa.array(order.slots(sequence)), pa.array(place, pa.int32()), pa.array(sequence, pa.int64()),
-                 pa.array(piece, pa.binary())], ["slot", "place", "sequence", "piece"])
+                [pa.array(order.slots(sequence)), pa.array(place, pa.int32()),
+                 pa.array([pack.compress(b"".join(x)) for x in piece], pa.binary())], ["slot", "place", "piece"])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filler, unpack = np.array([end_id], "<u2").tobytes(), zstandard.ZstdDecompressor().decompress
 
         def records(rows):
             slots = np.array([r[0] for r in rows], dtype=np.int64)
-            ids = [b"".join(map(unpack, r[2])) for r in rows]
+            ids = [b"".join(map(unpack, r[1])) for r in rows]
             lengths = [len(i) // 2 for i in ids]
             return pa.RecordBatch.from_arrays(
                 [pa.array(slots), pa.array(slots // shard_rows), pa.array(slots % shard_rows * stride),
-                 pa.array([r[1] for r in rows], pa.int64()), pa.array(lengths, pa.int32()),
+                 pa.array(order.sequences(slots)), pa.array(lengths, pa.int32()),
                  pa.array([i + filler * (size - n) for i, n in zip(ids, lengths)], pa.binary())],
                 ["slot", "shard", "byte_offset", "sequence", "n_tokens", "ids"])
 
         rows: list[tuple] = []
         for batch in batches:
-            for slot, sequence, piece in zip(*(batch.column(c).to_pylist() for c in ("slot", "sequence", "piece"))):
+            for slot, piece in zip(*(batch.column(c).to_pylist() for c in ("slot", "piece"))):
                 if rows and rows[-1][0] == slot:
-                    rows[-1][2].append(piece)
+                    rows[-1][1].append(piece)
                     continue
                 if len(rows) >= 512:
                     yield records(rows)
                     rows = []
-                rows.append((slot, sequence, [piece]))
+                rows.append((slot, [piece]))
         if rows:
             yield records(rows)
 
-    pieces = stream.mapInArrow(dealt, "slot long, place int, sequence long, piece binary")
+    pieces = stream.mapInArrow(dealt, "slot long, place int, piece binary")
     return (pieces.repartitionById(tasks, F.floor(F.col("slot") / (shard_rows * SHARDS_A_TASK)).cast("int"))
             .sortWithinPartitions("slot", "place")
             .mapInArrow(joined, "slot long, shard long, byte_offset long, sequence long, n_tokens int, ids binary"))
