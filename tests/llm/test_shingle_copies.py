@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -93,6 +94,54 @@ def test_rows_of_a_large_key_all_meet(monkeypatch):
             assert sorted(found) == sorted(near)
 
 
+def test_parities_leave_out_no_similar_pair():
+    """Also at exactly 0.8 and for sets of many more shingles than there are bins."""
+    rng = np.random.default_rng(5)
+    left_out = 0
+    for size in (1, 5, 9, 90, 400, 900, 6000):
+        for _ in range(60):
+            common = int(size * rng.choice([0, 0.6, 0.75, 8 / 9, 8 / 9, 0.95, 1]))
+            x, y = (np.unique(rng.integers(0, 1 << 63, size - common + int(rng.integers(0, 2)) * size // 9).astype("<u8")) for _ in range(2))
+            both = rng.integers(0, 1 << 63, common).astype("<u8")
+            x, y = np.union1d(x, both), np.union1d(y, both)
+            shared, total = len(np.intersect1d(x, y)), len(x) + len(y)
+            apart = sum((int(a) ^ int(b)).bit_count() for a, b in zip(
+                shingle_copies.parities_of(x).view("<u8"), shingle_copies.parities_of(y).view("<u8")))
+            assert apart <= total - 2 * shared
+            if 10 * shared >= 8 * (total - shared):
+                assert shingle_copies.may_be_similar(apart, total)
+            elif size < 1000:
+                left_out += not shingle_copies.may_be_similar(apart, total)
+    assert left_out > 100
+
+
+def test_texts_of_one_template_make_few_pairs(spark, monkeypatch):
+    """Texts that are alike, and yet below 0.8: not all of their pairs come out of the cells and are checked on sets."""
+    rng = random.Random(6)
+    words, texts = prose(rng, 300).split(), []
+    for i in range(120):
+        other = list(words)
+        for j in rng.sample(range(300), 9):
+            other[j] = f"own{i}x{j}"
+        texts.append(" ".join(other))
+    links = plain_links({i: plain_shingles(t) for i, t in enumerate(texts)})
+    counts, real_signs = [], shingle_copies.by_signs
+
+    def counted(pairs, nodes):
+        out = real_signs(pairs, nodes)
+        counts.append((pairs.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(shingle_copies, "by_signs", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    want = groups(range(120), links)
+    assert sorted(kept) == sorted(set(want.values()))
+    (_, near), (more, more_near) = counts
+    print(counts, len(links))
+    assert more < 700 and near + more_near < 700  # of 7,140 pairs
+
+
 def test_no_link_is_lost_among_rows_of_one_key(spark):
     """A chain of copies, each like the next one only, in keys of more rows than are paired at once."""
     rng = random.Random(4)

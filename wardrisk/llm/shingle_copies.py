@@ -11,8 +11,10 @@ larger one each text is first paired with the nearest of those before it; these
 Then the larger keys are dealt out in blocks, every block meets every other, and all pairs whose texts are not yet in
 one group are made and checked as well.  A large group of copies is one group by then and makes no more pairs.
 
-A pair is checked in two steps: by 192 sign bits, of which copies at 0.8 differ in some thirty and others in about half,
-and then on the sets of hashed shingles; only pairs that pass both link.
+A pair is checked in three steps: by 192 sign bits, of which copies at 0.8 differ in some thirty and others in about half;
+by the parities of 1,024 bins of the hashed shingles, in which two sets differ at most as often as they have shingles that
+the other lacks, so that no similar pair is left out; and then on the sets.  Only pairs that pass all link.  The rows of
+large keys carry the parities: texts of one template that are near by signs and yet below 0.8 make no pairs there.
 
 Defined results: texts with equal sets (128 bits of their hash) are one node, whatever their number; a text shorter than a
 shingle is one shingle; a null text or one without words has no shingle, and all those are one node; an empty table gives
@@ -43,6 +45,8 @@ SEGMENTS, WIDTH, PROBES = 6, 23, 3
 MOST_BITS = 22
 #: Of all 192 signs, so many differ in a pair that is checked on its sets; at 0.8 the mean is 29 and the deviation 5.
 MOST_SIGNS = 50
+#: Bins of a set's shingles whose parities are kept (a power of two), in 64-bit words.
+PARITY_BINS = 1024
 #: Texts of a key of which all pairs are made at once; earlier ones that a text of a larger key is paired with first; and
 #: the texts that a task holds of a key.
 FEW, NEAREST, BLOCK = 8, 3, 4096
@@ -73,6 +77,21 @@ def sums_of(hashes: np.ndarray) -> np.ndarray:
     return total
 
 
+def parities_of(hashes: np.ndarray) -> np.ndarray:
+    """Whether each bin holds an odd number of the hashes, as 64-bit words."""
+    bins = np.bincount((hashes & np.uint64(PARITY_BINS - 1)).astype(np.int64), minlength=PARITY_BINS)
+    return np.packbits((bins & 1).astype(np.uint8), bitorder="little").view("<i8")
+
+
+def may_be_similar(bins_apart, sizes):
+    """Whether sets of ``sizes`` shingles together that differ in so many parities can have the similarity.
+
+    Each shingle that one of them lacks changes one bin, so there are ``bins_apart`` such shingles or more; at a similarity
+    of t there are ``sizes * (1 - t) / (1 + t)`` or fewer.  For numpy and for columns.
+    """
+    return (10 + LEAST_TENTHS) * bins_apart <= (10 - LEAST_TENTHS) * sizes
+
+
 @functools.lru_cache(maxsize=1)
 def codewords() -> np.ndarray:
     """The 4,096 codewords as columns of signs."""
@@ -163,11 +182,27 @@ def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``(key, low, high, own, node, root, fp)`` sorted by their cell (key, low, high) to all close pairs of nodes with
-    different roots: of one block if low is high, else of the one with the other."""
+    different roots: of one block if low is high, else of the one with the other.
+
+    Of rows that have ``size`` and ``parity`` too, only those pairs whose sets can be similar.
+    """
     names = ["key", "low", "high", "own", "node", "root", "fp"]
 
+    def columns(batch):
+        found = [batch.column(c).to_numpy() for c in names]
+        if "parity" in batch.schema.names:
+            words = batch.column("parity").flatten().to_numpy().reshape(batch.num_rows, -1)
+            found += [batch.column("size").to_numpy(), words]
+        return found
+
+    def possible(a, b, sizes, words):
+        for first in range(0, len(a), 16384):
+            x, y = a[first:first + 16384], b[first:first + 16384]
+            passed = may_be_similar(np.bitwise_count(words[x] ^ words[y]).sum(1, dtype=np.int64), sizes[x] + sizes[y])
+            yield x[passed], y[passed]
+
     def cells(held):
-        key, low, high, own, node, root, fp = held
+        key, low, high, own, node, root, fp, *sets = held
         starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
         for start, stop in zip(starts, np.append(starts[1:], len(key))):
             n, r, f, o = node[start:stop], root[start:stop], fp[start:stop].view(np.uint64), own[start:stop]
@@ -179,13 +214,16 @@ def cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if low[start] == high[start]:
                     near &= n[some, None] < n[None, right]
                 x, y = np.nonzero(near)
-                if len(x):
-                    a, b = n[some[x]], n[right[y]]
+                x, y = some[x], right[y]
+                for x, y in possible(x, y, *[c[start:stop] for c in sets]) if sets else [(x, y)]:
+                    if not len(x):
+                        continue
+                    a, b = n[x], n[y]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     held = None
     for batch in batches:
-        new = [batch.column(c).to_numpy() for c in names]
+        new = columns(batch)
         held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
         same = np.logical_and.reduce([c == c[-1] for c in held[:3]]) if len(held[0]) else np.empty(0, bool)
         last = len(same) - int(same.sum())
@@ -197,7 +235,7 @@ def cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def hashed_nodes(docs: DataFrame, columns: tuple[str, ...], text: str) -> DataFrame:
-    """``columns`` of each document, the 128-bit hash ``n1, n2`` of its shingle set, its signs and its codewords."""
+    """``columns`` of each document, the 128-bit hash ``n1, n2`` of its shingle set, its signs, parities and codewords."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [shingles_of(x) for x in texts_of(batch, "hashed_text")]
@@ -205,13 +243,15 @@ def hashed_nodes(docs: DataFrame, columns: tuple[str, ...], text: str) -> DataFr
             sums = np.stack([sums_of(s) for s in sets])
             signs = np.packbits(sums > 0, axis=1, bitorder="little").view("<i8")
             codes = [c.tobytes() for c in codes_of(sums)]
+            words = np.stack([parities_of(s) for s in sets])
+            parity = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * words.shape[1], words.ravel())
             yield pa.RecordBatch.from_arrays(
                 batch.columns[:-1] + [pa.array(names[:, i].copy()) for i in range(2)] + [pa.array(signs[:, i].copy()) for i in range(3)]
-                + [pa.array([len(s) for s in sets], pa.int64()), pa.array(codes, pa.binary())],
-                list(columns) + ["n1", "n2", "s1", "s2", "s3", "size", "codes"])
+                + [pa.array([len(s) for s in sets], pa.int64()), parity, pa.array(codes, pa.binary())],
+                list(columns) + ["n1", "n2", "s1", "s2", "s3", "size", "parity", "codes"])
 
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
-                       + ["n1 long, n2 long, s1 long, s2 long, s3 long, size long, codes binary"])
+                       + ["n1 long, n2 long, s1 long, s2 long, s3 long, size long, parity array<long>, codes binary"])
     return docs.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").cast("string").alias("hashed_text")
                        ).mapInArrow(hashed, schema)
 
@@ -230,13 +270,16 @@ def keyed_nodes(nodes: DataFrame) -> DataFrame:
 
 
 def by_signs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs whose signs and set sizes allow the similarity."""
+    """The pairs whose signs, set sizes and parities allow the similarity."""
     def side(node: str, mark: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(node), *[F.col(c).alias(f"{c}{mark}") for c in ("s1", "s2", "s3", "size")])
+        return nodes.select(F.col("node").alias(node), *[F.col(c).alias(f"{c}{mark}") for c in ("s1", "s2", "s3", "size", "parity")])
 
     apart = sum((F.bit_count(F.col(f"s{i}a").bitwiseXOR(F.col(f"s{i}b"))) for i in range(1, 4)), F.lit(0))
     sizes = 10 * F.least("sizea", "sizeb") >= LEAST_TENTHS * F.greatest("sizea", "sizeb")
-    return pairs.join(side("a", "a"), "a").join(side("b", "b"), "b").where(sizes & (apart <= MOST_SIGNS)).select("a", "b")
+    bins = F.aggregate(F.zip_with("paritya", "parityb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    possible = may_be_similar(bins, F.col("sizea") + F.col("sizeb"))
+    return (pairs.join(side("a", "a"), "a").join(side("b", "b"), "b")
+            .where(sizes & (apart <= MOST_SIGNS) & possible).select("a", "b"))
 
 
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -265,7 +308,7 @@ def near_copies(docs: DataFrame, row: tuple[str, ...], text: str = "text") -> Da
     known = stored(hashed_nodes(docs, row, text), "shingles")
     # Of documents with equal sets any may stand for the node.
     first = F.min(F.struct(*row)).alias("first_")
-    nodes = known.groupBy("n1", "n2").agg(first, *[F.first(c).alias(c) for c in ("s1", "s2", "s3", "size", "codes")])
+    nodes = known.groupBy("n1", "n2").agg(first, *[F.first(c).alias(c) for c in ("s1", "s2", "s3", "size", "parity", "codes")])
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
@@ -289,8 +332,10 @@ def near_copies(docs: DataFrame, row: tuple[str, ...], text: str = "text") -> Da
         groups = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n"))
         several = groups.where("r0 <> r1").select("key", "n")
         own = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
-        cells = (rooted.join(several, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-                 .select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root", "fp"))
+        cells = (rooted.join(several, "key").join(nodes.select("node", "size", "parity"), "node").withColumn("own", own)
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+                 .select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root", "fp",
+                         "size", "parity"))
         more = (cells.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(cell_pairs, "a long, b long")
                 .distinct().join(pairs, ["a", "b"], "left_anti"))
         links = links.unionByName(linked(more, "shingle-sets"))
