@@ -181,3 +181,25 @@ def test_licence_templates(spark, empty):
     assert (rows[5]["n_base"], rows[5]["last_word"]) == (2, 5)
     assert rows[3]["score"] == 0.0
     assert license_scan.scan(empty).collect() == []
+
+
+def test_windows_with_one_hash_are_compared():
+    """Words whose hashes are equal are still different words; without a repeated window none is held as an object."""
+    class Word(bytes):
+        __hash__ = lambda self: 1
+
+    words = [Word(x) for x in b"a b c d a b c e f e f e f g".split()]
+    windows = list(zip(words, words[1:], words[2:]))
+    covered = {i + j for i, w in enumerate(windows) if sum(bytes(a) == bytes(b) and bytes(c) == bytes(d) and bytes(e) == bytes(f)
+                                                           for (a, c, e), (b, d, f) in ((w, x) for x in windows)) > 1 for j in range(3)}
+    assert quality_rules.repeated_words(words) == len(covered) == 12
+    assert [quality_rules.repeated_words(x.split()) for x in (b"", b"a", b"a b", b"a b c", b"a a a", b"a a a a")] == [0, 0, 0, 0, 0, 4]
+
+
+def test_pieces_stay_an_array(monkeypatch):
+    """The pieces of a text are never a list of Python numbers."""
+    pieces = quality_rules.Pieces(vocabulary_file(quality_rules.PIECES))
+    known, model = ["", " ", "plain words", "line\nline", "日本語 ﬁ ᄀ"], pieces.model
+    want = [sum(map(model.is_byte, ids)) / max(len(ids), 1) for ids in map(model.encode, known)]
+    monkeypatch.setattr(type(model), "encode", lambda *_, **__: 1 / 0)
+    assert [pieces.share(x) for x in known] == want

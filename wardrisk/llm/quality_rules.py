@@ -80,8 +80,8 @@ class Pieces:
 
     def share(self, text: str) -> float:
         """Byte pieces among the pieces of a text."""
-        ids = self.model.encode(text, num_threads=1)
-        return float(self.is_byte[ids].mean()) if ids else 0.0
+        ids = self.model.encode_as_numpy(text)
+        return np.count_nonzero(self.is_byte[ids]) / len(ids) if len(ids) else 0.0
 
 
 @functools.lru_cache(maxsize=2)
@@ -108,14 +108,21 @@ def character_counts(text: str) -> dict[str, int]:
 
 def repeated_words(words: list) -> int:
     """Words inside a window of three that the text has at least twice."""
-    windows = list(zip(words, words[1:], words[2:]))
-    if len(set(windows)) == len(windows):
+    if len(words) < 3:
         return 0
+    hashes = np.fromiter(map(hash, words), dtype=np.int64, count=len(words))
+    hashes = (hashes[:-2] * 3 + hashes[1:-1]) * 5 + hashes[2:]  # equal windows have equal ones, others hardly ever
+    ordered = np.sort(hashes)
+    several = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(several):
+        return 0
+    places = np.flatnonzero(np.isin(hashes, several))
+    windows = [tuple(words[i:i + 3]) for i in places.tolist()]
     counts = Counter(windows)
+    places = places[np.fromiter((counts[w] > 1 for w in windows), dtype=bool, count=len(windows))]
     covered = np.zeros(len(words), dtype=bool)
-    starts = np.fromiter((counts[w] > 1 for w in windows), dtype=bool, count=len(windows))
     for shift in range(3):
-        covered[shift:shift + len(windows)] |= starts
+        covered[places + shift] = True
     return int(covered.sum())
 
 
