@@ -142,6 +142,38 @@ def test_texts_of_one_template_make_few_pairs(spark, monkeypatch):
     assert more < 700 and near + more_near < 700  # of 7,140 pairs
 
 
+def test_parities_of_cells_count_the_highest_bit():
+    """Sets that differ in the last bin of a word, which is the sign of a signed number, can be similar."""
+    words = np.zeros((2, shingle_copies.PARITY_BINS // 64), dtype="<i8")
+    words[1, 3] = np.iinfo(np.int64).min + 1  # two bins
+    columns = [pa.array([7, 7], pa.int32())] + [pa.array([0, 0], pa.int32())] * 3 + [pa.array(c, pa.int64()) for c in ([1, 2], [1, 2], [5, 5], [90, 90])]
+    parity = pa.ListArray.from_arrays(np.array([0, 16, 32], dtype=np.int32), words.ravel())
+    batch = pa.RecordBatch.from_arrays(columns + [parity], ["key", "low", "high", "own", "node", "root", "fp", "size", "parity"])
+    assert [r for b in shingle_copies.cell_pairs(iter([batch])) for r in b.to_pylist()] == [{"a": 1, "b": 2}]
+
+
+def test_pairs_of_a_large_group_grow_with_its_texts(spark, monkeypatch):
+    """Near copies in many common keys: each text asks for a few others over all of them, and all are one group."""
+    rng = random.Random(8)
+    words, texts = prose(rng, 160).split(), []
+    for i in range(800):
+        other = list(words)
+        for j in rng.sample(range(160), 2):
+            other[j] = f"own{i}x{j}"
+        texts.append(" ".join(other))
+    counts, real_signs = [], shingle_copies.by_signs
+
+    def counted(pairs, nodes):
+        counts.append(pairs.count())
+        return real_signs(pairs, nodes)
+
+    monkeypatch.setattr(shingle_copies, "by_signs", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()] == [0]
+    print(counts)
+    assert counts[0] < 30 * len(texts) and sum(counts) < 40 * len(texts)
+
+
 def test_no_link_is_lost_among_rows_of_one_key(spark):
     """A chain of copies, each like the next one only, in keys of more rows than are paired at once."""
     rng = random.Random(4)

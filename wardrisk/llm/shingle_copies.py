@@ -7,9 +7,10 @@ most with it, and two texts meet if they share a codeword in two segments.  Whic
 ``tests/llm/test_shingle_copies.py`` measures it on the tables, and the README has the figures.
 
 Of the texts that meet no pair is left out, however many share a key.  In a key with few texts all pairs are made.  In a
-larger one each text is first paired with the nearest of those before it; these pairs are checked and joined to groups.
-Then the larger keys are dealt out in blocks, every block meets every other, and all pairs whose texts are not yet in
-one group are made and checked as well.  A large group of copies is one group by then and makes no more pairs.
+larger one each text is first paired with the nearest of those before it, of which those nearest over all its keys are
+checked and joined to groups: so many for each text, however large the group.  Then the larger keys are dealt out in blocks,
+every block meets every other, and all pairs whose texts are not yet in one group are made and checked as well.  A large
+group of copies is one group by then and makes no more pairs.
 
 A pair is checked in three steps: by 192 sign bits, of which copies at 0.8 differ in some thirty and others in about half;
 by the parities of 1,024 bins of the hashed shingles, in which two sets differ at most as often as they have shingles that
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -50,6 +51,8 @@ PARITY_BINS = 1024
 #: Texts of a key of which all pairs are made at once; earlier ones that a text of a larger key is paired with first; and
 #: the texts that a task holds of a key.
 FEW, NEAREST, BLOCK = 8, 3, 4096
+#: Of the earlier ones from all larger keys of a text, so many are checked first; the rest if they are not in its group then.
+FIRST = 8
 
 
 def shingles_of(text: str) -> np.ndarray:
@@ -122,18 +125,20 @@ def keys_of(codes: np.ndarray) -> np.ndarray:
 
 
 def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(key, fp, node)`` sorted by key to pairs ``(a, b, null, null)`` of nodes, the lesser one first.
+    """Rows ``(key, fp, node)`` sorted by key and node to pairs ``(a, b, null, null, null)`` of nodes, the lesser one first.
 
-    A key with more than FEW rows gives the pairs of each row with the nearest earlier ones that are held, and its rows
-    as ``(node, null, key, fp)`` for :func:`cell_pairs`.
+    A key with more than FEW rows gives the pairs of each row with the nearest earlier ones that are held, with the bits
+    ``apart`` in the last column, and its rows as ``(node, null, key, fp, null)`` for :func:`cell_pairs`.
     """
-    def pairs(a, b):
+    names = ["a", "b", "key", "fp", "apart"]
+
+    def pairs(a, b, apart=None):
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(len(a), pa.int32()),
-                                           pa.nulls(len(a), pa.int64())], ["a", "b", "key", "fp"])
+                                           pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32()) if apart is None else pa.array(apart)], names)
 
     def rows(keys, fps, nodes):
-        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.nulls(len(nodes), pa.int64()), pa.array(keys), pa.array(fps.view(np.int64))],
-                                          ["a", "b", "key", "fp"])
+        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.nulls(len(nodes), pa.int64()), pa.array(keys), pa.array(fps.view(np.int64)),
+                                           pa.nulls(len(nodes), pa.int32())], names)
 
     def groups(keys, fps, nodes, done):
         starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -162,7 +167,8 @@ def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 nearest = np.partition(order, NEAREST - 1, axis=1)[:, :NEAREST] if last > NEAREST else order
                 own, columns = np.nonzero(nearest >> 16 <= MOST_BITS)
                 if len(own):
-                    yield pairs(n[first:last][own], n[nearest[own, columns] & 0xFFFF])
+                    found = nearest[own, columns]
+                    yield pairs(n[first:last][own], n[found & 0xFFFF], found >> 16)
 
     keys, fps, nodes, done = np.empty(0, np.int32), np.empty(0, np.uint64), np.empty(0, np.int64), 0
     for batch in batches:
@@ -191,7 +197,8 @@ def cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def columns(batch):
         found = [batch.column(c).to_numpy() for c in names]
         if "parity" in batch.schema.names:
-            words = batch.column("parity").flatten().to_numpy().reshape(batch.num_rows, -1)
+            words = batch.column("parity").flatten().to_numpy().view(np.uint64)  # of signed numbers numpy counts the bits of the absolute value
+            words = words.reshape(batch.num_rows, -1)
             found += [batch.column("size").to_numpy(), words]
         return found
 
@@ -269,6 +276,16 @@ def keyed_nodes(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "s1", "codes").mapInArrow(keyed, "key int, fp long, node long")
 
 
+def first_pairs(met: DataFrame) -> DataFrame:
+    """Of the pairs of :func:`close_pairs` those that are checked first: all of small keys, and of larger ones the nearest
+    FIRST of each text (ties: the lesser nodes)."""
+    found = met.where("b IS NOT NULL").select("a", "b", "apart")
+    order = Window.partitionBy("b").orderBy("apart", "a")
+    near = (found.where("apart IS NOT NULL").repartition("b").distinct()
+            .withColumn("place", F.row_number().over(order)).where(F.col("place") <= FIRST))
+    return found.where("apart IS NULL").select("a", "b").unionByName(near.select("a", "b")).distinct()
+
+
 def by_signs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs whose signs, set sizes and parities allow the similarity."""
     def side(node: str, mark: str) -> DataFrame:
@@ -322,8 +339,8 @@ def near_copies(docs: DataFrame, row: tuple[str, ...], text: str = "text") -> Da
 
     keyed = keyed_nodes(nodes.where("size > 0"))
     met = stored(keyed.repartition("key").sortWithinPartitions("key", "node")
-                 .mapInArrow(close_pairs, "a long, b long, key int, fp long"), "met")
-    pairs = stored(met.where("b IS NOT NULL").select("a", "b").distinct(), "pairs")
+                 .mapInArrow(close_pairs, "a long, b long, key int, fp long, apart int"), "met")
+    pairs = stored(first_pairs(met), "pairs")
     links = linked(pairs, "shingle-sets")
     large = met.where("b IS NULL").select("key", "fp", F.col("a").alias("node"))
     if not large.isEmpty():
