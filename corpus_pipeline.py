@@ -58,7 +58,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that an earlier document, or an earlier place in it, has."""
     rows, at = numbered(docs)
-    cleaned = suffix_dedup.without_repeats(rows, tuple(rows.columns), at["doc_id"], at["text"])
+    others = tuple(c for c in rows.columns if c != at["text"])
+    cleaned = suffix_dedup.without_repeats(rows, others, at["doc_id"], at["text"])
     cleaned = cleaned.withColumn(at["text"], F.col("kept_text"))
     if "n_chars" in at:
         kind = docs.schema["n_chars"].dataType

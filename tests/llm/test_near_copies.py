@@ -244,3 +244,24 @@ def test_ids_of_any_type_and_nulls_last(spark):
         assert sorted(removed.values()) == [0, 150, 150] and removed[None] == 150
         if kind == "int":
             assert removed == {3: 0, 7: 150, None: 150}
+
+
+def test_texts_are_moved_once(spark):
+    """The shared pieces fetch their bytes from the same exchange of the texts that the removal uses."""
+    rng = random.Random(13)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    passage = "".join(rng.choices(letters, k=250))
+    rows = [(i, f"{''.join(rng.choices(letters, k=150))} {passage[i % 7:]} {''.join(rng.choices(letters, k=150))}", f"source {i}") for i in range(40)] + [(None, passage, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for columns in (("doc_id",), ("source", "doc_id")):
+            found = suffix_dedup.without_repeats(docs, columns)
+            assert found.where("n_removed > 0").count() > 30
+            found.collect()
+            plan = found._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+            moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(ord" in line and "ReusedExchange" not in line]
+            assert "ReusedExchange" in plan and len(moved) == 4  # the texts once; numbers of pieces, distinct spans and all of a text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -263,19 +263,24 @@ def with_place(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The documents with their place in the corpus: ``ord`` and ``tie``; ``body`` has the bytes.
 
     ``ord`` is the id, or 62 bits of its hash if ids are no whole numbers; ``tie`` are 64 bits of the text's hash.  Null
-    ids come after all others (below 2**62) and have 62 further bits of the text's hash there.
+    ids come after all others (below 2**62) and have 62 further bits of the text's hash there.  None of the three can be
+    null, also by their types, so that no join adds a filter of its own to the documents.
     """
     body = F.coalesce(F.col(f"`{text}`").cast("string").cast("binary"), F.lit(b""))
     whole = isinstance(docs.schema[doc_id].dataType, T.IntegralType)
-    own = F.col(f"`{doc_id}`").cast("long") if whole else F.shiftrightunsigned(F.xxhash64(f"`{doc_id}`"), 2)
     last = F.shiftrightunsigned(F.xxhash64(F.lit("null"), body), 2) + F.lit(2 ** 62)
-    return docs.withColumns({"ord": F.when(F.col(f"`{doc_id}`").isNull(), last).otherwise(own), "tie": F.xxhash64(body), "body": body})
+    place = (F.coalesce(F.col(f"`{doc_id}`").cast("long"), last) if whole else
+             F.when(F.col(f"`{doc_id}`").isNull(), last).otherwise(F.shiftrightunsigned(F.xxhash64(f"`{doc_id}`"), 2)))
+    return docs.withColumns({"ord": place, "tie": F.xxhash64(body), "body": body})
 
 
-def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """Rows ``(ord, tie, start, n)``: bytes of documents that go; spans may overlap."""
-    bodies = with_place(docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`")), doc_id, text).select("ord", "tie", "body")
-    pieces = bodies.mapInArrow(lambda b: document_pieces(b, length), PIECE)
+def repeated_spans(placed: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Rows ``(ord, tie, start, n)`` for documents of :func:`with_place`: bytes that go; spans may overlap.
+
+    The texts are dealt out by (ord, tie) with all columns of ``placed``: a later join of it on these columns has the same
+    exchange, so that Spark moves the texts once for both.
+    """
+    pieces = placed.select("ord", "tie", "body").mapInArrow(lambda b: document_pieces(b, length), PIECE)
     met = (pieces.repartition("key").sortWithinPartitions("key", "content", "ord", "tie", "start")
            .mapInArrow(lambda b: first_pieces(b, length), PIECE))
     marks = stored(met.drop("content"), "marks")
@@ -303,7 +308,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                                                  ["key", "ord", "tie", "start", "body"])
 
-    texts = bodies.join(wanted, ["ord", "tie"]).dropDuplicates(["ord", "tie"])
+    texts = placed.join(wanted, ["ord", "tie"]).dropDuplicates(["ord", "tie"])
     compared = (texts.mapInArrow(with_bytes, "key long, ord long, tie long, start long, body binary")
                 .repartition("key").sortWithinPartitions("key", "body", "ord", "tie", "start")
                 .mapInArrow(lambda b: compare_pieces(b, length), PIECE))
@@ -329,10 +334,10 @@ def without_repeats(docs: DataFrame, columns: tuple[str, ...], doc_id: str = "do
     """
     results = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
     carried = [c for c in columns if c not in results]
-    spans = (repeated_spans(docs, doc_id, text, length).distinct().groupBy("ord", "tie")
-             .agg(F.collect_list(F.struct("start", "n")).alias("spans")))
     placed = with_place(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried)],
-                                    F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text")), "_id", "_text")
+                                    F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text")), "_id", "_text").drop("_id", "_text")
+    spans = (repeated_spans(placed, length).distinct().groupBy("ord", "tie")
+             .agg(F.collect_list(F.struct("start", "n")).alias("spans")))
     joined = placed.join(spans, ["ord", "tie"], "left").select(
         *[f"c{i}" for i in range(len(carried))], "body", "spans")
 
