@@ -174,6 +174,59 @@ def test_pairs_of_a_large_group_grow_with_its_texts(spark, monkeypatch):
     assert counts[0] < 30 * len(texts) and sum(counts) < 40 * len(texts)
 
 
+def test_texts_of_large_keys_meet_once(spark, monkeypatch):
+    """Texts of one template share most of their keys; their rows are compared once, not once for each key."""
+    rng = random.Random(6)
+    words, texts = prose(rng, 300).split(), []
+    for i in range(240):
+        other = list(words)
+        for j in rng.sample(range(300), 9):
+            other[j] = f"own{i}x{j}"
+        texts.append(" ".join(other))
+    rows, real = spark.sparkContext.accumulator(0), shingle_copies.cell_pairs
+
+    def counted(batches):
+        def seen():
+            for batch in batches:
+                rows.add(batch.num_rows)
+                yield batch
+        return real(seen())
+
+    monkeypatch.setattr(shingle_copies, "cell_pairs", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    want = groups(range(240), plain_links({i: plain_shingles(t) for i, t in enumerate(texts)}))
+    assert sorted(kept) == sorted(set(want.values()))
+    print(rows.value)
+    assert 0 < rows.value < 10 * len(texts)
+
+
+def test_keys_put_together_lose_no_meeting(spark):
+    """Nodes with one key and different roots still have one, and there is no more work than before."""
+    rng = random.Random(12)
+    rows = {(k, rng.randrange(40)) for k in range(30) for _ in range(25)}  # alike, with many nodes in common
+    rows |= {(100 + k, n) for k in range(12) for n in [500, *range(1000 + 20 * k, 1009 + 20 * k)]}  # one node in common
+    rows |= {(200, n) for n in range(2000, 2010)}  # all of one root
+    roots = {n: 2000 for n in range(2001, 2010)} | {n: n - 1 for n in range(1, 40, 2)}
+
+    def pairs_of(dealt):
+        keys = {}
+        for k, n in dealt:
+            keys.setdefault(k, []).append(n)
+        return keys, {(a, b) for x in keys.values() for a in x for b in x if a < b and roots.get(a, a) != roots.get(b, b)}
+
+    out = shingle_copies.meetings(spark.createDataFrame(sorted(rows), "key int, node long").repartition(3),
+                                  spark.createDataFrame(sorted(roots.items()), "node long, root long")).collect()
+    before, wanted = pairs_of(rows)
+    after, found = pairs_of([(r["key"], r["node"]) for r in out])
+    assert wanted <= found and 200 not in after
+    assert all(r["root"] == roots.get(r["node"], r["node"]) and r["n"] == len(after[r["key"]]) for r in out)
+    assert len({(r["key"], r["node"]) for r in out}) == len(out) < len(rows) / 2
+    work, work_before = (sum(len(x) * (len(x) + shingle_copies.MOVED) for x in keys.values()) for keys in (after, before))
+    assert work <= work_before
+    assert any(k < 0 for k in after) and all(100 + k in after for k in range(12))
+
+
 def test_no_link_is_lost_among_rows_of_one_key(spark):
     """A chain of copies, each like the next one only, in keys of more rows than are paired at once."""
     rng = random.Random(4)

@@ -8,9 +8,11 @@ most with it, and two texts meet if they share a codeword in two segments.  Whic
 
 Of the texts that meet no pair is left out, however many share a key.  In a key with few texts all pairs are made.  In a
 larger one each text is first paired with the nearest of those before it, of which those nearest over all its keys are
-checked and joined to groups: so many for each text, however large the group.  Then the larger keys are dealt out in blocks,
-every block meets every other, and all pairs whose texts are not yet in one group are made and checked as well.  A large
-group of copies is one group by then and makes no more pairs.
+checked and joined to groups: so many for each text, however large the group.  Then all pairs of the larger keys whose texts
+are not yet in one group are made and checked as well.  A large group of copies is one group by then and makes no more pairs.
+Alike texts share many keys, so a key is put together with the largest one of any of its texts where that is no more work: each
+text stands there once, not once for each key.  What then stands together is dealt out in blocks, and every block meets every
+other.
 
 A pair is checked in three steps: by 192 sign bits, of which copies at 0.8 differ in some thirty and others in about half;
 by the parities of 1,024 bins of the hashed shingles, in which two sets differ at most as often as they have shingles that
@@ -53,6 +55,8 @@ PARITY_BINS = 1024
 FEW, NEAREST, BLOCK = 8, 3, 4096
 #: Of the earlier ones from all larger keys of a text, so many are checked first; the rest if they are not in its group then.
 FIRST = 8
+#: To move a row with its parities to where it is compared takes about as long as so many comparisons of bits.
+MOVED = 256
 
 
 def shingles_of(text: str) -> np.ndarray:
@@ -125,19 +129,19 @@ def keys_of(codes: np.ndarray) -> np.ndarray:
 
 
 def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(key, fp, node)`` sorted by key and node to pairs ``(a, b, null, null, null)`` of nodes, the lesser one first.
+    """Rows ``(key, fp, node)`` sorted by key and node to pairs ``(a, b, null, null)`` of nodes, the lesser one first.
 
     A key with more than FEW rows gives the pairs of each row with the nearest earlier ones that are held, with the bits
-    ``apart`` in the last column, and its rows as ``(node, null, key, fp, null)`` for :func:`cell_pairs`.
+    ``apart`` in the last column, and its rows as ``(node, null, key, null)`` for :func:`meetings`.
     """
-    names = ["a", "b", "key", "fp", "apart"]
+    names = ["a", "b", "key", "apart"]
 
     def pairs(a, b, apart=None):
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(len(a), pa.int32()),
-                                           pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32()) if apart is None else pa.array(apart)], names)
+                                           pa.nulls(len(a), pa.int32()) if apart is None else pa.array(apart)], names)
 
-    def rows(keys, fps, nodes):
-        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.nulls(len(nodes), pa.int64()), pa.array(keys), pa.array(fps.view(np.int64)),
+    def rows(keys, nodes):
+        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.nulls(len(nodes), pa.int64()), pa.array(keys),
                                            pa.nulls(len(nodes), pa.int32())], names)
 
     def groups(keys, fps, nodes, done):
@@ -157,7 +161,7 @@ def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start, size in zip(starts[large], sizes[large]):
             f, n = fps[start:start + size], nodes[start:start + size]
             fresh = done if start == 0 else 0
-            yield rows(keys[start + fresh:start + size], f[fresh:], n[fresh:])
+            yield rows(keys[start + fresh:start + size], n[fresh:])
             for first in range(fresh, size, 256):
                 last = min(first + 256, size)
                 apart = np.bitwise_count(f[first:last, None] ^ f[None, :last]).astype(np.int32)
@@ -286,6 +290,28 @@ def first_pairs(met: DataFrame) -> DataFrame:
     return found.where("apart IS NULL").select("a", "b").unionByName(near.select("a", "b")).distinct()
 
 
+def meetings(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows ``(key, node)`` of large keys, and the ``(node, root)`` of groups, to ``(key, node, root, n)``: nodes that share a key
+    and have different roots share one here too, of ``n`` nodes.
+
+    Keys whose nodes have one root are left out.  The others become one key, a negative number, with the largest key that any of
+    their nodes has, unless all those nodes are so many that to move them once and compare them is more work than key by key.
+    """
+    key, node = Window.partitionBy("key"), Window.partitionBy("node")
+    several = (large.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+               .withColumns({"n": F.count(F.lit(1)).over(key), "least": F.min("root").over(key), "most": F.max("root").over(key)})
+               .where("least <> most").withColumn("largest", F.max(F.struct("n", "key")).over(node)))
+    several = cut(several.select("key", "node", "root", "n", F.max("largest").over(key)["key"].alias("home")))
+    # The work key by key in comparisons; doubles, as those of very large groups are beyond whole numbers.
+    together = several.groupBy("home", "node", "root").agg(F.sum(F.col("n").cast("double") + MOVED).alias("work"))
+    sizes = together.groupBy("home").agg(F.count(F.lit(1)).alias("nodes"), F.sum("work").alias("work"))
+    merged = F.col("nodes") * (F.col("nodes").cast("double") + MOVED) <= F.col("work")
+    return (together.drop("work").join(sizes.where(merged).select("home", "nodes"), "home")
+            .select((-1 - F.col("home").cast("long")).alias("key"), "node", "root", F.col("nodes").alias("n"))
+            .unionByName(several.join(sizes.where(~merged).select("home"), "home")
+                         .select(F.col("key").cast("long").alias("key"), "node", "root", "n")))
+
+
 def by_signs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs whose signs, set sizes and parities allow the similarity."""
     def side(node: str, mark: str) -> DataFrame:
@@ -339,18 +365,16 @@ def near_copies(docs: DataFrame, row: tuple[str, ...], text: str = "text") -> Da
 
     keyed = keyed_nodes(nodes.where("size > 0"))
     met = stored(keyed.repartition("key").sortWithinPartitions("key", "node")
-                 .mapInArrow(close_pairs, "a long, b long, key int, fp long, apart int"), "met")
+                 .mapInArrow(close_pairs, "a long, b long, key int, apart int"), "met")
     pairs = stored(first_pairs(met), "pairs")
     links = linked(pairs, "shingle-sets")
-    large = met.where("b IS NULL").select("key", "fp", F.col("a").alias("node"))
+    large = met.where("b IS NULL").select("key", F.col("a").alias("node"))
     if not large.isEmpty():
-        roots = connected_components(links)
-        rooted = large.join(roots, "node", "left").select("key", "fp", "node", F.coalesce("root", "node").alias("root"))
-        groups = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n"))
-        several = groups.where("r0 <> r1").select("key", "n")
-        own = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
-        cells = (rooted.join(several, "key").join(nodes.select("node", "size", "parity"), "node").withColumn("own", own)
-                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        cells = (meetings(large, connected_components(links)).withColumn("blocks", blocks).withColumn("own", own)
+                 .join(nodes.select("node", F.col("s1").alias("fp"), "size", "parity"), "node")
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                  .select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root", "fp",
                          "size", "parity"))
         more = (cells.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(cell_pairs, "a long, b long")
