@@ -174,6 +174,47 @@ def test_pairs_of_a_large_group_grow_with_its_texts(spark, monkeypatch):
     assert counts[0] < 30 * len(texts) and sum(counts) < 40 * len(texts)
 
 
+def test_nearest_ones_are_asked_for_once_where_texts_stand_together(spark, monkeypatch):
+    """Near copies have many large keys in common; no text is paired with its nearest ones in each of them anew."""
+    rng = random.Random(8)
+    words, texts = prose(rng, 160).split(), []
+    for i in range(800):
+        other = list(words)
+        for j in rng.sample(range(160), 2):
+            other[j] = f"own{i}x{j}"
+        texts.append(" ".join(other))
+    near, passed, real = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0), shingle_copies.close_pairs
+
+    def counted(batches, *nearest):
+        for batch in real(batches, *nearest):
+            near.add(batch.num_rows - batch.column("apart").null_count)
+            passed.add(batch.column("b").null_count)
+            yield batch
+
+    monkeypatch.setattr(shingle_copies, "close_pairs", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()] == [0]
+    print(near.value, passed.value)
+    assert 0 < near.value < 10 * len(texts) < passed.value
+
+
+def test_put_together_keys_and_others_stay_apart(spark, monkeypatch):
+    """Groups of near copies, some put together and some not, are the same ones with any work for a moved row."""
+    rng, texts = random.Random(14), []
+    for _ in range(6):
+        words = prose(rng, 200).split()
+        for i in range(30):
+            other = list(words)
+            for j in rng.sample(range(200), 1 + i % 6):
+                other[j] = f"own{len(texts)}x{j}"
+            texts.append(" ".join(other))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = sorted(set(groups(range(len(texts)), plain_links({i: plain_shingles(t) for i, t in enumerate(texts)})).values()))
+    for moved in (256, -10 ** 6):  # with the latter, no keys are put together
+        monkeypatch.setattr(shingle_copies, "MOVED", moved)
+        assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == want
+
+
 def test_texts_of_large_keys_meet_once(spark, monkeypatch):
     """Texts of one template share most of their keys; their rows are compared once, not once for each key."""
     rng = random.Random(6)

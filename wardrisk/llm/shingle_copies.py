@@ -6,13 +6,12 @@ signs: each of six segments of 23 sums goes to the three codewords of the Golay
 most with it, and two texts meet if they share a codeword in two segments.  Which pairs meet is a matter of chance:
 ``tests/llm/test_shingle_copies.py`` measures it on the tables, and the README has the figures.
 
-Of the texts that meet no pair is left out, however many share a key.  In a key with few texts all pairs are made.  In a
-larger one each text is first paired with the nearest of those before it, of which those nearest over all its keys are
-checked and joined to groups: so many for each text, however large the group.  Then all pairs of the larger keys whose texts
-are not yet in one group are made and checked as well.  A large group of copies is one group by then and makes no more pairs.
-Alike texts share many keys, so a key is put together with the largest one of any of its texts where that is no more work: each
-text stands there once, not once for each key.  What then stands together is dealt out in blocks, and every block meets every
-other.
+Of the texts that meet no pair is left out, however many share a key.  In a key with few texts all pairs are made.  Alike
+texts share many keys, so a larger key is put together with the largest one of any of its texts where that is no more work:
+each text stands there once, not once for each key.  There each text is first paired with the nearest of those before it, of
+which the nearest ones are checked and joined to groups: so many for each text, however large the group.  Then all pairs that
+stand together and are not yet in one group are made and checked as well.  A large group of copies is one group by then and
+makes no more pairs.  For this the texts are dealt out in blocks, and every block meets every other.
 
 A pair is checked in three steps: by 192 sign bits, of which copies at 0.8 differ in some thirty and others in about half;
 by the parities of 1,024 bins of the hashed shingles, in which two sets differ at most as often as they have shingles that
@@ -53,7 +52,7 @@ PARITY_BINS = 1024
 #: Texts of a key of which all pairs are made at once; earlier ones that a text of a larger key is paired with first; and
 #: the texts that a task holds of a key.
 FEW, NEAREST, BLOCK = 8, 3, 4096
-#: Of the earlier ones from all larger keys of a text, so many are checked first; the rest if they are not in its group then.
+#: Of the earlier ones from all places of a text, so many are checked first; the rest if they are not in its group then.
 FIRST = 8
 #: To move a row with its parities to where it is compared takes about as long as so many comparisons of bits.
 MOVED = 256
@@ -128,11 +127,11 @@ def keys_of(codes: np.ndarray) -> np.ndarray:
     return np.concatenate(keys, axis=1)
 
 
-def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def close_pairs(batches: Iterator[pa.RecordBatch], nearest: bool = True) -> Iterator[pa.RecordBatch]:
     """Rows ``(key, fp, node)`` sorted by key and node to pairs ``(a, b, null, null)`` of nodes, the lesser one first.
 
-    A key with more than FEW rows gives the pairs of each row with the nearest earlier ones that are held, with the bits
-    ``apart`` in the last column, and its rows as ``(node, null, key, null)`` for :func:`meetings`.
+    A key with more than FEW rows gives its rows as ``(node, null, key, null)`` for :func:`meetings` and, where ``nearest`` are
+    asked for, the pairs of each row with the nearest earlier ones that are held, with the bits ``apart`` in the last column.
     """
     names = ["a", "b", "key", "apart"]
 
@@ -162,16 +161,16 @@ def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             f, n = fps[start:start + size], nodes[start:start + size]
             fresh = done if start == 0 else 0
             yield rows(keys[start + fresh:start + size], n[fresh:])
-            for first in range(fresh, size, 256):
+            for first in range(fresh, size if nearest else 0, 256):
                 last = min(first + 256, size)
                 apart = np.bitwise_count(f[first:last, None] ^ f[None, :last]).astype(np.int32)
                 at = np.arange(last, dtype=np.int32)
                 apart[at[None, :] >= at[first:, None]] = 64
                 order = apart << 16 | at  # of equally near ones the first
-                nearest = np.partition(order, NEAREST - 1, axis=1)[:, :NEAREST] if last > NEAREST else order
-                own, columns = np.nonzero(nearest >> 16 <= MOST_BITS)
+                close = np.partition(order, NEAREST - 1, axis=1)[:, :NEAREST] if last > NEAREST else order
+                own, columns = np.nonzero(close >> 16 <= MOST_BITS)
                 if len(own):
-                    found = nearest[own, columns]
+                    found = close[own, columns]
                     yield pairs(n[first:last][own], n[found & 0xFFFF], found >> 16)
 
     keys, fps, nodes, done = np.empty(0, np.int32), np.empty(0, np.uint64), np.empty(0, np.int64), 0
@@ -290,15 +289,16 @@ def first_pairs(met: DataFrame) -> DataFrame:
     return found.where("apart IS NULL").select("a", "b").unionByName(near.select("a", "b")).distinct()
 
 
-def meetings(large: DataFrame, roots: DataFrame) -> DataFrame:
+def meetings(large: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """Rows ``(key, node)`` of large keys, and the ``(node, root)`` of groups, to ``(key, node, root, n)``: nodes that share a key
-    and have different roots share one here too, of ``n`` nodes.
+    and have different roots share one here too, of ``n`` nodes.  Without groups each node is its own root.
 
     Keys whose nodes have one root are left out.  The others become one key, a negative number, with the largest key that any of
     their nodes has, unless all those nodes are so many that to move them once and compare them is more work than key by key.
     """
     key, node = Window.partitionBy("key"), Window.partitionBy("node")
-    several = (large.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    grouped = large.withColumn("root", F.col("node")) if roots is None else large.join(roots, "node", "left")
+    several = (grouped.select("key", "node", F.coalesce("root", "node").alias("root"))
                .withColumns({"n": F.count(F.lit(1)).over(key), "least": F.min("root").over(key), "most": F.max("root").over(key)})
                .where("least <> most").withColumn("largest", F.max(F.struct("n", "key")).over(node)))
     several = cut(several.select("key", "node", "root", "n", F.max("largest").over(key)["key"].alias("home")))
@@ -363,12 +363,27 @@ def near_copies(docs: DataFrame, row: tuple[str, ...], text: str = "text") -> Da
         sets = stored(texts.dropDuplicates(["node"]).select("node", "hashed_text").mapInArrow(hashed, "node long, hashes binary"), name)
         return cut(similar(near, sets))
 
-    keyed = keyed_nodes(nodes.where("size > 0"))
-    met = stored(keyed.repartition("key").sortWithinPartitions("key", "node")
-                 .mapInArrow(close_pairs, "a long, b long, key int, apart int"), "met")
+    def by_key(rows: DataFrame, nearest: bool) -> DataFrame:
+        """The rows of :func:`close_pairs`."""
+        def met_by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return close_pairs(batches, nearest)
+
+        return stored(rows.repartition("key").sortWithinPartitions("key", "node")
+                      .mapInArrow(met_by_key, "a long, b long, key int, apart int"), "met")
+
+    def large_of(met: DataFrame) -> DataFrame:
+        return met.where("b IS NULL").select("key", F.col("a").alias("node"))
+
+    met = by_key(keyed_nodes(nodes.where("size > 0")), nearest=False)
+    large = large_of(met)
+    if not large.isEmpty():
+        # From here on the keys are those that were put together (odd numbers) or stay as they are (even ones).
+        again = F.when(F.col("key") < 0, -2 * F.col("key") - 1).otherwise(2 * F.col("key")).cast("int").alias("key")
+        homes = by_key(meetings(large).select(again, "node").join(nodes.select("node", F.col("s1").alias("fp")), "node")
+                       .select("key", "fp", "node"), nearest=True)
+        met, large = met.where("b IS NOT NULL").unionByName(homes), large_of(homes)
     pairs = stored(first_pairs(met), "pairs")
     links = linked(pairs, "shingle-sets")
-    large = met.where("b IS NULL").select("key", F.col("a").alias("node"))
     if not large.isEmpty():
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
