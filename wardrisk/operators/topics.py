@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import IDF, CountVectorizerModel, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 from pyspark.storagelevel import StorageLevel
 
 from ..functions import document_text, fixed
@@ -96,26 +102,45 @@ def dominant(c) -> Column:
 
 # --- topic weights for given topics ------------------------------------------------------
 
-def digamma(x: Column) -> Column:
-    """Derivative of the log-gamma function for positive numbers, to some 1e-9: shifted by six, then its series."""
+def digamma(x, log=F.log):
+    """Derivative of the log-gamma function for positive numbers, to some 1e-9: shifted by six, then its series.
+
+    ``x`` is a column, or an array of numbers with ``log`` to match.
+    """
     y = x + 6
-    series = F.log(y) - 0.5 / y - 1 / (12 * y * y) + 1 / (120 * F.pow(y, F.lit(4))) - 1 / (252 * F.pow(y, F.lit(6)))
+    series = log(y) - 0.5 / y - 1 / (12 * y * y) + 1 / (120 * y ** 4) - 1 / (252 * y ** 6)
     return series - sum((1 / (x + i) for i in range(1, 6)), 1 / x)
 
 
-def log_gamma(x: Column) -> Column:
+def log_gamma(x, log=F.log):
     """Log-gamma for positive numbers, to some 1e-9, in the same way."""
     y = x + 6
-    series = (y - 0.5) * F.log(y) - y + 0.5 * F.log(F.lit(2) * F.pi()) + 1 / (12 * y) - 1 / (360 * F.pow(y, F.lit(3))) + 1 / (1260 * F.pow(y, F.lit(5)))
-    return series - sum((F.log(x + i) for i in range(1, 6)), F.log(x))
+    series = (y - 0.5) * log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5)
+    return series - sum((log(x + i) for i in range(1, 6)), log(x))
 
 
-def total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+def token_counts(tokens: DataFrame, text: str, topic: str, k: int, by=()) -> DataFrame:
+    """``(by, term, total, n0 ..., first, last)``: counts of each term and, by topic, of its tokens in the topics 0 to k - 1.
 
+    ``tokens`` has a row per token; ``text`` is a 64-bit hash that tells its text.  A term's least and greatest hash differ
+    if it is in two texts or more, so no table of texts and terms is needed: numbers are combined per task before the one
+    shuffle.  Tokens of other topics count in the total alone.
+    """
+    in_topic = [F.count_if(F.col(topic) == i).alias(f"n{i}") for i in range(k)]
+    return tokens.groupBy(*by, "term").agg(
+        F.count(F.lit(1)).alias("total"), *in_topic, F.min(text).alias("first"), F.max(text).alias("last"))
 
-def dot(a: Column, b: Column) -> Column:
-    return total(F.zip_with(a, b, lambda x, y: x * y))
+
+def smoothed_terms(counts: DataFrame, k: int, smoothing: float = 0.01, once: DataFrame | None = None) -> DataFrame:
+    """The rows and ``beta``: the term's probability in the topics 0 to k - 1, from its counts ``n0`` to ``n{k-1}``.
+
+    ``once`` has each term in one row, if ``counts`` has not.
+    """
+    columns = [f"n{i}" for i in range(k)]
+    sizes = (counts if once is None else once).agg(F.struct(F.count(F.lit(1)).alias("terms"), *[F.sum(c).alias(c) for c in columns])).scalar()
+    beta = F.array(*[(F.coalesce(F.col(c), F.lit(0)) + smoothing)
+                     / (F.coalesce(F.col("_sizes")[c], F.lit(0)) + F.col("_sizes")["terms"] * smoothing) for c in columns])
+    return counts.withColumn("_sizes", sizes).withColumn("beta", beta).drop("_sizes")
 
 
 def topic_terms(counts: DataFrame, topic: str, term: str, n: str, k: int, smoothing: float = 0.01) -> DataFrame:
@@ -123,45 +148,113 @@ def topic_terms(counts: DataFrame, topic: str, term: str, n: str, k: int, smooth
 
     ``counts`` has a row per topic and term; terms with no count in a topic have the smoothing alone.
     """
-    sizes = counts.groupBy(topic).agg(F.sum(n).alias("_all"))
-    vocabulary = counts.agg(F.count_distinct(term)).scalar()
-    listed = counts.groupBy(term).agg(F.map_from_entries(F.collect_list(F.struct(topic, n))).alias("_n"))
-    all_sizes = sizes.agg(F.map_from_entries(F.collect_list(F.struct(topic, "_all")))).scalar()  # k entries at most
-    listed = listed.withColumn("_sizes", all_sizes).withColumn("_terms", vocabulary)
-    beta = F.array(*[(F.coalesce(F.try_element_at("_n", F.lit(i)), F.lit(0)) + smoothing)
-                     / (F.coalesce(F.try_element_at("_sizes", F.lit(i)), F.lit(0)) + F.col("_terms") * smoothing) for i in range(k)])
-    return listed.select(F.col(term).alias("term"), beta.alias("beta"))
+    listed = counts.groupBy(F.col(term).alias("term")).agg(*[F.sum(F.when(F.col(topic) == i, F.col(n))).alias(f"n{i}") for i in range(k)])
+    return smoothed_terms(listed, k, smoothing).select("term", "beta")
+
+
+def e_step(n: np.ndarray, beta: np.ndarray, starts: np.ndarray, alpha: float, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Topic weights, bound and total count of texts under given topics: the variational E-step of LDA.
+
+    ``n`` and the rows of ``beta`` are the counts and topic probabilities of the texts' terms, text by text; ``starts`` has
+    the place of each text's first term.
+    """
+    k, sizes, weight = beta.shape[1], np.diff(starts, append=len(n)), np.add.reduceat(n, starts)
+    gamma = np.repeat(weight[:, None] / k + alpha, k, axis=1)
+
+    def expected() -> np.ndarray:
+        """Expected log weight of each topic."""
+        return digamma(gamma, np.log) - digamma(gamma.sum(axis=1, keepdims=True), np.log)
+
+    for _ in range(rounds):
+        e = np.exp(expected())
+        shares = n / np.einsum("ij,ij->i", np.repeat(e, sizes, axis=0), beta)
+        gamma = e * np.add.reduceat(shares[:, None] * beta, starts) + alpha
+    logs = expected()
+    words = np.add.reduceat(n * np.log(np.einsum("ij,ij->i", np.repeat(np.exp(logs), sizes, axis=0), beta)), starts)
+    prior = ((alpha - gamma) * logs + log_gamma(gamma, np.log) - math.lgamma(alpha)).sum(axis=1)
+    total = gamma.sum(axis=1)
+    return gamma / total[:, None], words + prior + math.lgamma(k * alpha) - log_gamma(total, np.log), weight
+
+
+def scored_texts(names: list[str], ids: pa.Array, n: np.ndarray, beta: np.ndarray, starts: np.ndarray, alpha: float, rounds: int) -> pa.RecordBatch:
+    """The result of e_step() under the ids of the texts."""
+    weights, bound, weight = e_step(n, beta, starts, alpha, rounds)
+    lists = pa.ListArray.from_arrays(np.arange(len(bound) + 1, dtype=np.int32) * beta.shape[1], weights.ravel())
+    return pa.RecordBatch.from_arrays([ids, lists, pa.array(bound), pa.array(weight)], names=names)
 
 
 def infer_topics(counts: DataFrame, terms: DataFrame, id_col: str, k: int, alpha: float | None = None, rounds: int = 20) -> DataFrame:
     """``(id, topic_distribution, bound, weight)`` of each text under given topics: the variational E-step of LDA.
 
-    ``counts``: id, term, n; ``terms``: term, beta (see :func:`topic_terms`).  A text's terms meet in one row, so every
-    round is a column expression over that row and nothing is shuffled between rounds.  ``bound`` is the text's part of
-    the variational lower bound of the log likelihood, ``weight`` its total count.  Texts without a known term are left out.
+    ``counts``: id, term, n; ``terms``: term, beta (see :func:`topic_terms`).  A text's terms meet in one row, so nothing is
+    shuffled between rounds.  ``bound`` is the text's part of the variational lower bound of the log likelihood, ``weight``
+    its total count.  Texts without a known term are left out.  Counts pass through two shuffles, to the terms and to the
+    texts; :func:`infer_texts` starts from the texts and needs neither.
     """
     alpha = 1.0 / k if alpha is None else alpha
-    rows = counts.join(terms, "term").groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("term", F.col("n").cast("double").alias("n"), "beta"))).alias("_words"))
-    rows = rows.withColumn("_weight", total(F.transform("_words", lambda w: w["n"])))
-    rows = rows.withColumn("_gamma", F.array_repeat(F.col("_weight") / k + alpha, k))
+    word = F.struct("term", F.col("n").cast("double").alias("n"), "beta")
+    rows = counts.join(terms, "term").groupBy(id_col).agg(F.array_sort(F.collect_list(word)).alias("_words"))
+    rows = rows.select(id_col, F.transform("_words", lambda w: w["n"]).alias("n"), F.flatten(F.transform("_words", lambda w: w["beta"])).alias("beta"))
+    names = [id_col, "topic_distribution", "bound", "weight"]
 
-    def expected() -> Column:
-        """Expected log weight of each topic."""
-        return F.transform("_gamma", lambda g: digamma(g) - digamma(total(F.col("_gamma"))))
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n, beta = batch.column("n"), batch.column("beta").flatten().to_numpy().reshape(-1, k)
+                starts = n.offsets.to_numpy()[:-1] - n.offsets[0].as_py()
+                yield scored_texts(names, batch.column(0), n.flatten().to_numpy(), beta, starts, alpha, rounds)
 
-    zeros = F.array(*[F.lit(0.0)] * k)
-    for _ in range(rounds):
-        rows = rows.withColumn("_e", F.transform(expected(), lambda x: F.exp(x)))
-        shares = F.aggregate("_words", zeros, lambda sums, w: F.zip_with(
-            sums, w["beta"], lambda s, b: s + w["n"] * b / dot(F.col("_e"), w["beta"])))
-        # The weights are named outside of the lambda as well, so the optimizer leaves them a column of their own.
-        rows = rows.withColumn("_gamma", F.zip_with("_e", shares, lambda e, s: e * s + alpha))
-    rows = rows.withColumn("_log", expected()).withColumn("_e", F.transform("_log", lambda x: F.exp(x)))
-    words = F.aggregate("_words", F.lit(0.0), lambda s, w: s + w["n"] * F.log(dot(F.col("_e"), w["beta"])))
-    prior = total(F.zip_with("_gamma", "_log", lambda g, x: (alpha - g) * x + log_gamma(g) - log_gamma(F.lit(alpha))))
-    bound = words + prior + log_gamma(F.lit(float(k * alpha))) - log_gamma(total(F.col("_gamma"))) + F.element_at("_e", 1) * 0
-    return rows.select(id_col, F.transform("_gamma", lambda g: g / total(F.col("_gamma"))).alias("topic_distribution"),
-                       bound.alias("bound"), F.col("_weight").alias("weight"))
+    return rows.mapInArrow(score, _scored_schema(counts, id_col))
+
+
+def _scored_schema(df: DataFrame, id_col: str) -> StructType:
+    number = DoubleType()
+    return df.select(id_col).schema.add("topic_distribution", ArrayType(number)).add("bound", number).add("weight", number)
+
+
+#: So many words of a block are counted at a time, whole texts.
+SLICE_WORDS = 1_000_000
+
+
+def infer_texts(texts: DataFrame, terms: DataFrame, id_col: str, words: str, block: str, k: int, alpha: float | None = None, rounds: int = 20) -> DataFrame:
+    """Like :func:`infer_topics`, from the words of the texts themselves.
+
+    ``block``, in both tables, is a number that follows from the id, and ``terms`` has the terms of each block (block, term,
+    beta).  Where both tables are partitioned by it nothing more is shuffled.  A Python worker holds one block at a time; rows
+    with the same id, or with none, are one text.
+    """
+    alpha = 1.0 / k if alpha is None else alpha
+    names = [id_col, "topic_distribution", "bound", "weight"]
+    schema = _scored_schema(texts, id_col)
+
+    def score(texts: pa.Table, terms: pa.Table) -> pa.Table:
+        ids = texts.column(id_col).combine_chunks().dictionary_encode("encode")
+        text, known = ids.indices.to_numpy(), pa.concat_arrays([*terms.column("term").chunks, pa.array([], pa.string())])
+        beta = np.concatenate([np.empty(0), *[x.flatten().to_numpy() for x in terms.column("beta").chunks]]).reshape(-1, k)
+        size, place, none = [np.empty(0, np.int64)], [np.empty(0, np.int32)], pa.array([], pa.list_(pa.float64()))
+        for chunk in texts.column(words).chunks:
+            size.append(pc.fill_null(pc.list_value_length(chunk), 0).to_numpy())
+            place.append(pc.fill_null(pc.index_in(chunk.flatten(), value_set=known), -1).to_numpy())
+        size, place = np.concatenate(size), np.concatenate(place)
+        first, rows = np.cumsum(size) - size, np.argsort(text, kind="stable")
+        last = np.flatnonzero(np.diff(text[rows], append=-1))  # row of each text
+        ends = last[np.diff(np.cumsum(size[rows])[last] // SLICE_WORDS, append=-1) != 0] + 1
+        scored = []
+        for start, end in zip([0, *ends], ends):
+            some = rows[start:end]
+            ahead = first[some] - np.cumsum(size[some]) + size[some]
+            term = place[np.arange(size[some].sum()) + np.repeat(ahead, size[some])]
+            pair = np.repeat(text[some].astype(np.int64), size[some]) * len(known) + term
+            pairs, n = np.unique(pair[term >= 0], return_counts=True)
+            if len(pairs):
+                owner, starts = np.unique(pairs // len(known), return_index=True)
+                own = ids.dictionary.take(pa.array(owner))
+                scored.append(scored_texts(names, own, n.astype(float), beta[pairs % len(known)], starts, alpha, rounds))
+        empty = pa.RecordBatch.from_arrays([ids.dictionary[:0], none, none.values, none.values], names=names)
+        return pa.Table.from_batches(scored or [empty])
+
+    # A cogroup's function gets and returns a block as a whole.
+    return texts.groupBy(block).cogroup(terms.groupBy(block)).applyInArrow(score, schema)
 
 
 def topic_words(terms: DataFrame, vocabulary: DataFrame, k: int, n: int = 15) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import (clean_text, decode_redirect, document_text, html_to_text, is_listing_page,
@@ -363,6 +364,9 @@ def topic_label_counts(spark, sf_dir):
 
 TOPIC_LANGS, TOPIC_ROUNDS = ["de", "en", "es", "fr"], 4
 
+#: Texts of a block, which a Python worker holds; there are at least as many blocks as shuffle partitions.
+BLOCK_BYTES = 64 << 20
+
 
 def _psi(x: str) -> str:
     """The series of ``topics.digamma`` in SQL."""
@@ -409,6 +413,36 @@ gamma0 AS (SELECT doc_id, sum(n) AS weight, {', '.join(f'sum(n) / 4 + 0.25::DOUB
     return ",\n".join(parts)
 
 
+def token_rows(texts, *columns):
+    """A row per token that is no stop word: its term, the text's topic (its language) and a hash that tells the text."""
+    topic = (F.array_position(F.array(*[F.lit(x) for x in TOPIC_LANGS]), F.col("lang")) - 1).cast("int")
+    rows = texts.select(*columns, topic.alias("topic"), F.xxhash64("doc_id", "lang").alias("own"),
+                        F.explode_outer(topics.tokens(F.col("text"))).alias("term"))
+    return rows.filter(F.col("term").isNotNull() & ~F.col("term").isin(TOPIC_STOPWORDS))
+
+
+def inferred_topics(spark, sf_dir):
+    """Topic weights of the documents under the languages' term probabilities.
+
+    Documents are dealt to blocks by their id, as whole texts.  What is shuffled besides is a row per block and term: its
+    counts on their way to the term, and the term's probabilities on their way back to the blocks that have it.  A table of
+    documents and terms, several times as large as the texts, exists only within the tasks of the blocks.
+    """
+    docs, k = roles.text_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), len(TOPIC_LANGS)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BLOCK_BYTES)
+    texts = docs.withColumn("block", F.pmod(F.hash("doc_id"), F.lit(blocks))).repartition(blocks, "block")
+    in_block = topics.token_counts(token_rows(texts, "block"), "own", "topic", k, by=["block"]).drop("total")
+    term = Window.partitionBy("term")
+    listed = in_block.select("term", "block", *[F.sum(f"n{i}").over(term).alias(f"n{i}") for i in range(k)], F.min("first").over(term).alias("first"),
+                             F.max("last").over(term).alias("last"), (F.col("block") == F.min("block").over(term)).alias("once"))
+    known = listed.filter("first <> last")
+    terms = topics.smoothed_terms(known, k, once=known.filter("once")).select("block", "term", "beta").repartition(blocks, "block")
+    # Stop words are none of the terms.  The language goes along so that both uses of the texts are one exchange.
+    words = texts.select("block", "doc_id", "lang", topics.tokens(F.col("text")).alias("words"))
+    return topics.infer_texts(words, terms, "doc_id", "words", "block", k, rounds=TOPIC_ROUNDS)
+
+
 def topic_counts_by_language(spark, sf_dir):
     """Counts per document and term, and the languages' term probabilities."""
     frame = token_frame(spark, sf_dir)
@@ -424,8 +458,7 @@ def topic_counts_by_language(spark, sf_dir):
 @query("topic_weights", f"{_inference_sql()} SELECT doc_id, round(t0, 5) AS t0, round(t1, 5) AS t1, round(t2, 5) AS t2, round(t3, 5) AS t3, round(bound, 3) AS bound FROM scored")
 def topic_weights(spark, sf_dir):
     """Topic weights of every document and its part of the likelihood bound, after a few rounds."""
-    counts, terms, _ = topic_counts_by_language(spark, sf_dir)
-    found = topics.infer_topics(counts, terms, "doc_id", len(TOPIC_LANGS), rounds=TOPIC_ROUNDS)
+    found = inferred_topics(spark, sf_dir)
     weights = [F.round(F.get("topic_distribution", F.lit(i)), 5).alias(f"t{i}") for i in range(len(TOPIC_LANGS))]
     return found.select("doc_id", *weights, F.round("bound", 3).alias("bound"))
 
