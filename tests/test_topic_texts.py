@@ -81,3 +81,9 @@ def test_languages_that_are_no_topic(spark, tmp_path):
     got = {r[0]: r[1:] for r in catalog.QUERIES["topic_weights"](spark, path).collect()}
     assert set(got) == set(right) and len(got) == 40
     assert all(max(abs(a - b) for a, b in zip(got[i], right[i])) < 2e-3 for i in got)
+
+
+def test_likelihood_moves_texts_and_terms_of_blocks(spark, folder):
+    df = catalog.QUERIES["topic_likelihood"](spark, folder)
+    assert df.collect()[0].log_perplexity > 0
+    assert shuffled(df) < DOCS * WORDS / 2
