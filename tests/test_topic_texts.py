@@ -6,6 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import wardrisk.sources.writers as writers
 from wardrisk.operators import topics
 from wardrisk.plans import catalog
 
@@ -87,3 +88,20 @@ def test_likelihood_moves_texts_and_terms_of_blocks(spark, folder):
     df = catalog.QUERIES["topic_likelihood"](spark, folder)
     assert df.collect()[0].log_perplexity > 0
     assert shuffled(df) < DOCS * WORDS / 2
+
+
+def test_labels_move_terms_alone(spark, folder, monkeypatch):
+    kept, keep = [], writers.checkpointed
+    monkeypatch.setattr(writers, "checkpointed", lambda df: (kept.append(df), keep(df))[1])
+    assert len(catalog.QUERIES["topic_labels"](spark, folder).collect()) == DOCS
+    assert len(kept) == 1 and shuffled(kept[0]) < DOCS * WORDS / 2
+
+
+def test_terms_of_two_texts(spark, tmp_path):
+    """Rows with the same id and language are one text; with an id and without, or in two languages, they are two."""
+    rows = [(1, "x once", "de"), (1, "x once", "de"), (2, "x two", "en"), (None, "two none", "en"), (None, "none", "en"), (3, "langs", "es"), (3, "langs", "fr"), (4, "x", None)]
+    path = write(spark, tmp_path, [(i, t, lang, "s", 1) for i, t, lang in rows])
+    words = {r.term for r in catalog.QUERIES["topic_terms"](spark, path).collect()}
+    assert words == {"x", "two", "langs"}
+    labels = catalog.QUERIES["topic_labels"](spark, path).collect()
+    assert sorted((r.doc_id or 0, -1 if r.topic is None else r.topic, r.label) for r in labels if r.doc_id == 4) == [(4, -1, "Unknown")]

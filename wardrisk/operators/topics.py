@@ -264,7 +264,8 @@ def topic_words(terms: DataFrame, vocabulary: DataFrame, k: int, n: int = 15) ->
     """
     weights = terms.join(vocabulary, "term").select("index", F.posexplode("beta").alias("topic", "beta"))
     place = F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("beta"), "index"))
-    first = weights.withColumn("position", place - 1).filter(F.col("position") < n)
+    # A limit of the plain row number also applies before the shuffle to the few topics.
+    first = weights.withColumn("_place", place).filter(F.col("_place") <= n).withColumn("position", F.col("_place") - 1)
     described = first.groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("position", "index"))).alias("indices"))
     return described.select("topic", F.inline("indices")).join(vocabulary, "index").select("topic", "position", "index", "term")
 

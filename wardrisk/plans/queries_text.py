@@ -443,18 +443,6 @@ def inferred_topics(spark, sf_dir):
     return topics.infer_texts(words, terms, "doc_id", "words", "block", k, rounds=TOPIC_ROUNDS)
 
 
-def topic_counts_by_language(spark, sf_dir):
-    """Counts per document and term, and the languages' term probabilities."""
-    frame = token_frame(spark, sf_dir)
-    counts = frame.select("doc_id", "lang", F.explode_outer("words").alias("term")).filter("term IS NOT NULL").groupBy(
-        "doc_id", "lang", "term").agg(F.count(F.lit(1)).alias("n"))
-    vocabulary = counts.groupBy("term").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("doc_freq")).filter("doc_freq >= 2")
-    known = counts.join(vocabulary.select("term"), "term")
-    topic = (F.array_position(F.array(*[F.lit(x) for x in TOPIC_LANGS]), F.col("lang")) - 1).cast("int")
-    by_topic = known.groupBy(topic.alias("topic"), "term").agg(F.sum("n").alias("n"))
-    return known, topics.topic_terms(by_topic, "topic", "term", "n", len(TOPIC_LANGS)), vocabulary
-
-
 @query("topic_weights", f"{_inference_sql()} SELECT doc_id, round(t0, 5) AS t0, round(t1, 5) AS t1, round(t2, 5) AS t2, round(t3, 5) AS t3, round(bound, 3) AS bound FROM scored")
 def topic_weights(spark, sf_dir):
     """Topic weights of every document and its part of the likelihood bound, after a few rounds."""
@@ -484,15 +472,16 @@ first AS (
 def words_of_topics(spark, sf_dir):
     from ..operators.rank import number_rows
 
-    counts, terms, vocabulary = topic_counts_by_language(spark, sf_dir)
-    numbered = number_rows(vocabulary, [F.desc("total"), "term"], "index").select("index", "term")
-    return counts, terms, topics.topic_words(terms, numbered, len(TOPIC_LANGS))
+    k = len(TOPIC_LANGS)
+    vocabulary = topics.token_counts(token_rows(roles.text_table(spark, sf_dir, "documents")), "own", "topic", k).filter("first <> last").drop("first", "last")
+    numbered = number_rows(vocabulary, [F.desc("total"), "term"], "index")  # kept, so the texts are read once
+    return topics.topic_words(topics.smoothed_terms(numbered, k).select("term", "beta"), numbered.select("index", "term"), k)
 
 
 @query("topic_terms", f"{TOPIC_WORDS_SQL} SELECT topic::INTEGER AS topic, position::INTEGER AS position, index, term FROM first")
 def described_topics(spark, sf_dir):
     """The 15 heaviest terms of each topic, by index and by word."""
-    return words_of_topics(spark, sf_dir)[2]
+    return words_of_topics(spark, sf_dir)
 
 
 @query("topic_labels", f"""{TOPIC_WORDS_SQL},
@@ -504,7 +493,7 @@ SELECT doc_id, (list_position({TOPIC_LANGS!r}, lang) - 1)::INTEGER AS topic, coa
 FROM documents LEFT JOIN labels ON topic = list_position({TOPIC_LANGS!r}, lang) - 1""")
 def labelled_topics(spark, sf_dir):
     """The words of each topic vote for its label; a map brings the label to the documents of the topic (their language)."""
-    words = words_of_topics(spark, sf_dir)[2].groupBy("topic").agg(F.collect_list("term").alias("terms"))
+    words = words_of_topics(spark, sf_dir).groupBy("topic").agg(F.collect_list("term").alias("terms"))
     labels = {r.topic: r.label for r in words.select("topic", topics.keyword_label(F.col("terms"), TOPIC_KEYWORDS).alias("label")).collect()}
     topic = (F.array_position(F.array(*[F.lit(x) for x in TOPIC_LANGS]), F.col("lang")) - 1).cast("int")
     docs = roles.table(spark, sf_dir, "documents").select("doc_id", topic.alias("topic"))
